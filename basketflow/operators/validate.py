@@ -90,7 +90,7 @@ def validate(df: DataFrame, model: str | Sequence[Field],
         if f.required:
             reasons.append(F.when(~given, F.lit(f"{f.name}: missing")))
         if f.kind != "text":
-            reasons.append(F.when(given & value.isNull(), F.lit(f"{f.name}: not a {f.kind}")))
+            reasons.append(F.when(given & value.isNull(), F.lit(f"{f.name}: not a valid {f.kind}")))
         if f.numeric and not f.required:
             value = F.coalesce(value, F.lit(0))
         parsed.append(value.alias(f.name))

@@ -10,9 +10,18 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "smallint": T.ShortType(),
+    "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(18,2)": T.DecimalType(18, 2), "decimal(5,2)": T.DecimalType(5, 2),
+}
+
 
 def _struct(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)
+    """A schema from 'name type, name type'; needs no session."""
+    pairs = (column.split() for column in spec.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # --- raw layer: append-only landing, ids as text ------------------------------

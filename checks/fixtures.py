@@ -127,3 +127,192 @@ class Star(Source):
             F.when(key % 7 == 0, imputed.cast(MONEY)).otherwise(F.col("value").cast(MONEY))
             .alias("cost"),
             F.col("ts").alias("generated_at"))
+
+
+def _uuid(text: Column) -> Column:
+    """A uuid made of the md5 of a text."""
+    h = F.md5(text)
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(h, start, size) for start, size in cuts])
+
+
+def _hash_id(*parts: Column) -> Column:
+    """A bigint from the first 15 hex digits of the md5 of some columns."""
+    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def _dirty_id(key: Column, user: Column) -> Column:
+    """User ids as text, some missing, some not numeric, some written as 12.0."""
+    text = user.cast("string")
+    return (F.when(key % 101 == 0, F.lit(None)).when(key % 13 == 0, F.concat(F.lit("x"), text))
+            .when(key % 17 == 0, F.concat(text, F.lit(".0"))).otherwise(text))
+
+
+DUPLICATE_ID_SHIFT = 10_000_000_000
+
+
+class Raw(Source):
+    """Raw tables with the faults the jobs must cope with."""
+
+    def _twice(self, df: DataFrame, serial: str, modulus: int, **changes: Column) -> DataFrame:
+        """Repeat every row whose serial divides by ``modulus`` under a higher serial."""
+        again = df.where(F.col(serial) % modulus == 0).withColumn(
+            serial, F.col(serial) + DUPLICATE_ID_SHIFT)
+        return df.unionByName(again.withColumns(changes) if changes else again)
+
+    def events(self) -> DataFrame:
+        key, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+        owner = F.when(key % 29 == 0, user + 2).otherwise(user)
+        shopping = kind.isin("view", "purchase") & (key % 5 != 0)
+        product = F.when(shopping, key % 200 + 1)
+        placed = key % 19 != 0
+        rows = self.given("events").select(
+            "event_id", _dirty_id(key, user).alias("user_id"),
+            F.when(key % 23 == 0, F.lit(None))
+            .when(key % 37 == 0, F.concat(F.lit("bad-"), user.cast("string")))
+            .otherwise(_uuid(F.concat_ws("-", owner.cast("string"), F.to_date("ts").cast("string"))))
+            .alias("session_id"),
+            F.when(key % 97 == 0, F.lit(None)).when(key % 31 == 0, "search")
+            .when(kind == "click", "session_start").when(kind == "error", "session_end")
+            .when((kind == "view") & (key % 3 == 0), "view_page")
+            .when(kind == "view", "view_product").otherwise(kind).alias("event_type"),
+            product.cast("int").alias("product_id"),
+            F.when(shopping & (key % 4 != 0), F.concat(
+                F.lit("Item "), product.cast("string"),
+                F.when(key % 8 == 1, " new").otherwise(""))).alias("product_name"),
+            F.when(shopping & (product % 10 != 7),
+                   F.concat(F.lit("cat"), (product % 10).cast("string"))).alias("product_category"),
+            F.when(kind == "purchase", _uuid(F.concat(F.lit("o"), (key % 500).cast("string"))))
+            .alias("order_id"),
+            F.when(kind == "purchase", key % 5).cast("int").alias("quantity"),
+            F.when(placed, F.concat(F.lit("City "), (user % 25).cast("string"))).alias("city"),
+            F.when(placed, F.concat(F.lit("Country "), (user % 5).cast("string"))).alias("country"),
+            F.when(placed, (key * 37 % 18000).cast("double") / 100 - 90).alias("lat"),
+            F.when(placed, (key * 61 % 36000).cast("double") / 100 - 180).alias("lon"),
+            F.col("value").cast(MONEY).alias("cost_usd"),
+            F.lit(None).cast(MONEY).alias("cost_eur"), F.lit(None).cast(MONEY).alias("cost_rub"),
+            F.when(placed, ((key % 400).cast("double") / 10 - 10).cast("decimal(5,2)"))
+            .alias("weather_temp"),
+            F.when(placed, _pick(key % 4, "clear sky", "light rain", "snow", "mist"))
+            .alias("weather_desc"),
+            F.col("ts").alias("timestamp"))
+        return self._twice(rows, "event_id", 10)
+
+    def profiles(self) -> DataFrame:
+        key = F.col("c_custkey")
+        rows = self.given("customer").where(key % 3 != 0).select(
+            (key * 2).alias("user_profile_id"), _dirty_id(key, key).alias("user_id"),
+            F.col("c_name").alias("name"),
+            F.when(key % 5 != 1, F.concat(F.lit("c"), key.cast("string"), F.lit("@shop.example")))
+            .alias("email"),
+            F.date_add(F.lit("1970-01-01").cast("date"), (key % 15000).cast("int"))
+            .alias("birth_date"),
+            _pick(key % 5, " Male ", "female", "other", None, "FEMALE").alias("gender"))
+        return self._twice(rows, "user_profile_id", 8, name=F.lit(None).cast("string"),
+                           email=F.concat(F.lit("new."), F.col("email")),
+                           gender=F.lit(None).cast("string"))
+
+    def devices(self) -> DataFrame:
+        key = F.col("c_custkey")
+        rows = self.given("customer").select(
+            key.alias("user_device_id"), _dirty_id(key, key % 700).alias("user_id"),
+            _pick(key % 3, "mobile", "desktop", None).alias("device_type"),
+            _pick(key % 5, "iOS", "Android", "Windows", "Linux", "MacOS").alias("os"),
+            _pick(key % 4, "Chrome", "Firefox", "Safari", "Edge").alias("browser"))
+        return self._twice(rows, "user_device_id", 6)
+
+    def locations(self) -> DataFrame:
+        key = F.col("c_custkey")
+        places = self.given("nation").join(
+            self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        rows = self.given("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            key.alias("user_location_id"), _dirty_id(key, key % 900).alias("user_id"),
+            F.col("n_name").alias("city"), F.col("r_name").alias("country"),
+            F.when(key % 12 != 0, (key * 37 % 18000).cast("double") / 100 - 90).alias("lat"),
+            F.when(key % 12 != 0, (key * 61 % 36000).cast("double") / 100 - 180).alias("lon"))
+        return self._twice(rows, "user_location_id", 6)
+
+    def orders(self) -> DataFrame:
+        key = F.col("o_orderkey")
+        shift = F.make_dt_interval(secs=((key * 7919) % 2592000).cast("decimal(18,6)"))
+        rows = self.given("orders").select(
+            key.alias("raw_order_id"),
+            F.when(key % 103 != 0, _uuid(F.concat(F.lit("o"), key.cast("string")))).alias("order_id"),
+            _dirty_id(key, F.col("o_custkey") % self.event_users()).alias("user_id"),
+            F.when(key % 107 != 0,
+                   F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz") + shift).alias("order_ts"),
+            F.when(key % 21 != 0, F.col("o_totalprice").cast(MONEY)).alias("total_usd"))
+        return self._twice(rows, "raw_order_id", 8,
+                           total_usd=(F.col("total_usd") + 1).cast(MONEY))
+
+    def items(self) -> DataFrame:
+        key, line = F.col("l_orderkey"), F.col("l_linenumber")
+        part = self.given("part").select("p_partkey", "p_retailprice")
+        return self.given("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+            _hash_id(key, F.col("l_partkey"), line, F.col("l_suppkey"), F.to_date("l_shipdate"))
+            .alias("raw_order_item_id"),
+            F.when(key % 103 != 0, _uuid(F.concat(F.lit("o"), key.cast("string")))).alias("order_id"),
+            F.when(F.col("l_partkey") % 41 != 0, F.col("l_partkey")).cast("int").alias("product_id"),
+            F.when(line != 5, F.col("l_quantity").cast("int") - 1).alias("quantity"),
+            F.when(F.col("l_partkey") % 43 != 0, F.col("p_retailprice").cast(MONEY))
+            .alias("price_usd"))
+
+    def statuses(self) -> DataFrame:
+        key, line, back = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")
+        return self.given("lineitem").select(
+            _hash_id(key, F.col("l_partkey"), line, F.col("l_suppkey"), F.to_date("l_shipdate"))
+            .alias("event_id"),
+            _uuid(F.concat(F.lit("o"), key.cast("string"))).alias("order_id"),
+            F.when(back == "A", "success").when(back == "N", "pending").otherwise("cancelled")
+            .alias("status"),
+            F.when(line != 4, F.col("l_shipdate")).alias("generated_at"))
+
+    def campaign_events(self) -> DataFrame:
+        key = F.col("event_id")
+        regions = self.given("region").select(
+            F.col("r_regionkey").cast("bigint").alias("r_regionkey"), "r_name")
+        rows = self.given("events").withColumn("slot", key % 5).join(
+            regions, F.col("slot") == F.col("r_regionkey"))
+        return rows.select(
+            key.alias("campaign_event_id"), _dirty_id(key, F.col("user_id")).alias("user_id"),
+            F.when(key % 33 != 0, F.concat(F.lit("camp"), (F.col("slot") + 1).cast("string")))
+            .alias("campaign_id"),
+            F.concat("r_name", F.when(key % 2 == 0, " sale").otherwise("")).alias("campaign_name"),
+            _pick(key % 3, "email", "social", "search").alias("channel"),
+            F.col("event_type").alias("action"),
+            F.when(key % 7 != 0, F.col("value").cast(MONEY)).alias("cost"),
+            F.when(key % 9 != 0, F.col("ts")).alias("generated_at"))
+
+    # Star snapshots as an earlier run could have left them.
+    def old_users(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return self.given("customer").where(key % 2 == 0).select(
+            key.alias("user_id"), F.concat(F.lit("old "), "c_name").alias("name"),
+            F.lit("old@shop.example").alias("email"), F.lit(None).cast("date").alias("birth_date"),
+            F.when(key % 4 == 0, "male").alias("gender"),
+            F.when(key % 6 == 0, "Oldtown").alias("city"),
+            F.lit(None).cast("string").alias("country"))
+
+    def old_orders(self) -> DataFrame:
+        key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+        return self.given("orders").where(key % 3 == 0).select(
+            _uuid(F.concat(F.when(key % 6 == 0, "gone").otherwise("o"), key.cast("string")))
+            .alias("order_id"),
+            F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_ts"),
+            F.lit(1).cast(MONEY).alias("total_usd"),
+            F.when(status == "F", "success").when(status == "O", "pending").alias("status"))
+
+    def old_items(self) -> DataFrame:
+        """A third of the known (order, product) pairs with other ids and prices."""
+        known = self.items().where("order_id IS NOT NULL AND product_id IS NOT NULL")
+        return known.where(F.col("product_id") % 3 == 0).groupBy("order_id", "product_id").agg(
+            F.min("raw_order_item_id").alias("order_item_id")).select(
+            "order_item_id", "order_id", "product_id", F.lit(9).alias("quantity"),
+            F.lit("0.99").cast(MONEY).alias("price_usd"))
+
+    def old_categories(self) -> DataFrame:
+        """Two categories known from before."""
+        return self.given("region").where(F.col("r_regionkey") < 2).select(
+            (F.col("r_regionkey") + 5).cast("bigint").alias("category_id"),
+            F.concat(F.lit("cat"), (F.col("r_regionkey") + 3).cast("string")).alias("category_name"))

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.plans import marts
-from checks.fixtures import AS_OF, Star
+from pyspark.sql import functions as F
+
+from basketflow import schemas
+from basketflow.functions import nan_to_null, normalize_gender, try_id, try_ts
+from basketflow.operators.keyed import dedup
+from basketflow.operators.validate import allow, check, fk_check, not_null, not_null_if, validate
+from basketflow.plans import dds, marts
+from checks.fixtures import AS_OF, Raw, Star
 from checks.mart_oracles import MARTS
 from checks.prelude import with_tables
+from checks.raw_oracles import DDS, RAW_TABLES, VALIDATION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,3 +56,116 @@ star("m9_device_analysis_safe", lambda s: marts.device_analysis(
     s.user_devices(), s.users(), s.sessions(), s.orders(), s.order_items(), fanout_safe=True))
 
 ORACLES.update({name: with_tables(sql) for name, sql in MARTS.items()})
+
+
+# --- raw to star --------------------------------------------------------------
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, the type the checking SQL returns."""
+    return df.select(*[
+        F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+        for c, t in df.dtypes])
+
+
+def raw(name: str, build: Callable[[Raw], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: plain(build(Raw(spark, sf_dir)))
+
+
+raw("d1_users", lambda r: dds.build_users(r.profiles(), r.events()))
+raw("d2_delete_orphans", lambda r: dds.remove_unknown_users(r.old_users(), r.profiles(), r.events()))
+raw("d3_upsert_users", lambda r: dds.upsert_users(
+    r.old_users(), dds.build_users(r.profiles(), r.events())))
+raw("d4_orders_latest_status", lambda r: dds.orders_with_status(r.orders(), r.statuses()))
+raw("d5_orders_cleanup", lambda r: dds.remove_unknown_orders(r.old_orders(), r.orders()))
+raw("d6_upsert_orders", lambda r: dds.upsert_orders(
+    r.old_orders(), dds.clean_orders(r.orders(), r.statuses())))
+raw("d7_upsert_items", lambda r: dds.upsert_items(r.old_items(), r.items()))
+raw("d8_devices", lambda r: dds.load_devices(r.devices())[0])
+raw("d9_locations", lambda r: dds.load_locations(r.locations(), r.old_users())[0])
+raw("d9_location_users", lambda r: dds.load_locations(r.locations(), r.old_users())[1])
+raw("d10_missing_users", lambda r: dds.add_event_users(r.old_users(), r.events()))
+raw("d11_sessions", lambda r: dds.build_sessions(r.events(), r.old_users())[0])
+raw("d11_session_conflicts", lambda r: dds.build_sessions(r.events(), r.old_users())[1])
+raw("d12_categories", lambda r: dds.build_categories(r.events(), r.old_categories()))
+raw("d13_products", lambda r: dds.build_products(
+    r.events(), dds.build_categories(r.events(), r.old_categories())))
+raw("d14_campaigns", lambda r: dds.build_campaigns(r.campaign_events()))
+raw("d15_campaign_costs", lambda r: dds.load_campaign_events(r.campaign_events()))
+raw("d16_apply_status", lambda r: dds.apply_status(r.old_orders(), r.statuses()))
+
+
+def _row_counts(r: Raw) -> DataFrame:
+    built = {
+        "events": dds.load_events(r.events())[0],
+        "orders": dds.clean_orders(r.orders(), r.statuses()),
+        "order_items": dds.clean_items(r.items()),
+        "sessions": dds.build_sessions(r.events(), r.old_users())[0],
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+              for name, df in built.items()]
+    out = counts[0]
+    for part in counts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+raw("d17_row_counts", _row_counts)
+
+
+# --- validation ---------------------------------------------------------------
+def _valid_events(r: Raw) -> DataFrame:
+    return validate(dds.typed_events(r.events()), "event", keep=["event_id"])[0]
+
+
+def _unique_events(r: Raw) -> DataFrame:
+    return dedup(_valid_events(r), ["user_id", "event_type", "timestamp"], "event_id")
+
+
+def _text_timestamps(r: Raw) -> DataFrame:
+    key = F.col("event_id")
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    return r.given("events").select(
+        key, F.when(key % 6 == 0, F.lit(None)).when(key % 6 == 3, "soon").otherwise(iso).alias("text"))
+
+
+def _without_signup(r: Raw) -> DataFrame:
+    batch = allow(r.events(), "event_type", schemas.ALLOWED_EVENT_TYPES).where(
+        ~F.col("event_type").isin("signup", "churn"))
+    kept = not_null_if(batch, F.col("event_type").isin("signup", "churn"),
+                       ["user_id"], ["user_id", "session_id"])
+    return kept.select("event_id", "event_type", "session_id")
+
+
+def _event_ids(r: Raw) -> DataFrame:
+    return r.events().select("event_id", try_id("user_id").alias("user_id"))
+
+
+raw("v1_validate_events", _valid_events)
+raw("v1_rejected_events", lambda r: validate(
+    dds.typed_events(r.events()), "event")[1].select(
+    "event_id", "user_id", F.array_join("reasons", ", ").alias("reasons")))
+raw("v2_default_zero", lambda r: validate(
+    r.locations(), "user_location", keep=["user_location_id"])[0])
+raw("v3_dedup", _unique_events)
+raw("v4_not_null", lambda r: not_null(
+    r.events().select("event_id", "user_id", "session_id"), ["user_id", "session_id"]))
+raw("v5_batch_not_null", lambda r: dds.load_events(r.events())[0])
+raw("v5_batch_without_signup", _without_signup)
+raw("v6_allow_list", lambda r: allow(
+    r.events(), "event_type", schemas.ALLOWED_EVENT_TYPES).select("event_id", "event_type"))
+raw("v7_parse_timestamp", lambda r: _text_timestamps(r).select(
+    "event_id", try_ts("text").alias("parsed")))
+raw("v8_numeric_id", _event_ids)
+raw("v9_gender", lambda r: r.profiles().select(
+    "user_profile_id", normalize_gender("gender").alias("gender")))
+raw("v10_checks", lambda r: check(
+    r.items().select("raw_order_item_id", "quantity", "price_usd"), "order_items")[1]
+    .withColumn("failed_checks", F.array_join("failed_checks", ", ")))
+raw("v10_passed", lambda r: check(r.items(), "order_items")[0].select("raw_order_item_id", "quantity"))
+raw("v11_fk_ok", lambda r: fk_check(_event_ids(r), r.old_users(), "user_id", ["event_id"])[0])
+raw("v11_fk_orphans", lambda r: fk_check(_event_ids(r), r.old_users(), "user_id", ["event_id"])[1])
+raw("v13_nan_to_null", lambda r: r.given("events").select(
+    "event_id", nan_to_null(F.when(F.col("event_id") % 11 == 0, F.lit(float("nan")))
+                            .otherwise(F.col("value"))).alias("value")))
+raw("v14_integers", lambda r: _valid_events(r).select("event_id", "product_id", "quantity"))
+
+ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION}.items()})
