@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,12 +11,23 @@ from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import nan_to_null, normalize_gender, try_id, try_ts
-from basketflow.operators.keyed import dedup
+from basketflow.operators.enrich import (
+    convert_currency, convert_currency_as_of, geo_lookup, weather_lookup,
+)
+from basketflow.operators.keyed import append_ignore, dedup
 from basketflow.operators.validate import allow, check, fk_check, not_null, not_null_if, validate
-from basketflow.plans import dds, marts
-from checks.fixtures import AS_OF, Raw, Star
+from basketflow.plans import dashboards, dds, marts, publish
+from basketflow.session import scratch_dir
+from basketflow.sources import sinks
+from basketflow.streaming import ingest, router
+from checks.fixtures import AS_OF, Raw, Source, Star
 from checks.mart_oracles import MARTS
+from checks.message_oracles import MESSAGE_TABLES, ROUTING
+from checks.messages import messages
 from checks.prelude import with_tables
+from checks.publish_oracles import (
+    DASHBOARDS, ENRICH_TABLES, ENRICHED, MART_TABLES, PUBLISHED, QUALITY,
+)
 from checks.raw_oracles import DDS, RAW_TABLES, VALIDATION
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +181,180 @@ raw("v13_nan_to_null", lambda r: r.given("events").select(
 raw("v14_integers", lambda r: _valid_events(r).select("event_id", "product_id", "quantity"))
 
 ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION}.items()})
+
+
+# --- publishing ---------------------------------------------------------------
+for number, (mart, build) in enumerate(MART_BUILDERS.items(), start=1):
+    star(f"pub_m{number}_{mart}",
+         lambda s, mart=mart, build=build: publish.publish_clean(build(s), mart))
+
+
+def _mart(s: Source, name: str) -> DataFrame:
+    return MART_BUILDERS[name](s)
+
+
+def _odd_numbers(s: Source) -> DataFrame:
+    """Numbers beyond every limit, and some NaN."""
+    key = F.col("event_id")
+    return s.given("events").select(
+        "event_id",
+        F.when(key % 11 == 0, F.lit(float("nan"))).otherwise(F.col("value") * 100)
+        .alias("total_revenue"),
+        (F.col("value") - 10).alias("conversion_rate"),
+        (key - 500).cast("double").alias("roi"),
+        (F.col("user_id") - 50).alias("total_orders"))
+
+
+def _published_geo(s: Source) -> tuple[str, str]:
+    """Publish the geo mart into a scratch folder; returns the folder and the mart's name."""
+    base, mart = scratch_dir(s.spark, "marts"), "geo_analysis"
+    sinks.publish(publish.publish_clean(_mart(s, mart), mart), base, mart)
+    return base, mart
+
+
+def _read_back(s: Source) -> DataFrame:
+    base, mart = _published_geo(s)
+    return sinks.read_mart(s.spark, base, mart).select(*schemas.MART[mart].names)
+
+
+def _compacted(s: Source) -> DataFrame:
+    base, mart = _published_geo(s)
+    sinks.compact(s.spark, f"{base}/{mart}", sinks.mart_schema(mart), 2, schemas.MART_SORT[mart])
+    return sinks.read_mart(s.spark, base, mart).select(*schemas.MART[mart].names)
+
+
+def _months(s: Source) -> DataFrame:
+    base, mart = _published_geo(s)
+    year = sinks.months_between(sinks.read_mart(s.spark, base, mart), "event_date",
+                                date(2024, 1, 1), date(2024, 12, 31))
+    return year.groupBy(sinks.MONTH).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("total_orders").alias("total_orders"))
+
+
+def _replaced(s: Source) -> DataFrame:
+    days = _mart(s, "active_users_7d").select("event_date")
+    return sinks.replace_recent(days.withColumn("version", F.lit("old")),
+                                days.withColumn("version", F.lit("new")),
+                                "event_date", AS_OF.date(), days=10)
+
+
+star("q1_q5_clip_limits", lambda s: publish.clip_limits(publish.without_nan(_odd_numbers(s))))
+star("q6_dq_report", lambda s: publish.quality_report(_mart(s, "daily_business_summary")))
+star("s8_publish", _read_back)
+star("s9_replace_recent", _replaced)
+star("s10_compact", _compacted)
+star("s12_month_partitions", _months)
+
+# --- dashboards ---------------------------------------------------------------
+_LAST_DAY = AS_OF.date()
+star("b1_sales_by_category", lambda s: dashboards.sales_by_category(_mart(s, "category_performance")))
+star("b2_daily_revenue", lambda s: dashboards.daily_revenue(_mart(s, "daily_business_summary")))
+star("b3_active_users", lambda s: dashboards.active_users(_mart(s, "active_users_7d")))
+star("b4_devices", lambda s: dashboards.devices(_mart(s, "device_analysis")))
+star("b5_revenue_7_days", lambda s: dashboards.recent_revenue(
+    _mart(s, "daily_business_summary"), _LAST_DAY))
+star("b6_orders_7_days", lambda s: dashboards.recent_orders(
+    _mart(s, "daily_business_summary"), _LAST_DAY))
+star("b7_top_countries", lambda s: dashboards.top_countries(_mart(s, "geo_analysis"), _LAST_DAY, 3))
+star("b8_revenue_dynamics", lambda s: dashboards.revenue_dynamics(_mart(s, "daily_business_summary")))
+star("b9_revenue_by_period", lambda s: dashboards.revenue_by_period(
+    _mart(s, "daily_business_summary")))
+star("b9_top_product", lambda s: dashboards.most_profitable(
+    _mart(s, "product_performance"), ["product_id"]))
+star("b9_top_category", lambda s: dashboards.most_profitable(
+    _mart(s, "category_performance"), ["category_name"]))
+raw("b10_weather_influence", lambda r: dashboards.weather_influence(r.events()))
+star("b11_low_conversion", lambda s: dashboards.places_needing_attention(_mart(s, "geo_analysis"), 0.5))
+raw("b12_category_popularity", lambda r: dashboards.category_popularity(r.events()))
+
+
+# --- enrichment ---------------------------------------------------------------
+def _rates(s: Source) -> DataFrame:
+    rate = F.when(F.col("currency") == "EUR", F.lit("0.92").cast("decimal(18,6)")).otherwise(
+        (F.col("n") + 80).cast("decimal(18,6)"))
+    return s.given("region").agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.explode(F.array(F.lit("EUR"), F.lit("RUB"))).alias("currency")).select(
+        "currency", rate.alias("rate"))
+
+
+def _daily_rates(s: Source) -> DataFrame:
+    days = s.given("events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    eur = (F.lit(0.8) + (F.col("n") % 40).cast("double") / 100).cast("decimal(18,4)")
+    rub = F.when(F.dayofmonth("day") % 4 == 0, (F.col("n") % 30 + 80).cast("decimal(18,4)"))
+    pair = F.array(F.struct(F.lit("EUR").alias("currency"), eur.alias("rate")),
+                   F.struct(F.lit("RUB").alias("currency"), rub.alias("rate")))
+    return days.where(F.dayofmonth("day") % 2 == 0).select("day", F.inline(pair))
+
+
+def _places(s: Source) -> DataFrame:
+    key = F.col("n_nationkey")
+    places = s.given("nation").join(s.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return places.select(
+        F.when(key % 6 == 5, F.concat(F.lit("Sea of "), "n_name")).otherwise(F.col("n_name"))
+        .alias("city"), F.col("r_name").alias("country"),
+        (key.cast("double") * 7.01 - 84.77).alias("lat"),
+        (key.cast("double") * 53.17 % 360 - 180).alias("lon"))
+
+
+def _weather(s: Source) -> DataFrame:
+    zone = (F.col("event_id") % 5).cast("double")
+    return s.given("events").where(F.col("event_id") % 3 == 0).select(
+        (zone * 30 - 80).alias("lat"), (zone * 30 - 170).alias("lon"),
+        F.col("ts").alias("observed_at"), F.col("value").cast("decimal(18,2)").alias("temp"),
+        F.col("event_type").alias("weather"))
+
+
+_COSTS = ["event_id", "cost_eur", "cost_rub"]
+raw("e1_currency", lambda r: convert_currency(r.events(), _rates(r)).select(*_COSTS))
+raw("e1_currency_missing_rate", lambda r: convert_currency(
+    r.events(), _rates(r).where("currency = 'EUR'")).select(*_COSTS))
+raw("e1_currency_as_of", lambda r: convert_currency_as_of(
+    r.events(), _daily_rates(r), "timestamp").select(*_COSTS))
+raw("e2_geo", lambda r: geo_lookup(r.events(), _places(r), ["event_id"], cell=30).select(
+    "event_id", "city", "country"))
+raw("e3_weather", lambda r: weather_lookup(
+    r.events(), _weather(r), "timestamp", ["event_id"], cell=30).select(
+    "event_id", "weather_temp", "weather_desc"))
+
+
+# --- routing ------------------------------------------------------------------
+def routed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    """A query over all messages as parsed wide rows."""
+    QUERIES[name] = lambda spark, sf_dir: plain(build(
+        router.parse_messages(messages(spark, sf_dir))))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Run the ingest stream over all messages; returns the folder it wrote."""
+    base = scratch_dir(spark, "landed")
+    ingest.start_ingest(messages(spark, sf_dir, stream=True), f"{base}/raw",
+                        f"{base}/checkpoint").awaitTermination()
+    return f"{base}/raw"
+
+
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = ingest.read_raw(spark, _landed(spark, sf_dir), "events")
+    return plain(events.drop("event_id"))
+
+
+for table in schemas.RAW:
+    routed(f"t4_raw_{table}", lambda wide, table=table: router.table_of(wide, table))
+routed("t1_route_counts", router.route_counts)
+routed("t3_event_types", lambda wide: router.table_of(wide, "events").groupBy("event_type").agg(
+    F.count(F.lit(1)).alias("n_rows")))
+routed("t8_quarantine", lambda wide: router.table_of(wide, router.QUARANTINE).groupBy("reason").agg(
+    F.count(F.lit(1)).alias("n_rows")))
+QUERIES["t1_route_stream"] = lambda spark, sf_dir: router.route_counts(
+    ingest.read_landed(spark, _landed(spark, sf_dir)))
+QUERIES["t7_stream_events"] = _stream_events
+raw("t9_append_ignore", lambda r: append_ignore(
+    r.given("customer").where("c_custkey % 3 <> 0").select(
+        F.col("c_custkey").cast("string").alias("user_id")),
+    r.given("customer").select(F.col("c_custkey").cast("string").alias("user_id"), "c_custkey"),
+    ["user_id"], "c_custkey").select("user_id"))
+
+ORACLES.update({name: with_tables(sql, {**RAW_TABLES, **MART_TABLES})
+                for name, sql in {**PUBLISHED, **DASHBOARDS, **QUALITY}.items()})
+ORACLES.update({name: with_tables(sql, {**RAW_TABLES, **ENRICH_TABLES})
+                for name, sql in ENRICHED.items()})
+ORACLES.update({name: with_tables(sql, MESSAGE_TABLES) for name, sql in ROUTING.items()})
