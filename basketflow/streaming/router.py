@@ -77,7 +77,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     required one goes to the quarantine, with the reason and its text.
     """
     parsed = F.from_json("value", _TEXT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    read = messages.select("value", parsed.alias("m")).select("value", "m.*")
+    # inline keeps the parse in one place; a plain projection would be copied, parse and
+    # all, into every filter pushed below it.
+    read = messages.select("value", F.inline(F.array(parsed)))
     kind_of = F.coalesce("type", F.lit("event"))
     table = F.lit(EVENTS)
     for message_type, name in ROUTES.items():
