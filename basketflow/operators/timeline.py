@@ -20,13 +20,18 @@ def _with_hour(df: DataFrame, ts: str) -> DataFrame:
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
-                   values: Sequence[str]) -> DataFrame:
+                   values: Sequence[str], summed: DataFrame | None = None) -> DataFrame:
     """Replace each value by its sum over the key's rows up to and with this one,
-    in the order (ts, tie)."""
+    in the order (ts, tie).
+
+    ``summed`` names a frame that is cheaper to add up per hour than ``df``: it has at
+    least the same keys and hours and gives the same sums.
+    """
     keys = list(keys)
     rows = _with_hour(df, ts)
     before = Window.partitionBy(*keys).orderBy(_HOUR).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (rows.groupBy(*keys, _HOUR).agg(*[F.sum(v).alias(v) for v in values])
+    per_hour = rows if summed is None else _with_hour(summed, ts)
+    carried = (per_hour.groupBy(*keys, _HOUR).agg(*[F.sum(v).alias(v) for v in values])
                .select(*keys, _HOUR, *[
                    F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_carry_{v}")
                    for v in values]))
@@ -39,17 +44,19 @@ def running_totals(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
         for v in values])
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+def neighbours(df: DataFrame, keys: Sequence[str], ts: str,
+               times: DataFrame | None = None) -> DataFrame:
     """Add ``prev_ts`` and ``next_ts``, the key's times just before and after this row.
 
-    Times must be distinct within a key.
+    Times must be distinct within a key.  ``times`` names a cheaper frame with the same
+    keys and times, which may repeat there.
     """
     keys = list(keys)
     inside = Window.partitionBy(*keys, _HOUR).orderBy(ts)
     rows = _with_hour(df, ts).select(
         "*", F.lag(ts).over(inside).alias("_prev"), F.lead(ts).over(inside).alias("_next"))
     hours = Window.partitionBy(*keys).orderBy(_HOUR)
-    edges = (rows.groupBy(*keys, _HOUR)
+    edges = ((rows if times is None else _with_hour(times, ts)).groupBy(*keys, _HOUR)
              .agg(F.min(ts).alias("_first"), F.max(ts).alias("_final"))
              .select(*keys, _HOUR, F.lag("_final").over(hours).alias("_prev_hour"),
                      F.lead("_first").over(hours).alias("_next_hour")))
@@ -60,23 +67,30 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 
 def totals_in_span(probes: DataFrame, points: DataFrame, key: str, ts: str,
-                   probe_id: Sequence[str], span: Column, values: Sequence[str]) -> DataFrame:
+                   probe_id: Sequence[str], span: Column, values: Sequence[str],
+                   times: DataFrame | None = None) -> DataFrame:
     """For each probe the totals of the key's points with ``ts <= point ts <= ts + span``.
 
     ``points`` has (key, ts, *values); every probe is told apart by ``probe_id``, which
     includes key and ts.  No pair of probe and point is built: a probe is put into the
     stream of points twice, at its start and at its end, and reads the running total
     there.  Returns the probes with ``lo_<v>`` (total before the start) and ``hi_<v>``
-    (total up to the end).
+    (total up to the end).  ``times`` names a cheaper frame with the probes' keys and
+    times.
     """
     carried = [c for c in probes.columns if c not in probe_id]
     ends = F.inline(F.array(
         F.struct(F.col(ts).alias("_at"), F.lit(0).alias("_place")),
         F.struct((F.col(ts) + span).alias("_at"), F.lit(2).alias("_place"))))
-    stream = probes.select("*", ends).unionByName(
-        points.select(key, F.col(ts).alias("_at"), F.lit(1).alias("_place"), *values),
-        allowMissingColumns=True)
-    run = running_totals(stream, [key], "_at", "_place", values).where(F.col("_place") != 1)
+    placed = points.select(key, F.col(ts).alias("_at"), F.lit(1).alias("_place"), *values)
+
+    def stream(marks: DataFrame) -> DataFrame:
+        return marks.select("*", ends).unionByName(placed, allowMissingColumns=True)
+
+    run = running_totals(
+        stream(probes), [key], "_at", "_place", values,
+        summed=None if times is None else stream(times.select(key, ts)),
+    ).where(F.col("_place") != 1)
     picks = []
     for v in values:
         picks.append(F.max(F.when(F.col("_place") == 0, F.col(v))).alias(f"lo_{v}"))

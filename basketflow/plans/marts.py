@@ -257,14 +257,15 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
              .agg(F.count("order_id").alias("n"),
                   F.sum("total_usd").cast("decimal(38,2)").alias("amount")))
     span = F.expr(ATTRIBUTION)
-    placed = neighbours(touches.where("user_id IS NOT NULL AND generated_at IS NOT NULL"),
-                        ["campaign_id", "user_id"], "generated_at")
+    has_place = "user_id IS NOT NULL AND generated_at IS NOT NULL"
+    times = campaign_events.where(has_place)
+    placed = neighbours(touches.where(has_place), ["campaign_id", "user_id"], "generated_at", times)
     placed = placed.withColumns({
         "starts": F.col("prev_ts").isNull() | (F.col("generated_at") > F.col("prev_ts") + span),
         "ends": F.col("next_ts").isNull() | (F.col("next_ts") > F.col("generated_at") + span),
     }).drop("prev_ts", "next_ts")
     measured = totals_in_span(
-        placed, sales, "user_id", "generated_at", who_when, span, ["n", "amount"]
+        placed, sales, "user_id", "generated_at", who_when, span, ["n", "amount"], times
     ).unionByName(touches.where("user_id IS NULL OR generated_at IS NULL"),
                   allowMissingColumns=True)
     session_days = (sessions.where("start_ts IS NOT NULL AND user_id IS NOT NULL")
