@@ -23,7 +23,7 @@ DEFAULT_ACTION_COST = {"view": "0.10", "click": "0.30", "purchase": "1.00"}
 OTHER_ACTION_COST = "0.05"
 
 
-def _ids(df: DataFrame) -> DataFrame:
+def numeric_ids(df: DataFrame) -> DataFrame:
     """Distinct numeric user ids of a raw table."""
     return df.select(try_id("user_id").alias("user_id")).where("user_id IS NOT NULL").distinct()
 
@@ -38,7 +38,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 # --- users --------------------------------------------------------------------
 def active_event_users(events: DataFrame) -> DataFrame:
     """Users who did something other than opening a session, ending it or signing up."""
-    return _ids(events.where(~F.col("event_type").isin(schemas.LIFECYCLE_ONLY)))
+    return numeric_ids(events.where(~F.col("event_type").isin(schemas.LIFECYCLE_ONLY)))
 
 
 def build_users(profiles: DataFrame, events: DataFrame) -> DataFrame:
@@ -52,13 +52,13 @@ def build_users(profiles: DataFrame, events: DataFrame) -> DataFrame:
              .select("user_profile_id", "user_id", "name", "email", "birth_date", "gender",
                      F.lit(None).cast("string").alias("city"),
                      F.lit(None).cast("string").alias("country")))
-    bare = active_event_users(events).join(_ids(profiles), "user_id", "left_anti")
+    bare = active_event_users(events).join(numeric_ids(profiles), "user_id", "left_anti")
     return known.unionByName(bare, allowMissingColumns=True)
 
 
 def remove_unknown_users(users: DataFrame, profiles: DataFrame, events: DataFrame) -> DataFrame:
     """Drop users that have neither a profile nor an active event."""
-    keep = _ids(profiles).union(active_event_users(events))
+    keep = numeric_ids(profiles).union(active_event_users(events))
     return delete_orphans(users, keep, "user_id")
 
 
@@ -69,7 +69,7 @@ def upsert_users(users: DataFrame, built: DataFrame) -> DataFrame:
 
 def add_event_users(users: DataFrame, events: DataFrame) -> DataFrame:
     """Add a bare row for every user seen in any event."""
-    return add_missing_keys(users, _ids(events), "user_id")
+    return add_missing_keys(users, numeric_ids(events), "user_id")
 
 
 # --- events -------------------------------------------------------------------
@@ -135,9 +135,9 @@ def clean_items(raw_items: DataFrame) -> DataFrame:
         F.coalesce("quantity", F.lit(1)).alias("quantity"), "price_usd")
 
 
-def upsert_items(items: DataFrame, raw_items: DataFrame) -> DataFrame:
+def upsert_items(items: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Known (order, product) pairs keep their id and take the new quantity and price."""
-    return upsert_replace(items, clean_items(raw_items), ["order_id", "product_id"],
+    return upsert_replace(items, cleaned, ["order_id", "product_id"],
                           columns=["quantity", "price_usd"])
 
 
@@ -174,7 +174,7 @@ def load_locations(raw: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFra
     valid, rejected = validate(raw, "user_location", keep=["user_location_id"])
     unique = dedup(valid, ["user_id", "city", "country"], "user_location_id")
     return (unique.withColumnRenamed("user_location_id", "location_id"),
-            add_missing_keys(users, _ids(raw), "user_id"), rejected)
+            add_missing_keys(users, numeric_ids(raw), "user_id"), rejected)
 
 
 # --- sessions -----------------------------------------------------------------

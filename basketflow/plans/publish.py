@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.functions import clip, day, nan_to_null, whole_seconds
 from basketflow.sources import sinks
-from basketflow.sources.tables import has_data
 
 # Bounds of each clipped column: (lowest, highest).
 LIMITS: dict[str, tuple[float | None, float | None]] = {
@@ -124,12 +123,18 @@ def publish_clean(df: DataFrame, mart: str, observation: Observation | None = No
     return conform(df, mart)
 
 
-def load_mart(df: DataFrame, base: str, mart: str) -> bool:
-    """Publish a mart's query result; an empty one leaves the mart as it is.
+def load_mart(df: DataFrame, base: str, mart: str) -> dict[str, int]:
+    """Publish a mart's query result; returns the row count and the counts per rule.
 
-    A result that becomes empty only by cleaning does empty the mart.
+    An empty result leaves the mart as it is; one that becomes empty only by cleaning
+    does empty it.  The query runs once: its rows are counted while they are written,
+    and the new snapshot becomes current afterwards.
     """
-    if not has_data(df):
-        return False
-    sinks.publish(publish_clean(df, mart), base, mart)
-    return True
+    spark, seen = df.sparkSession, Observation(f"load {mart}")
+    path = sinks.publish(publish_clean(df, mart, seen), base, mart, commit=False)
+    counts = seen.get
+    if counts["rows"]:
+        sinks.commit_snapshot(spark, path)
+    else:
+        sinks.discard_snapshot(spark, path)
+    return counts

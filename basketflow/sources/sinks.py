@@ -51,15 +51,38 @@ def read_snapshot(spark: SparkSession, base: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
-def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write the next snapshot and return its path."""
+def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = (),
+                   commit: bool = True) -> str:
+    """Write the next snapshot and return its path.
+
+    With ``commit=False`` it only becomes current by ``commit_snapshot``.
+    """
     numbers = [n for n, _, _ in _snapshots(df.sparkSession, base)[1]]
     path = f"{base.rstrip('/')}/snapshot={max(numbers, default=0) + 1}"
-    writer = df.write.mode("error")
+    writer = df.write.mode("error").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", str(commit).lower())
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
 
+def _path(spark: SparkSession, path: str) -> tuple[object, object]:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def commit_snapshot(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, f"{path}/_SUCCESS")
+    fs.create(target).close()
+
+
+def discard_snapshot(spark: SparkSession, path: str) -> None:
+    """Delete a snapshot that was written but not committed."""
+    fs, marker = _path(spark, f"{path}/_SUCCESS")
+    if fs.exists(marker):
+        raise ValueError(f"{path} is committed")
+    fs.delete(marker.getParent(), True)
+
+
 def drop_old_snapshots(spark: SparkSession, base: str, keep: int = 2) -> int:
     """Delete all but the newest complete snapshots; returns how many went."""
     fs, found = _snapshots(spark, base)
@@ -116,10 +139,10 @@ def read_mart(spark: SparkSession, base: str, mart: str) -> DataFrame:
     return read_snapshot(spark, f"{base}/{mart}", mart_schema(mart))
 
 
-def publish(df: DataFrame, base: str, mart: str) -> str:
+def publish(df: DataFrame, base: str, mart: str, commit: bool = True) -> str:
     """Replace a mart by ``df``, partitioned by month and sorted; returns the path."""
     laid_out, parts = _mart_layout(df, mart)
-    return write_snapshot(laid_out, f"{base}/{mart}", parts)
+    return write_snapshot(laid_out, f"{base}/{mart}", parts, commit)
 
 
 def replace_recent(existing: DataFrame, new: DataFrame, date_col: str, as_of: date,

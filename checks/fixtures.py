@@ -24,9 +24,13 @@ def _pick(index: Column, *names: str | None) -> Column:
 class Source:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its files are listed and its schema read once."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def event_users(self) -> Column:
         """How many user ids the events use (ids run from 0)."""

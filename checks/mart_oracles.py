@@ -275,7 +275,8 @@ SELECT device_type, os, browser, count(*) AS total_users,
        CAST(coalesce(sum(n_sessions), 0) AS BIGINT) AS total_sessions,
        CAST(coalesce(sum(n_orders), 0) AS BIGINT) AS total_orders,
        CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total_revenue, event_date
-FROM devices JOIN users USING (user_id)
+FROM (SELECT DISTINCT user_id, device_type, os, browser FROM devices)
+JOIN users USING (user_id)
 LEFT JOIN visits USING (user_id) LEFT JOIN bought USING (user_id)
 GROUP BY ALL
 """

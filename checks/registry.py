@@ -90,7 +90,8 @@ raw("d4_orders_latest_status", lambda r: dds.orders_with_status(r.orders(), r.st
 raw("d5_orders_cleanup", lambda r: dds.remove_unknown_orders(r.old_orders(), r.orders()))
 raw("d6_upsert_orders", lambda r: dds.upsert_orders(
     r.old_orders(), dds.clean_orders(r.orders(), r.statuses())))
-raw("d7_upsert_items", lambda r: dds.upsert_items(r.old_items(), r.items()))
+raw("d7_upsert_items", lambda r: dds.upsert_items(
+    r.old_items(), dds.clean_items(r.items())))
 raw("d8_devices", lambda r: dds.load_devices(r.devices())[0])
 raw("d9_locations", lambda r: dds.load_locations(r.locations(), r.old_users())[0])
 raw("d9_location_users", lambda r: dds.load_locations(r.locations(), r.old_users())[1])
