@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.functions import clip, day, nan_to_null, whole_seconds
 from basketflow.sources import sinks
+from basketflow.sources.tables import has_data
 
 # Bounds of each clipped column: (lowest, highest).
 LIMITS: dict[str, tuple[float | None, float | None]] = {
@@ -111,7 +112,11 @@ def conform(df: DataFrame, mart: str) -> DataFrame:
 
 
 def publish_clean(df: DataFrame, mart: str, observation: Observation | None = None) -> DataFrame:
-    """All cleaning steps in order; ``observation`` receives the counts per rule."""
+    """All cleaning steps in order.
+
+    ``observation`` receives the counts per rule while the result is written, for the
+    log: a task that runs again counts again.  ``quality_report`` is exact.
+    """
     df = without_nan(df.withColumnsRenamed(RENAMED.get(mart, {})))
     if mart not in DISTINCT_BY_GRAIN:
         df = df.dropDuplicates()
@@ -123,18 +128,19 @@ def publish_clean(df: DataFrame, mart: str, observation: Observation | None = No
     return conform(df, mart)
 
 
-def load_mart(df: DataFrame, base: str, mart: str) -> dict[str, int]:
-    """Publish a mart's query result; returns the row count and the counts per rule.
+def load_mart(df: DataFrame, base: str, mart: str,
+              observation: Observation | None = None) -> int | None:
+    """Publish a mart's query result; returns its rows, None if the mart was left as it is.
 
-    An empty result leaves the mart as it is; one that becomes empty only by cleaning
-    does empty it.  The query runs once: its rows are counted while they are written,
-    and the new snapshot becomes current afterwards.
+    That is the case for an empty result; one that becomes empty only by cleaning does
+    empty the mart.  The new snapshot becomes current after its rows have been counted,
+    which reads file footers only.
     """
-    spark, seen = df.sparkSession, Observation(f"load {mart}")
-    path = sinks.publish(publish_clean(df, mart, seen), base, mart, commit=False)
-    counts = seen.get
-    if counts["rows"]:
-        sinks.commit_snapshot(spark, path)
-    else:
+    spark = df.sparkSession
+    path = sinks.publish(publish_clean(df, mart, observation), base, mart, commit=False)
+    n_rows = spark.read.schema(sinks.mart_schema(mart)).parquet(path).count()
+    if n_rows == 0 and not has_data(df):
         sinks.discard_snapshot(spark, path)
-    return counts
+        return None
+    sinks.commit_snapshot(spark, path)
+    return n_rows
