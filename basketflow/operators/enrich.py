@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketflow.functions import day
 from basketflow.operators.skew import HOT_ROWS, split_join
 
-# Words that mark a place name as water; tested as they stand, case counts.
+# Words that mark a place name as water (case counts), target currencies.
 WATER_WORDS = ["Ocean", "Sea", "Gulf", "Bay"]
 CURRENCIES = ["EUR", "RUB"]
 EARTH_RADIUS_KM = 6371.0

@@ -18,7 +18,7 @@ from basketflow.operators.keyed import (
 from basketflow.operators.skew import HOT_ROWS, split_join
 from basketflow.operators.validate import allow, not_null, not_null_if, validate
 
-# Cost of a campaign event that came without one, by action.
+# The cost of a campaign event that came without one, by action.
 DEFAULT_ACTION_COST = {"view": "0.10", "click": "0.30", "purchase": "1.00"}
 OTHER_ACTION_COST = "0.05"
 
@@ -36,14 +36,19 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 # --- users --------------------------------------------------------------------
-def active_event_users(events: DataFrame) -> DataFrame:
-    """Users who did something other than opening a session, ending it or signing up."""
-    return numeric_ids(events.where(~F.col("event_type").isin(schemas.LIFECYCLE_ONLY)))
+def event_users(events: DataFrame) -> DataFrame:
+    """The numeric user ids of the raw events; ``active`` marks the users who did something
+    other than opening a session, ending it or signing up."""
+    acts = F.coalesce(~F.col("event_type").isin(schemas.LIFECYCLE_ONLY), F.lit(False))
+    return (events.select(try_id("user_id").alias("user_id"), acts.alias("acts"))
+            .where("user_id IS NOT NULL").groupBy("user_id").agg(F.bool_or("acts").alias("active")))
 
 
-def build_users(profiles: DataFrame, events: DataFrame) -> DataFrame:
+def build_users(profiles: DataFrame, seen: DataFrame) -> DataFrame:
     """Profile rows with a numeric id, and a bare row per active user without a profile.
 
+    ``seen`` is the result of ``event_users``.
+
     ``user_profile_id`` orders the rows of one user; it is NULL in the bare rows.
     """
     known = (profiles.withColumns({"user_id": try_id("user_id"),
@@ -52,13 +57,14 @@ def build_users(profiles: DataFrame, events: DataFrame) -> DataFrame:
              .select("user_profile_id", "user_id", "name", "email", "birth_date", "gender",
                      F.lit(None).cast("string").alias("city"),
                      F.lit(None).cast("string").alias("country")))
-    bare = active_event_users(events).join(numeric_ids(profiles), "user_id", "left_anti")
+    bare = seen.where("active").select("user_id").join(
+        numeric_ids(profiles), "user_id", "left_anti")
     return known.unionByName(bare, allowMissingColumns=True)
 
 
-def remove_unknown_users(users: DataFrame, profiles: DataFrame, events: DataFrame) -> DataFrame:
+def remove_unknown_users(users: DataFrame, profiles: DataFrame, seen: DataFrame) -> DataFrame:
     """Drop users that have neither a profile nor an active event."""
-    keep = numeric_ids(profiles).union(active_event_users(events))
+    keep = numeric_ids(profiles).union(seen.where("active").select("user_id"))
     return delete_orphans(users, keep, "user_id")
 
 
@@ -67,9 +73,9 @@ def upsert_users(users: DataFrame, built: DataFrame) -> DataFrame:
     return upsert_coalesce(users, built, "user_id", order)
 
 
-def add_event_users(users: DataFrame, events: DataFrame) -> DataFrame:
+def add_event_users(users: DataFrame, seen: DataFrame) -> DataFrame:
     """Add a bare row for every user seen in any event."""
-    return add_missing_keys(users, numeric_ids(events), "user_id")
+    return add_missing_keys(users, seen, "user_id")
 
 
 # --- events -------------------------------------------------------------------
@@ -99,12 +105,14 @@ def latest_status(statuses: DataFrame) -> DataFrame:
                      "event_id").select("order_id", "status")
 
 
-def orders_with_status(orders: DataFrame, statuses: DataFrame) -> DataFrame:
+def orders_with_status(orders: DataFrame, statuses: DataFrame,
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct raw orders with their latest status, 'pending' where none came."""
-    distinct = (orders.where("order_id IS NOT NULL")
-                .select("order_id", "user_id", "order_ts", "total_usd").distinct())
-    return distinct.join(latest_status(statuses), "order_id", "left").withColumn(
-        "status", F.coalesce("status", F.lit("pending")))
+    columns = ["user_id", "order_ts", "total_usd"]
+    known = orders.where("order_id IS NOT NULL")
+    joined = split_join(known.select("order_id", *columns).distinct(), latest_status(statuses),
+                        "order_id", "left", columns, hot_rows, counted=known)
+    return joined.withColumn("status", F.coalesce("status", F.lit("pending")))
 
 
 def remove_unknown_orders(orders: DataFrame, raw_orders: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from basketflow.functions import day, flag, micros_between, round_to_int, safe_r
 from basketflow.operators.skew import HOT_ROWS, split_join
 from basketflow.operators.timeline import neighbours, totals_in_span
 
+# The attribution span, the largest line value that counts as revenue.
 ATTRIBUTION = "interval 14 days"
 LINE_VALUE_LIMIT = 10000
 
@@ -42,12 +43,25 @@ def _successful_orders(orders: DataFrame) -> DataFrame:
     return orders.where("status = 'success'")
 
 
-def daily_business_summary(sessions: DataFrame, orders: DataFrame) -> DataFrame:
+def session_days(sessions: DataFrame) -> DataFrame:
+    """Sessions per user and day of their start, the grain five marts build on.
+
+    A run of several marts writes this once and passes it to each of them.
+    """
+    return (sessions.groupBy("user_id", day("start_ts").alias("event_date"))
+            .agg(F.count("session_id").alias("n_sessions")))
+
+
+def daily_business_summary(sessions: DataFrame, orders: DataFrame,
+                           user_days: DataFrame | None = None) -> DataFrame:
     """M1, per day of sessions (days with orders only do not appear)."""
-    by_day = (sessions.groupBy(day("start_ts").alias("event_date"))
-              .agg(F.count("session_id").alias("total_sessions")))
+    if user_days is None:
+        by_day = (sessions.groupBy(day("start_ts").alias("event_date"))
+                  .agg(F.count("session_id").alias("total_sessions")))
+    else:
+        by_day = user_days.groupBy("event_date").agg(F.sum("n_sessions").alias("total_sessions"))
     won = F.expr("status = 'success'")
-    user_days = orders.groupBy("user_id", day("order_ts").alias("order_day")).agg(
+    order_user_days = orders.groupBy("user_id", day("order_ts").alias("order_day")).agg(
         F.count("order_id").alias("n_orders"),
         F.count(F.when(won, F.col("order_id"))).alias("n_won"),
         F.sum(F.when(won, F.col("total_usd")).otherwise(0)).alias("revenue"),
@@ -55,7 +69,7 @@ def daily_business_summary(sessions: DataFrame, orders: DataFrame) -> DataFrame:
     first_won = F.min(F.when(F.col("any_won"), F.col("order_day"))).over(
         Window.partitionBy("user_id"))
     order_days = (
-        user_days.withColumn("first_won", first_won).groupBy("order_day").agg(
+        order_user_days.withColumn("first_won", first_won).groupBy("order_day").agg(
             F.sum("revenue").alias("revenue"),
             F.sum("n_orders").alias("n_orders"),
             F.count("user_id").alias("n_users"),
@@ -77,8 +91,11 @@ def daily_business_summary(sessions: DataFrame, orders: DataFrame) -> DataFrame:
         .orderBy("event_date"))
 
 
-def _order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines of successful orders, one row per (order, product)."""
+def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of successful orders, one row per (order, product).
+
+    A run of several marts writes this once and passes it to each of them.
+    """
     value = F.col("price_usd") * F.col("quantity")
     lines = items.groupBy("order_id", "product_id").agg(
         F.sum("quantity").alias("quantity"),
@@ -92,12 +109,13 @@ def _order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame,
-                        categories: DataFrame) -> DataFrame:
+                        categories: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """M2, per product and day; products without a category are left out.
 
     The names are joined after the aggregation, on rows already at product-day grain.
     """
-    per_user = _order_lines(items, orders).groupBy("product_id", "event_date", "user_id").agg(
+    lines = order_lines(items, orders) if lines is None else lines
+    per_user = lines.groupBy("product_id", "event_date", "user_id").agg(
         F.sum("quantity").alias("quantity"), F.sum("value").alias("value"),
         F.sum("price_sum").alias("price_sum"), F.sum("price_count").alias("price_count"),
         F.count("order_id").alias("n_orders"))
@@ -114,12 +132,15 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
 
 
 def category_performance(items: DataFrame, orders: DataFrame, products: DataFrame,
-                         categories: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+                         categories: DataFrame, lines: DataFrame | None = None,
+                         hot_rows: int = HOT_ROWS) -> DataFrame:
     """M3, per category and day; lines worth more than the limit add no revenue."""
     names = products.join(categories, "category_id", "left").select("product_id", "category_name")
-    lines = split_join(_order_lines(items, orders), names, "product_id", "left",
-                       spread_by=["order_id"], hot_rows=hot_rows, counted=items)
-    per_order = lines.groupBy("category_name", "event_date", "user_id", "order_id").agg(
+    counted = items if lines is None else lines
+    lines = order_lines(items, orders) if lines is None else lines
+    named = split_join(lines, names, "product_id", "left", spread_by=["order_id"],
+                       hot_rows=hot_rows, counted=counted)
+    per_order = named.groupBy("category_name", "event_date", "user_id", "order_id").agg(
         F.sum("quantity").alias("quantity"), F.sum("counted_value").alias("value"))
     per_user = per_order.groupBy("category_name", "event_date", "user_id").agg(
         F.sum("quantity").alias("quantity"), F.sum("value").alias("value"),
@@ -177,20 +198,20 @@ def user_engagement(users: DataFrame, sessions: DataFrame, events: DataFrame, or
             day("last_start").alias("last_session_date"),
             _zero("n_orders").alias("total_orders"),
             (_zero("spent") * times_rows.cast(wide)).cast("double").alias("total_revenue"),
-            F.timestamp_diff("DAY", F.col("last_start"), F.lit(as_of).cast("timestamp_ntz"))
+            F.timestamp_diff("DAY", F.col("last_start"), F.lit(as_of.isoformat()).cast("timestamp_ntz"))
             .alias("days_since_last_activity")))
 
 
-def active_users_7d(sessions: DataFrame) -> DataFrame:
+def active_users_7d(sessions: DataFrame, user_days: DataFrame | None = None) -> DataFrame:
     """M5, per day: active, returning, new, and users not seen in the six days before.
 
     A user's first day also counts as not seen before.
     """
-    user_days = (sessions.select(day("start_ts").alias("event_date"), "user_id")
-                 .where("event_date IS NOT NULL AND user_id IS NOT NULL").distinct())
+    seen = session_days(sessions) if user_days is None else user_days
+    seen = seen.where("event_date IS NOT NULL AND user_id IS NOT NULL").select("event_date", "user_id")
     before = F.lag("event_date").over(Window.partitionBy("user_id").orderBy("event_date"))
     return (
-        user_days.withColumn("before", before).groupBy("event_date").agg(
+        seen.withColumn("before", before).groupBy("event_date").agg(
             F.count(F.lit(1)).alias("active_users_count"),
             F.count("before").alias("returning_users"),
             F.count_if(F.col("before").isNull()).alias("new_users"),
@@ -240,6 +261,7 @@ def session_analytics(sessions: DataFrame, events: DataFrame, devices: DataFrame
 
 def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessions: DataFrame,
                          orders: DataFrame, fanout_safe: bool = False,
+                         user_days: DataFrame | None = None,
                          hot_rows: int = HOT_ROWS) -> DataFrame:
     """M7, per campaign: same-day sessions and orders within 14 days of a touch.
 
@@ -268,12 +290,12 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
         placed, sales, "user_id", "generated_at", who_when, span, ["n", "amount"], times
     ).unionByName(touches.where("user_id IS NULL OR generated_at IS NULL"),
                   allowMissingColumns=True)
-    session_days = (sessions.where("start_ts IS NOT NULL AND user_id IS NOT NULL")
-                    .groupBy("user_id", day("start_ts").alias("touch_day"))
-                    .agg(F.count("session_id").alias("n_sessions")))
+    visits = session_days(sessions) if user_days is None else user_days
+    visits = (visits.where("event_date IS NOT NULL AND user_id IS NOT NULL")
+              .withColumnRenamed("event_date", "touch_day"))
     touch_day = day("generated_at").alias("touch_day")
     measured = split_join(
-        measured.withColumn("touch_day", touch_day), session_days, ["user_id", "touch_day"], "left",
+        measured.withColumn("touch_day", touch_day), visits, ["user_id", "touch_day"], "left",
         ["campaign_id", "generated_at"], hot_rows, counted=campaign_events.select("user_id", touch_day))
 
     def per_chain(v: str) -> Column:
@@ -290,12 +312,12 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
                    * (F.col("n_touches") * _one("n_sessions")).cast("decimal(18,0)"))
         cost = (F.col("cost") * repeated
                 * F.greatest(F.coalesce(in_span, F.lit(0)), F.lit(1)).cast("decimal(18,0)"))
-    user_days = measured.groupBy("campaign_id", "user_id", "touch_day").agg(
+    per_day = measured.groupBy("campaign_id", "user_id", "touch_day").agg(
         F.max(_zero("n_sessions")).alias("n_sessions"),
         F.sum(per_chain("n")).alias("n_orders"),
         F.sum(revenue).alias("revenue"),
         F.sum(cost).alias("cost"))
-    per_user = user_days.groupBy("campaign_id", "user_id").agg(
+    per_user = per_day.groupBy("campaign_id", "user_id").agg(
         F.min("touch_day").alias("start_date"), F.max("touch_day").alias("end_date"),
         F.sum("n_sessions").alias("n_sessions"), F.sum("n_orders").alias("n_orders"),
         F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
@@ -315,11 +337,10 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
         safe_ratio(profit, F.col("cost")).alias("roi"))
 
 
-def geo_analysis(sessions: DataFrame, locations: DataFrame, orders: DataFrame) -> DataFrame:
+def geo_analysis(sessions: DataFrame, locations: DataFrame, orders: DataFrame,
+                 user_days: DataFrame | None = None) -> DataFrame:
     """M8, per city, country and day; revenue repeats per session and place of the user."""
-    session_days = (sessions.where(F.col("start_ts").isNotNull())
-                    .groupBy("user_id", day("start_ts").alias("event_date"))
-                    .agg(F.count("session_id").alias("n_sessions")))
+    visits = session_days(sessions) if user_days is None else user_days
     sales = (_successful_orders(orders)
              .groupBy("user_id", day("order_ts").alias("event_date"))
              .agg(F.count("order_id").alias("n_orders"), F.sum("total_usd").alias("amount")))
@@ -329,7 +350,8 @@ def geo_analysis(sessions: DataFrame, locations: DataFrame, orders: DataFrame) -
         F.coalesce("country", unknown).alias("country")).agg(F.count(F.lit(1)).alias("n_places"))
     repeats = (F.col("n_sessions") * _one("n_places")).cast("decimal(18,0)")
     facts = (
-        session_days.join(sales, ["user_id", "event_date"], "left")
+        visits.where(F.col("event_date").isNotNull())
+        .join(sales, ["user_id", "event_date"], "left")
         .join(places, "user_id", "left")
         .groupBy(F.coalesce("city", unknown).alias("city"),
                  F.coalesce("country", unknown).alias("country"), "event_date")
@@ -346,7 +368,8 @@ def geo_analysis(sessions: DataFrame, locations: DataFrame, orders: DataFrame) -
 
 
 def device_analysis(devices: DataFrame, users: DataFrame, sessions: DataFrame, orders: DataFrame,
-                    items: DataFrame, fanout_safe: bool = False) -> DataFrame:
+                    items: DataFrame, fanout_safe: bool = False,
+                    user_days: DataFrame | None = None) -> DataFrame:
     """M9, per device, os, browser and day of sessions; orders are not tied to the day.
 
     As defined, a user's revenue repeats for each session of the day and device row.
@@ -356,12 +379,11 @@ def device_analysis(devices: DataFrame, users: DataFrame, sessions: DataFrame, o
     bought = (orders.select("order_id", "user_id").join(order_value, "order_id", "left")
               .groupBy("user_id").agg(F.count("order_id").alias("n_orders"),
                                       F.sum("value").alias("value")))
-    session_days = (sessions.groupBy("user_id", day("start_ts").alias("event_date"))
-                    .agg(F.count("session_id").alias("n_sessions")))
+    visits = session_days(sessions) if user_days is None else user_days
     repeats = F.lit(1) if fanout_safe else F.col("n_devices") * _one("n_sessions")
     return (
         _device_groups(devices).join(users.select("user_id"), "user_id", "left_semi")
-        .join(bought, "user_id", "left").join(session_days, "user_id", "left")
+        .join(bought, "user_id", "left").join(visits, "user_id", "left")
         .groupBy("device_type", "os", "browser", "event_date").agg(
             F.count("user_id").alias("total_users"),
             F.sum(_zero("n_sessions")).alias("total_sessions"),

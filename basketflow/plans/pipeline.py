@@ -30,6 +30,18 @@ class Star:
         path = sinks.write_snapshot(dds.conform(df, table), f"{self.base}/{table}")
         self.counts[table] = self.spark.read.schema(schemas.DDS[table]).parquet(path).count()
 
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate table and read it back; earlier runs' copies go."""
+        path = sinks.write_snapshot(df, f"{self.base}/{name}")
+        sinks.drop_old_snapshots(self.spark, f"{self.base}/{name}", keep=1)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def tidy(self, keep: int) -> None:
+        """Delete old snapshots of all tables."""
+        for table in schemas.DDS:
+            sinks.drop_old_snapshots(self.spark, f"{self.base}/{table}", keep)
+            sinks.drop_old_snapshots(self.spark, f"{self.base}/_rejected/{table}", keep)
+
     def write_rejects(self, table: str, *frames: DataFrame) -> None:
         """Keep refused rows as JSON next to the tables, with the reasons they carry."""
         as_json = [f.select(F.to_json(F.struct("*")).alias("row")) for f in frames]
@@ -40,7 +52,8 @@ class Star:
         self.counts[f"{table} rejected"] = self.spark.read.schema(out.schema).parquet(path).count()
 
 
-def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base: str) -> dict[str, int]:
+def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base: str,
+                keep_snapshots: int = 2) -> dict[str, int]:
     """Run all raw-to-star jobs in dependency order; returns rows per table.
 
     A table is written before the jobs that look things up in it, so each job reads
@@ -49,10 +62,12 @@ def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base:
     star = Star(spark, base)
     events, profiles = read_raw("events"), read_raw("user_profiles")
 
-    # Users first: everything else refers to them.
-    users = dds.remove_unknown_users(star.read("users"), profiles, events)
-    users = dds.upsert_users(users, dds.build_users(profiles, events))
-    users = dds.add_event_users(users, events)
+    # Users first: everything else refers to them.  The users of the events are needed
+    # three times and are found in one pass.
+    seen = star.keep("_event_users", dds.event_users(events))
+    users = dds.remove_unknown_users(star.read("users"), profiles, seen)
+    users = dds.upsert_users(users, dds.build_users(profiles, seen))
+    users = dds.add_event_users(users, seen)
     users = add_missing_keys(users, dds.numeric_ids(read_raw("user_locations")), "user_id")
     star.write("users", users)
     users = star.read("users")
@@ -96,6 +111,7 @@ def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base:
                                 users, "user_id", ["campaign_event_id"])
     star.write("campaign_events", touches)
     star.write_rejects("campaign_events", orphans)
+    star.tidy(keep_snapshots)
     return star.counts
 
 
@@ -106,16 +122,23 @@ def star_to_marts(spark: SparkSession, star_base: str, mart_base: str,
     sessions, orders, events = read("sessions"), read("orders"), read("events")
     items, products, categories = read("order_items"), read("products"), read("categories")
     devices, locations, users = read("user_devices"), read("user_locations"), read("users")
+
+    # What several marts aggregate first is written once.
+    shared = Star(spark, f"{mart_base}/_shared")
+    days = shared.keep("session_days", marts.session_days(sessions))
+    lines = shared.keep("order_lines", marts.order_lines(items, orders))
     results = {
-        "daily_business_summary": marts.daily_business_summary(sessions, orders),
-        "product_performance": marts.product_performance(items, orders, products, categories),
-        "category_performance": marts.category_performance(items, orders, products, categories),
+        "daily_business_summary": marts.daily_business_summary(sessions, orders, days),
+        "product_performance": marts.product_performance(items, orders, products, categories, lines),
+        "category_performance": marts.category_performance(
+            items, orders, products, categories, lines),
         "user_engagement": marts.user_engagement(users, sessions, events, orders, as_of),
-        "active_users_7d": marts.active_users_7d(sessions),
+        "active_users_7d": marts.active_users_7d(sessions, days),
         "session_analytics": marts.session_analytics(sessions, events, devices, locations),
         "campaign_performance": marts.campaign_performance(
-            read("campaigns"), read("campaign_events"), sessions, orders),
-        "geo_analysis": marts.geo_analysis(sessions, locations, orders),
-        "device_analysis": marts.device_analysis(devices, users, sessions, orders, items),
+            read("campaigns"), read("campaign_events"), sessions, orders, user_days=days),
+        "geo_analysis": marts.geo_analysis(sessions, locations, orders, days),
+        "device_analysis": marts.device_analysis(
+            devices, users, sessions, orders, items, user_days=days),
     }
     return {mart: publish.load_mart(df, mart_base, mart) for mart, df in results.items()}

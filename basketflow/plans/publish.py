@@ -10,7 +10,7 @@ from basketflow.functions import clip, day, nan_to_null, whole_seconds
 from basketflow.sources import sinks
 from basketflow.sources.tables import has_data
 
-# Bounds of each clipped column: (lowest, highest).
+# Bounds of each clipped column (lowest, highest), unwanted place names.
 LIMITS: dict[str, tuple[float | None, float | None]] = {
     "total_revenue": (None, 10000),
     "conversion_rate": (0, 1),

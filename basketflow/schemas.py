@@ -1,7 +1,7 @@
 """Table schemas, keys and checks of the three layers (raw, star, marts).
 
-The lists state facts of the data model: column names, types, keys, checks,
-sort orders.  Ids that a database would number itself are BIGINT here.
+All lists here are fixed values, facts of the data model: column names, types, keys,
+checks, sort orders, event types.  Ids that a database would number itself are BIGINT.
 """
 
 from __future__ import annotations

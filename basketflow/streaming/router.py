@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from basketflow import schemas
 from basketflow.functions import try_date, try_ts
 
-# message type -> raw table; any other type, none at all and null are events.
+# Message type -> raw table; any other type, none at all and null are events.
 ROUTES = {
     "user_profile": "user_profiles", "user_device": "user_devices",
     "user_location": "user_locations", "order": "orders", "order_item": "order_items",
@@ -22,7 +22,7 @@ ROUTES = {
 }
 EVENTS = "events"
 QUARANTINE = "quarantine"
-# Types that are themselves the event type.
+# Types that are themselves the event type.
 LIFECYCLE = ["session_start", "session_end", "signup", "churn"]
 SERIAL = {
     "events": "event_id", "user_profiles": "user_profile_id", "user_devices": "user_device_id",

@@ -71,7 +71,7 @@ class Star(Source):
         return self.given("orders").select(
             key.alias("order_id"),
             (F.col("o_custkey") % self.event_users()).alias("user_id"),
-            (F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz") + shift).alias("order_ts"),
+            (F.lit("2024-01-01").cast("timestamp_ntz") + shift).alias("order_ts"),
             F.col("o_totalprice").cast(MONEY).alias("total_usd"),
             F.when(status == "F", "success").when(status == "O", "pending")
             .when(key % 10 == 0, "cancelled").otherwise("failed").alias("status"))
@@ -245,7 +245,7 @@ class Raw(Source):
             F.when(key % 103 != 0, _uuid(F.concat(F.lit("o"), key.cast("string")))).alias("order_id"),
             _dirty_id(key, F.col("o_custkey") % self.event_users()).alias("user_id"),
             F.when(key % 107 != 0,
-                   F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz") + shift).alias("order_ts"),
+                   F.lit("2024-01-01").cast("timestamp_ntz") + shift).alias("order_ts"),
             F.when(key % 21 != 0, F.col("o_totalprice").cast(MONEY)).alias("total_usd"))
         return self._twice(rows, "raw_order_id", 8,
                            total_usd=(F.col("total_usd") + 1).cast(MONEY))

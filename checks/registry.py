@@ -82,10 +82,11 @@ def raw(name: str, build: Callable[[Raw], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: plain(build(Raw(spark, sf_dir)))
 
 
-raw("d1_users", lambda r: dds.build_users(r.profiles(), r.events()))
-raw("d2_delete_orphans", lambda r: dds.remove_unknown_users(r.old_users(), r.profiles(), r.events()))
+raw("d1_users", lambda r: dds.build_users(r.profiles(), dds.event_users(r.events())))
+raw("d2_delete_orphans", lambda r: dds.remove_unknown_users(
+    r.old_users(), r.profiles(), dds.event_users(r.events())))
 raw("d3_upsert_users", lambda r: dds.upsert_users(
-    r.old_users(), dds.build_users(r.profiles(), r.events())))
+    r.old_users(), dds.build_users(r.profiles(), dds.event_users(r.events()))))
 raw("d4_orders_latest_status", lambda r: dds.orders_with_status(r.orders(), r.statuses()))
 raw("d5_orders_cleanup", lambda r: dds.remove_unknown_orders(r.old_orders(), r.orders()))
 raw("d6_upsert_orders", lambda r: dds.upsert_orders(
@@ -95,7 +96,8 @@ raw("d7_upsert_items", lambda r: dds.upsert_items(
 raw("d8_devices", lambda r: dds.load_devices(r.devices())[0])
 raw("d9_locations", lambda r: dds.load_locations(r.locations(), r.old_users())[0])
 raw("d9_location_users", lambda r: dds.load_locations(r.locations(), r.old_users())[1])
-raw("d10_missing_users", lambda r: dds.add_event_users(r.old_users(), r.events()))
+raw("d10_missing_users", lambda r: dds.add_event_users(
+    r.old_users(), dds.event_users(r.events())))
 raw("d11_sessions", lambda r: dds.build_sessions(r.events(), r.old_users())[0])
 raw("d11_session_conflicts", lambda r: dds.build_sessions(r.events(), r.old_users())[1])
 raw("d12_categories", lambda r: dds.build_categories(r.events(), r.old_categories()))
