@@ -13,6 +13,7 @@ a session belong to one user.
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -277,7 +278,7 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
     sales = (_successful_orders(orders).where("order_ts IS NOT NULL AND user_id IS NOT NULL")
              .groupBy("user_id", F.col("order_ts").alias("generated_at"))
              .agg(F.count("order_id").alias("n"),
-                  F.sum("total_usd").cast("decimal(38,2)").alias("amount")))
+                  (F.sum("total_usd") * 100).cast("bigint").alias("amount")))   # cents
     span = F.expr(ATTRIBUTION)
     has_place = "user_id IS NOT NULL AND generated_at IS NOT NULL"
     times = campaign_events.where(has_place)
@@ -306,16 +307,16 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
     in_span = F.col("hi_n") - F.col("lo_n")
     repeated = _one("n_sessions").cast("decimal(18,0)")
     if fanout_safe:
-        revenue, cost = per_chain("amount"), F.col("cost")
+        cents, cost = per_chain("amount").cast("decimal(20,0)"), F.col("cost")
     else:
-        revenue = ((F.col("hi_amount") - F.col("lo_amount"))
-                   * (F.col("n_touches") * _one("n_sessions")).cast("decimal(18,0)"))
+        cents = ((F.col("hi_amount") - F.col("lo_amount")).cast("decimal(20,0)")
+                 * (F.col("n_touches") * _one("n_sessions")).cast("decimal(18,0)"))
         cost = (F.col("cost") * repeated
                 * F.greatest(F.coalesce(in_span, F.lit(0)), F.lit(1)).cast("decimal(18,0)"))
     per_day = measured.groupBy("campaign_id", "user_id", "touch_day").agg(
         F.max(_zero("n_sessions")).alias("n_sessions"),
         F.sum(per_chain("n")).alias("n_orders"),
-        F.sum(revenue).alias("revenue"),
+        F.sum(cents).alias("revenue"),
         F.sum(cost).alias("cost"))
     per_user = per_day.groupBy("campaign_id", "user_id").agg(
         F.min("touch_day").alias("start_date"), F.max("touch_day").alias("end_date"),
@@ -325,7 +326,7 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
         F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
         F.sum("n_sessions").alias("total_sessions"),
         F.coalesce(F.sum("n_orders"), F.lit(0)).alias("total_orders"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
+        (F.coalesce(F.sum("revenue"), F.lit(0)) * F.lit(Decimal("0.01"))).alias("revenue"),
         F.count("user_id").alias("unique_users"), F.sum("cost").alias("cost"))
     profit = F.col("revenue") - F.col("cost")
     return facts.join(campaigns.select("campaign_id", "campaign_name"), "campaign_id").select(
