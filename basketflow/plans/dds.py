@@ -208,7 +208,7 @@ def build_sessions(raw_events: DataFrame, users: DataFrame, require_uuid: bool =
     # An earliest event is (time, user); a session has one.
     owner = known.groupBy("session_id").agg(
         F.min(F.struct("first_ts", "user_id"))["user_id"].alias("owner"))
-    marked = known.join(owner, "session_id")
+    marked = split_join(known, owner, "session_id", "inner", ["user_id"], hot_rows)
     columns = ["session_id", "user_id", "start_ts", "end_ts", "event_count"]
     return (marked.where(F.col("user_id") == F.col("owner")).select(*columns),
             marked.where(F.col("user_id") != F.col("owner")).select(*columns))

@@ -84,11 +84,13 @@ def discard_snapshot(spark: SparkSession, path: str) -> None:
 
 
 def drop_old_snapshots(spark: SparkSession, base: str, keep: int = 2) -> int:
-    """Delete all but the newest complete snapshots; returns how many went."""
+    """Delete all but the newest complete snapshots, and the remains of failed writes
+    before them; returns how many went."""
     fs, found = _snapshots(spark, base)
-    done = [entry for entry in found if entry[2]]
-    old = done[:-keep] if keep else done
-    for _, path, _ in old:
+    kept = [number for number, _, complete in found if complete][-max(keep, 1):]
+    old = [path for number, path, complete in found
+           if kept and number < kept[-1] and not (complete and number in kept)]
+    for path in old:
         fs.delete(path, True)
     return len(old)
 

@@ -121,6 +121,33 @@ DASHBOARDS = {
 }
 
 QUALITY = {
+    "q0_drop_duplicates": """
+        SELECT DISTINCT * EXCLUDE (event_id, cost_usd, weather_temp),
+               CAST(cost_usd AS DOUBLE) AS cost_usd, CAST(NULL AS DOUBLE) AS cost_eur,
+               CAST(NULL AS DOUBLE) AS cost_rub, CAST(weather_temp AS DOUBLE) AS weather_temp
+        FROM r_ev""",
+    "q7_require_date": """
+        SELECT session_id, CAST(start_ts AS DATE) AS last_session_date
+        FROM sessions WHERE start_ts IS NOT NULL""",
+    "q8_fill_strings": """
+        SELECT user_device_id, coalesce(user_id, '') AS user_id,
+               coalesce(device_type, '') AS device_type, os, browser FROM r_dev""",
+    "q9_country_filter": "SELECT * FROM locations WHERE country <> 'Antarctica'",
+    "q10_city_filter": "SELECT * FROM locations WHERE city <> 'Unknown'",
+    "q11_q14_conform": """
+        SELECT CAST(ts AS DATE) AS event_date, value AS total_revenue, event_id AS total_orders,
+               0::BIGINT AS unique_customers, 0::DOUBLE AS avg_order_value,
+               0::DOUBLE AS conversion_rate, 0::BIGINT AS new_users, 0::BIGINT AS total_sessions,
+               0::BIGINT AS successful_orders
+        FROM events""",
+    "q12_dates": """
+        SELECT session_id, user_id, CAST(date_trunc('second', start_ts) AS TIMESTAMP) AS start_time,
+               CAST(date_trunc('second', end_ts) AS TIMESTAMP) AS end_time, '' AS city
+        FROM sessions""",
+    "q13_empty_load": PUBLISHED["pub_m5_active_users_7d"],
+    "s4_projected_scan": """
+        SELECT event_id, user_id FROM events WHERE event_type = 'purchase' AND user_id < 20""",
+    "s7_append": "SELECT campaign_id, campaign_name FROM campaigns",
     "s8_publish": PUBLISHED["pub_m8_geo_analysis"],
     "s10_compact": PUBLISHED["pub_m8_geo_analysis"],
     "q6_dq_report": """

@@ -19,6 +19,7 @@ from basketflow.operators.validate import allow, check, fk_check, not_null, not_
 from basketflow.plans import dashboards, dds, marts, publish
 from basketflow.session import scratch_dir
 from basketflow.sources import sinks
+from basketflow.sources.tables import read_table
 from basketflow.streaming import ingest, router
 from checks.fixtures import AS_OF, Raw, Source, Star
 from checks.mart_oracles import MARTS
@@ -248,6 +249,50 @@ star("s9_replace_recent", _replaced)
 star("s10_compact", _compacted)
 star("s12_month_partitions", _months)
 
+
+
+def _as_published(s: Source) -> DataFrame:
+    """Columns of a mart under other types, and most columns missing."""
+    return s.given("events").select(
+        F.col("ts").alias("event_date"), F.col("event_id").cast("double").alias("total_orders"),
+        F.col("value").alias("total_revenue"))
+
+
+def _after_empty_load(s: Source) -> DataFrame:
+    """Load a mart, then load an empty result over it."""
+    base, mart = scratch_dir(s.spark, "marts"), "active_users_7d"
+    days = _mart(s, mart)
+    publish.load_mart(days, base, mart)
+    publish.load_mart(days.where(F.col("event_date") < "1990-01-01"), base, mart)
+    return sinks.read_mart(s.spark, base, mart).select(*schemas.MART[mart].names)
+
+
+def _appended_twice(s: Source) -> DataFrame:
+    """Append campaigns in two runs; the second adds only what is new."""
+    path = f"{scratch_dir(s.spark, 'append')}/campaigns"
+    some, all_ = s.campaigns().where("campaign_id < 'camp4'"), s.campaigns()
+    sinks.append(some, path)
+    sinks.append(append_ignore(some, all_, ["campaign_id"], "campaign_name"), path)
+    return s.spark.read.schema(all_.schema).parquet(path)
+
+
+raw("q0_drop_duplicates", lambda r: r.events().drop("event_id").dropDuplicates())
+star("q7_require_date", lambda s: publish.require_date(
+    s.sessions().select("session_id", F.col("start_ts").alias("last_session_date")),
+    "last_session_date"))
+raw("q8_fill_strings", lambda r: publish.fill_strings(r.devices()))
+star("q9_country_filter", lambda s: publish.drop_unwanted(s.user_locations(), "country"))
+star("q10_city_filter", lambda s: publish.drop_unwanted(s.user_locations(), "city"))
+star("q11_q14_conform", lambda s: publish.conform(_as_published(s), "daily_business_summary"))
+star("q12_dates", lambda s: publish.conform(
+    s.sessions().select("session_id", "user_id", F.col("start_ts").alias("start_time"),
+                        F.col("end_ts").alias("end_time")), "session_analytics")
+     .select("session_id", "user_id", "start_time", "end_time", "city"))
+star("q13_empty_load", _after_empty_load)
+star("s4_projected_scan", lambda s: read_table(s.spark, s.sf_dir, "events.parquet").select(
+    "event_id", "user_id").where("event_type = 'purchase' AND user_id < 20"))
+star("s7_append", _appended_twice)
+
 # --- dashboards ---------------------------------------------------------------
 _LAST_DAY = AS_OF.date()
 star("b1_sales_by_category", lambda s: dashboards.sales_by_category(_mart(s, "category_performance")))

@@ -23,7 +23,9 @@ def test_snapshots(spark, rows, tmp_path):
     # read the current snapshot while writing the next
     sinks.write_snapshot(sinks.read_snapshot(spark, base, SCHEMA).where("id > 0"), base)
     assert rows(sinks.read_snapshot(spark, base, SCHEMA)) == [(1,), (2,)]
-    assert sinks.drop_old_snapshots(spark, base, keep=1) == 1
+    sinks.write_snapshot(spark.range(5), base, commit=False)    # a failed write
+    sinks.write_snapshot(sinks.read_snapshot(spark, base, SCHEMA), base)
+    assert sinks.drop_old_snapshots(spark, base, keep=2) == 2
     assert rows(sinks.read_snapshot(spark, base, SCHEMA)) == [(1,), (2,)]
 
 
