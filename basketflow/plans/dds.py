@@ -186,32 +186,41 @@ def load_locations(raw: DataFrame, users: DataFrame) -> tuple[DataFrame, DataFra
 
 
 # --- sessions -----------------------------------------------------------------
-def build_sessions(raw_events: DataFrame, users: DataFrame, require_uuid: bool = True,
-                   hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(sessions, conflicts): one row per session of a known user, over all raw events.
+SESSION_COLUMNS = ["session_id", "user_id", "start_ts", "end_ts", "event_count"]
 
-    A session id used by several users stays with the user of its earliest event; the
-    other users' rows are the conflicts.
-    """
+
+def user_sessions(raw_events: DataFrame, require_uuid: bool = True) -> DataFrame:
+    """Per session id and user: first start, last end, events, and the earliest event."""
     events = raw_events.withColumn("user_id", try_id("user_id")).where(
         "session_id IS NOT NULL AND user_id IS NOT NULL")
     if require_uuid:
         events = events.where(is_uuid("session_id"))
     at, kind = F.col("timestamp"), F.col("event_type")
-    grouped = events.groupBy("session_id", "user_id").agg(
+    return events.groupBy("session_id", "user_id").agg(
         F.min(F.when(kind == "session_start", at)).alias("start_ts"),
         F.max(F.when(kind == "session_end", at)).alias("end_ts"),
         F.count(F.lit(1)).cast("int").alias("event_count"),
         F.min(at).alias("first_ts"))
-    known = split_join(grouped, users.select("user_id").distinct(), "user_id", "left_semi",
-                       ["session_id"], hot_rows)
-    # An earliest event is (time, user); a session has one.
-    owner = known.groupBy("session_id").agg(
-        F.min(F.struct("first_ts", "user_id"))["user_id"].alias("owner"))
-    marked = split_join(known, owner, "session_id", "inner", ["user_id"], hot_rows)
-    columns = ["session_id", "user_id", "start_ts", "end_ts", "event_count"]
-    return (marked.where(F.col("user_id") == F.col("owner")).select(*columns),
-            marked.where(F.col("user_id") != F.col("owner")).select(*columns))
+
+
+def own_sessions(grouped: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sessions, conflicts) of ``user_sessions``.
+
+    A session id used by several users stays with the user of its earliest event; the
+    other users' rows are the conflicts.
+    """
+    owned = first_per_key(grouped, ["session_id"], ["first_ts", "user_id"])
+    others = grouped.join(owned.select("session_id", "user_id"), ["session_id", "user_id"], "left_anti")
+    return owned.select(*SESSION_COLUMNS), others.select(*SESSION_COLUMNS)
+
+
+def build_sessions(raw_events: DataFrame, users: DataFrame, require_uuid: bool = True,
+                   hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(sessions, conflicts) of known users, over all raw events."""
+    ids = raw_events.select(try_id("user_id").alias("user_id"))
+    known = split_join(user_sessions(raw_events, require_uuid), users.select("user_id").distinct(),
+                       "user_id", "left_semi", ["session_id"], hot_rows, counted=ids)
+    return own_sessions(known)
 
 
 def upsert_sessions(sessions: DataFrame, built: DataFrame) -> DataFrame:

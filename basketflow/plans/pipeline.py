@@ -80,24 +80,27 @@ def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base:
     loaded, rejected = dds.load_events(events)
     star.write("events", loaded)
     star.write_rejects("events", rejected)
-    sessions, conflicts = dds.build_sessions(events, users)
+    sessions, conflicts = dds.own_sessions(star.keep("_user_sessions", dds.user_sessions(events)))
     star.write("sessions", dds.upsert_sessions(star.read("sessions"), sessions))
     star.write_rejects("sessions", conflicts)
 
     raw_orders, statuses = read_raw("orders"), read_raw("order_status_events")
-    sound, failed = check(dds.clean_orders(raw_orders, statuses), "orders")
+    # Cleaned rows are split by several rules; they are written once and split from there.
+    cleaned = star.keep("_clean_orders", dds.clean_orders(raw_orders, statuses))
+    sound, failed = check(cleaned, "orders")
     sound, orphans = fk_check(sound, users, "user_id", ["order_id"])
     orders = dds.remove_unknown_orders(star.read("orders"), raw_orders)
     star.write("orders", dds.apply_status(dds.upsert_orders(orders, sound), statuses))
     star.write_rejects("orders", failed, orphans)
 
-    sound, failed = check(dds.clean_items(read_raw("order_items")), "order_items")
+    cleaned = star.keep("_clean_items", dds.clean_items(read_raw("order_items")))
+    sound, failed = check(cleaned, "order_items")
     sound, orphans = fk_check(sound, star.read("orders"), "order_id", ["product_id"])
     star.write("order_items", dds.upsert_items(star.read("order_items"), sound))
     star.write_rejects("order_items", failed, orphans)
 
     devices, rejected = dds.load_devices(read_raw("user_devices"))
-    devices, orphans = fk_check(devices, users, "user_id", ["device_id"])
+    devices, orphans = fk_check(star.keep("_clean_devices", devices), users, "user_id", ["device_id"])
     star.write("user_devices", devices)
     star.write_rejects("user_devices", rejected, orphans)
     locations, _, rejected = dds.load_locations(read_raw("user_locations"), users)
