@@ -40,6 +40,15 @@ def _as_double(c: str) -> Column:
     return F.col(c).cast("double")
 
 
+def _cents(c: str) -> Column:
+    """Money as whole cents: exact like the decimal, but sums stay plain longs."""
+    return (F.col(c) * 100).cast("bigint")
+
+
+def _money(cents: Column) -> Column:
+    return cents.cast("double") / 100
+
+
 def _successful_orders(orders: DataFrame) -> DataFrame:
     return orders.where("status = 'success'")
 
@@ -97,13 +106,15 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
 
     A run of several marts writes this once and passes it to each of them.
     """
-    value = F.col("price_usd") * F.col("quantity")
-    lines = items.groupBy("order_id", "product_id").agg(
+    limit = LINE_VALUE_LIMIT * 100
+    priced = items.select("order_id", "product_id", "quantity", _cents("price_usd").alias("price"))
+    value = F.col("price") * F.col("quantity")
+    lines = priced.groupBy("order_id", "product_id").agg(
         F.sum("quantity").alias("quantity"),
         F.sum(value).alias("value"),
-        F.sum(F.when(value <= LINE_VALUE_LIMIT, value).otherwise(0)).alias("counted_value"),
-        F.sum("price_usd").alias("price_sum"),
-        F.count("price_usd").alias("price_count"))
+        F.sum(F.when(value <= limit, value).otherwise(0)).alias("counted_value"),
+        F.sum("price").alias("price_sum"),
+        F.count("price").alias("price_count"))
     won = _successful_orders(orders).select(
         "order_id", "user_id", day("order_ts").alias("event_date"))
     return lines.join(won, "order_id")
@@ -127,8 +138,8 @@ def product_performance(items: DataFrame, orders: DataFrame, products: DataFrame
     names = products.join(categories, "category_id")
     return facts.join(names, "product_id").select(
         "product_id", "product_name", "category_name", "total_quantity",
-        _as_double("value").alias("total_revenue"),
-        F.try_divide(_as_double("price_sum"), F.col("price_count")).alias("avg_price"),
+        _money(F.col("value")).alias("total_revenue"),
+        F.try_divide(_money(F.col("price_sum")), F.col("price_count")).alias("avg_price"),
         "orders_count", "unique_customers", "event_date")
 
 
@@ -152,9 +163,10 @@ def category_performance(items: DataFrame, orders: DataFrame, products: DataFram
         F.sum("n_orders").alias("orders_count"),
         F.count("user_id").alias("unique_customers"),
     ).select(
-        "category_name", "total_quantity", _as_double("value").alias("total_revenue"),
+        "category_name", "total_quantity", _money(F.col("value")).alias("total_revenue"),
         "orders_count", "unique_customers",
-        safe_ratio(F.col("value"), F.col("orders_count")).alias("avg_order_value"), "event_date")
+        safe_ratio(_money(F.col("value")), F.col("orders_count")).alias("avg_order_value"),
+        "event_date")
 
 
 def user_engagement(users: DataFrame, sessions: DataFrame, events: DataFrame, orders: DataFrame,
@@ -278,7 +290,7 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
     sales = (_successful_orders(orders).where("order_ts IS NOT NULL AND user_id IS NOT NULL")
              .groupBy("user_id", F.col("order_ts").alias("generated_at"))
              .agg(F.count("order_id").alias("n"),
-                  (F.sum("total_usd") * 100).cast("bigint").alias("amount")))   # cents
+                  F.sum(_cents("total_usd")).alias("amount")))
     span = F.expr(ATTRIBUTION)
     has_place = "user_id IS NOT NULL AND generated_at IS NOT NULL"
     times = campaign_events.where(has_place)
@@ -375,8 +387,8 @@ def device_analysis(devices: DataFrame, users: DataFrame, sessions: DataFrame, o
 
     As defined, a user's revenue repeats for each session of the day and device row.
     """
-    order_value = items.groupBy("order_id").agg(
-        F.sum(F.col("price_usd") * F.col("quantity")).alias("value"))
+    order_value = items.select("order_id", (_cents("price_usd") * F.col("quantity")).alias("value"))
+    order_value = order_value.groupBy("order_id").agg(F.sum("value").alias("value"))
     bought = (orders.select("order_id", "user_id").join(order_value, "order_id", "left")
               .groupBy("user_id").agg(F.count("order_id").alias("n_orders"),
                                       F.sum("value").alias("value")))
@@ -389,7 +401,8 @@ def device_analysis(devices: DataFrame, users: DataFrame, sessions: DataFrame, o
             F.count("user_id").alias("total_users"),
             F.sum(_zero("n_sessions")).alias("total_sessions"),
             F.sum(_zero("n_orders")).alias("total_orders"),
-            F.coalesce(F.sum(F.col("value") * repeats.cast("decimal(18,0)")), F.lit(0))
-            .cast("double").alias("total_revenue"))
+            _money(F.coalesce(F.sum(F.col("value").cast("decimal(20,0)")
+                                    * repeats.cast("decimal(18,0)")), F.lit(0)))
+            .alias("total_revenue"))
         .select("device_type", "os", "browser", "total_users", "total_sessions", "total_orders",
                 "total_revenue", "event_date"))
