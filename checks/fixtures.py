@@ -99,7 +99,7 @@ class Star(Source):
 
     def user_devices(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.given("customer").where(key % 11 != 0).select(
+        return self.given("customer").where("c_acctbal >= 0").select(
             key.alias("user_id"),
             _pick(key % 3, "mobile", "desktop", "tablet").alias("device_type"),
             _pick(key % 5, "iOS", "Android", "Windows", "Linux", "MacOS").alias("os"),
@@ -109,7 +109,7 @@ class Star(Source):
         places = self.given("nation").join(
             self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         key = F.col("c_custkey")
-        return self.given("customer").where(key % 9 != 0).join(
+        return self.given("customer").where("c_mktsegment <> 'HOUSEHOLD'").join(
             places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             key.alias("user_id"),
             F.when(key % 14 == 3, "Unknown").otherwise(F.col("n_name")).alias("city"),
@@ -124,7 +124,7 @@ class Star(Source):
         key, kind = F.col("event_id"), F.col("event_type")
         imputed = (F.when(kind == "view", F.lit("0.10")).when(kind == "click", F.lit("0.30"))
                    .when(kind == "purchase", F.lit("1.00")).otherwise(F.lit("0.05")))
-        return self.given("events").where(key % 4 == 0).select(
+        return self.given("events").select(
             key.alias("campaign_event_id"), "user_id",
             F.concat(F.lit("camp"), (key % 5 + 1).cast("string")).alias("campaign_id"),
             kind.alias("action"),
@@ -159,11 +159,11 @@ DUPLICATE_ID_SHIFT = 10_000_000_000
 class Raw(Source):
     """Raw tables with the faults the jobs must cope with."""
 
-    def _twice(self, df: DataFrame, serial: str, modulus: int, **changes: Column) -> DataFrame:
-        """Repeat every row whose serial divides by ``modulus`` under a higher serial."""
-        again = df.where(F.col(serial) % modulus == 0).withColumn(
-            serial, F.col(serial) + DUPLICATE_ID_SHIFT)
-        return df.unionByName(again.withColumns(changes) if changes else again)
+    def _twice(self, df: DataFrame, serial: str, **changes: Column) -> DataFrame:
+        """Repeat the rows marked ``again`` under a higher serial, with some changes."""
+        repeat = df.where("again").withColumns(
+            {serial: F.col(serial) + DUPLICATE_ID_SHIFT, **changes})
+        return df.unionByName(repeat).drop("again")
 
     def events(self) -> DataFrame:
         key, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
@@ -200,20 +200,21 @@ class Raw(Source):
             .alias("weather_temp"),
             F.when(placed, _pick(key % 4, "clear sky", "light rain", "snow", "mist"))
             .alias("weather_desc"),
-            F.col("ts").alias("timestamp"))
-        return self._twice(rows, "event_id", 10)
+            F.col("ts").alias("timestamp"), (F.col("value") > 20).alias("again"))
+        return self._twice(rows, "event_id")
 
     def profiles(self) -> DataFrame:
         key = F.col("c_custkey")
-        rows = self.given("customer").where(key % 3 != 0).select(
+        rows = self.given("customer").where("c_mktsegment <> 'BUILDING'").select(
             (key * 2).alias("user_profile_id"), _dirty_id(key, key).alias("user_id"),
             F.col("c_name").alias("name"),
             F.when(key % 5 != 1, F.concat(F.lit("c"), key.cast("string"), F.lit("@shop.example")))
             .alias("email"),
             F.date_add(F.lit("1970-01-01").cast("date"), (key % 15000).cast("int"))
             .alias("birth_date"),
-            _pick(key % 5, " Male ", "female", "other", None, "FEMALE").alias("gender"))
-        return self._twice(rows, "user_profile_id", 8, name=F.lit(None).cast("string"),
+            _pick(key % 5, " Male ", "female", "other", None, "FEMALE").alias("gender"),
+            (F.col("c_acctbal") > 5000).alias("again"))
+        return self._twice(rows, "user_profile_id", name=F.lit(None).cast("string"),
                            email=F.concat(F.lit("new."), F.col("email")),
                            gender=F.lit(None).cast("string"))
 
@@ -223,8 +224,9 @@ class Raw(Source):
             key.alias("user_device_id"), _dirty_id(key, key % 700).alias("user_id"),
             _pick(key % 3, "mobile", "desktop", None).alias("device_type"),
             _pick(key % 5, "iOS", "Android", "Windows", "Linux", "MacOS").alias("os"),
-            _pick(key % 4, "Chrome", "Firefox", "Safari", "Edge").alias("browser"))
-        return self._twice(rows, "user_device_id", 6)
+            _pick(key % 4, "Chrome", "Firefox", "Safari", "Edge").alias("browser"),
+            (F.col("c_mktsegment") == "BUILDING").alias("again"))
+        return self._twice(rows, "user_device_id")
 
     def locations(self) -> DataFrame:
         key = F.col("c_custkey")
@@ -234,8 +236,9 @@ class Raw(Source):
             key.alias("user_location_id"), _dirty_id(key, key % 900).alias("user_id"),
             F.col("n_name").alias("city"), F.col("r_name").alias("country"),
             F.when(key % 12 != 0, (key * 37 % 18000).cast("double") / 100 - 90).alias("lat"),
-            F.when(key % 12 != 0, (key * 61 % 36000).cast("double") / 100 - 180).alias("lon"))
-        return self._twice(rows, "user_location_id", 6)
+            F.when(key % 12 != 0, (key * 61 % 36000).cast("double") / 100 - 180).alias("lon"),
+            (F.col("c_mktsegment") == "MACHINERY").alias("again"))
+        return self._twice(rows, "user_location_id")
 
     def orders(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -246,8 +249,9 @@ class Raw(Source):
             _dirty_id(key, F.col("o_custkey") % self.event_users()).alias("user_id"),
             F.when(key % 107 != 0,
                    F.lit("2024-01-01").cast("timestamp_ntz") + shift).alias("order_ts"),
-            F.when(key % 21 != 0, F.col("o_totalprice").cast(MONEY)).alias("total_usd"))
-        return self._twice(rows, "raw_order_id", 8,
+            F.when(key % 21 != 0, F.col("o_totalprice").cast(MONEY)).alias("total_usd"),
+            (F.col("o_orderpriority") == "1-URGENT").alias("again"))
+        return self._twice(rows, "raw_order_id",
                            total_usd=(F.col("total_usd") + 1).cast(MONEY))
 
     def items(self) -> DataFrame:
@@ -291,7 +295,7 @@ class Raw(Source):
     # Star snapshots as an earlier run could have left them.
     def old_users(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.given("customer").where(key % 2 == 0).select(
+        return self.given("customer").where("c_acctbal < 6000").select(
             key.alias("user_id"), F.concat(F.lit("old "), "c_name").alias("name"),
             F.lit("old@shop.example").alias("email"), F.lit(None).cast("date").alias("birth_date"),
             F.when(key % 4 == 0, "male").alias("gender"),
@@ -300,17 +304,19 @@ class Raw(Source):
 
     def old_orders(self) -> DataFrame:
         key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        return self.given("orders").where(key % 3 == 0).select(
-            _uuid(F.concat(F.when(key % 6 == 0, "gone").otherwise("o"), key.cast("string")))
+        early = F.col("o_orderdate") < "1999-01-01"
+        return self.given("orders").where(early).select(
+            _uuid(F.concat(F.when(F.col("o_orderpriority") == "2-HIGH", "gone").otherwise("o"),
+                           key.cast("string")))
             .alias("order_id"),
             F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_ts"),
             F.lit(1).cast(MONEY).alias("total_usd"),
             F.when(status == "F", "success").when(status == "O", "pending").alias("status"))
 
     def old_items(self) -> DataFrame:
-        """A third of the known (order, product) pairs with other ids and prices."""
+        """The known pairs of cheap products, with other ids and prices."""
         known = self.items().where("order_id IS NOT NULL AND product_id IS NOT NULL")
-        return known.where(F.col("product_id") % 3 == 0).groupBy("order_id", "product_id").agg(
+        return known.where("price_usd < 1000").groupBy("order_id", "product_id").agg(
             F.min("raw_order_item_id").alias("order_item_id")).select(
             "order_item_id", "order_id", "product_id", F.lit(9).alias("quantity"),
             F.lit("0.99").cast(MONEY).alias("price_usd"))

@@ -23,7 +23,7 @@ MESSAGE_TABLES = {
         SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name, {_NO} AS email,
                CAST(DATE '1970-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS DATE) AS birth_date,
                ['male', 'female', 'other'][c_custkey % 3 + 1] AS gender
-        FROM customer WHERE c_custkey % 3 <> 0""",
+        FROM customer WHERE c_mktsegment <> 'BUILDING'""",
     "m_user_devices": """
         SELECT CAST(c_custkey AS VARCHAR) AS user_id,
                ['mobile', 'desktop', NULL][c_custkey % 3 + 1] AS device_type,
@@ -44,7 +44,7 @@ MESSAGE_TABLES = {
         SELECT CAST(user_id AS VARCHAR) AS user_id, 'camp1' AS campaign_id,
                'Summer' AS campaign_name, 'email' AS channel, event_type AS action,
                CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS cost, ts AS generated_at
-        FROM events WHERE event_id % 4 = 0""",
+        FROM events""",
     "m_lines": """
         SELECT 'o' || l_orderkey AS order_id,
                CASE WHEN l_returnflag = 'A' THEN 'success' WHEN l_returnflag = 'N' THEN 'pending'
@@ -76,5 +76,5 @@ ROUTING["t7_stream_events"] = ROUTING["t4_raw_events"]
 ROUTING["t8_quarantine"] = "SELECT reason, count(*) AS n_rows FROM m_reasons GROUP BY reason"
 ROUTING["t3_event_types"] = "SELECT event_type, count(*) AS n_rows FROM m_events GROUP BY event_type"
 ROUTING["t9_append_ignore"] = """
-SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE c_custkey % 3 = 0
+SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE c_mktsegment = 'BUILDING'
 """

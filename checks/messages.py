@@ -60,7 +60,7 @@ def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFram
     order_of_line = F.concat(F.lit("o"), line.cast("string"))
     back = F.col("l_returnflag")
     return reduce(DataFrame.unionByName, [
-        _of(customer.where(c % 3 != 0), "user_profile", user_id=c, name=F.col("c_name"),
+        _of(customer.where("c_mktsegment <> 'BUILDING'"), "user_profile", user_id=c, name=F.col("c_name"),
             birth_date=F.date_add(F.lit("1970-01-01").cast("date"), (c % 15000).cast("int"))
             .cast("string"), gender=_pick(c % 3, "male", "female", "other"),
             loyalty=F.lit("unknown field")),
@@ -79,7 +79,7 @@ def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFram
             status=F.when(back == "A", "success").when(back == "N", "pending")
             .when(F.col("l_linenumber") == 6, "lost").otherwise("cancelled"),
             generated_at=_iso("l_shipdate")),
-        _of(events.where(F.col("event_id") % 4 == 0), "campaign_event", user_id=F.col("user_id"),
+        _of(events, "campaign_event", user_id=F.col("user_id"),
             campaign_id=F.lit("camp1"), campaign_name=F.lit("Summer"), channel=F.lit("email"),
             action=F.col("event_type"), cost=F.col("value").cast(MONEY), generated_at=_iso("ts")),
         _event_messages(events),

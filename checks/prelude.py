@@ -49,13 +49,13 @@ TABLES: dict[str, str] = {
                ['mobile', 'desktop', 'tablet'][c_custkey % 3 + 1] AS device_type,
                ['iOS', 'Android', 'Windows', 'Linux', 'MacOS'][c_custkey % 5 + 1] AS os,
                ['Chrome', 'Firefox', 'Safari', 'Edge'][c_custkey % 4 + 1] AS browser
-        FROM customer WHERE c_custkey % 11 <> 0""",
+        FROM customer WHERE c_acctbal >= 0""",
     "locations": """
         SELECT c_custkey AS user_id,
                CASE WHEN c_custkey % 14 = 3 THEN 'Unknown' ELSE n_name END AS city,
                CASE WHEN c_custkey % 17 = 5 THEN 'Antarctica' ELSE r_name END AS country
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 9 <> 0""",
+        JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment <> 'HOUSEHOLD'""",
     "campaigns": "SELECT 'camp' || (r_regionkey + 1) AS campaign_id, r_name AS campaign_name FROM region",
     "camp_ev": """
         SELECT event_id AS campaign_event_id, user_id, 'camp' || (event_id % 5 + 1) AS campaign_id,
@@ -64,7 +64,7 @@ TABLES: dict[str, str] = {
                     WHEN event_type = 'view' THEN 0.10 WHEN event_type = 'click' THEN 0.30
                     WHEN event_type = 'purchase' THEN 1.00 ELSE 0.05 END AS cost,
                ts AS generated_at
-        FROM events WHERE event_id % 4 = 0""",
+        FROM events""",
 }
 
 

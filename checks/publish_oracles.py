@@ -146,7 +146,7 @@ QUALITY = {
         FROM sessions""",
     "q13_empty_load": PUBLISHED["pub_m5_active_users_7d"],
     "s4_projected_scan": """
-        SELECT event_id, user_id FROM events WHERE event_type = 'purchase' AND user_id < 20""",
+        SELECT event_id, user_id FROM events WHERE event_type = 'purchase' AND value > 10""",
     "s7_append": "SELECT campaign_id, campaign_name FROM campaigns",
     "s8_publish": PUBLISHED["pub_m8_geo_analysis"],
     "s10_compact": PUBLISHED["pub_m8_geo_analysis"],
@@ -184,7 +184,7 @@ QUALITY = {
 _PLACES = """
     SELECT n_name AS city, r_name AS country, CAST(n_nationkey AS DOUBLE) * 7.01 - 84.77 AS lat,
            CAST(n_nationkey AS DOUBLE) * 53.17 % 360 - 180 AS lon
-    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 6 <> 5"""
+    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'"""
 _CELL = ("CAST(floor((CAST({p}lat AS DOUBLE) + 90) / 30) AS INTEGER) AS {n}row, "
          "CAST(floor((CAST({p}lon AS DOUBLE) + 180) / 30) AS INTEGER) % 12 AS {n}col")
 
@@ -202,13 +202,13 @@ ENRICH_TABLES = {
     "rate_days": """
         SELECT CAST(ts AS DATE) AS day,
                CAST(0.8 + count(*) % 40 / 100.0 AS DECIMAL(18,4)) AS eur,
-               CASE WHEN day(CAST(ts AS DATE)) % 4 = 0
+               CASE WHEN dayofweek(CAST(ts AS DATE)) IN (1, 3)
                     THEN CAST(80 + count(*) % 30 AS DECIMAL(18,4)) END AS rub
-        FROM events WHERE day(CAST(ts AS DATE)) % 2 = 0 GROUP BY CAST(ts AS DATE)""",
+        FROM events WHERE dayofweek(CAST(ts AS DATE)) BETWEEN 1 AND 5 GROUP BY CAST(ts AS DATE)""",
     "sky": """
         SELECT DISTINCT ON (date_trunc('hour', ts), event_id % 5) event_id % 5 AS zone,
                date_trunc('hour', ts) AS hour, CAST(value AS DECIMAL(18,2)) AS temp, event_type AS weather
-        FROM events WHERE event_id % 3 = 0 ORDER BY ts""",
+        FROM events WHERE event_type <> 'signup' ORDER BY ts""",
 }
 ENRICHED = {
     "e1_currency": """

@@ -22,10 +22,10 @@ _LINE_ID = ("CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_lin
             "CAST(l_shipdate AS DATE))), 1, 15) AS BIGINT)")
 
 
-def _twice(base: str, serial: str, modulus: int, changes: str = "") -> str:
+def _twice(base: str, serial: str, changes: str = "") -> str:
     replaced = f"{serial} + 10000000000 AS {serial}{', ' + changes if changes else ''}"
-    return (f"WITH base AS ({base}) SELECT * FROM base UNION ALL "
-            f"SELECT * REPLACE ({replaced}) FROM base WHERE {serial} % {modulus} = 0")
+    return (f"WITH base AS ({base}) SELECT * EXCLUDE (again) FROM base UNION ALL "
+            f"SELECT * EXCLUDE (again) REPLACE ({replaced}) FROM base WHERE again")
 
 
 RAW_TABLES = {
@@ -57,40 +57,44 @@ RAW_TABLES = {
                     THEN CAST(CAST(event_id % 400 AS DOUBLE) / 10 - 10 AS DECIMAL(5,2)) END AS weather_temp,
                CASE WHEN event_id % 19 <> 0
                     THEN ['clear sky', 'light rain', 'snow', 'mist'][event_id % 4 + 1] END AS weather_desc,
-               ts AS "timestamp"
+               ts AS "timestamp", value > 20 AS again
         FROM (SELECT *, event_type IN ('view', 'purchase') AND event_id % 5 <> 0 AS shopping
-              FROM events)""", "event_id", 10),
+              FROM events)""", "event_id"),
     "r_prof": _twice(f"""
         SELECT c_custkey * 2 AS user_profile_id, {_dirty('c_custkey', 'c_custkey')} AS user_id,
                c_name AS name,
                CASE WHEN c_custkey % 5 <> 1 THEN 'c' || c_custkey || '@shop.example' END AS email,
                CAST(DATE '1970-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS DATE) AS birth_date,
-               [' Male ', 'female', 'other', NULL, 'FEMALE'][c_custkey % 5 + 1] AS gender
-        FROM customer WHERE c_custkey % 3 <> 0""", "user_profile_id", 8,
+               [' Male ', 'female', 'other', NULL, 'FEMALE'][c_custkey % 5 + 1] AS gender,
+               c_acctbal > 5000 AS again
+        FROM customer WHERE c_mktsegment <> 'BUILDING'""", "user_profile_id",
         "CAST(NULL AS VARCHAR) AS name, 'new.' || email AS email, CAST(NULL AS VARCHAR) AS gender"),
     "r_dev": _twice(f"""
         SELECT c_custkey AS user_device_id, {_dirty('c_custkey', 'c_custkey % 700')} AS user_id,
                ['mobile', 'desktop', NULL][c_custkey % 3 + 1] AS device_type,
                ['iOS', 'Android', 'Windows', 'Linux', 'MacOS'][c_custkey % 5 + 1] AS os,
-               ['Chrome', 'Firefox', 'Safari', 'Edge'][c_custkey % 4 + 1] AS browser
-        FROM customer""", "user_device_id", 6),
+               ['Chrome', 'Firefox', 'Safari', 'Edge'][c_custkey % 4 + 1] AS browser,
+               c_mktsegment = 'BUILDING' AS again
+        FROM customer""", "user_device_id"),
     "r_loc": _twice(f"""
         SELECT c_custkey AS user_location_id, {_dirty('c_custkey', 'c_custkey % 900')} AS user_id,
                n_name AS city, r_name AS country,
                CASE WHEN c_custkey % 12 <> 0
                     THEN CAST(c_custkey * 37 % 18000 AS DOUBLE) / 100 - 90 END AS lat,
                CASE WHEN c_custkey % 12 <> 0
-                    THEN CAST(c_custkey * 61 % 36000 AS DOUBLE) / 100 - 180 END AS lon
+                    THEN CAST(c_custkey * 61 % 36000 AS DOUBLE) / 100 - 180 END AS lon,
+               c_mktsegment = 'MACHINERY' AS again
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey""", "user_location_id", 6),
+        JOIN region ON n_regionkey = r_regionkey""", "user_location_id"),
     "r_ord": _twice(f"""
         SELECT o_orderkey AS raw_order_id,
                CASE WHEN o_orderkey % 103 <> 0 THEN {_uuid("'o' || o_orderkey")} END AS order_id,
                {_dirty('o_orderkey', 'o_custkey % (SELECT n FROM nu)')} AS user_id,
                CASE WHEN o_orderkey % 107 <> 0 THEN
                     TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2592000) END AS order_ts,
-               CASE WHEN o_orderkey % 21 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total_usd
-        FROM orders""", "raw_order_id", 8, "CAST(total_usd + 1 AS DECIMAL(18,2)) AS total_usd"),
+               CASE WHEN o_orderkey % 21 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total_usd,
+               o_orderpriority = '1-URGENT' AS again
+        FROM orders""", "raw_order_id", "CAST(total_usd + 1 AS DECIMAL(18,2)) AS total_usd"),
     "r_it": f"""
         SELECT {_LINE_ID} AS raw_order_item_id,
                CASE WHEN l_orderkey % 103 <> 0 THEN {_uuid("'o' || l_orderkey")} END AS order_id,
@@ -116,17 +120,17 @@ RAW_TABLES = {
         SELECT c_custkey AS user_id, 'old ' || c_name AS name, 'old@shop.example' AS email,
                CAST(NULL AS DATE) AS birth_date, CASE WHEN c_custkey % 4 = 0 THEN 'male' END AS gender,
                CASE WHEN c_custkey % 6 = 0 THEN 'Oldtown' END AS city, CAST(NULL AS VARCHAR) AS country
-        FROM customer WHERE c_custkey % 2 = 0""",
+        FROM customer WHERE c_acctbal < 6000""",
     "old_orders": f"""
-        SELECT {_uuid("CASE WHEN o_orderkey % 6 = 0 THEN 'gone' ELSE 'o' END || o_orderkey")} AS order_id,
+        SELECT {_uuid("CASE o_orderpriority WHEN '2-HIGH' THEN 'gone' ELSE 'o' END || o_orderkey")} AS order_id,
                o_custkey AS user_id, o_orderdate AS order_ts,
                CAST(1 AS DECIMAL(18,2)) AS total_usd,
                CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'pending' END AS status
-        FROM orders WHERE o_orderkey % 3 = 0""",
+        FROM orders WHERE o_orderdate < DATE '1999-01-01'""",
     "old_items": """
         SELECT min(raw_order_item_id) AS order_item_id, order_id, product_id, 9 AS quantity,
                CAST(0.99 AS DECIMAL(18,2)) AS price_usd
-        FROM r_it WHERE order_id IS NOT NULL AND product_id % 3 = 0 GROUP BY order_id, product_id""",
+        FROM r_it WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND price_usd < 1000 GROUP BY order_id, product_id""",
     "old_categories": """
         SELECT CAST(r_regionkey + 5 AS BIGINT) AS category_id, 'cat' || (r_regionkey + 3) AS category_name
         FROM region WHERE r_regionkey < 2""",
