@@ -104,6 +104,9 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         stream_groups(stream, f"{root}/checkpoint", f"{root}/ledger")
     groups = read_ledger(spark, f"{root}/ledger") if staged.take(1) else (
         staged.select("digest", F.struct("doc_id", "locator").alias("keep"), F.lit(1).cast("long").alias("rows")))
+    # written, so that the join below has no aggregation in its stage and can split a large group
+    groups.write.parquet(f"{root}/groups")
+    groups = spark.read.schema(groups.schema).parquet(f"{root}/groups")
     shared = _shared_digests(rows, digest)
     shared.write.parquet(f"{root}/shared")
     shared = spark.read.schema(shared.schema).parquet(f"{root}/shared")
