@@ -14,10 +14,12 @@ null; strings of special tokens are ordinary text; other columns pass through un
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,44 +57,48 @@ class Codec:
         self.odd = regex.compile(f"[^{AGREED}]").search
         self.slow = pre_tokenizers.Split(Regex(pattern), "isolated").pre_tokenize_str
         back = byte_table()
-        self.letters = {b: c for c, b in back.items()}
+        self.letters = {b: ord(c) for c, b in back.items()}
         size = max(model["vocab"].values()) + 1
-        self.bytes = [b""] * size
+        spelt = [""] * size
         for token, i in model["vocab"].items():
-            self.bytes[i] = bytes(back[c] for c in token)
-        self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        self.known: dict[str, list[int]] = {}
+            spelt[i] = token
+        self.lengths = np.array([len(t) for t in spelt], dtype=np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.array([back[c] for c in "".join(spelt)], dtype=np.uint8)
+        self.known: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         if not text.isascii() and self.odd(text):
             return [piece for piece, _ in self.slow(text)]
         return self.fast(text)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text.  Pieces not yet known go through the library in one call."""
         known = self.known
         if len(known) > CACHE:
             known.clear()
         pieces = [self.split(t) for t in texts]
-        new = list({p for row in pieces for p in row if p not in known})
+        new = list(set().union(*pieces).difference(known))
         if new:
-            letters = self.letters
-            spelt = ["".join([letters[b] for b in p.encode("utf-8")]) for p in new]
-            for p, e in zip(new, self.tokenizer.encode_batch(spelt, add_special_tokens=False)):
-                known[p] = e.ids
-        out = []
-        for row in pieces:
-            ids: list[int] = []
-            for p in row:
-                ids += known[p]
-            out.append(ids)
-        return out
-
-    def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+            spelt = [p.encode("utf-8").decode("latin-1").translate(self.letters) for p in new]
+            for p, e in zip(new, self.tokenizer.encode_batch_fast(spelt, add_special_tokens=False)):
+                known[p] = array("i", e.ids).tobytes()
+        return [np.frombuffer(b"".join(map(known.__getitem__, row)), dtype=np.int32) for row in pieces]
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens in a row, and the number of bytes of each token."""
+        lengths = self.lengths[ids]
+        stop = np.cumsum(lengths)
+        total = int(stop[-1]) if len(stop) else 0
+        places = np.repeat(self.begins[ids] - (stop - lengths), lengths) + np.arange(total)
+        return self.bytes[places], lengths
+
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and past-the-last character of each token."""
         raw = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
         char = np.cumsum((raw & 0xC0) != 0x80) - 1
-        stop = np.cumsum(self.lengths[ids]) if ids else np.empty(0, np.int64)
-        begin = stop - self.lengths[ids] if ids else stop
+        stop = np.cumsum(self.lengths[ids])
+        begin = stop - self.lengths[ids]
         return char[begin].astype(np.int32), (char[stop - 1] + 1).astype(np.int32)
 
 
@@ -114,7 +120,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lists(rows: list, kind: pa.DataType) -> pa.Array:
     sizes = np.array([0, *(len(r) for r in rows)], dtype=np.int64)
-    flat = np.concatenate([np.asarray(r, dtype=np.int32) for r in rows]) if rows else np.empty(0, np.int32)
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat, kind))
 
 
@@ -151,13 +157,16 @@ def decode(tokens: DataFrame, vocabulary: str, pattern: str, ids: str = "ids",
     schema = T.StructType([*kept, T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _codec(vocabulary, pattern).bytes
+        codec = _codec(vocabulary, pattern)
         for batch in _slices(batches):
-            out = [None if row is None else b"".join([table[i] for i in row])
-                   for row in batch.column(ids).to_pylist()]
+            rows = batch.column(ids)
+            data, lengths = codec.decode(np.asarray(rows.flatten(), dtype=np.int64))
+            ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(pc.list_value_length(rows).fill_null(0)))]
+            out = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+            out = pc.if_else(rows.is_null(), pa.scalar(None, pa.large_binary()), out).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in kept], pa.array(out, pa.binary())],
-                names=[f.name for f in schema])
+                [*[batch.column(f.name) for f in kept], out], names=[f.name for f in schema])
 
     return tokens.mapInArrow(run, schema)
 

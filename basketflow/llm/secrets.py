@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketflow.session import scratch_dir
+
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -125,6 +127,10 @@ def scan(versions: DataFrame, ledger: str, path: str = "path", content: str = "c
         lambda s: s.withField("kind", F.substring_index(s["kind"], "@", 1)))
     found = (_ledger(spark, ledger).where(F.size("spans") > 0).groupBy("blob")
              .agg(F.array_sort(now).alias("spans")))
+    # written, so that the join has no aggregation in its stage and can split a frequent blob
+    folder = scratch_dir(spark, "findings")
+    found.write.parquet(folder)
+    found = spark.read.schema(found.schema).parquet(folder)
     return (rows.select("path", "blob").join(found, "blob", "left")
             .select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")))
 
