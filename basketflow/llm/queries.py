@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from basketflow.llm import byte_bpe, exact_dedup, secrets
+from basketflow.llm import byte_bpe, decontaminate, exact_dedup, quality, secrets, token_counts
 from basketflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The tokenizer files are parameters; these are the ones the queries use.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+# A document stays when the scorer gives it at least this probability of good quality.
+KEEP_SCORE = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scorer, _ = quality.train(docs)
+    scored = quality.score_documents(docs.select("doc_id", "text"), scorer)
+    return scored.select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("kept"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, PIECES).select("doc_id", "n_tokens", "token_score")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = secrets.scan(docs, f"{scratch_dir(spark, 'secrets')}/ledger", path="doc_id", content="text")
@@ -54,6 +73,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
