@@ -48,9 +48,12 @@ def _numbers(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _texts(found: Words, at: np.ndarray, width: int) -> set[bytes]:
-    """The runs of words themselves, joined by one blank."""
-    raw, start, end = found.data.tobytes(), found.start.tolist(), found.end.tolist()
-    return {b" ".join([raw[start[i + k]:end[i + k]] for k in range(width)]) for i in at.tolist()}
+    """The runs of words themselves, joined by one blank; ``at`` ascends within one row."""
+    first, last = int(at[0]), int(at[-1]) + width
+    base = int(found.start[first])
+    raw = found.data[base:int(found.end[last - 1])].tobytes()
+    word = [raw[a:b] for a, b in zip((found.start[first:last] - base).tolist(), (found.end[first:last] - base).tolist())]
+    return {b" ".join(word[i:i + width]) for i in (at - first).tolist()}
 
 
 class Partition:
