@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from basketflow.llm.text import Words, mix, words
+from basketflow.llm.text import Words, mix, slices, words
 
 WIDTH, THRESHOLD = 5, 0.8
 BLOCK_BYTES = 32 << 20
@@ -143,7 +143,7 @@ def search(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             index = build_index(items.value, width, threshold)
-            for batch in batches:
+            for batch in slices(batches, 1):
                 rows = list(matches(batch.column(1), index)) if index else []
                 ids = batch.column(0).to_pylist()
                 yield pa.RecordBatch.from_pydict({
@@ -165,7 +165,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             index = build_index(items.value, width, threshold)
-            for batch in batches:
+            for batch in slices(batches, text):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 for row, *_ in matches(batch.column(text), index) if index else ():
                     keep[row] = False

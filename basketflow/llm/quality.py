@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.text import words
+from basketflow.llm.text import slices, words
 
 TRAIN_ROWS = 4000
 BUCKETS = 2048
@@ -240,10 +240,9 @@ def score_documents(docs: DataFrame, scorer: Scorer, text: str = "text", score:
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [sent.value.score(batch.column(text).slice(at, 256)) for at in range(0, batch.num_rows, 256)]
+        for batch in slices(batches, text):
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in kept], pa.array(np.concatenate([np.empty(0), *parts]))],
+                [*[batch.column(f.name) for f in kept], pa.array(sent.value.score(batch.column(text)))],
                 names=[f.name for f in schema])
 
     return docs.mapInArrow(run, schema)

@@ -8,14 +8,17 @@ probability of about 2**-64 for each pair.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SLICE_BYTES = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -37,10 +40,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """base**0 .. base**(n - 1), kept for the next call."""
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        out = np.full(max(n, 2 * SLICE_BYTES), base, dtype=np.uint64)
+        out[:1] = 1
+        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][:n]
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about SLICE_BYTES of text in ``column``; a longer text is alone.
+
+    The arrays made from a part take some tens of bytes for each of its bytes.
+    """
+    for batch in batches:
+        size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 @dataclass

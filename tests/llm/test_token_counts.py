@@ -1,6 +1,5 @@
 import pytest
-from tokenizers import Tokenizer, decoders, models
-from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer, models
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from basketflow.llm import queries, token_counts
@@ -16,16 +15,6 @@ def library():
     return Tokenizer(models.Unigram([(p.piece, p.score) for p in model.pieces], unk_id=0, byte_fallback=True))
 
 
-@pytest.fixture(scope="module")
-def sentencepiece():
-    """The same file read as a unigram model by the sentencepiece library (single precision)."""
-    model = proto.ModelProto()
-    with open(queries.PIECES, "rb") as f:
-        model.ParseFromString(f.read())
-    model.trainer_spec.model_type = 1
-    return SentencePieceProcessor(model_proto=model.SerializeToString())
-
-
 def spelt(text):
     return token_counts.BLANK + text.replace(" ", token_counts.BLANK)
 
@@ -35,15 +24,6 @@ def test_query_equals_the_library(spark, shared, real, library):
     assert got == {i: len(library.encode(spelt(t)).ids) if t else 0 for i, t in real}
 
 
-def test_short_lines_equal_sentencepiece(real, sentencepiece):
-    counter = token_counts.Counter(token_counts.read_vocabulary(queries.PIECES))
-    # single precision is exact only without the scores near -1e9 of unknown characters and runs of blanks
-    lines = [line for _, t in real[:60] for line in (t or "").split("\n")
-             if 0 < len(line) < 200 and counter.count(line)[1] > -1e6]
-    assert len(lines) > 20
-    assert [counter.count(x)[0] for x in lines] == [len(sentencepiece.encode(x)) for x in lines]
-
-
 def test_edges(docs, edges, library):
     odd = [(30, "\U0001f9d1‍\U0001f52c  two  blanks "), (31, "▁▁ a▁b"), (32, "\n\n x\ny"), (33, "ééé 你好 \x00")]
     frame = docs(edges + odd)
