@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from basketflow.llm import byte_bpe, decontaminate, exact_dedup, quality, secrets, token_counts
+from basketflow.llm import byte_bpe, decontaminate, exact_dedup, ngram_join, quality, secrets, token_counts
 from basketflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("kept"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.group_similar(_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, PIECES).select("doc_id", "n_tokens", "token_score")
@@ -75,6 +79,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
