@@ -1,18 +1,20 @@
 """Groups of documents whose sets of word n-grams are similar: a Jaccard join, exact.
 
 Shingles (runs of ``width`` words) are ordered rare class first, then by number; frequent
-shingles are those found several times in one slice of text, summed over all slices.  Two
-sets with enough overlap share two of the first n - need + 2 shingles of this order.  If one
-of these is rare, it is a signature by itself; else a pair of frequent ones is.  Sets of
-more than LONG shingles, whose prefixes would give very many pairs, use single frequent
-shingles too.  The classes only decide how much work there is, never the result.
-
-All sets that share a signature are compared with one of them, the pivot (few rare
-shingles), not with each other.  What is left is joined on the differences to the pivot:
-with D = set xor pivot, two sets are linked exactly if D1 and D2 overlap enough, and two sets
-linked to the pivot need no comparison.  Signatures of this second join are the rarest
-differences, and a signature that many sets share gets a pivot of its own.  So a group of
-very many near copies costs a comparison with its pivot for each, not one for each pair.
+shingles are those found repeatedly in one window of text, summed over all windows.  Two
+linked sets share K of the first n - need + K shingles of this order.  A rare shingle of
+this prefix is a signature by itself, frequent ones in pairs.  Sets of more than LONG
+shingles, whose prefixes would give very many pairs, use single frequent shingles too.  The
+classes only decide how much work there is, never the result.
+
+Sets that share a signature held by few sets are candidates if they share K of them, or one
+when both prefixes hold frequent shingles.  Sets that share a signature held by many are
+compared with one of them, the pivot (few rare shingles), not with each other.  What is
+left of these is joined on the differences to the pivot: with D = set xor pivot, two sets are
+linked exactly if D1 and D2 overlap enough, and two sets linked to the pivot need no
+comparison.  Signatures of this second join are the rarest differences, and a signature
+that many sets share gets a pivot of its own.  So a group of very many near copies costs a
+comparison with its pivot for each, not one for each pair.
 
 Equal sets are one node.  Nodes are 64-bit digests of sets; links are exact up to digests of
 unequal shingles or sets that agree (about 2**-64 a pair).
@@ -35,10 +37,14 @@ from basketflow.llm.graph import components
 from basketflow.llm.text import mix, shingles, slices, words
 from basketflow.session import scratch_dir
 
-# Shingles found this often in one slice are counted; those with FREQUENT in all are frequent.
-LOCAL, FREQUENT = 4, 32
-# The frequent class never has more members (2 MB); it is the only thing sent to every task.
-MOST_FREQUENT = 1 << 18
+# Shingles found LOCAL times in one window are counted; those with FREQUENT in all are frequent.
+WINDOW, LOCAL, FREQUENT = 8_000_000, 2, 8
+# The frequent class never has more members (8 MB); it is the only thing sent to every task.
+MOST_FREQUENT = 1 << 20
+# Shingles that linked sets share in their prefixes, at most.
+K = 4
+# Signatures with more sets than this get a pivot.
+SMALL = 24
 # Signatures of differences with more sets than this get a pivot of their own ...
 BUCKET = 100
 # ... for this many rounds; after that the sets that share one are compared directly.
@@ -74,10 +80,15 @@ def nodes(row: np.ndarray, number: np.ndarray, rows: int) -> tuple[np.ndarray, n
     return first, size, digest.astype(np.int64)
 
 
-def signatures(number: np.ndarray, often: np.ndarray, percent: int, longest: int) -> np.ndarray:
-    """Signatures of one set given in order."""
+def shared_at_least(percent: int) -> int:
+    """K, or less where unequal linked sets may share less."""
+    return min(K, percent // (100 - percent))
+
+
+def signatures(number: np.ndarray, often: np.ndarray, percent: int, longest: int) -> tuple[np.ndarray, bool]:
+    """Signatures of one set given in order, and whether its prefix has frequent shingles."""
     n = len(number)
-    prefix = min(n, n - -(-percent * n // 100) + 2)
+    prefix = min(n, n - -(-percent * n // 100) + max(2, shared_at_least(percent)))
     head, common = number[:prefix], often[:prefix]
     parts = [mix(head[~common])]
     hot = head[common]
@@ -86,7 +97,7 @@ def signatures(number: np.ndarray, often: np.ndarray, percent: int, longest: int
         parts.append(mix(mix(hot[a]) * np.uint64(3) + hot[b]))
     if n * 100 > longest * percent:
         parts.append(mix(hot + _SEED))
-    return np.concatenate(parts).astype(np.int64)
+    return np.concatenate(parts).astype(np.int64), len(hot) > 0
 
 
 def _key(docs: DataFrame, doc_id: str, text: str) -> Column:
@@ -94,13 +105,21 @@ def _key(docs: DataFrame, doc_id: str, text: str) -> Column:
 
 
 def frequent_shingles(docs: DataFrame, width: int, text: str = "text") -> np.ndarray:
+    def counted(window: list[np.ndarray]) -> pa.RecordBatch:
+        value, count = np.unique(np.concatenate([np.empty(0, np.uint64), *window]), return_counts=True)
+        many = count >= LOCAL
+        return pa.RecordBatch.from_arrays([pa.array(value[many].astype(np.int64)), pa.array(count[many])],
+                                          names=["token", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        window, size = [], 0
         for batch in slices(batches, 0):
-            row, number, _ = sets(batch.column(0), width, np.empty(0, np.uint64))
-            value, count = np.unique(number, return_counts=True)
-            many = count >= LOCAL
-            yield pa.RecordBatch.from_arrays([pa.array(value[many].astype(np.int64)), pa.array(count[many])],
-                                             names=["token", "n"])
+            window.append(sets(batch.column(0), width, np.empty(0, np.uint64))[1])
+            size += len(window[-1])
+            if size > WINDOW:
+                yield counted(window)
+                window, size = [], 0
+        yield counted(window)
 
     found = (docs.select(text).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT))
@@ -129,15 +148,17 @@ def _signed(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, f
             first, size, digest = nodes(row, number, batch.num_rows)
             signed = [signatures(number[a:b], often[a:b], percent, longest) for a, b in zip(first, first[1:])]
             rare = np.array([int((~often[a:b]).sum()) for a, b in zip(first, first[1:])], dtype=np.int64)
+            hot = np.array([h for _, h in signed], dtype=bool)
+            signed = [s for s, _ in signed]
             offsets = np.cumsum([0, *(len(s) for s in signed)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digest), pa.array(size.astype(np.int64)), pa.array(rare),
+                [batch.column(0), batch.column(1), pa.array(digest), pa.array(size.astype(np.int64)), pa.array(rare), pa.array(hot),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(signed)))],
-                names=["doc_id", "key", "node", "n", "rare", "signs"])
+                names=["doc_id", "key", "node", "n", "rare", "hot", "signs"])
 
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), _key(docs, doc_id, text).alias("key"),
                        docs[text].alias("text")).mapInArrow(
-        run, "doc_id long, key long, node long, n long, rare long, signs array<long>")
+        run, "doc_id long, key long, node long, n long, rare long, hot boolean, signs array<long>")
 
 
 def _sets_of(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -156,13 +177,25 @@ def _sets_of(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFr
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _few(signs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Candidates (pivot, node) that share signatures of few sets."""
+    rows = signs.join(shared.where(F.col("size") <= SMALL).select("sign"), "sign").select("sign", "node", "n", "hot")
+    a, b = rows.alias("a"), rows.alias("b")
+    like = (F.greatest("a.n", "b.n") * percent <= F.least("a.n", "b.n") * 100)
+    both = a.join(b, (F.col("a.sign") == F.col("b.sign")) & (F.col("a.node") < F.col("b.node")) & like)
+    return (both.groupBy(F.col("a.node").alias("pivot"), F.col("b.node").alias("node"))
+            .agg(F.count(F.lit(1)).alias("shared"), F.max(F.col("a.hot") & F.col("b.hot")).alias("hot"))
+            .where(F.col("hot") | (F.col("shared") >= shared_at_least(percent))).select("pivot", "node"))
+
+
 def _against_pivots(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Members with their overlap with the pivot and their differences to it."""
+    """Members with their overlap with the pivot and, where these are used, their differences to it."""
     pivots = tokens.select(F.col("node").alias("pivot"), F.col("tokens").alias("ptokens"))
     both = pairs.join(tokens, "node").join(pivots, "pivot")
     n, m = F.size("tokens").cast("long"), F.size("ptokens").cast("long")
     left, gone = F.array_except("tokens", "ptokens"), F.array_except("ptokens", "tokens")
-    return _state(both.select("pivot", "node", n.alias("n"), m.alias("pn"), F.concat(left, gone).alias("diff"),
+    return _state(both.select("pivot", "node", "scope", n.alias("n"), m.alias("pn"),
+                              F.when(F.col("scope"), F.concat(left, gone)).alias("diff"),
                               (n - F.size(left)).alias("same")), percent)
 
 
@@ -244,14 +277,17 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     folder = _Folder(docs.sparkSession)
     frequent = frequent_shingles(docs, width, text)
     signed = folder.save(_signed(docs, doc_id, text, width, percent, frequent), "signed")
-    own = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("key", "n", "rare", "signs")).alias("r"))
-    signs = own.select("node", "r.key", "r.rare", F.explode("r.signs").alias("sign"))
+    own = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("key", "n", "rare", "hot", "signs")).alias("r"))
+    signs = own.select("node", "r.key", "r.n", "r.rare", "r.hot", F.explode("r.signs").alias("sign"))
     signs = folder.save(signs, "signs")
-    shared = (signs.groupBy("sign").agg(F.min(F.struct("rare", "node")).alias("p"), F.min("node").alias("low"),
-                                        F.max("node").alias("high"))
-              .where("low < high").select("sign", F.col("p.node").alias("pivot")))
+    shared = (signs.groupBy("sign").agg(F.min(F.struct("rare", "node")).alias("p"), F.count(F.lit(1)).alias("size"))
+              .where("size > 1").select("sign", F.col("p.node").alias("pivot"), "size"))
     shared = folder.save(shared, "shared")
-    pairs = folder.save(signs.join(shared, "sign").where("node <> pivot").select("pivot", "node").distinct(), "pairs")
+    many = signs.join(shared.where(F.col("size") > SMALL), "sign").where("node <> pivot").select("pivot", "node")
+    pairs = (many.distinct().withColumn("scope", F.lit(True))
+             .unionByName(_few(signs, shared, percent).withColumn("scope", F.lit(False)))
+             .groupBy("pivot", "node").agg(F.max("scope").alias("scope")))
+    pairs = folder.save(pairs, "pairs")
     wanted = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
     keys = signs.select("node", "key").distinct()
     wanted = folder.save(keys.join(wanted, "node"), "wanted")
@@ -259,6 +295,7 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     state = folder.save(_against_pivots(pairs, tokens, percent), "state")
     links = state.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     labels = folder.save(components(links), "labels0")
+    state = state.where("scope").drop("scope")
     for step in range(1, ROUNDS + 1):
         state = _labelled(state, labels)
         marked = folder.save(_difference_signs(state, percent, folder, step), f"differences{step}")

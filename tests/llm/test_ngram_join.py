@@ -68,7 +68,7 @@ def test_large_group_of_near_copies(docs, rows, monkeypatch, width, percent, buc
     pairs = near_copies(1, 1, 250, [150], [1, 2, 3, 4, 6]) + [
         (i + 1000, t) for i, t in near_copies(2, 12, 12, [4, 8, 30, 400], [0, 1, 2, 5, 12])]
     monkeypatch.setattr(ngram_join, "BUCKET", bucket)
-    monkeypatch.setattr(ngram_join, "FREQUENT", 10)
+    monkeypatch.setattr(ngram_join, "SMALL", bucket // 4)
     assert rows(ngram_join.group_similar(docs(pairs), width=width, percent=percent)) == brute(pairs, width, percent)
 
 
