@@ -45,6 +45,8 @@ MOST_FREQUENT = 1 << 20
 K = 4
 # Signatures with more sets than this get a pivot.
 SMALL = 24
+# Bits of the filter that picks the documents whose sets are wanted (16 MB).
+BITS = 1 << 27
 # Signatures of differences with more sets than this get a pivot of their own ...
 BUCKET = 100
 # ... for this many rounds; after that the sets that share one are compared directly.
@@ -161,19 +163,37 @@ def _signed(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, f
         run, "doc_id long, key long, node long, n long, rare long, hot boolean, signs array<long>")
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """BITS bits, those of the keys set.  Its size is fixed; when full it lets every key through."""
+    words = (keys.groupBy(F.expr(f"shiftright(pmod(key, {BITS}), 6)").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(pmod(key, 64) AS int)))").alias("bits"))).toArrow()
+    out = np.zeros(BITS >> 6, dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
 def _sets_of(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(node, tokens) of the wanted nodes, from one document of each."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            row, number, _ = sets(batch.column(0), width, np.empty(0, np.uint64))
-            first, _, digest = nodes(row, number, batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digest), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(number.astype(np.int64)))],
-                names=["node", "tokens"])
+    """(node, tokens) of the wanted nodes, from the documents whose key is wanted.
+
+    The texts stay where they are read: a bitmap of the wanted keys passes over the others.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
-    texts = (docs.select(_key(docs, doc_id, text).alias("key"), docs[text].alias("text"))
-             .join(wanted.select("key").distinct(), "key", "left_semi"))
-    made = texts.select("text").mapInArrow(run, "node long, tokens array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        for batch in batches:
+            key = batch.column(0).fill_null(0).to_numpy() % BITS
+            chosen = batch.filter(pa.array((bits[key >> 6] >> (key & 63)) & 1 == 1))
+            for part in slices([chosen], 1):
+                row, number, _ = sets(part.column(1), width, np.empty(0, np.uint64))
+                first, _, digest = nodes(row, number, part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digest),
+                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(number.astype(np.int64)))],
+                    names=["node", "tokens"])
+
+    made = (docs.select(_key(docs, doc_id, text).cast("long").alias("key"), docs[text].alias("text"))
+            .mapInArrow(run, "node long, tokens array<long>"))
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -209,28 +229,41 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return found.withColumn("component", F.coalesce("component", "node"))
 
 
-def _open(rows: DataFrame, by: list[str], *extra: Column) -> DataFrame:
-    """Groups whose members are not yet in one component."""
-    return (rows.groupBy(*by).agg(F.min("component").alias("_low"), F.max("component").alias("_high"), *extra)
-            .where("_low < _high").drop("_low", "_high"))
-
-
 def _difference_signs(state: DataFrame, percent: int, folder: _Folder, step: int) -> DataFrame:
-    """Rows (pivot, token, node, ...) of the rarest differences, as many as the bound asks for."""
-    scopes = folder.save(_open(state, ["pivot"]), f"scopes{step}")
+    """Rows (pivot, kind, token, node, ...) of the rarest differences, as many as the bound asks for.
+
+    Sets linked to the pivot need no comparison with each other, so a pair has one such set
+    (kind cross) or none (kind apart); an overlap below ``least`` cannot link a pair of the kind.
+    """
+    scopes = (state.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+              .where("low < high").select("pivot"))
+    scopes = folder.save(scopes, f"scopes{step}")
     members = folder.save(state.join(scopes, "pivot", "left_semi"), f"members{step}")
     tokens = members.select("pivot", "node", F.explode("diff").alias("token"))
     shared = folder.save(tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), f"df{step}")
     ranked = (tokens.join(shared, ["pivot", "token"]).groupBy("pivot", "node")
               .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order")))
     rows = members.withColumn("d", F.size("diff").cast("long")).drop("diff").join(ranked, ["pivot", "node"])
-    e = F.size("order")
-    least = F.greatest(F.lit(1), need(F.col("n"), F.col("pn"), percent) - F.col("same"))
-    # differences that no other set has come first in the order and match nothing
-    length = F.least(e, F.col("d") - least + 1 - (F.col("d") - e)).cast("int")
-    return (rows.withColumn("e", e.cast("long")).withColumn("length", length).where("length > 0")
-            .withColumn("token", F.explode(F.slice("order", F.lit(1), F.col("length"))))
-            .withColumn("token", F.col("token.token")).drop("order", "length"))
+    far = F.floor(percent * (F.col("n") - F.col("pn")) / F.lit(100 + percent)) + 1 + F.col("pn") - F.col("same")
+    near = need(F.col("n"), F.col("pn"), percent) - F.col("same")
+    # differences that no other set has would come first in the order, and match nothing
+    rows = (rows.withColumn("e", F.size("order").cast("long"))
+            .withColumn("kind", F.explode(F.when(F.col("linked"), F.array(F.lit("cross")))
+                                          .otherwise(F.array(F.lit("cross"), F.lit("apart")))))
+            .withColumn("least", F.greatest(F.lit(1), F.when(~F.col("linked") & (F.col("kind") == "cross"), near).otherwise(far)))
+            .where("e >= least"))
+    return (rows.withColumn("token", F.explode(F.slice("order", F.lit(1), (F.col("e") - F.col("least") + 1).cast("int"))))
+            .withColumn("token", F.col("token.token")).drop("order", "least"))
+
+
+def _open(marked: DataFrame) -> DataFrame:
+    """Signatures of differences that some pair to be compared shares."""
+    return (marked.groupBy("pivot", "kind", "token")
+            .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("linked", "d", "node")).alias("p"),
+                 F.min("component").alias("low"), F.max("component").alias("high"),
+                 F.min("linked").alias("some_apart"), F.max("linked").alias("some_linked"))
+            .where("low < high and (kind = 'apart' or (some_linked and not some_apart))")
+            .select("pivot", "kind", "token", "size", F.col("p.node").alias("next")))
 
 
 def _least_overlap(percent: int) -> Column:
@@ -240,10 +273,11 @@ def _least_overlap(percent: int) -> Column:
 
 def _direct(signs: DataFrame, state: DataFrame, percent: int, folder: _Folder, step: int) -> DataFrame:
     """Links between sets that share a signature of differences, each pair compared once."""
-    columns = ["pivot", "token", "node", "component", "n", "pn", "same", "d", "e"]
+    columns = ["pivot", "kind", "token", "node", "linked", "component", "n", "pn", "same", "e"]
     a, b = signs.select(columns).alias("a"), signs.select(columns).alias("b")
     small = F.least(F.col("a.e"), F.col("b.e"))
     pairs = (a.join(b, (F.col("a.pivot") == F.col("b.pivot")) & (F.col("a.token") == F.col("b.token"))
+                    & (F.col("a.kind") == F.col("b.kind")) & ~(F.col("a.linked") & F.col("b.linked"))
                     & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
                     & (_least_overlap(percent) <= small))
              .select(F.col("a.pivot").alias("pivot"), F.col("a.node").alias("a"), F.col("b.node").alias("b"),
@@ -299,16 +333,15 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     for step in range(1, ROUNDS + 1):
         state = _labelled(state, labels)
         marked = folder.save(_difference_signs(state, percent, folder, step), f"differences{step}")
-        size = F.count(F.lit(1)).alias("size")
-        pivot = F.min(F.struct("linked", "d", "node")).alias("p")
-        buckets = folder.save(_open(marked, ["pivot", "token"], size, pivot), f"buckets{step}")
+        buckets = folder.save(_open(marked), f"buckets{step}")
         if not buckets.take(1):
             break
+        by = ["pivot", "kind", "token"]
         large = buckets.where(F.col("size") > BUCKET) if step < ROUNDS else buckets.where("false")
-        small = buckets.join(large, ["pivot", "token"], "left_anti").select("pivot", "token")
-        found = _direct(marked.join(small, ["pivot", "token"], "left_semi"), state, percent, folder, step)
-        members = (marked.join(large.select("pivot", "token", F.col("p.node").alias("next")), ["pivot", "token"])
-                   .where("node <> next").select("pivot", "node", "next").distinct())
+        small = buckets.where(F.col("size") <= BUCKET) if step < ROUNDS else buckets
+        found = _direct(marked.join(small.select(by), by, "left_semi"), state, percent, folder, step)
+        members = (marked.join(large.select(*by, "next"), by).where("node <> next")
+                   .select("pivot", "node", "next").distinct())
         state = folder.save(_next_state(members, state.drop("component"), percent), f"state{step}")
         more = state.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         links = folder.save(links.unionByName(found).unionByName(more).distinct(), f"links{step}")
