@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from basketflow.llm import byte_bpe, decontaminate, exact_dedup, ngram_join, quality, secrets, token_counts
+from basketflow.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, lm, ngram_join, quality, secrets, token_counts
 from basketflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("kept"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.group_similar(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -64,6 +68,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("spans")).alias("spans"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dropped_lines(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(_table(spark, sf_dir, "documents"))
 
@@ -79,9 +87,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_token_counts": op6_token_counts,
     "op7_secret_scan": op7_secret_scan,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
