@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-from basketflow.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, lm, ngram_join, quality, secrets, token_counts
+import corpus_pipeline
+from basketflow.llm import (
+    byte_bpe, decontaminate, exact_dedup, line_dedup, lm, ngram_join, pii, quality, secrets, token_counts,
+)
 from basketflow.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,14 +20,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-# A document stays when the scorer gives it at least this probability of good quality.
-KEEP_SCORE = 0.3
+# The key of the surrogates is a parameter; this one is for the query.
+SURROGATE_KEY = "basketflow"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_mentions(docs, SURROGATE_KEY)
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -34,7 +41,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scorer, _ = quality.train(docs)
     scored = quality.score_documents(docs.select("doc_id", "text"), scorer)
-    return scored.select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("kept"))
+    return scored.select("doc_id", "score", (F.col("score") >= corpus_pipeline.KEEP_SCORE).alias("kept"))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +92,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_lm_scoring": op4_lm_scoring,
