@@ -2,11 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.session import scratch_dir
 
+# Bits of a filter of wanted numbers (16 MB).
+BITS = 1 << 27
+
+
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """BITS bits, those of the keys set.  Its size is fixed; when full it lets every key through."""
+    words = (keys.groupBy(F.expr(f"shiftright(pmod({key}, {BITS}), 6)").alias("word"))
+             .agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod({key}, 64) AS int)))").alias("bits"))).toArrow()
+    out = np.zeros(BITS >> 6, dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def may_hold(bits: np.ndarray, keys: pa.Array) -> pa.Array:
+    """Whether each key may be one of those of the bitmap; wanted keys always are."""
+    key = keys.fill_null(0).to_numpy() % BITS
+    return pa.array((bits[key >> 6] >> (key & 63)) & 1 == 1)
+
+
+def only_wanted(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key may be wanted, without moving them: some others stay, no wanted one goes."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, key))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(may_hold(sent.value, batch.column(key)))
+
+    return rows.mapInArrow(run, rows.schema)
+
 
 def _saved(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)

@@ -4,8 +4,9 @@ Distinct lines are joined when their edit distance is at most ``edits``.  A line
 cut into edits + 1 segments; edits can touch all but one, so a line at that distance holds
 one segment unchanged, not far from its place.  Segments are indexed by (length, number,
 text); a line probes the indexes of its own and the lengths below with the substrings that can
-match (multi-match-aware selection).  Candidates are verified by a banded bit-parallel
-edit distance, many pairs at a time.  Lines within that distance form classes (links
+match (multi-match-aware selection).  A pair is a candidate only if counts of its characters by
+class, which one edit changes by two at most, are near enough.  Candidates are verified by a
+banded bit-parallel edit distance, many pairs at a time.  Lines within that distance form classes (links
 chained); of a class the first line of the smallest document stays.
 
 Defined results: lines are split at line feeds; lines of fewer than ``least`` characters are
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.graph import components
+from basketflow.llm.graph import components, only_wanted
+from basketflow.llm.text import slices
 from basketflow.session import scratch_dir
 
 EDITS, LEAST = 2, 24
@@ -103,43 +105,60 @@ def distances(first: list[str], second: list[str], edits: int) -> np.ndarray:
     return out
 
 
-def _numbers(lines: list[str]) -> np.ndarray:
-    import xxhash
-
-    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in lines], dtype=np.uint64).astype(np.int64)
-
-
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     parts = F.split(F.coalesce(docs[text], F.lit("")), "\n", -1)
     return docs.select(docs[doc_id].alias("doc_id"), F.posexplode(parts).alias("place", "line"))
 
 
+def sketches(lines: list[str]) -> np.ndarray:
+    """Counts of the characters of each line in 16 classes, modulo 16, packed into 64 bits."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32) & 15
+    row = np.repeat(np.arange(len(lines)), [len(t) for t in lines])
+    count = np.bincount(row * 16 + codes, minlength=16 * len(lines)).reshape(-1, 16).astype(np.uint64) & np.uint64(15)
+    return (count << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64)
+
+
+def _alike(a: str, b: str, edits: int) -> str:
+    """SQL: the packed counts differ by at most two for each edit."""
+    def apart(k: int) -> str:
+        d = f"pmod((shiftrightunsigned({a}, {4 * k}) & 15) - (shiftrightunsigned({b}, {4 * k}) & 15), 16)"
+        return f"least({d}, 16 - {d})"
+
+    return f"({' + '.join(apart(k) for k in range(16))}) <= {2 * edits}"
+
+
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
-    """(key, probe, line): index entries and probes of each distinct line."""
+    """(key, probe, line, sketch): index entries and probes of each distinct line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         plan: dict[int, tuple[list, list]] = {}
         digest = xxhash.xxh64_intdigest
-        for batch in batches:
-            keys, probe, owner = [], [], []
-            for number, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for batch in slices(batches, 1):
+            keys, probe, times = [], [], []
+            texts = batch.column(1).to_pylist()
+            for line in texts:
                 n = len(line)
                 if n not in plan:
-                    plan[n] = ([(k, at, at + size, n) for k, (at, size) in enumerate(cuts(n, edits))],
-                               [(k, at, at + size, m) for m in range(max(n - edits, edits + 1), n + 1)
+                    plan[n] = ([(at, at + size, n * 8 + k) for k, (at, size) in enumerate(cuts(n, edits))],
+                               [(at, at + size, m * 8 + k) for m in range(max(n - edits, edits + 1), n + 1)
                                 for k, at, size in probes(n, m, edits)])
-                raw = line.encode("utf-32-le", "surrogatepass")
                 index, search = plan[n]
-                keys += [digest(raw[4 * a:4 * b], seed=m * 8 + k) for k, a, b, m in index]
-                keys += [digest(raw[4 * a:4 * b], seed=m * 8 + k) for k, a, b, m in search]
+                if line.isascii():
+                    raw = line.encode()
+                    keys += [digest(raw[a:b], seed) for a, b, seed in index]
+                    keys += [digest(raw[a:b], seed) for a, b, seed in search]
+                else:
+                    keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for a, b, seed in index]
+                    keys += [digest(line[a:b].encode("utf-8", "surrogatepass"), seed) for a, b, seed in search]
                 probe += [False] * len(index) + [True] * len(search)
-                owner += [number] * (len(index) + len(search))
+                times.append(len(index) + len(search))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, dtype=np.uint64).astype(np.int64)), pa.array(probe, pa.bool_()), pa.array(owner, pa.int64())],
-                names=["key", "probe", "line"])
+                [pa.array(np.array(keys, dtype=np.uint64).astype(np.int64)), pa.array(probe, pa.bool_()),
+                 pa.array(np.repeat(batch.column(0).to_numpy(), times)), pa.array(np.repeat(sketches(texts), times))],
+                names=["key", "probe", "line", "sketch"])
 
-    return lines.select("number", "line").mapInArrow(run, "key long, probe boolean, line long")
+    return lines.select("number", "line").mapInArrow(run, "key long, probe boolean, line long, sketch long")
 
 
 def _verified(pairs: DataFrame, edits: int) -> DataFrame:
@@ -169,12 +188,13 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     lines = spark.read.parquet(f"{root}/lines")
     keys = _keys(lines, edits)
     index, probe = keys.where(~F.col("probe")), keys.where("probe")
-    found = (index.select("key", F.col("line").alias("a")).join(probe.select("key", F.col("line").alias("b")), "key")
-             .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    found = (index.select("key", F.col("line").alias("a"), F.col("sketch").alias("sa"))
+             .join(probe.select("key", F.col("line").alias("b"), F.col("sketch").alias("sb")), "key")
+             .where("a <> b").where(_alike("sa", "sb", edits)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     found.write.parquet(f"{root}/candidates")
     found = spark.read.parquet(f"{root}/candidates")
     wanted = found.select(F.col("a").alias("number")).unionByName(found.select(F.col("b").alias("number"))).distinct()
-    lines.select("number", "line").join(wanted, "number", "left_semi").write.parquet(f"{root}/texts")
+    only_wanted(lines.select("number", "line"), wanted, "number").write.parquet(f"{root}/texts")
     texts = spark.read.parquet(f"{root}/texts")
     pairs = (found.join(texts.select(F.col("number").alias("a"), F.col("line").alias("ta")), "a")
              .join(texts.select(F.col("number").alias("b"), F.col("line").alias("tb")), "b"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.graph import components
+from basketflow.llm.graph import bitmap, components, may_hold
 from basketflow.llm.text import mix, shingles, slices, words
 from basketflow.session import scratch_dir
 
@@ -45,8 +45,6 @@ MOST_FREQUENT = 1 << 20
 K = 4
 # Signatures with more sets than this get a pivot.
 SMALL = 24
-# Bits of the filter that picks the documents whose sets are wanted (16 MB).
-BITS = 1 << 27
 # Signatures of differences with more sets than this get a pivot of their own ...
 BUCKET = 100
 # ... for this many rounds; after that the sets that share one are compared directly.
@@ -163,34 +161,20 @@ def _signed(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, f
         run, "doc_id long, key long, node long, n long, rare long, hot boolean, signs array<long>")
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """BITS bits, those of the keys set.  Its size is fixed; when full it lets every key through."""
-    words = (keys.groupBy(F.expr(f"shiftright(pmod(key, {BITS}), 6)").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(pmod(key, 64) AS int)))").alias("bits"))).toArrow()
-    out = np.zeros(BITS >> 6, dtype=np.int64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return out
-
-
 def _sets_of(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
     """(node, tokens) of the wanted nodes, from the documents whose key is wanted.
 
     The texts stay where they are read: a bitmap of the wanted keys passes over the others.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
-        for batch in batches:
-            key = batch.column(0).fill_null(0).to_numpy() % BITS
-            chosen = batch.filter(pa.array((bits[key >> 6] >> (key & 63)) & 1 == 1))
-            for part in slices([chosen], 1):
-                row, number, _ = sets(part.column(1), width, np.empty(0, np.uint64))
-                first, _, digest = nodes(row, number, part.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digest),
-                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(number.astype(np.int64)))],
-                    names=["node", "tokens"])
+        for part in slices((b.filter(may_hold(sent.value, b.column(0))) for b in batches), 1):
+            row, number, _ = sets(part.column(1), width, np.empty(0, np.uint64))
+            first, _, digest = nodes(row, number, part.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digest), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(number.astype(np.int64)))],
+                names=["node", "tokens"])
 
     made = (docs.select(_key(docs, doc_id, text).cast("long").alias("key"), docs[text].alias("text"))
             .mapInArrow(run, "node long, tokens array<long>"))
@@ -244,14 +228,19 @@ def _difference_signs(state: DataFrame, percent: int, folder: _Folder, step: int
     ranked = (tokens.join(shared, ["pivot", "token"]).groupBy("pivot", "node")
               .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order")))
     rows = members.withColumn("d", F.size("diff").cast("long")).drop("diff").join(ranked, ["pivot", "node"])
-    far = F.floor(percent * (F.col("n") - F.col("pn")) / F.lit(100 + percent)) + 1 + F.col("pn") - F.col("same")
+    gap = F.floor(percent * (F.col("n") - F.col("pn")) / F.lit(100 + percent)) + F.col("pn") - F.col("same")
     near = need(F.col("n"), F.col("pn"), percent) - F.col("same")
     # differences that no other set has would come first in the order, and match nothing
-    rows = (rows.withColumn("e", F.size("order").cast("long"))
-            .withColumn("kind", F.explode(F.when(F.col("linked"), F.array(F.lit("cross")))
-                                          .otherwise(F.array(F.lit("cross"), F.lit("apart")))))
-            .withColumn("least", F.greatest(F.lit(1), F.when(~F.col("linked") & (F.col("kind") == "cross"), near).otherwise(far)))
-            .where("e >= least"))
+    rows = rows.withColumn("e", F.size("order").cast("long")).withColumn("gap", gap)
+    linked = rows.where("linked").withColumn("least", F.greatest(F.lit(1), F.col("gap") + 1)).where("e >= least")
+    # a pair's least overlap is the near of the set apart and the gap of the linked one, together
+    closest = linked.groupBy("pivot").agg(F.min("gap").alias("closest"))
+    apart = rows.where("not linked")
+    crossing = (apart.join(closest, "pivot").withColumn("least", F.greatest(F.lit(1), near + F.col("closest")))
+                .drop("closest"))
+    apart = apart.withColumn("least", F.greatest(F.lit(1), F.col("gap") + 1))
+    rows = (linked.unionByName(crossing).withColumn("kind", F.lit("cross"))
+            .unionByName(apart.withColumn("kind", F.lit("apart"))).where("e >= least").drop("gap"))
     return (rows.withColumn("token", F.explode(F.slice("order", F.lit(1), (F.col("e") - F.col("least") + 1).cast("int"))))
             .withColumn("token", F.col("token.token")).drop("order", "least"))
 
