@@ -58,14 +58,9 @@ def nan_to_null(c: Column | str) -> Column:
 
 
 def try_id(c: Column | str) -> Column:
-    """A text id as bigint: '12' and '12.0' parse, 'x12' and '12.5' are NULL.
-
-    The direct cast comes first: it keeps all 64 bits, a double keeps only 53.
-    """
-    c = _col(c)
-    number = c.try_cast("double")
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(c.try_cast("bigint"), whole)
+    """A text id as bigint: '12', ' +12' and '12.0' parse; 'x12', '12.5', '12d', '1e5' and
+    '0x1p3' are NULL, and so are numbers beyond 64 bits."""
+    return F.regexp_extract(_col(c), r"^\s*([+-]?[0-9]+)(\.0*)?\s*$", 1).try_cast("bigint")
 
 
 def try_ts(c: Column | str) -> Column:

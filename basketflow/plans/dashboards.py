@@ -89,12 +89,13 @@ def weather_influence(events: DataFrame, bucket: int = 10) -> DataFrame:
         F.count_distinct("session_id").alias("n_sessions"))
 
 
-def places_needing_attention(geo_analysis: DataFrame, below: float, n: int = 20) -> DataFrame:
-    """Places and days with visitors but a conversion under ``below``, most users first."""
-    return (geo_analysis.where((F.col("conversion_rate") < below) & (F.col("total_users") > 0))
+def places_needing_attention(geo_analysis: DataFrame, below: float, n: int | None = None) -> DataFrame:
+    """Places and days with visitors but a conversion under ``below``, most users first; the
+    first ``n`` of them if given."""
+    places = (geo_analysis.where((F.col("conversion_rate") < below) & (F.col("total_users") > 0))
             .orderBy(F.col("total_users").desc(), "conversion_rate", "country", "city", "event_date")
-            .select("country", "city", "event_date", "total_users", "total_orders",
-                    "conversion_rate").limit(n))
+            .select("country", "city", "event_date", "total_users", "total_orders", "conversion_rate"))
+    return places if n is None else places.limit(n)
 
 
 def category_popularity(raw_events: DataFrame) -> DataFrame:

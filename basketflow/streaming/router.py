@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow import schemas
-from basketflow.functions import try_date, try_ts
+from basketflow.functions import try_date, try_id, try_ts
 
 # Message type -> raw table; any other type, none at all and null are events.
 ROUTES = {
@@ -67,9 +67,22 @@ def _typed(c: Column, kind: T.DataType) -> Column:
         return try_ts(c)
     if isinstance(kind, T.DateType):
         return try_date(c)
+    if isinstance(kind, T.IntegralType):
+        return try_id(c).try_cast(kind)
     return c.try_cast(kind)
 
 
+def _one_object(value: Column) -> Column:
+    """Whether the text is one JSON object and nothing else but white space.
+
+    ``from_json`` reads the first value only.  What may follow it inside an array and what may
+    follow it inside an object differ, so with both wrappers nothing can.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+    inside = F.size(F.json_object_keys(F.concat(F.lit('{"a":'), value, F.lit("}")))) == 1
+    return F.coalesce(value.rlike(r"^\s*\{") & alone & inside, F.lit(False))
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """``value`` (JSON text) to wide rows with ``route``, ``reason`` and ``value``.
 
@@ -87,7 +100,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     read = read.withColumn("_table", table).withColumn(
         "event_type", F.when(kind_of.isin(LIFECYCLE), kind_of).otherwise(F.col("event_type")))
 
-    broken = F.col("value").isNull() | F.col("_corrupt").isNotNull() | ~F.ltrim("value").startswith("{")
+    broken = F.col("_corrupt").isNotNull() | ~_one_object(F.col("value"))
     reasons, columns = [F.when(broken, F.lit("not a JSON object"))], []
     for name, (kind, tables) in WIDE.items():
         here = F.col("_table").isin(tables)

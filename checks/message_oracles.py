@@ -23,7 +23,7 @@ MESSAGE_TABLES = {
         SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name, {_NO} AS email,
                CAST(DATE '1970-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS DATE) AS birth_date,
                ['male', 'female', 'other'][c_custkey % 3 + 1] AS gender
-        FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+        FROM customer""",
     "m_user_devices": """
         SELECT CAST(c_custkey AS VARCHAR) AS user_id,
                ['mobile', 'desktop', NULL][c_custkey % 3 + 1] AS device_type,

@@ -60,7 +60,7 @@ def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFram
     order_of_line = F.concat(F.lit("o"), line.cast("string"))
     back = F.col("l_returnflag")
     return reduce(DataFrame.unionByName, [
-        _of(customer.where("c_mktsegment <> 'BUILDING'"), "user_profile", user_id=c, name=F.col("c_name"),
+        _of(customer, "user_profile", user_id=c, name=F.col("c_name"),
             birth_date=F.date_add(F.lit("1970-01-01").cast("date"), (c % 15000).cast("int"))
             .cast("string"), gender=_pick(c % 3, "male", "female", "other"),
             loyalty=F.lit("unknown field")),

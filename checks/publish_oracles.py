@@ -113,7 +113,7 @@ DASHBOARDS = {
     "b11_low_conversion": """
         SELECT country, city, event_date, total_users, total_orders, conversion_rate
         FROM q_geo_analysis WHERE conversion_rate < 0.5 AND total_users > 0
-        ORDER BY total_users DESC, conversion_rate, country, city, event_date LIMIT 20""",
+        ORDER BY total_users DESC, conversion_rate, country, city, event_date""",
     "b12_category_popularity": """
         SELECT product_category, count(*) AS n_events,
                count(*) FILTER (event_type = 'purchase') AS n_purchases

@@ -15,7 +15,8 @@ def one(spark, column, **values):
 @pytest.mark.parametrize("text,want", [
     ("'12'", 12), ("'12.0'", 12), ("'12.5'", None), ("'x12'", None), ("''", None), ("'NaN'", None),
     ("NULL", None), ("'-3'", -3), ("'1e400'", None), ("' 7 '", 7),
-    ("'9007199254740993'", 9007199254740993),
+    ("'9007199254740993'", 9007199254740993), ("'9007199254740993.0'", 9007199254740993),
+    ("'12d'", None), ("'12f'", None), ("'7D'", None), ("'0x1p3'", None), ("'1e5'", None), ("' +12 '", 12),
 ])
 def test_try_id(spark, text, want):
     assert one(spark, fn.try_id("a"), a=f"CAST({text} AS STRING)") == want

@@ -53,6 +53,16 @@ def test_bad_messages_are_kept_with_reason(spark):
     assert sum(tables[t].count() for t in schemas.RAW) == 0
 
 
+def test_only_whole_objects_are_read(spark):
+    order = json.dumps({"type": "order", "order_id": "o4", "user_id": "7", "order_ts": "2024-01-02T03:04:05", "total_usd": 1})
+    item = json.dumps({"type": "order_item", "order_id": "o4", "product_id": 5.0, "quantity": 2.0, "price_usd": 1})
+    bad = [order + " trailing", order + item, order + "," + item, order + "]", order + "}", f"[{order}]", "null"]
+    tables = router.route(frame(spark, ["\n\t" + order, order + "\r\n ", item, *bad]))
+    assert tables["orders"].count() == 2
+    assert [(r.product_id, r.quantity) for r in tables["order_items"].collect()] == [(5, 2)]
+    assert sorted(r.value for r in tables["quarantine"].collect()) == sorted(bad)
+
+
 def test_fail_mode(spark):
     good = router.route(frame(spark, [json.dumps(EVENT)]), on_bad="fail")
     assert good["events"].count() == 1
