@@ -36,7 +36,7 @@ OUTPUTS = 1 + SHORTLIST + CLASSES
 WIDTH, NOISE, BATCH, ROUNDS, RATE = 16, 48, 2048, 2, 0.15
 HEAD = 1 << 16
 # Tokens that a task gathers before it trains on them.
-WINDOW = 4_000_000
+WINDOW = 2_000_000
 
 
 @dataclass

@@ -38,7 +38,7 @@ from basketflow.llm.text import mix, shingles, slices, words
 from basketflow.session import scratch_dir
 
 # Shingles found LOCAL times in one window are counted; those with FREQUENT in all are frequent.
-WINDOW, LOCAL, FREQUENT = 8_000_000, 2, 8
+WINDOW, LOCAL, FREQUENT = 3_000_000, 2, 8
 # The frequent class never has more members (8 MB); it is the only thing sent to every task.
 MOST_FREQUENT = 1 << 20
 # Shingles that linked sets share in their prefixes, at most.
