@@ -8,8 +8,9 @@ shingles, whose prefixes would give very many pairs, use single frequent shingle
 classes only decide how much work there is, never the result.
 
 Sets that share a signature held by few sets are candidates if they share K of them, or one
-when both prefixes hold frequent shingles.  Sets that share a signature held by many are
-compared with one of them, the pivot (few rare shingles), not with each other.  What is
+when both prefixes hold frequent shingles.  A signature held by many is cut into bands of like
+sizes, as linked sets lie in one band or two adjacent ones; where a band still has many sets,
+they are compared with one of them, the pivot (few rare shingles), not with each other.  What is
 left of these is joined on the differences to the pivot: with D = set xor pivot, two sets are
 linked exactly if D1 and D2 overlap enough, and two sets linked to the pivot need no
 comparison.  Signatures of this second join are the rarest differences, and a signature
@@ -26,6 +27,7 @@ one group; a component takes the smallest identifier, nulls left out; other colu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.graph import bitmap, components, may_hold
+from basketflow.llm.graph import bitmap, components, may_hold, only_wanted
 from basketflow.llm.text import mix, shingles, slices, words
 from basketflow.session import scratch_dir
 
@@ -43,7 +45,7 @@ WINDOW, LOCAL, FREQUENT = 3_000_000, 2, 8
 MOST_FREQUENT = 1 << 20
 # Shingles that linked sets share in their prefixes, at most.
 K = 4
-# Signatures with more sets than this get a pivot.
+# Signatures with more sets than this are cut into bands; bands with more get a pivot.
 SMALL = 24
 # Signatures of differences with more sets than this get a pivot of their own ...
 BUCKET = 100
@@ -181,12 +183,27 @@ def _sets_of(docs: DataFrame, doc_id: str, text: str, width: int, wanted: DataFr
     return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _few(signs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+def _banded(signs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Rows (sign, band, own, node, n, rare, hot) of the shared signatures.
+
+    A set is in its own band of sizes and the next one, so linked sets meet in the larger of
+    their own bands.  Signatures of few sets have one band.  The step is a little wider than
+    the ratio of linked sizes, beyond any rounding of the logarithm.
+    """
+    step = 1.001 * math.log(100 / percent)
+    rows = only_wanted(signs.select("sign", "node", "n", "rare", "hot"), shared, "sign").join(
+        shared.select("sign", (F.col("size") > SMALL).alias("crowded")), "sign")
+    rows = rows.withColumn("own", F.when(F.col("crowded"), F.floor(F.ln("n") / step)).otherwise(-1).cast("int"))
+    bands = F.when(F.col("crowded"), F.array(F.col("own"), F.col("own") + 1)).otherwise(F.array("own"))
+    return rows.withColumn("band", F.explode(bands)).drop("crowded")
+
+
+def _few(rows: DataFrame, percent: int) -> DataFrame:
     """Candidates (pivot, node) that share signatures of few sets."""
-    rows = signs.join(shared.where(F.col("size") <= SMALL).select("sign"), "sign").select("sign", "node", "n", "hot")
     a, b = rows.alias("a"), rows.alias("b")
     like = (F.greatest("a.n", "b.n") * percent <= F.least("a.n", "b.n") * 100)
-    both = a.join(b, (F.col("a.sign") == F.col("b.sign")) & (F.col("a.node") < F.col("b.node")) & like)
+    both = a.join(b, (F.col("a.sign") == F.col("b.sign")) & (F.col("a.band") == F.col("b.band"))
+                  & (F.greatest("a.own", "b.own") == F.col("a.band")) & (F.col("a.node") < F.col("b.node")) & like)
     return (both.groupBy(F.col("a.node").alias("pivot"), F.col("b.node").alias("node"))
             .agg(F.count(F.lit(1)).alias("shared"), F.max(F.col("a.hot") & F.col("b.hot")).alias("hot"))
             .where(F.col("hot") | (F.col("shared") >= shared_at_least(percent))).select("pivot", "node"))
@@ -303,12 +320,17 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     own = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("key", "n", "rare", "hot", "signs")).alias("r"))
     signs = own.select("node", "r.key", "r.n", "r.rare", "r.hot", F.explode("r.signs").alias("sign"))
     signs = folder.save(signs, "signs")
-    shared = (signs.groupBy("sign").agg(F.min(F.struct("rare", "node")).alias("p"), F.count(F.lit(1)).alias("size"))
-              .where("size > 1").select("sign", F.col("p.node").alias("pivot"), "size"))
+    shared = signs.groupBy("sign").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = folder.save(shared, "shared")
-    many = signs.join(shared.where(F.col("size") > SMALL), "sign").where("node <> pivot").select("pivot", "node")
+    rows = folder.save(_banded(signs, shared, percent), "banded")
+    by = ["sign", "band"]
+    bands = (rows.groupBy(*by).agg(F.min(F.struct("rare", "node")).alias("p"), F.count(F.lit(1)).alias("size"))
+             .where("size > 1").select(*by, F.col("p.node").alias("pivot"), "size"))
+    bands = folder.save(bands, "bands")
+    many = (rows.join(bands.where(F.col("size") > SMALL), by).where("node <> pivot").select("pivot", "node"))
+    small = rows.join(bands.where(F.col("size") <= SMALL).select(*by), by)
     pairs = (many.distinct().withColumn("scope", F.lit(True))
-             .unionByName(_few(signs, shared, percent).withColumn("scope", F.lit(False)))
+             .unionByName(_few(small, percent).withColumn("scope", F.lit(False)))
              .groupBy("pivot", "node").agg(F.max("scope").alias("scope")))
     pairs = folder.save(pairs, "pairs")
     wanted = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
