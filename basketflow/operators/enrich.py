@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from functools import reduce
+from math import ceil, floor, radians, sin
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions import day
 from basketflow.operators.skew import HOT_ROWS, split_join
+from basketflow.session import scratch_dir
 
 # Words that mark a place name as water (case counts), target currencies.
 WATER_WORDS = ["Ocean", "Sea", "Gulf", "Bay"]
@@ -70,36 +72,78 @@ def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], cell: float = 0.5,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Set city and country of each row to the nearest place, seas left out.
+def _least_km_outside(lat: str, cell: float) -> Column:
+    """No place outside a point's cell and the eight around it is nearer than this."""
+    sideways = F.asin(F.cos(F.radians(lat)) * sin(radians(min(cell, 90.0))))
+    return EARTH_RADIUS_KM * F.least(F.lit(radians(cell)), sideways)
+
+
+def _nearest(points: DataFrame, places: DataFrame, cell: float, hot_rows: int) -> DataFrame:
+    """(lat, lon, km, city, country) of the nearest place in a point's cell and those around it."""
+    # columns go round the globe without a narrow one at the end
+    columns = floor(360 / cell)
+
+    def keyed(frame: DataFrame, lat: str, lon: str) -> DataFrame:
+        column = F.pmod(F.floor((F.col(lon) + 180) * columns / 360), F.lit(columns)).cast("int")
+        return frame.withColumns({"_row": _cell_row(lat, cell), "_col": column})
 
-    The nearest place is sought in the row's grid cell and the eight around it; without
-    one, and without coordinates, the city is 'Unknown' and the country NULL.  Distinct
-    coordinates are looked up once, then joined back; busy cells and busy coordinates are
-    split.  ``spread_by`` tells rows with equal coordinates apart.
-    """
-    columns = ceil(360 / cell)
-    water = "|".join(WATER_WORDS)
     steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
     around = (
-        places.where(F.col("city").isNotNull() & ~F.col("city").rlike(water))
-        .select("city", "country", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"),
-                _cell_row("lat", cell).alias("_row"), _cell_column("lon", cell).alias("_col"))
+        keyed(places, "p_lat", "p_lon")
         .withColumn("_dy", F.explode(steps)).withColumn("_dx", F.explode(steps))
         .select("city", "country", "p_lat", "p_lon", (F.col("_row") + F.col("_dy")).alias("_row"),
                 F.pmod(F.col("_col") + F.col("_dx"), F.lit(columns)).alias("_col"))
         .distinct())
-    given = df.drop("city", "country")
-    points = (given.select("lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL").distinct()
-              .withColumns({"_row": _cell_row("lat", cell), "_col": _cell_column("lon", cell)}))
     distance = haversine_km("lat", "lon", "p_lat", "p_lon")
-    nearest = (
-        split_join(points, around, ["_row", "_col"], "inner", ["lat", "lon"], hot_rows)
+    return (
+        split_join(keyed(points, "lat", "lon"), around, ["_row", "_col"], "inner", ["lat", "lon"], hot_rows)
         .groupBy("lat", "lon").agg(F.min(F.struct(
             distance.alias("km"), F.col("city"), F.col("country"))).alias("near"))
-        .select("lat", "lon", "near.city", "near.country"))
-    found = split_join(given, nearest, ["lat", "lon"], "left", spread_by, hot_rows)
+        .select("lat", "lon", "near.km", "near.city", "near.country"))
+
+
+def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], cell: float = 0.5,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Set city and country of each row to the nearest place, seas left out.
+
+    The nearest place is sought in the row's grid cell and the eight around it.  Where none
+    is there, or a place outside them could be nearer, it is sought again in cells four times
+    as wide, in the end on the whole globe; few points with no place near them get that far.
+    Rows without coordinates, and all rows if there are no places, get the city 'Unknown'
+    and the country NULL.  Of equally near places the first by name counts.
+
+    Distinct coordinates are looked up once, then joined back; busy cells and busy
+    coordinates are split.  ``spread_by`` tells rows with equal coordinates apart.  What
+    each width finds is written to a scratch folder.
+    """
+    spark = df.sparkSession
+    root = scratch_dir(spark, "places")
+
+    def save(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    water = "|".join(WATER_WORDS)
+    land = (places.where(F.col("city").isNotNull() & ~F.col("city").rlike(water))
+            .where("lat IS NOT NULL AND lon IS NOT NULL")
+            .select("city", "country", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")).distinct())
+    given = df.drop("city", "country")
+    points = save(given.select("lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL").distinct(), "points")
+    nearest = []
+    while True:
+        last = cell > 45
+        width = 180.0 if last else cell
+        found = _nearest(points, land, width, hot_rows)
+        sure = found if last else found.where(F.col("km") <= _least_km_outside("lat", width))
+        nearest.append(save(sure.select("lat", "lon", "city", "country"), f"nearest{len(nearest)}"))
+        if last:
+            break
+        points = save(points.join(nearest[-1].select("lat", "lon"), ["lat", "lon"], "left_anti"),
+                      f"points{len(nearest)}")
+        if points.isEmpty():
+            break
+        cell *= 4
+    found = split_join(given, reduce(DataFrame.unionByName, nearest), ["lat", "lon"], "left", spread_by, hot_rows)
     return found.withColumn("city", F.coalesce("city", F.lit("Unknown")))
 
 

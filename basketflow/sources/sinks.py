@@ -119,7 +119,8 @@ def sorted_within_files(df: DataFrame, keys: Sequence[str],
     with most of the rows does not end up in one task.
     """
     even = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    return even.sortWithinPartitions(*partition_by, *keys)
+    order = [*partition_by, *keys]
+    return even.sortWithinPartitions(*order) if order else even
 
 
 # --- marts --------------------------------------------------------------------
@@ -162,8 +163,13 @@ def publish_recent(df: DataFrame, base: str, mart: str, as_of: date, days: int =
     return publish(replace_recent(existing, df, column, as_of, days), base, mart)
 
 
-def compact(spark: SparkSession, base: str, schema: T.StructType, target_files: int,
+def compact(spark: SparkSession, base: str, schema: T.StructType,
             sort_keys: Sequence[str] = ()) -> str:
-    """Rewrite the current snapshot into ``target_files`` sorted files."""
-    df = read_snapshot(spark, base, schema).repartition(target_files)
-    return write_snapshot(df.sortWithinPartitions(*sort_keys) if sort_keys else df, base)
+    """Rewrite the current snapshot into files of an even size, sorted by the keys.
+
+    The size is that of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  A table by
+    month stays one.
+    """
+    parts = [MONTH] if MONTH in schema.names else []
+    df = read_snapshot(spark, base, schema)
+    return write_snapshot(sorted_within_files(df, sort_keys, parts), base, parts)

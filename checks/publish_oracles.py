@@ -185,20 +185,16 @@ _PLACES = """
     SELECT n_name AS city, r_name AS country, CAST(n_nationkey AS DOUBLE) * 7.01 - 84.77 AS lat,
            CAST(n_nationkey AS DOUBLE) * 53.17 % 360 - 180 AS lon
     FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'"""
-_CELL = ("CAST(floor((CAST({p}lat AS DOUBLE) + 90) / 30) AS INTEGER) AS {n}row, "
-         "CAST(floor((CAST({p}lon AS DOUBLE) + 180) / 30) AS INTEGER) % 12 AS {n}col")
-
 ENRICH_TABLES = {
-    "places": f"SELECT *, {_CELL.format(p='', n='p_')} FROM ({_PLACES})",
-    "spots": f"SELECT event_id, lat, lon, {_CELL.format(p='', n='')} FROM r_ev",
+    "places": _PLACES,
+    "spots": "SELECT event_id, lat, lon FROM r_ev WHERE lat IS NOT NULL AND lon IS NOT NULL",
     "near": """
         SELECT event_id, city, country,
                row_number() OVER (PARTITION BY event_id ORDER BY
                    power(sin(radians(p.lat - s.lat) / 2), 2)
                    + cos(radians(s.lat)) * cos(radians(p.lat)) * power(sin(radians(p.lon - s.lon) / 2), 2)
                ) AS place
-        FROM spots s JOIN places p
-          ON abs(s."row" - p.p_row) <= 1 AND (s.col - p.p_col + 12) % 12 IN (0, 1, 11)""",
+        FROM spots s CROSS JOIN places p""",
     "rate_days": """
         SELECT CAST(ts AS DATE) AS day,
                CAST(0.8 + count(*) % 40 / 100.0 AS DECIMAL(18,4)) AS eur,
@@ -208,7 +204,7 @@ ENRICH_TABLES = {
     "sky": """
         SELECT DISTINCT ON (date_trunc('hour', ts), event_id % 5) event_id % 5 AS zone,
                date_trunc('hour', ts) AS hour, CAST(value AS DECIMAL(18,2)) AS temp, event_type AS weather
-        FROM events WHERE event_type <> 'signup' ORDER BY ts""",
+        FROM events ORDER BY ts, CAST(value AS DECIMAL(18,2)), event_type""",
 }
 ENRICHED = {
     "e1_currency": """
@@ -233,7 +229,7 @@ ENRICHED = {
         FROM r_ev""",
     "e2_geo": """
         SELECT s.event_id, coalesce(n.city, 'Unknown') AS city, n.country
-        FROM spots s LEFT JOIN near n ON n.event_id = s.event_id AND n.place = 1""",
+        FROM r_ev s LEFT JOIN near n ON n.event_id = s.event_id AND n.place = 1""",
     "e3_weather": """
         SELECT e.event_id, CAST(sky.temp AS DOUBLE) AS weather_temp, sky.weather AS weather_desc
         FROM r_ev e LEFT JOIN sky

@@ -223,7 +223,7 @@ def _read_back(s: Source) -> DataFrame:
 
 def _compacted(s: Source) -> DataFrame:
     base, mart = _published_geo(s)
-    sinks.compact(s.spark, f"{base}/{mart}", sinks.mart_schema(mart), 2, schemas.MART_SORT[mart])
+    sinks.compact(s.spark, f"{base}/{mart}", sinks.mart_schema(mart), schemas.MART_SORT[mart])
     return sinks.read_mart(s.spark, base, mart).select(*schemas.MART[mart].names)
 
 
@@ -346,7 +346,7 @@ def _places(s: Source) -> DataFrame:
 
 def _weather(s: Source) -> DataFrame:
     zone = (F.col("event_id") % 5).cast("double")
-    return s.given("events").where("event_type <> 'signup'").select(
+    return s.given("events").select(
         (zone * 30 - 80).alias("lat"), (zone * 30 - 170).alias("lon"),
         F.col("ts").alias("observed_at"), F.col("value").cast("decimal(18,2)").alias("temp"),
         F.col("event_type").alias("weather"))
@@ -358,7 +358,7 @@ raw("e1_currency_missing_rate", lambda r: convert_currency(
     r.events(), _rates(r).where("currency = 'EUR'")).select(*_COSTS))
 raw("e1_currency_as_of", lambda r: convert_currency_as_of(
     r.events(), _daily_rates(r), "timestamp").select(*_COSTS))
-raw("e2_geo", lambda r: geo_lookup(r.events(), _places(r), ["event_id"], cell=30).select(
+raw("e2_geo", lambda r: geo_lookup(r.events(), _places(r), ["event_id"], cell=2).select(
     "event_id", "city", "country"))
 raw("e3_weather", lambda r: weather_lookup(
     r.events(), _weather(r), "timestamp", ["event_id"], cell=30).select(

@@ -84,11 +84,23 @@ def test_publish_recent_keeps_older_rows(spark, tmp_path):
 def test_compact_reduces_files(spark, rows, tmp_path):
     base = str(tmp_path / "t")
     sinks.write_snapshot(spark.range(100).repartition(20), base)
-    path = sinks.compact(spark, base, SCHEMA, 2, ["id"]).removeprefix("file:")
-    assert len(glob.glob(f"{path}/*.parquet")) == 2
+    path = sinks.compact(spark, base, SCHEMA, ["id"]).removeprefix("file:")
+    assert len(glob.glob(f"{path}/*.parquet")) == 1
     assert len(rows(sinks.read_snapshot(spark, base, SCHEMA))) == 100
 
 
+def test_compact_keeps_months(spark, tmp_path):
+    base, mart = str(tmp_path), "geo_analysis"
+    sinks.publish(geo_rows(spark), base, mart)
+    before = sinks.read_mart(spark, base, mart).count()
+    path = sinks.compact(spark, f"{base}/{mart}", sinks.mart_schema(mart), ["event_date"])
+    assert glob.glob(f"{path.removeprefix('file:')}/{sinks.MONTH}=*/*.parquet")
+    mart_rows = sinks.read_mart(spark, base, mart)
+    assert mart_rows.count() == before
+    plan = sinks.months_between(mart_rows, "event_date", date(2024, 1, 1), date(2024, 1, 31))
+    assert "PartitionFilters: [isnotnull" in plan._jdf.queryExecution().toString()
+
+
 def test_append_and_read_table(spark, tmp_path):
     sinks.append(spark.range(2), f"{tmp_path}/t")
     sinks.append(spark.range(2), f"{tmp_path}/t")
