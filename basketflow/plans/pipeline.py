@@ -118,9 +118,12 @@ def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base:
     return star.counts
 
 
-def star_to_marts(spark: SparkSession, star_base: str, mart_base: str,
-                  as_of: datetime) -> dict[str, int | None]:
-    """Compute and publish all marts; returns the rows of each, None where none came."""
+def star_to_marts(spark: SparkSession, star_base: str, mart_base: str, as_of: datetime,
+                  keep_snapshots: int = 2) -> dict[str, int | None]:
+    """Compute and publish all marts; returns the rows of each, None where none came.
+
+    Old snapshots go, but for the newest ``keep_snapshots`` of each mart.
+    """
     read = Star(spark, star_base).read
     sessions, orders, events = read("sessions"), read("orders"), read("events")
     items, products, categories = read("order_items"), read("products"), read("categories")
@@ -144,4 +147,7 @@ def star_to_marts(spark: SparkSession, star_base: str, mart_base: str,
         "device_analysis": marts.device_analysis(
             devices, users, sessions, orders, items, user_days=days),
     }
-    return {mart: publish.load_mart(df, mart_base, mart) for mart, df in results.items()}
+    counts = {mart: publish.load_mart(df, mart_base, mart) for mart, df in results.items()}
+    for mart in results:
+        sinks.drop_old_snapshots(spark, f"{mart_base}/{mart}", keep_snapshots)
+    return counts

@@ -21,6 +21,11 @@ def _pick(index: Column, *names: str | None) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
 
 
+def _moved(key: Column, stays: Column | str) -> Column:
+    """The key, or one that no row of another table has."""
+    return F.when(F.expr(stays) if isinstance(stays, str) else stays, key).otherwise(key + 10_000_000)
+
+
 class Source:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -99,8 +104,8 @@ class Star(Source):
 
     def user_devices(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.given("customer").where("c_acctbal >= 0").select(
-            key.alias("user_id"),
+        return self.given("customer").select(
+            _moved(key, "c_acctbal >= 0").alias("user_id"),
             _pick(key % 3, "mobile", "desktop", "tablet").alias("device_type"),
             _pick(key % 5, "iOS", "Android", "Windows", "Linux", "MacOS").alias("os"),
             _pick(key % 4, "Chrome", "Firefox", "Safari", "Edge").alias("browser"))
@@ -109,9 +114,9 @@ class Star(Source):
         places = self.given("nation").join(
             self.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         key = F.col("c_custkey")
-        return self.given("customer").where("c_mktsegment <> 'HOUSEHOLD'").join(
+        return self.given("customer").join(
             places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            key.alias("user_id"),
+            _moved(key, "c_mktsegment <> 'HOUSEHOLD'").alias("user_id"),
             F.when(key % 14 == 3, "Unknown").otherwise(F.col("n_name")).alias("city"),
             F.when(key % 17 == 5, "Antarctica").otherwise(F.col("r_name")).alias("country"))
 
@@ -205,8 +210,9 @@ class Raw(Source):
 
     def profiles(self) -> DataFrame:
         key = F.col("c_custkey")
-        rows = self.given("customer").where("c_mktsegment <> 'BUILDING'").select(
-            (key * 2).alias("user_profile_id"), _dirty_id(key, key).alias("user_id"),
+        user = _moved(key, "c_mktsegment <> 'BUILDING'")
+        rows = self.given("customer").select(
+            (key * 2).alias("user_profile_id"), _dirty_id(key, user).alias("user_id"),
             F.col("c_name").alias("name"),
             F.when(key % 5 != 1, F.concat(F.lit("c"), key.cast("string"), F.lit("@shop.example")))
             .alias("email"),
@@ -295,8 +301,8 @@ class Raw(Source):
     # Star snapshots as an earlier run could have left them.
     def old_users(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self.given("customer").where("c_acctbal < 6000").select(
-            key.alias("user_id"), F.concat(F.lit("old "), "c_name").alias("name"),
+        return self.given("customer").select(
+            _moved(key, "c_acctbal < 6000").alias("user_id"), F.concat(F.lit("old "), "c_name").alias("name"),
             F.lit("old@shop.example").alias("email"), F.lit(None).cast("date").alias("birth_date"),
             F.when(key % 4 == 0, "male").alias("gender"),
             F.when(key % 6 == 0, "Oldtown").alias("city"),
@@ -304,9 +310,9 @@ class Raw(Source):
 
     def old_orders(self) -> DataFrame:
         key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        early = F.col("o_orderdate") < "1999-01-01"
-        return self.given("orders").where(early).select(
-            _uuid(F.concat(F.when(F.col("o_orderpriority") == "2-HIGH", "gone").otherwise("o"),
+        gone = (F.col("o_orderpriority") == "2-HIGH") | (F.col("o_orderdate") >= "1999-01-01")
+        return self.given("orders").select(
+            _uuid(F.concat(F.when(gone, "gone").otherwise("o"),
                            key.cast("string")))
             .alias("order_id"),
             F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_ts"),
@@ -314,9 +320,10 @@ class Raw(Source):
             F.when(status == "F", "success").when(status == "O", "pending").alias("status"))
 
     def old_items(self) -> DataFrame:
-        """The known pairs of cheap products, with other ids and prices."""
+        """The known pairs with other ids and prices; dear products have an id of their own."""
         known = self.items().where("order_id IS NOT NULL AND product_id IS NOT NULL")
-        return known.where("price_usd < 1000").groupBy("order_id", "product_id").agg(
+        known = known.withColumn("product_id", _moved(F.col("product_id"), "price_usd < 1000"))
+        return known.groupBy("order_id", "product_id").agg(
             F.min("raw_order_item_id").alias("order_item_id")).select(
             "order_item_id", "order_id", "product_id", F.lit(9).alias("quantity"),
             F.lit("0.99").cast(MONEY).alias("price_usd"))

@@ -7,6 +7,12 @@ from __future__ import annotations
 
 import re
 
+
+def moved(key: str, stays: str) -> str:
+    """The key, or one that no row of another table has."""
+    return f"CASE WHEN {stays} THEN {key} ELSE {key} + 10000000 END"
+
+
 TABLES: dict[str, str] = {
     "nu": "SELECT max(user_id) + 1 AS n FROM events",
     "ev": """
@@ -44,18 +50,18 @@ TABLES: dict[str, str] = {
         SELECT p_partkey AS product_id, p_name AS product_name,
                CASE WHEN p_partkey % 20 <> 0 THEN category_id END AS category_id
         FROM part JOIN categories ON p_type = category_name""",
-    "devices": """
-        SELECT c_custkey AS user_id,
+    "devices": f"""
+        SELECT {moved('c_custkey', 'c_acctbal >= 0')} AS user_id,
                ['mobile', 'desktop', 'tablet'][c_custkey % 3 + 1] AS device_type,
                ['iOS', 'Android', 'Windows', 'Linux', 'MacOS'][c_custkey % 5 + 1] AS os,
                ['Chrome', 'Firefox', 'Safari', 'Edge'][c_custkey % 4 + 1] AS browser
-        FROM customer WHERE c_acctbal >= 0""",
-    "locations": """
-        SELECT c_custkey AS user_id,
+        FROM customer""",
+    "locations": f"""
+        SELECT {moved('c_custkey', "c_mktsegment <> 'HOUSEHOLD'")} AS user_id,
                CASE WHEN c_custkey % 14 = 3 THEN 'Unknown' ELSE n_name END AS city,
                CASE WHEN c_custkey % 17 = 5 THEN 'Antarctica' ELSE r_name END AS country
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment <> 'HOUSEHOLD'""",
+        JOIN region ON n_regionkey = r_regionkey""",
     "campaigns": "SELECT 'camp' || (r_regionkey + 1) AS campaign_id, r_name AS campaign_name FROM region",
     "camp_ev": """
         SELECT event_id AS campaign_event_id, user_id, 'camp' || (event_id % 5 + 1) AS campaign_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.prelude import moved
+
 
 def _dirty(key: str, user: str) -> str:
     return (f"CASE WHEN {key} % 101 = 0 THEN NULL WHEN {key} % 13 = 0 THEN 'x' || ({user}) "
@@ -61,13 +63,13 @@ RAW_TABLES = {
         FROM (SELECT *, event_type IN ('view', 'purchase') AND event_id % 5 <> 0 AS shopping
               FROM events)""", "event_id"),
     "r_prof": _twice(f"""
-        SELECT c_custkey * 2 AS user_profile_id, {_dirty('c_custkey', 'c_custkey')} AS user_id,
+        SELECT c_custkey * 2 AS user_profile_id, {_dirty('c_custkey', moved('c_custkey', "c_mktsegment <> 'BUILDING'"))} AS user_id,
                c_name AS name,
                CASE WHEN c_custkey % 5 <> 1 THEN 'c' || c_custkey || '@shop.example' END AS email,
                CAST(DATE '1970-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS DATE) AS birth_date,
                [' Male ', 'female', 'other', NULL, 'FEMALE'][c_custkey % 5 + 1] AS gender,
                c_acctbal > 5000 AS again
-        FROM customer WHERE c_mktsegment <> 'BUILDING'""", "user_profile_id",
+        FROM customer""", "user_profile_id",
         "CAST(NULL AS VARCHAR) AS name, 'new.' || email AS email, CAST(NULL AS VARCHAR) AS gender"),
     "r_dev": _twice(f"""
         SELECT c_custkey AS user_device_id, {_dirty('c_custkey', 'c_custkey % 700')} AS user_id,
@@ -116,21 +118,22 @@ RAW_TABLES = {
                CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(18,2)) END AS cost,
                CASE WHEN event_id % 9 <> 0 THEN ts END AS generated_at
         FROM events JOIN region ON event_id % 5 = r_regionkey""",
-    "old_users": """
-        SELECT c_custkey AS user_id, 'old ' || c_name AS name, 'old@shop.example' AS email,
+    "old_users": f"""
+        SELECT {moved('c_custkey', 'c_acctbal < 6000')} AS user_id, 'old ' || c_name AS name, 'old@shop.example' AS email,
                CAST(NULL AS DATE) AS birth_date, CASE WHEN c_custkey % 4 = 0 THEN 'male' END AS gender,
                CASE WHEN c_custkey % 6 = 0 THEN 'Oldtown' END AS city, CAST(NULL AS VARCHAR) AS country
-        FROM customer WHERE c_acctbal < 6000""",
+        FROM customer""",
     "old_orders": f"""
-        SELECT {_uuid("CASE o_orderpriority WHEN '2-HIGH' THEN 'gone' ELSE 'o' END || o_orderkey")} AS order_id,
+        SELECT {_uuid("CASE WHEN o_orderpriority = '2-HIGH' OR o_orderdate >= DATE '1999-01-01' THEN 'gone' ELSE 'o' END || o_orderkey")} AS order_id,
                o_custkey AS user_id, o_orderdate AS order_ts,
                CAST(1 AS DECIMAL(18,2)) AS total_usd,
                CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'pending' END AS status
-        FROM orders WHERE o_orderdate < DATE '1999-01-01'""",
-    "old_items": """
-        SELECT min(raw_order_item_id) AS order_item_id, order_id, product_id, 9 AS quantity,
+        FROM orders""",
+    "old_items": f"""
+        SELECT min(raw_order_item_id) AS order_item_id, order_id,
+               {moved('product_id', 'price_usd < 1000')} AS product_id, 9 AS quantity,
                CAST(0.99 AS DECIMAL(18,2)) AS price_usd
-        FROM r_it WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND price_usd < 1000 GROUP BY order_id, product_id""",
+        FROM r_it WHERE order_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL""",
     "old_categories": """
         SELECT CAST(r_regionkey + 5 AS BIGINT) AS category_id, 'cat' || (r_regionkey + 3) AS category_name
         FROM region WHERE r_regionkey < 2""",
