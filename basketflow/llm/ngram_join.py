@@ -368,10 +368,15 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                  percent: int = 80) -> DataFrame:
-    """``docs`` without the documents of each group beyond its smallest identifier.
+    """``docs`` with one row of each group: the one of the smallest identifier, nulls last.
 
-    A document without identifier stays unless its group has one.
+    Among rows of one identifier the text's hash and then the place in the table decide, so
+    null and repeated identifiers cost no row of another group.  Rows are written with a key of
+    their own, which the groups and the choice go by.
     """
-    groups = group_similar(docs, doc_id, text, width, percent)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["_gone"]), "left_anti")
+    folder = _Folder(docs.sparkSession)
+    keyed = folder.save(docs.select("*", F.monotonically_increasing_id().alias("_row"), F.xxhash64(docs[text]).alias("_hash")), "keyed")
+    order = keyed.select("_row", F.struct(keyed[doc_id].isNull().alias("none"), keyed[doc_id].alias("id"), "_hash", "_row").alias("place"))
+    groups = group_similar(keyed, "_row", text, width, percent).select(F.col("doc_id").alias("_row"), "component_id")
+    kept = order.join(groups, "_row").groupBy("component_id").agg(F.min("place").alias("first")).select("first._row")
+    return keyed.join(folder.save(kept, "kept"), "_row", "left_semi").select(*docs.columns)

@@ -83,3 +83,20 @@ def test_one_document_of_each_group_stays(docs, edges, rows):
     assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == sorted(
         {i for i, _, c in groups if i is not None and i == c})
     assert ngram_join.drop_similar(docs([])).count() == 0
+
+
+def test_null_and_repeated_identifiers_row_by_row(docs):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = " ".join([*a.split()[:-1], "other"])
+    alone = [(None, "one of its own"), (None, "another text"), (5, "unique under a used id"), (None, None), (None, "")]
+    pairs = [(5, a), (None, near), *alone, (None, b), (None, b), (None, b + " more"), (7, c), (7, c), (7, c + " more")]
+    for given in (pairs, pairs[::-1]):
+        kept = [(r.doc_id, r.text) for r in ngram_join.drop_similar(docs(given)).collect()]
+        assert (5, a) in kept and (None, near) not in kept and all(p in kept for p in alone)
+        assert len([t for i, t in kept if i is None and t and t.startswith("b0")]) == 1
+        assert len([t for i, t in kept if i == 7]) == 1 and len(kept) == 1 + len(alone) + 2
+
+
+def test_identifiers_that_are_all_null(docs):
+    kept = ngram_join.drop_similar(docs([(None, f"text {k % 20} of its own") for k in range(60)]))
+    assert sorted(r.text for r in kept.collect()) == sorted({f"text {k} of its own" for k in range(20)})
