@@ -9,8 +9,9 @@ class, which one edit changes by two at most, are near enough.  Candidates are v
 banded bit-parallel edit distance, many pairs at a time.  Lines within that distance form classes (links
 chained); of a class the first line of the smallest document stays.
 
-Defined results: lines are split at line feeds; lines of fewer than ``least`` characters are
-left alone; null and empty texts have no lines to compare; with repeated or null identifiers
+Defined results: lines are split at line feeds; lines of fewer than ``least`` characters
+join no edits, and those of ``shortest`` and more are grouped by equality; shorter ones, and always
+empty ones, are left alone; null and empty texts have no lines to compare; with repeated or null identifiers
 a line stays where (doc_id, position) is smallest, nulls first, and of equal places all stay.
 """
 
@@ -173,20 +174,22 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
-                 least: int = LEAST) -> DataFrame:
+                 least: int = LEAST, shortest: int | None = None) -> DataFrame:
     """(number, keeper): for every distinct line with a class of its own the place that stays.
 
-    ``number`` is the 64-bit hash of the line, ``keeper`` the struct (doc_id, place).
+    ``number`` is the 64-bit hash of the line, ``keeper`` the struct (doc_id, place).  Lines of
+    ``shortest`` (``least`` if not given) to ``least`` - 1 characters are grouped by equality alone.
     """
+    shortest = least if shortest is None else shortest
     if least <= edits or edits > 7:
         raise ValueError("lines must be longer than the edits, and at most 7 edits are allowed")
     spark = docs.sparkSession
     root = scratch_dir(spark, "line-dedup")
-    places = _lines(docs, doc_id, text).where(F.char_length("line") >= least)
+    places = _lines(docs, doc_id, text).where(F.char_length("line") >= max(1, min(shortest, least)))
     distinct = places.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
     distinct.withColumn("number", F.xxhash64("line")).write.parquet(f"{root}/lines")
     lines = spark.read.parquet(f"{root}/lines")
-    keys = _keys(lines, edits)
+    keys = _keys(lines.where(F.char_length("line") >= least), edits)
     index, probe = keys.where(~F.col("probe")), keys.where("probe")
     found = (index.select("key", F.col("line").alias("a"), F.col("sketch").alias("sa"))
              .join(probe.select("key", F.col("line").alias("b"), F.col("sketch").alias("sb")), "key")
@@ -210,11 +213,12 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
-                  least: int = LEAST) -> DataFrame:
+                  least: int = LEAST, shortest: int | None = None) -> DataFrame:
     """One row per identifier: doc_id, n_lines, n_dropped, dropped (places of the lines to drop, ascending)."""
-    classes = line_classes(docs, doc_id, text, edits, least)
+    shortest = least if shortest is None else shortest
+    classes = line_classes(docs, doc_id, text, edits, least, shortest)
     places = _lines(docs, doc_id, text)
-    marked = places.select("doc_id", "place", F.when(F.char_length("line") >= least, F.xxhash64("line")).alias("number"))
+    marked = places.select("doc_id", "place", F.when(F.char_length("line") >= max(1, min(shortest, least)), F.xxhash64("line")).alias("number"))
     keeper = F.struct("doc_id", "place")
     again = (marked.where("number is not null").join(classes, "number")
              .where(~keeper.eqNullSafe(F.col("keeper"))).select("doc_id", "place"))

@@ -76,7 +76,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dropped_lines(_table(spark, sf_dir, "documents"))
+    return line_dedup.dropped_lines(_table(spark, sf_dir, "documents"), shortest=1)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,20 @@ def test_query_finds_exact_repeats(spark, shared, real):
                 assert k in got[i].dropped
             seen.add(line)
     assert line_dedup.dropped_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_lines_are_grouped_by_equality(docs, rows):
+    long = "a line that is long enough for edits"
+    pairs = [(1, "menu\nhome\n\nmenu\n" + long), (2, "menu\nmenus\n\nHome\n" + long + "s"), (3, "x\nx\n\n"), (4, None)]
+    assert rows(line_dedup.dropped_lines(docs(pairs), shortest=1)) == [
+        (1, 5, 1, [3]), (2, 5, 2, [0, 4]), (3, 4, 1, [1]), (4, 1, 0, [])]
+
+
+def test_query_drops_every_repeat_of_a_short_line(spark, shared, real):
+    got = {r.doc_id: r for r in queries.op8_line_dedup(spark, SF_DIR).collect()}
+    seen = set()
+    for i, text in sorted(real):
+        for k, line in enumerate((text or "").split("\n")):
+            if 0 < len(line) < line_dedup.LEAST:
+                assert (k in got[i].dropped) == (line in seen)
+                seen.add(line)
