@@ -1,8 +1,11 @@
 """Surrogates for personal data: keyed, consistent with type, gender, script and format.
 
-Mentions are e-mail addresses, telephone numbers, payment cards, IPv4 addresses and names
-after a title.  A mention is reduced to units: the digits of a number, an address in lower
-case, the given name and the surname of a person.  Every distinct unit of the corpus gets
+Mentions are e-mail addresses, telephone numbers (after a plus; in national form with an area
+code in brackets or set off, or behind a leading 0), payment cards (13 to 19 digits with a valid
+check digit, or 16 digits from 3, 4, 5 or 6), IPv4 addresses and names after titles.  A name runs over all
+capitalised parts that follow, with initials, hyphens and particles such as "von".  A mention
+is reduced to units: the digits of a number, an address in lower case, each capitalised part of
+a name; parts of the last word are surnames, an initial gets a whole name.  Every distinct unit of the corpus gets
 one surrogate derived from a secret key, so the same unit is replaced alike everywhere
 (coreference), also when it is written in another format.  Surrogates keep the length and
 punctuation of the mention, the country code, the top-level domain, a valid check digit, the
@@ -25,61 +28,91 @@ from pyspark.sql import functions as F
 from basketflow.session import scratch_dir
 
 # Titles by gender, and the syllables and endings of surrogate names by script.
-TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Господин"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа")}
+TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Господин", "Sir", "Sr"),
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа", "Señorita", "Sra", "Mme", "Mlle"),
+          "n": ("Mx", "Dr", "Prof", "Professor", "Doctor", "Doktor", "Rev", "Доктор", "Профессор")}
+PARTICLES = "von van der den de del della di da dos du la le zu zur ter ten bin ibn al el".split()
 SYLLABLES = {
     "latin": "ba de fi go lu ma ne ri so ta ve zo ka le mi no".split(),
     "cyrillic": "ба де фи го лу ма не ри со та ве зо ка ле ми но".split(),
     "greek": "βα δε φι γο λυ μα νε ρι σο τα βε ζο κα λε μι νο".split(),
 }
 ENDINGS = {
-    "latin": {"given_m": "n", "given_f": "na", "surname": "rt"},
-    "cyrillic": {"given_m": "н", "given_f": "на", "surname": "рт"},
-    "greek": {"given_m": "ς", "given_f": "να", "surname": "ρης"},
+    "latin": {"given_m": "n", "given_f": "na", "given_n": "l", "surname": "rt"},
+    "cyrillic": {"given_m": "н", "given_f": "на", "given_n": "л", "surname": "рт"},
+    "greek": {"given_m": "ς", "given_f": "να", "given_n": "ξ", "surname": "ρης"},
 }
 SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_TITLE = "|".join(t for g in ("f", "m", "n") for t in TITLES[g])
+_NAME = r"(?:\p{Lu}[\p{L}'’]+|\p{Lu}(?!\p{L})\.?)"
+_CARD = (r"(?<![0-9])(?:[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}|[1-9][0-9]{12,18}|[1-9][0-9]{3}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?"
+         r"|[1-9][0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])")
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "phone": r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}(?![0-9])",
-    "person": r"(?<!\p{L})(?:" + "|".join(t for g in ("f", "m") for t in TITLES[g])
-              + r")\.? \p{Lu}[\p{L}'’]+(?:[ -]\p{Lu}[\p{L}'’]+)?(?!\p{L})",
+    "card": _CARD,
+    "national": r"(?<![0-9.,:/+-])(?:(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+                r"|\(?0[1-9][0-9]{1,3}\)?(?:[ ./-]?[0-9]){6,8}|0[1-9](?:[ .-][0-9]{2}){4}"
+                r"|\(?0[1-9]\)?[ .-][0-9]{4}[ .-]?[0-9]{4})(?![0-9])",
+    "person": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_TITLE})\.? )+{_NAME}(?:[ -](?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME})*(?!\p{{L}})",
 }
 MENTION = "|".join(PATTERNS.values())
 
 
 def _kind(raw: Column) -> Column:
     return (F.when(raw.contains("@"), "email").when(raw.startswith("+"), "phone")
-            .when(raw.rlike(r"^[0-9]+\.[0-9]+\."), "ip").when(raw.rlike("^[0-9]"), "card").otherwise("person"))
+            .when(raw.rlike(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"), "ip").when(raw.rlike(rf"^(?:{_CARD})$"), "card")
+            .when(raw.rlike(r"^[(0-9]"), "national").otherwise("person"))
 
 
 def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, "[^0-9]", "")
 
 
+def _luhn_sum(digits: Column, odd: int) -> Column:
+    """Sum of the digits from the right, those at places of the parity ``odd`` doubled."""
+    def value(c: Column, i: Column) -> Column:
+        digit = c.cast("int")
+        return F.when(i % 2 == odd, F.when(digit > 4, digit * 2 - 9).otherwise(digit * 2)).otherwise(digit)
+
+    return F.aggregate(F.transform(F.split(F.reverse(digits), ""), value), F.lit(0), lambda a, x: a + x)
+
+
 def mentions(text: Column) -> Column:
-    """All mentions of a text, from left to right."""
+    """All candidates of a text, from left to right; numbers like a card's are yet to be checked."""
     return F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
 
 
 def _parsed(raws: DataFrame) -> DataFrame:
-    """(raw, kind, title, and up to two units: kind1, unit1, kind2, unit2) of distinct mentions."""
+    """(raw, kind, parts) of distinct mentions; a part is (text, kind, unit), the unit null where it stays."""
     raw = F.col("raw")
-    kind = _kind(raw)
-    names = F.regexp_extract(raw, r"^\S+ (.*)$", 1)
-    first = F.regexp_extract(names, r"^([^ -]+)[ -].+$", 1)
-    last = F.regexp_extract(names, r"([^ -]+)$", 1)
-    female = F.regexp_extract(raw, r"^(\p{L}+)", 1).isin(*TITLES["f"])
-    unit = (F.when(kind == "email", F.lower(raw)).when(kind.isin("phone", "card"), _digits(raw))
-            .when(kind == "ip", raw).otherwise(F.lower(last)))
-    person = kind == "person"
-    return raws.select(
-        "raw", kind.alias("kind"), F.when(person, "surname").otherwise(kind).alias("kind1"), unit.alias("unit1"),
-        F.when(person & (first != ""), F.when(female, "given_f").otherwise("given_m")).alias("kind2"),
-        F.when(person & (first != ""), F.lower(first)).alias("unit2"))
+    digits = _digits(raw)
+    checked = digits.rlike("^[3-6][0-9]{15}$") | (F.when(F.col("kind") == "card", _luhn_sum(digits, 1)) % 10 == 0)
+    raws = raws.select("raw", _kind(raw).alias("kind")).where((F.col("kind") != "card") | checked)
+    kind = F.col("kind")
+    title = F.regexp_extract(raw, rf"^(?:(?:{_TITLE})\.? )+(?=\p{{Lu}})", 0)
+    names = F.substr(raw, F.char_length(title) + 1)
+    before = F.regexp_extract(names, r"^(.* )?[^ ]*$", 1)
+
+    def gender(g: str) -> Column:
+        return title.rlike(rf"(?<!\p{{L}})(?:{'|'.join(TITLES[g])})\.? ")
+
+    given = F.when(gender("f"), "given_f").when(gender("m"), "given_m").otherwise("given_n")
+
+    def part(text: Column, kind: Column, unit: Column) -> Column:
+        return F.struct(text.alias("text"), kind.alias("kind"), unit.alias("unit"))
+
+    def parts(text: Column, kind: Column) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(r"[\p{L}'’]+|[^\p{L}'’]+"), F.lit(0)),
+                           lambda t: part(t, kind, F.when(t.rlike(r"^\p{Lu}"), F.lower(t))))
+
+    person = F.concat(F.array(part(title, F.lit("title"), F.lit(None).cast("string"))), parts(before, given),
+                      parts(F.substr(names, F.char_length(before) + 1), F.lit("surname")))
+    unit = F.when(kind == "email", F.lower(raw)).when(kind == "ip", raw).otherwise(digits)
+    return raws.select("raw", "kind", F.when(kind == "person", person).otherwise(F.array(part(raw, kind, unit))).alias("parts"))
 
 
 def _byte(code: Column, at: Column) -> Column:
@@ -88,13 +121,8 @@ def _byte(code: Column, at: Column) -> Column:
 
 
 def _luhn(digits: Column) -> Column:
-    """The check digit to put behind 15 digits."""
-    total = F.lit(0)
-    for k in range(15):
-        digit = F.substr(digits, F.lit(k + 1), F.lit(1)).cast("int")
-        double = digit * 2
-        total = total + (F.when(double > 9, double - 9).otherwise(double) if k % 2 == 0 else digit)
-    return F.pmod(10 - total % 10, F.lit(10)).cast("string")
+    """The check digit to put behind the digits."""
+    return F.pmod(10 - _luhn_sum(digits, 0) % 10, F.lit(10)).cast("string")
 
 
 def _letters(code: Column, at: Column) -> Column:
@@ -117,7 +145,10 @@ def _candidate(units: DataFrame, key: str) -> DataFrame:
     country = F.when(unit.rlike("^[17]"), 1).otherwise(2)
     number = F.transform(chars, lambda c, i: F.when(i < country, c).when(i == country, (_byte(code, i) % 8 + 2).cast("string"))
                          .otherwise((_byte(code, i) % 10).cast("string")))
-    body = F.array_join(F.transform(F.slice(chars, 1, 15), lambda c, i: F.when(i == 0, c).otherwise(
+    # a number without country code keeps its leading 0 or 1
+    national = F.transform(chars, lambda c, i: F.when((i == 0) & c.isin("0", "1"), c).when(i < 2, (_byte(code, i) % 8 + 2).cast("string"))
+                           .otherwise((_byte(code, i) % 10).cast("string")))
+    body = F.array_join(F.transform(F.slice(chars, F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1))), lambda c, i: F.when(i == 0, c).otherwise(
         (_byte(code, i) % 10).cast("string"))), "")
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(code, i) % 254 + 1).cast("string")), ".")
 
@@ -134,7 +165,7 @@ def _candidate(units: DataFrame, key: str) -> DataFrame:
     kind = F.col("kind")
     return coded.withColumn("_body", body).withColumn(
         "surrogate", F.when(kind == "email", email).when(kind == "phone", F.array_join(number, ""))
-        .when(kind == "card", F.concat("_body", _luhn(F.col("_body")))).when(kind == "ip", octets).otherwise(names)
+        .when(kind == "national", F.array_join(national, "")).when(kind == "card", F.concat("_body", F.when(kind == "card", _luhn(F.col("_body"))))).when(kind == "ip", octets).otherwise(names)
     ).drop("_code", "_body")
 
 
@@ -172,20 +203,15 @@ def _cased(like: Column, name: Column) -> Column:
 
 def _replacements(parsed: DataFrame, chosen: DataFrame) -> DataFrame:
     """(raw, new) of every distinct mention."""
-    one = chosen.select(F.col("kind").alias("kind1"), F.col("unit").alias("unit1"), F.col("surrogate").alias("s1"))
-    two = chosen.select(F.col("kind").alias("kind2"), F.col("unit").alias("unit2"), F.col("surrogate").alias("s2"))
-    rows = parsed.join(one, ["kind1", "unit1"], "left").join(two, ["kind2", "unit2"], "left")
-    raw = F.col("raw")
-    title = F.regexp_extract(raw, r"^(\S+ )", 1)
-    given = F.regexp_extract(raw, r"^\S+ ([^ -]+)[ -]", 1)
-    join = F.regexp_extract(raw, r"^\S+ [^ -]+([ -])", 1)
-    last = F.regexp_extract(raw, r"([^ -]+)$", 1)
-    person = F.concat(title, F.when(F.col("s2").isNull(), "").otherwise(F.concat(_cased(given, F.col("s2")), join)),
-                      _cased(last, F.col("s1")))
-    email = F.when(F.upper(raw) == raw, F.upper("s1")).otherwise(F.col("s1"))
-    new = (F.when(F.col("kind") == "email", email).when(F.col("kind").isin("phone", "card"), _written(raw, F.col("s1")))
-           .when(F.col("kind") == "ip", F.col("s1")).otherwise(person))
-    return rows.select("raw", new.alias("new"))
+    raw, kind, text, unit = F.col("raw"), F.col("kind"), F.col("part.text"), F.col("s")
+    flat = parsed.select("raw", F.posexplode("parts").alias("at", "part")).select("raw", "at", "part", "part.kind", "part.unit")
+    rows = flat.join(chosen.withColumnRenamed("surrogate", "s"), ["kind", "unit"], "left")
+    email = F.when(F.upper(raw) == raw, F.upper(unit)).otherwise(unit)
+    new = (F.when(F.col("unit").isNull(), text).when(kind == "email", email)
+           .when(kind.isin("phone", "national", "card"), _written(raw, unit)).when(kind == "ip", unit)
+           .otherwise(_cased(text, unit)))
+    ordered = F.array_sort(F.collect_list(F.struct("at", new.alias("new"))))
+    return rows.groupBy("raw").agg(F.array_join(F.transform(ordered, lambda p: p["new"]), "").alias("new"))
 
 
 def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions: str = "n_mentions") -> DataFrame:
@@ -202,9 +228,7 @@ def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions:
     found = spark.read.parquet(f"{root}/found")
     _parsed(found.select("raw").distinct()).write.parquet(f"{root}/parsed")
     parsed = spark.read.parquet(f"{root}/parsed")
-    units = (parsed.select(F.col("kind1").alias("kind"), F.col("unit1").alias("unit"))
-             .unionByName(parsed.where("kind2 is not null").select(F.col("kind2").alias("kind"), F.col("unit2").alias("unit")))
-             .distinct())
+    units = parsed.select(F.inline("parts")).where("unit is not null").select("kind", "unit").distinct()
     _replacements(parsed, surrogates(units, key, root)).write.parquet(f"{root}/new")
     new = spark.read.parquet(f"{root}/new")
     maps = (found.join(new, "raw").groupBy("_key")
@@ -213,11 +237,11 @@ def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions:
     maps.write.parquet(f"{root}/maps")
     maps = spark.read.parquet(f"{root}/maps").withColumnRenamed("_key", "_text_key")
     joined = some.withColumn("_text_key2", row_key)
-    joined = joined.join(maps, joined["_text_key2"] == maps["_text_key"])
+    joined = joined.join(maps, joined["_text_key2"] == maps["_text_key"], "left")
     pieces, hits = F.split(F.col(text), MENTION, -1), mentions(F.col(text))
-    filled = F.array_join(F.zip_with(pieces, F.transform(hits, lambda m: F.element_at("_new", m)),
+    filled = F.array_join(F.zip_with(pieces, F.transform(hits, lambda m: F.coalesce(F.element_at("_new", m), m)),
                                      lambda piece, m: F.concat(piece, F.coalesce(m, F.lit("")))), "")
-    count = F.size(hits).cast("long").alias(n_mentions)
+    count = F.size(F.filter(hits, lambda m: F.element_at("_new", m).isNotNull())).cast("long").alias(n_mentions)
     changed = joined.select(*[filled.alias(c) if c == text else F.col(c) for c in names], count)
     plain = docs.where(~has).select(*[F.col(c) for c in names], F.lit(0).cast("long").alias(n_mentions))
     return plain.unionByName(changed)

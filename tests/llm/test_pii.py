@@ -77,3 +77,30 @@ def test_query_on_real_table(spark, shared, real):
 def test_empty_table(docs, shared):
     out = pii.replace_mentions(docs([]), "k")
     assert out.count() == 0 and out.columns == [*docs([]).columns, "n_mentions"]
+
+
+FORMS = ["Mr John Paul Smith", "Frau Anna Müller-Schmidt", "Mr. J. Smith", "Dr Eva Brown", "Frau Prof. Dr. Lena Graf",
+         "Herr Ludwig von Beethoven", "555-123-4567", "(555) 123-4567", "1-555-123-4568", "030 1234567", "(030) 1234 5678",
+         "01 23 45 67 89", "378282246310005", "3782 822463 10005", "2221000000000009", "4222222222222", "6304000000000000000"]
+
+
+def test_each_form_is_replaced_whole(docs, shared):
+    rows = {r.doc_id: r for r in replaced(docs, [(i, f"see {form}, then") for i, form in enumerate(FORMS)])}
+    out = {form: rows[i].text.removeprefix("see ").removesuffix(", then") for i, form in enumerate(FORMS)}
+    assert all(rows[i].n_mentions == 1 for i in range(len(FORMS)))
+    keep = {"Mr", "Frau", "Dr", "Prof", "Herr", "von"}
+    for form, new in out.items():
+        old_parts, new_parts = re.findall(r"[^\W\d_]+", form), re.findall(r"[^\W\d_]+", new)
+        assert len(old_parts) == len(new_parts)
+        assert all((a == b) == (a in keep) for a, b in zip(old_parts, new_parts))
+        if form[-1].isdigit():
+            assert new != form and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", form)
+    assert all(luhn(re.sub(r"\D", "", out[f])) for f in FORMS[-5:])
+    assert out["Mr John Paul Smith"].split()[-1] == out["Mr. J. Smith"].split()[-1]
+    assert re.sub(r"\D", "", out["378282246310005"]) == re.sub(r"\D", "", out["3782 822463 10005"])
+
+
+def test_other_numbers_stay(docs, shared):
+    texts = ["id 1234567890123456", "on 2024-01-15 10:30", "on 01.02.2024", "sum 1,234,567.89", "x 4222222222223 y"]
+    rows = replaced(docs, list(enumerate(texts)))
+    assert sorted(r.text for r in rows) == sorted(texts) and not any(r.n_mentions for r in rows)
