@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from basketflow.llm import (
-    byte_bpe, decontaminate, exact_dedup, line_dedup, lm, ngram_join, pii, quality, secrets, token_counts,
+    byte_bpe, decontaminate, exact_dedup, line_dedup, lm, ngram_join, phrases, pii, quality, search, secrets,
+    token_counts, toxicity,
 )
 from basketflow.session import scratch_dir
 
@@ -91,6 +92,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         byte_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii_surrogates": op1_pii_surrogates,
@@ -103,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_toxicity": op12_toxicity,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -113,4 +129,55 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM rows""",
+    "op11_ranked_search": r"""
+        WITH terms AS (
+            SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+') AS t FROM documents),
+        docs AS (SELECT doc_id, d, t, len(t) AS n FROM terms WHERE len(t) > 0),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM docs),
+        tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM docs) GROUP BY d, term),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, whole),
+        items AS (SELECT item_id, q, term, count(*) AS times FROM (
+            SELECT item_id, row_number() OVER () AS q, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark) GROUP BY item_id, q, term),
+        scores AS (
+            SELECT item_id, q, d, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * whole.docs) // words))))::BIGINT AS score
+            FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN docs USING (d), whole GROUP BY item_id, q, d),
+        ranked AS (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scores JOIN docs USING (d) WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+        split AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces),
+        grams AS (
+            SELECT lang, w[i:i + size - 1] AS phrase FROM (
+                SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                FROM split, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)),
+        f AS (SELECT lang, phrase, count(*) AS n FROM grams GROUP BY lang, phrase HAVING count(*) >= 30),
+        words AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+        found AS (SELECT lang, phrase, n AS a FROM f WHERE len(phrase) > 1),
+        cut AS (SELECT lang, phrase, a, unnest(range(1, len(phrase))) AS k FROM found),
+        scored AS (
+            SELECT cut.*, l.n AS l, r.n AS r, (2000000::HUGEINT * a) // (l.n + r.n) AS score
+            FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = cut.phrase[1:k]
+            JOIN f AS r ON r.lang = cut.lang AND r.phrase = cut.phrase[k + 1:len(cut.phrase)]),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        spans AS (
+            SELECT lang, phrase, a, size, unnest(range(1, len(phrase) - size + 2)) AS i
+            FROM found, (SELECT unnest([2, 3]) AS size) WHERE len(phrase) > size),
+        longest AS (SELECT lang, phrase[i:i + size - 1] AS phrase, max(a) AS longer FROM spans GROUP BY 1, 2),
+        kept AS (
+            SELECT weakest.* FROM weakest LEFT JOIN longest USING (lang, phrase)
+            WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+        ranked AS (
+            SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM kept),
+        ordered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ordered JOIN words USING (lang) WHERE rank <= 2000""",
 }

@@ -82,8 +82,8 @@ class Words:
         return np.searchsorted(self.row, np.arange(self.rows + 1))
 
 
-def words(texts: pa.Array) -> Words:
-    """All words of a string column; a null has none."""
+def words(texts: pa.Array, gap: np.ndarray = _SPACE) -> Words:
+    """All words of a string column; a null has none.  ``gap`` marks the bytes that are in no word."""
     texts = pa.array(texts.cast(pa.large_string()).fill_null(""))
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     buffer = texts.buffers()[2]
@@ -93,7 +93,7 @@ def words(texts: pa.Array) -> Words:
     none = np.empty(0, np.int64)
     if not len(data):
         return Words(np.empty(0, np.uint64), none, none, none, data, len(texts))
-    inside = ~_SPACE[data]
+    inside = ~gap[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
     starts = inside.copy()
