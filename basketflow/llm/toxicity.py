@@ -7,7 +7,8 @@ documents, the risk of a classifier g is estimated without one clean label as
 
 where the second part falls below zero, on a step, its gradient is turned round (the model has
 begun to fit the unlabelled toxic documents).  The loss is logistic, the classifier linear in the
-presence of words (hashed into BUCKETS), fitted with numpy.  MEMBERS classifiers, each on
+presence of words and the density of beginnings of words (hashed into BUCKETS; the FEATURES that
+tell the two sets apart most surely), fitted with numpy.  MEMBERS classifiers, each on
 unlabelled documents of its own, train as tasks of one Spark job; a score is the mean of theirs.
 
 The share p is taken from the labels unless given.  A member fits on at most about 2 * TOXIC toxic and
@@ -34,6 +35,7 @@ from basketflow.session import scratch_dir
 BUCKETS = 1 << 20
 TOXIC, UNLABELLED, MEMBERS = 2000, 6000, 4
 FEATURES = 1024
+PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 # The share of toxic documents where labels cannot tell it.
 PRIOR = 0.1
@@ -42,12 +44,34 @@ _GAP = np.zeros(256, dtype=bool)
 _GAP[:0x30] = _GAP[0x3A:0x41] = _GAP[0x5B:0x61] = _GAP[0x7B:0x80] = True
 
 
-def present(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of the distinct words of each text."""
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, value): 1 for each distinct word of a text, and for each beginning of a word (its first
+    bytes, as many as PREFIXES says) how dense it is: times / (times + 1 + words / 100)."""
     found = words(texts, _GAP)
-    bucket = (mix(found.number) % np.uint64(BUCKETS)).astype(np.int64)
-    both = np.unique(found.row * BUCKETS + bucket)
-    return both // BUCKETS, both % BUCKETS
+    length = np.bincount(found.row, minlength=found.rows)
+    size = found.end - found.start
+    rows, buckets, values = [], [], []
+
+    def counted(row: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        both, times = np.unique(row * BUCKETS + (mix(number) % np.uint64(BUCKETS)).astype(np.int64), return_counts=True)
+        return both // BUCKETS, both % BUCKETS, times
+
+    row, bucket, _ = counted(found.row, found.number)
+    rows.append(row)
+    buckets.append(bucket)
+    values.append(np.ones(len(row), dtype=np.float32))
+    for width in PREFIXES:
+        long = np.flatnonzero(size >= width)
+        number = np.full(len(long), width, dtype=np.uint64)
+        for k in range(width):
+            number = (number << np.uint64(8)) | found.data[found.start[long] + k]
+        row, bucket, times = counted(found.row[long], number)
+        rows.append(row)
+        buckets.append(bucket)
+        values.append((times / (times + 1 + length[row] / 100)).astype(np.float32))
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    return row[order], np.concatenate(buckets)[order], np.concatenate(values)[order]
 
 
 def training_fold(doc_id: Column, folds: int, held_out: int) -> Column:
@@ -60,21 +84,23 @@ def _share(rows: int, wanted: int) -> Column:
     return F.col("draw") <= F.lit(min(cut, 2**63 - 1))
 
 
-def select_features(row: np.ndarray, bucket: np.ndarray, toxic: np.ndarray, most: int = FEATURES) -> np.ndarray:
-    """The buckets whose share among the toxic documents departs most surely from that among the others."""
-    n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
+def select_features(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, toxic: np.ndarray,
+                    most: int = FEATURES) -> np.ndarray:
+    """The buckets whose mean among the toxic documents departs most surely from that among the others."""
+    n_toxic, n_other = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
     used, at = np.unique(bucket, return_inverse=True)
-    p = np.bincount(at, weights=toxic[row], minlength=len(used))
-    u = np.bincount(at, weights=~toxic[row], minlength=len(used))
-    both = (p + u + 1) / (n_toxic + n_other + 2)
-    surely = np.abs(p / max(n_toxic, 1) - u / max(n_other, 1)) / np.sqrt(both * (1 - both) * (1 / max(n_toxic, 1) + 1 / max(n_other, 1)))
-    surely[p + u < 3] = 0
+    p = np.bincount(at, weights=toxic[row] * value, minlength=len(used))
+    u = np.bincount(at, weights=~toxic[row] * value, minlength=len(used))
+    n = n_toxic + n_other
+    spread = (np.bincount(at, weights=value * value, minlength=len(used)) + 1) / n - ((p + u) / n) ** 2
+    surely = np.abs(p / n_toxic - u / n_other) / np.sqrt(np.maximum(spread, 1 / n) * (1 / n_toxic + 1 / n_other))
+    surely[np.bincount(at, minlength=len(used)) < 3] = 0
     order = np.argsort(-surely, kind="stable")[:most]
     return np.sort(used[order[surely[order] > 2]])
 
 
-def fit(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05,
-        decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05,
+        decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the smallest non-negative risk, by Adam over all rows.
 
     ``x`` has a row for each document; those not ``toxic`` are unlabelled.
@@ -99,17 +125,18 @@ def fit(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 400, rate:
 
 
 def _member(table: pa.Table, prior: float) -> pa.Table:
-    """One classifier from rows of (member, toxic, buckets)."""
+    """One classifier from rows of (member, toxic, buckets, values)."""
     toxic = table.column("toxic").to_numpy()
     lists = table.column("buckets").combine_chunks()
     row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     bucket = lists.flatten().to_numpy().astype(np.int64)
-    chosen = select_features(row, bucket, toxic)
+    value = table.column("values").combine_chunks().flatten().to_numpy()
+    chosen = select_features(row, bucket, value, toxic)
     x = np.zeros((len(toxic), len(chosen)), dtype=np.float32)
     at = np.searchsorted(chosen, bucket)
     known = at < len(chosen)
     known[known] = chosen[at[known]] == bucket[known]
-    x[row[known], at[known]] = 1
+    np.add.at(x, (row[known], at[known]), value[known])
     w, b = fit(x, toxic, prior)
     return pa.table({"buckets": pa.array([chosen], pa.list_(pa.int64())),
                      "weights": pa.array([w], pa.list_(pa.float32())), "bias": pa.array([b], pa.float64())})
@@ -137,19 +164,19 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     other = (rows.withColumn("draw", F.xxhash64("draw", F.lit(1))).where(_share(count, UNLABELLED * MEMBERS))
              .select("text", "draw").limit(2 * UNLABELLED * MEMBERS))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            row, bucket = present(batch.column(0))
-            cuts = np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows)))
+            row, bucket, value = features(batch.column(0))
+            cuts = pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32()))],
-                names=["draw", "buckets"])
+                [batch.column(1), pa.ListArray.from_arrays(cuts, pa.array(bucket, pa.int32())),
+                 pa.ListArray.from_arrays(cuts, pa.array(value))], names=["draw", "buckets", "values"])
 
-    toxic.mapInArrow(features, "draw long, buckets array<int>").write.parquet(f"{root}/toxic")
-    other.mapInArrow(features, "draw long, buckets array<int>").write.parquet(f"{root}/other")
+    toxic.mapInArrow(run, "draw long, buckets array<int>, values array<float>").write.parquet(f"{root}/toxic")
+    other.mapInArrow(run, "draw long, buckets array<int>, values array<float>").write.parquet(f"{root}/other")
     toxic, other = spark.read.parquet(f"{root}/toxic"), spark.read.parquet(f"{root}/other")
-    dealt = toxic.select(F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1))).alias("member"), F.lit(True).alias("toxic"), "buckets").unionByName(
-        other.select(F.pmod("draw", F.lit(MEMBERS)).cast("int").alias("member"), F.lit(False).alias("toxic"), "buckets"))
+    dealt = toxic.select(F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1))).alias("member"), F.lit(True).alias("toxic"), "buckets", "values").unionByName(
+        other.select(F.pmod("draw", F.lit(MEMBERS)).cast("int").alias("member"), F.lit(False).alias("toxic"), "buckets", "values"))
     members = dealt.groupBy("member").applyInArrow(
         lambda table: _member(table, prior), "buckets array<long>, weights array<float>, bias double").collect()
     return [(np.array(r["buckets"], dtype=np.int64), np.array(r["weights"], dtype=float), r["bias"]) for r in members], prior
@@ -169,12 +196,13 @@ def score_documents(docs: DataFrame, members: list[tuple[np.ndarray, np.ndarray,
         place = np.full(BUCKETS, len(used), dtype=np.int32)
         place[used] = np.arange(len(used))
         for batch in slices(batches, 1):
-            row, bucket = present(batch.column(1))
+            row, bucket, value = features(batch.column(1))
             at = place[bucket]
-            row, at = row[at < len(used)], at[at < len(used)]
+            known = at < len(used)
+            row, at, value = row[known], at[known], value[known]
             score = np.zeros(batch.num_rows)
             for k, (_, _, bias) in enumerate(sent.value):
-                z = np.bincount(row, weights=table[at, k], minlength=batch.num_rows) + bias
+                z = np.bincount(row, weights=table[at, k] * value, minlength=batch.num_rows) + bias
                 score += 1 / (1 + np.exp(-np.clip(z, -30, 30))) / len(sent.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.minimum(score, 1.0) if sent.value else np.full(batch.num_rows, prior))], names=["doc_id", "score"])
