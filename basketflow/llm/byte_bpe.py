@@ -171,6 +171,28 @@ def decode(tokens: DataFrame, vocabulary: str, pattern: str, ids: str = "ids",
     return tokens.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids",
+               same: str = "round_trip") -> DataFrame:
+    """``docs`` without its text, plus ``ids`` and whether their decoding is the text's bytes.
+
+    As ``encode`` and ``decode`` in one worker, so a task holds one codec and no decoded text is sent.
+    """
+    kept = [f for f in docs.schema.fields if f.name not in (text, ids, same)]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(same, T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary, pattern)
+        for batch in _slices(batches):
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            found = codec.encode(texts)
+            equal = [codec.decode(i)[0].tobytes() == t.encode("utf-8") for t, i in zip(texts, found)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(f.name) for f in kept], _lists(found, pa.int32()), pa.array(equal, pa.bool_())],
+                names=[f.name for f in schema])
+
+    return docs.mapInArrow(run, schema)
+
+
 def ids_digest(ids: Column) -> Column:
     """SHA-256 of the decimal ids joined by one space."""
     return F.sha2(F.array_join(F.transform(ids, lambda i: i.cast("string")), " "), 256)

@@ -19,8 +19,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from basketflow.llm.text import ascii_lower
+from basketflow.llm.graph import only_wanted
+from basketflow.llm.text import ascii_lower, small_batches, unused
 from basketflow.session import scratch_dir
 
 # Staged files that one micro-batch reads.
@@ -32,7 +34,9 @@ STATE_CONF = {
     # without reserved file space: a small partition takes what it holds, not 4 MB and more
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    # stores are closed soon after the stream has ended
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
     "spark.sql.streaming.metricsEnabled": "false",
 }
 
@@ -91,6 +95,7 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``digest`` may be any function of the text; a weak one only costs time.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     root = scratch_dir(spark, "exact-dedup")
     clean = normalised(docs, text)
     rows = docs.select(docs[doc_id].alias("doc_id"), clean.alias("clean"))
@@ -107,7 +112,7 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # written, so that the join below has no aggregation in its stage and can split a large group
     groups.write.parquet(f"{root}/groups")
     groups = spark.read.schema(groups.schema).parquet(f"{root}/groups")
-    shared = _shared_digests(rows, digest)
+    shared = _shared_digests(rows, digest, groups.where("rows > 1"))
     shared.write.parquet(f"{root}/shared")
     shared = spark.read.schema(shared.schema).parquet(f"{root}/shared")
     out = staged.join(groups, "digest", "left")
@@ -118,13 +123,17 @@ def group_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         (F.col("locator") == F.col("keep.locator")).alias("kept"), "text_sha256")
 
 
-def _shared_digests(rows: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """Digests that stand for more than one text: each hit is compared in full.
+def _shared_digests(rows: DataFrame, digest: Callable[[Column], Column], hits: DataFrame) -> DataFrame:
+    """Digests that stand for more than one text: every hit is compared in full.
 
-    Equal texts collapse inside each task, so a digest's set has one text unless it is shared.
+    Only texts whose digest was seen again move (a bitmap of these passes over the others).  Equal
+    texts collapse inside each task, so a digest's set has one text unless it is shared.
     """
-    return (rows.groupBy(digest(F.col("clean")).alias("digest"))
-            .agg(F.size(F.collect_set("clean")).alias("texts")).where("texts > 1").select("digest"))
+    key = F.xxhash64("digest").alias("key")
+    texts = only_wanted(rows.select(digest(F.col("clean")).alias("digest"), "clean").select(key, "digest", "clean"),
+                        hits.select(key), "key")
+    return (texts.groupBy("digest").agg(F.size(F.collect_set("clean")).alias("texts"))
+            .where("texts > 1").select("digest"))
 
 
 def _by_text(rows: DataFrame, digest: Callable[[Column], Column], staged: DataFrame, out: DataFrame,
@@ -141,12 +150,17 @@ def _by_text(rows: DataFrame, digest: Callable[[Column], Column], staged: DataFr
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Of rows with the same identifier and text the one with the smallest hash of all columns stays.
+    """
     groups = group_copies(docs, doc_id, text)
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_sha256", sha256(normalised(docs, text)))
-    out = marked.join(kept, marked[doc_id].eqNullSafe(kept["_id"]) & (marked["_sha256"] == kept["_sha"]), "left_semi")
+    sha, order = unused("sha", docs.columns), unused("order", docs.columns)
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    marked = docs.withColumn(sha, sha256(normalised(docs, text)))
+    out = marked.join(kept, marked[doc_id].eqNullSafe(kept["kept_id"]) & (marked[sha] == kept["kept_sha"]), "left_semi")
     repeated = groups.groupBy("doc_id", "text_sha256").count().where("count > 1")
     if repeated.take(1):
-        out = out.dropDuplicates([doc_id, "_sha256"])
-    return out.drop("_sha256")
+        first = Window.partitionBy(doc_id, sha).orderBy(F.xxhash64(*docs.columns))
+        out = out.withColumn(order, F.row_number().over(first)).where(F.col(order) == 1)
+    return out.select(*docs.columns)

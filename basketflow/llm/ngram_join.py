@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm.graph import bitmap, components, may_hold, only_wanted
-from basketflow.llm.text import mix, shingles, slices, words
+from basketflow.llm.text import mix, shingles, slices, unused, words
 from basketflow.session import scratch_dir
 
 # Shingles found LOCAL times in one window are counted; those with FREQUENT in all are frequent.
@@ -375,8 +375,10 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     their own, which the groups and the choice go by.
     """
     folder = _Folder(docs.sparkSession)
-    keyed = folder.save(docs.select("*", F.monotonically_increasing_id().alias("_row"), F.xxhash64(docs[text]).alias("_hash")), "keyed")
-    order = keyed.select("_row", F.struct(keyed[doc_id].isNull().alias("none"), keyed[doc_id].alias("id"), "_hash", "_row").alias("place"))
-    groups = group_similar(keyed, "_row", text, width, percent).select(F.col("doc_id").alias("_row"), "component_id")
-    kept = order.join(groups, "_row").groupBy("component_id").agg(F.min("place").alias("first")).select("first._row")
-    return keyed.join(folder.save(kept, "kept"), "_row", "left_semi").select(*docs.columns)
+    row, digest = unused("row", docs.columns), unused("hash", docs.columns)
+    keyed = folder.save(docs.select("*", F.monotonically_increasing_id().alias(row), F.xxhash64(docs[text]).alias(digest)), "keyed")
+    place = F.struct(keyed[doc_id].isNull().alias("none"), keyed[doc_id].alias("id"), keyed[digest].alias("hash"), keyed[row].alias("row"))
+    groups = group_similar(keyed, row, text, width, percent).select(F.col("doc_id").alias("row"), "component_id")
+    kept = (keyed.select(keyed[row].alias("row"), place.alias("place")).join(groups, "row")
+            .groupBy("component_id").agg(F.min("place").alias("first")).select(F.col("first.row").alias(row)))
+    return keyed.join(folder.save(kept, "kept"), row, "left_semi").select(*docs.columns)

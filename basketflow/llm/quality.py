@@ -25,10 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.text import slices, words
+from basketflow.llm.text import slices, unused, words
 
 TRAIN_ROWS = 4000
 BUCKETS = 2048
+# A document is kept when the scorer gives it at least this probability of good quality.
+KEEP_SCORE = 0.3
+# Words in which the labeller of variety counts the distinct ones, again and again along a text.
+SPAN = 200
 # Share of good documents where there is nothing to estimate it from.
 PRIOR = 0.8
 # A labeller is held to name at most this share of the good documents bad.
@@ -57,9 +61,10 @@ def with_votes(docs: DataFrame, text: str) -> DataFrame:
     document without one symptom may have another.
     """
     body = F.coalesce(docs[text], F.lit(""))
-    rows = docs.withColumn("_words", F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    rows = rows.withColumn("_lines", F.filter(F.split(body, r"\n"), lambda x: F.char_length(x) > 20))
-    words, lines = F.col("_words"), F.col("_lines")
+    of_words, of_lines = unused("of_words", docs.columns), unused("of_lines", docs.columns)
+    rows = docs.withColumn(of_words, F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    rows = rows.withColumn(of_lines, F.filter(F.split(body, r"\n"), lambda x: F.char_length(x) > 20))
+    words, lines = F.col(of_words), F.col(of_lines)
     n = F.size(words)
     chars = F.char_length(body)
     letters = F.char_length(F.regexp_replace(body, r"[^\p{L}]", ""))
@@ -69,7 +74,10 @@ def with_votes(docs: DataFrame, text: str) -> DataFrame:
     ends = F.size(F.filter(words, lambda w: w.rlike(r"[.?!:;]$")))
     twice = F.size(F.filter(F.zip_with(words, F.slice(words, 2, F.greatest(n - 1, F.lit(1))),
                                        lambda a, b: a == b), lambda same: same))
-    distinct = F.size(F.array_distinct(words))
+    # distinct words of each span, so that a long text is judged like a short one
+    distinct = F.aggregate(
+        F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(SPAN)),
+                    lambda at: F.size(F.array_distinct(F.slice(words, at, SPAN)))), F.lit(0), lambda a, b: a + b)
     none = F.lit(False)
     rules = {  # labeller: votes good when, votes bad when
         "function_words": (_share(common, n) >= 0.15, (n >= 25) & (_share(common, n) < 0.06)),
@@ -78,11 +86,11 @@ def with_votes(docs: DataFrame, text: str) -> DataFrame:
         "capitals": (none, (letters >= 20) & (_share(upper, letters) >= 0.3)),
         "symbols": (none, (chars >= 20) & (_share(symbols, chars) >= 0.03)),
         "repeated_words": (none, (n >= 10) & (_share(twice, n) >= 0.1)),
-        "variety": (none, (n >= 20) & (n < 400) & (_share(distinct, n) < 0.3)),
+        "variety": (none, (n >= 20) & (_share(distinct, n) < 0.3)),
         "repeated_lines": (none, (F.size(lines) >= 3) & (F.size(F.array_distinct(lines)) <= 0.75 * F.size(lines))),
     }
     votes = [F.when(rules[k][1], -1).when(rules[k][0], 1).otherwise(0) for k in LABELLERS]
-    return rows.withColumn("votes", F.array(*votes)).drop("_words", "_lines")
+    return rows.withColumn("votes", F.array(*votes)).drop(of_words, of_lines)
 
 
 @dataclass

@@ -42,7 +42,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scorer, _ = quality.train(docs)
     scored = quality.score_documents(docs.select("doc_id", "text"), scorer)
-    return scored.select("doc_id", "score", (F.col("score") >= corpus_pipeline.KEEP_SCORE).alias("kept"))
+    return scored.select("doc_id", "score", (F.col("score") >= quality.KEEP_SCORE).alias("kept"))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

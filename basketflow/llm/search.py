@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.llm.graph import bitmap, may_hold
-from basketflow.llm.text import slices, words
+from basketflow.llm.text import slices, small_batches, words
 from basketflow.session import scratch_dir
 
 BEST = 10
@@ -253,6 +253,7 @@ def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
            item_text: str = "text", best: int = BEST, leaves_at_once: int = LEAVES) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``best`` documents of every item with a score above 0."""
     spark = docs.sparkSession
+    small_batches(spark)
     root = scratch_dir(spark, "search")
     query_terms(items, item_id, item_text).write.parquet(f"{root}/terms")
     terms = spark.read.parquet(f"{root}/terms")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -27,6 +27,25 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+# Bytes that Spark sends to Python at a time.  Its own default of 64 MB, held a few times over by each
+# of an executor's tasks on both sides, is much of a small executor.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send texts in small batches, unless it was started with a size of its own."""
+    if spark.sparkContext.getConf().get(BATCH_SETTING) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, made longer until no column has it (names are compared as Spark does, without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character unchanged."""
     return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))

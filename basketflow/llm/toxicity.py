@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.text import mix, slices, words
+from basketflow.llm.text import mix, slices, small_batches, words
 from basketflow.session import scratch_dir
 
 BUCKETS = 1 << 20
@@ -146,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           folds: int = 3, held_out: int = 1, prior: float | None = None) -> tuple[list[tuple[np.ndarray, np.ndarray, float]], float]:
     """The members as (buckets, weights, bias), and the share of toxic documents."""
     spark = docs.sparkSession
+    small_batches(spark)
     root = scratch_dir(spark, "toxicity")
     known = (labels.where(training_fold(labels[doc_id], folds, held_out) & labels[label].isNotNull() & labels[doc_id].isNotNull())
              .groupBy(labels[doc_id].alias("id")).agg(F.max((labels[label] > 0).cast("int")).alias("toxic")))

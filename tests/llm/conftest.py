@@ -11,7 +11,8 @@ def shared(spark, tmp_path_factory):
     return spark.conf.get("spark.checkpoint.dir")
 
 
-EXTRA = "digest string, keep string, rows int, clean string, ids string, blob string, path string, content string, u int, id int"
+EXTRA = ("digest string, keep string, rows int, clean string, ids string, blob string, path string, content string, u int, id int, "
+         "row string, hash string, sha string, order string, quality double, place string, kept_id long, of_words string, key long, node long")
 
 
 @pytest.fixture

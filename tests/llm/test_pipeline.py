@@ -5,7 +5,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from basketflow.llm import queries
+from basketflow.llm import exact_dedup, queries
 from tests.llm.conftest import SF_DIR
 from tests.llm.test_decontaminate import brute as leaks
 from tests.llm.test_ngram_join import brute as groups
@@ -47,11 +47,51 @@ def test_run_and_query(spark, shared):
     assert got.count() == got.select("doc_id").distinct().count() > 100
 
 
+CLASHES = ["_row", "_hash", "_sha256", "_quality", "_id", "row", "hash", "sha", "order", "quality", "key", "node"]
+
+
 def test_stages_take_edges(spark, shared, docs, edges, tmp_path):
-    for pairs in (edges, []):
-        frame = docs(pairs).selectExpr("doc_id", "text", "cast(null as string) lang", "'s' source", "cast(1 as bigint) n_chars")
-        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+    """Nulls, repeats and extra columns with inner names: what stays is known row by row."""
+    extra = [f"cast(null as string) as `{c}`" if k % 2 else f"'x' as `{c}`" for k, c in enumerate(CLASHES)]
+    good = [(20 + k, " ".join(f"the {w}{k} of and to" for w in ("green", "river", "house", "table", "paper", "stone"))) for k in range(3)]
+    near = [(None, good[0][1] + " more"), (31, good[0][1])]  # a null identifier in the group of 20, and an exact copy
+    for pairs in (edges + good + near, []):
+        frame = docs(pairs).selectExpr("doc_id", "text", "cast(null as string) lang", "'s' source", "cast(1 as bigint) n_chars", *extra)
+        columns = frame.columns
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES[1:]):
             folder = str(tmp_path / f"{len(pairs)}-{k}")
             stage(spark, frame, SF_DIR).write.parquet(folder)
             frame = spark.read.parquet(folder)
+            if name != "byte_bpe":
+                assert frame.columns == columns
+            kept = sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr) if name != "byte_bpe" else None
+            if name == "exact_dedup" and pairs:
+                assert kept == sorted(copies_left(pairs), key=repr)
+            if name == "near_dedup" and pairs:
+                left = copies_left(pairs)
+                assert kept == sorted([p for p in left if p[1] != near[0][1]], key=repr)
         assert frame.count() <= len(pairs)
+        good_stage = corpus_pipeline.STAGES[0][1](spark, docs(pairs).selectExpr("doc_id", "text", *extra), SF_DIR)
+        assert good_stage.columns == ["doc_id", "text", *CLASHES]
+        assert good_stage.count() <= len(pairs)
+
+
+def copies_left(pairs):
+    """One row for each text, that of the largest identifier (null lowest)."""
+    last = {}
+    for i, t in sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0)):
+        last[(t or "").translate(LOWER)] = (i, t)
+    return list(last.values())
+
+
+def test_rows_equal_in_identifier_and_text_are_chosen_alike(spark, shared):
+    rows = [(1, "same", x) for x in "abcdef"] + [(2, "SAME", "z"), (2, "same", "y")]
+    first = None
+    for seed in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, more string").repartition(seed)
+        got = sorted(tuple(r) for r in exact_dedup.drop_copies(docs).collect())
+        assert len(got) == 1 and got[0][0] == 2
+        docs = spark.createDataFrame(rows[:6], docs.schema).repartition(seed)
+        got = sorted(tuple(r) for r in exact_dedup.drop_copies(docs).collect())
+        assert first in (None, got) and len(got) == 1
+        first = got
