@@ -14,38 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import byte_bpe, decontaminate, exact_dedup, ngram_join, quality
+from basketflow.llm.text import small_batches, unused
 from basketflow.session import scratch_dir
 
-# A document stays when the scorer gives it at least this probability of good quality.
-KEEP_SCORE = 0.3
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     scorer, _ = quality.train(docs)
-    scored = quality.score_documents(docs, scorer, score="_quality")
-    return scored.where(F.col("_quality") >= KEEP_SCORE).drop("_quality")
+    score = unused("quality", docs.columns)
+    scored = quality.score_documents(docs, scorer, score=score)
+    return scored.where(F.col(score) >= quality.KEEP_SCORE).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.drop_similar(docs, width=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens and whether decoding gives the text back."""
-    tokens = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), VOCABULARY, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(tokens, VOCABULARY, public_tokenizers.PATTERN)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return decoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                          same.alias("round_trip"))
+    small_batches(spark)
+    tokens = byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), VOCABULARY, public_tokenizers.PATTERN)
+    return tokens.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
