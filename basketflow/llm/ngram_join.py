@@ -370,13 +370,14 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
                  percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group: the one of the smallest identifier, nulls last.
 
-    Among rows of one identifier the text's hash and then the place in the table decide, so
+    Among rows of one identifier the text's hash and then that of the place in the table decide, so
     null and repeated identifiers cost no row of another group.  Rows are written with a key of
-    their own, which the groups and the choice go by.
+    their own, which the groups and the choice go by: a hash (one to one on 64 bits), as bitmaps of
+    keys need evenly spread ones.
     """
     folder = _Folder(docs.sparkSession)
     row, digest = unused("row", docs.columns), unused("hash", docs.columns)
-    keyed = folder.save(docs.select("*", F.monotonically_increasing_id().alias(row), F.xxhash64(docs[text]).alias(digest)), "keyed")
+    keyed = folder.save(docs.select("*", F.xxhash64(F.monotonically_increasing_id()).alias(row), F.xxhash64(docs[text]).alias(digest)), "keyed")
     place = F.struct(keyed[doc_id].isNull().alias("none"), keyed[doc_id].alias("id"), keyed[digest].alias("hash"), keyed[row].alias("row"))
     groups = group_similar(keyed, row, text, width, percent).select(F.col("doc_id").alias("row"), "component_id")
     kept = (keyed.select(keyed[row].alias("row"), place.alias("place")).join(groups, "row")
