@@ -20,7 +20,10 @@ def bitmap(keys: DataFrame, key: str) -> np.ndarray:
     words = (keys.groupBy(F.expr(f"shiftright(pmod({key}, {BITS}), 6)").alias("word"))
              .agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod({key}, 64) AS int)))").alias("bits"))).toArrow()
     out = np.zeros(BITS >> 6, dtype=np.int64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    for batch in words.to_batches():
+        out[batch.column("word").to_numpy()] = batch.column("bits").to_numpy()
+    del words
+    pa.default_memory_pool().release_unused()  # the driver holds the bitmap alone
     return out
 
 
@@ -59,7 +62,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     root = scratch_dir(spark, "components")
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = _saved(edges, f"{root}/0")
-    step = 0
+    step, known = 0, edges.count()
     while True:
         step += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -71,10 +74,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v")))).distinct()
         after = _saved(small, f"{root}/{step}")
-        size, overlap = after.count(), after.join(edges, ["u", "v"], "left_semi").count()
-        if size == overlap == edges.count():
+        held = after.join(edges.withColumn("held", F.lit(1)), ["u", "v"], "left").agg(
+            F.count(F.lit(1)).alias("size"), F.count("held").alias("overlap")).first()
+        if held["size"] == held["overlap"] == known:
             break
-        edges = after
+        edges, known = after, held["size"]
     lowest = after.groupBy("u").agg(F.min("v").alias("component"))
     return (lowest.select(F.col("u").alias("id"), "component")
             .unionByName(lowest.select(F.col("component").alias("id"), "component").distinct()))

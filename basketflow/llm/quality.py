@@ -196,7 +196,8 @@ def fit_scorer(features: np.ndarray, target: np.ndarray, steps: int = 150, decay
         return Scorer(np.zeros(d), float(np.log(share / (1 - share))))
     centre = features.mean(axis=0)
     scale = 1 / (np.sqrt(centre) + 1e-2)
-    x = ((features - centre) * scale).astype(np.float32)
+    x = features - centre
+    x *= scale
     target = target.astype(np.float32)
     w, b = np.zeros(d, np.float32), 0.0
     m, v, mb, vb = np.zeros(d, np.float32), np.zeros(d, np.float32), 0.0, 0.0
@@ -237,8 +238,13 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_pydict({"x": pa.array(out, pa.binary()), "y": pa.array(target, pa.float64())})
 
     sample = chosen.mapInArrow(run, "x binary, y double").toArrow()
-    x = np.frombuffer(b"".join(sample.column("x").to_pylist()), dtype=np.float32).reshape(-1, BUCKETS + 1)
-    return fit_scorer(x, sample.column("y").to_numpy()), model
+    x = np.empty((sample.num_rows, BUCKETS + 1), dtype=np.float32)
+    for k, row in enumerate(sample.column("x")):
+        x[k] = np.frombuffer(row.as_buffer(), dtype=np.float32)
+    y = sample.column("y").to_numpy()
+    del sample
+    pa.default_memory_pool().release_unused()
+    return fit_scorer(x, y), model
 
 
 def score_documents(docs: DataFrame, scorer: Scorer, text: str = "text", score: str = "score") -> DataFrame:
