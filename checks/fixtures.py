@@ -7,11 +7,14 @@ state the same mapping for the checking database.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.streaming.router import SERIAL
+
 AS_OF = datetime(2024, 1, 31)
 MONEY = "decimal(18,2)"
 
@@ -333,3 +336,22 @@ class Raw(Source):
         return self.given("region").where(F.col("r_regionkey") < 2).select(
             (F.col("r_regionkey") + 5).cast("bigint").alias("category_id"),
             F.concat(F.lit("cat"), (F.col("r_regionkey") + 3).cast("string")).alias("category_name"))
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The raw tables by the names the runs use."""
+    raw = Raw(spark, sf_dir)
+    return {"events": raw.events, "user_profiles": raw.profiles, "user_devices": raw.devices,
+            "user_locations": raw.locations, "orders": raw.orders, "order_items": raw.items,
+            "order_status_events": raw.statuses, "campaign_events": raw.campaign_events}
+
+
+def batches(spark: SparkSession, sf_dir: str, number: int) -> Callable[[str, int, int], DataFrame]:
+    """A reader of the raw tables as if they had landed in ``number`` batches, dealt by a hash of the serial."""
+    frames = raw_tables(spark, sf_dir)
+
+    def read(table: str, after: int, upto: int) -> DataFrame:
+        batch = F.pmod(F.xxhash64(SERIAL[table]), F.lit(number)) + 1
+        return frames[table]().where((batch > after) & (batch <= upto))
+
+    return read

@@ -1,93 +1,90 @@
-"""Mart definitions as plain joins for DuckDB.
+"""The marts for DuckDB, each written from the meaning of its columns.
 
-These join all child tables first and aggregate afterwards, the direct reading of each
-mart's definition; the Spark side never builds those joins.
+Facts are counted per row by subqueries, kept as sets per user and day, or unioned; how
+often a definition repeats a fact is a weight.
 """
 
 MARTS: dict[str, str] = {}
 
 MARTS["m1_daily_business_summary"] = """
-WITH first_buy AS (
-    SELECT user_id, CAST(min(order_ts) AS DATE) AS first_day
-    FROM ord WHERE status = 'success' GROUP BY user_id),
-visits AS (
-    SELECT CAST(start_ts AS DATE) AS event_date, count(DISTINCT session_id) AS total_sessions
-    FROM sessions GROUP BY 1),
-sales AS (
-    SELECT CAST(ord.order_ts AS DATE) AS event_date,
-           CAST(coalesce(sum(total_usd) FILTER (status = 'success'), 0) AS DOUBLE) AS revenue,
-           count(DISTINCT order_id) AS n_orders,
-           count(DISTINCT ord.user_id) AS n_users,
-           count(DISTINCT order_id) FILTER (status = 'success') AS n_won,
-           count(DISTINCT ord.user_id) FILTER (CAST(order_ts AS DATE) = first_day) AS n_new
-    FROM ord LEFT JOIN first_buy ON ord.user_id = first_buy.user_id GROUP BY 1)
-SELECT visits.event_date,
-       coalesce(revenue, 0) AS total_revenue,
-       coalesce(n_orders, 0) AS total_orders,
-       coalesce(n_users, 0) AS unique_customers,
-       CASE WHEN n_won > 0 THEN revenue / n_won ELSE 0 END AS avg_order_value,
-       CASE WHEN total_sessions > 0 THEN CAST(coalesce(n_won, 0) AS DOUBLE) / total_sessions
-            ELSE 0 END AS conversion_rate,
-       coalesce(n_new, 0) AS new_users,
-       total_sessions,
-       coalesce(n_won, 0) AS successful_orders
-FROM visits LEFT JOIN sales ON visits.event_date = sales.event_date
+WITH facts AS (
+    SELECT CAST(start_ts AS DATE) AS event_date, 1 AS visit, NULL AS buyer, false AS won, 0 AS paid, false AS newly
+    FROM sessions
+    UNION ALL
+    SELECT CAST(order_ts AS DATE), 0, user_id, status = 'success', total_usd,
+           CAST(order_ts AS DATE) = CAST(min(order_ts) FILTER (status = 'success') OVER (PARTITION BY user_id) AS DATE)
+    FROM ord),
+days AS (
+    SELECT event_date, CAST(sum(visit) AS BIGINT) AS visits, count(*) FILTER (visit = 0) AS bought,
+           count(*) FILTER (won) AS won, CAST(sum(paid) FILTER (won) AS DOUBLE) AS paid,
+           len(list_distinct(list(buyer))) AS buyers, len(list_distinct(list(buyer) FILTER (newly))) AS newcomers
+    FROM facts GROUP BY event_date HAVING sum(visit) > 0)
+SELECT event_date, coalesce(paid, 0) AS total_revenue, bought AS total_orders, coalesce(buyers, 0) AS unique_customers,
+       coalesce(paid / nullif(won, 0), 0) AS avg_order_value, CAST(won AS DOUBLE) / visits AS conversion_rate,
+       coalesce(newcomers, 0) AS new_users, visits AS total_sessions, won AS successful_orders
+FROM days
 """
 
 MARTS["m2_product_performance"] = """
-SELECT pr.product_id, pr.product_name, cat.category_name,
-       CAST(sum(it.quantity) AS BIGINT) AS total_quantity,
-       CAST(sum(it.price_usd * it.quantity) AS DOUBLE) AS total_revenue,
-       CAST(sum(it.price_usd) AS DOUBLE) / count(it.price_usd) AS avg_price,
-       count(DISTINCT it.order_id) AS orders_count,
-       count(DISTINCT od.user_id) AS unique_customers,
-       CAST(od.order_ts AS DATE) AS event_date
-FROM items it
-JOIN ord od ON od.order_id = it.order_id AND od.status = 'success'
-JOIN products pr ON pr.product_id = it.product_id
-JOIN categories cat ON cat.category_id = pr.category_id
-GROUP BY ALL
+WITH baskets AS (
+    SELECT product_id, event_date, order_id, user_id, sum(quantity) AS pieces, sum(price_usd * quantity) AS worth,
+           sum(price_usd) AS prices, count(price_usd) AS priced
+    FROM (SELECT *, (SELECT {'day': CAST(order_ts AS DATE), 'who': user_id} FROM ord
+                     WHERE ord.order_id = items.order_id AND status = 'success') AS sale FROM items)
+    CROSS JOIN LATERAL (SELECT sale.day AS event_date, sale.who AS user_id)
+    WHERE sale IS NOT NULL GROUP BY ALL),
+named AS (
+    SELECT product_id, product_name,
+           (SELECT category_name FROM categories WHERE categories.category_id = products.category_id) AS category_name
+    FROM products WHERE category_id IS NOT NULL)
+SELECT product_id, any_value(product_name) AS product_name, any_value(category_name) AS category_name,
+       CAST(sum(pieces) AS BIGINT) AS total_quantity, CAST(sum(worth) AS DOUBLE) AS total_revenue,
+       CAST(sum(prices) AS DOUBLE) / nullif(sum(priced), 0) AS avg_price, count(*) AS orders_count,
+       len(list_distinct(list(user_id))) AS unique_customers, event_date
+FROM baskets SEMI JOIN named USING (product_id) JOIN named USING (product_id)
+GROUP BY product_id, event_date
 """
 
 MARTS["m3_category_performance"] = """
-WITH lines AS (
-    SELECT it.order_id, od.user_id, cat.category_name, it.quantity,
-           CAST(od.order_ts AS DATE) AS event_date,
-           CASE WHEN it.price_usd * it.quantity <= 10000
-                THEN it.price_usd * it.quantity ELSE 0 END AS counted
-    FROM items it
-    JOIN ord od ON od.order_id = it.order_id AND od.status = 'success'
-    LEFT JOIN products pr ON pr.product_id = it.product_id
-    LEFT JOIN categories cat ON cat.category_id = pr.category_id)
-SELECT category_name, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-       CAST(sum(counted) AS DOUBLE) AS total_revenue,
-       count(DISTINCT order_id) AS orders_count,
-       count(DISTINCT user_id) AS unique_customers,
-       CAST(sum(counted) AS DOUBLE) / count(DISTINCT order_id) AS avg_order_value,
-       event_date
-FROM lines GROUP BY category_name, event_date
+WITH sold AS (
+    SELECT (SELECT category_name FROM products NATURAL JOIN categories
+            WHERE products.product_id = items.product_id) AS category_name,
+           order_id, quantity, price_usd * quantity AS worth
+    FROM items),
+baskets AS (
+    SELECT category_name, order_id, sum(quantity) AS pieces,
+           coalesce(sum(worth) FILTER (worth <= 10000), 0) AS counted
+    FROM sold GROUP BY ALL),
+dated AS (
+    SELECT baskets.*, user_id, CAST(order_ts AS DATE) AS event_date
+    FROM ord NATURAL JOIN baskets WHERE status = 'success')
+SELECT category_name, CAST(sum(pieces) AS BIGINT) AS total_quantity, CAST(sum(counted) AS DOUBLE) AS total_revenue,
+       count(*) AS orders_count, len(list_distinct(list(user_id))) AS unique_customers,
+       CAST(sum(counted) AS DOUBLE) / count(*) AS avg_order_value, event_date
+FROM dated GROUP BY category_name, event_date
 """
 
 MARTS["m4_user_engagement"] = """
-SELECT us.user_id,
-       count(DISTINCT se.session_id) AS sessions_count,
-       count(ev.event_id) AS total_events,
-       CAST(sum(date_diff('microsecond', se.start_ts, se.end_ts)) AS DOUBLE)
-           / count(date_diff('microsecond', se.start_ts, se.end_ts)) / 1e6
-           AS avg_session_duration_seconds,
-       CASE WHEN count(DISTINCT se.session_id) > 0
-            THEN CAST(count(ev.event_id) AS DOUBLE) / count(DISTINCT se.session_id)
-            ELSE 0 END AS avg_pages_per_session,
-       min(CAST(se.start_ts AS DATE)) AS first_session_date,
-       max(CAST(se.start_ts AS DATE)) AS last_session_date,
-       count(DISTINCT od.order_id) AS total_orders,
-       CAST(coalesce(sum(od.total_usd), 0) AS DOUBLE) AS total_revenue,
-       date_sub('day', max(se.start_ts), TIMESTAMP '2024-01-31') AS days_since_last_activity
-FROM users us
-LEFT JOIN sessions se ON se.user_id = us.user_id
-LEFT JOIN ev ON ev.session_id = se.session_id
-LEFT JOIN ord od ON od.user_id = us.user_id AND od.status = 'success'
-GROUP BY us.user_id
+WITH seen AS (
+    SELECT user_id, start_ts, date_diff('microsecond', start_ts, end_ts) AS micros,
+           (SELECT count(*) FROM ev WHERE ev.session_id = sessions.session_id) AS acts
+    FROM sessions),
+habits AS (
+    SELECT user_id, count(*) AS visits, CAST(sum(acts) AS BIGINT) AS acts,
+           sum(greatest(acts, 1)) AS weight, min(start_ts) AS first_start, max(start_ts) AS last_start,
+           CAST(sum(micros * greatest(acts, 1)) AS DOUBLE) / sum(greatest(acts, 1)) FILTER (micros IS NOT NULL) AS mean_micros
+    FROM seen GROUP BY user_id),
+purse AS (
+    SELECT user_id, count(*) AS bought, sum(total_usd) AS paid FROM ord WHERE status = 'success' GROUP BY user_id)
+SELECT user_id, coalesce(visits, 0) AS sessions_count,
+       coalesce(acts, 0) * coalesce(bought, 1) AS total_events,
+       mean_micros / 1e6 AS avg_session_duration_seconds,
+       coalesce(CAST(acts * coalesce(bought, 1) AS DOUBLE) / visits, 0) AS avg_pages_per_session,
+       CAST(first_start AS DATE) AS first_session_date, CAST(last_start AS DATE) AS last_session_date,
+       coalesce(bought, 0) AS total_orders,
+       CAST(coalesce(paid * coalesce(CAST(weight AS BIGINT), 1), 0) AS DOUBLE) AS total_revenue,
+       date_sub('day', last_start, TIMESTAMP '2024-01-31') AS days_since_last_activity
+FROM users LEFT JOIN habits USING (user_id) LEFT JOIN purse USING (user_id)
 """
 
 MARTS["m4_user_engagement_safe"] = """
@@ -117,77 +114,62 @@ FROM users us LEFT JOIN visits USING (user_id) LEFT JOIN buys USING (user_id)
 """
 
 MARTS["m5_active_users_7d"] = """
-WITH seen AS (
-    SELECT DISTINCT CAST(start_ts AS DATE) AS event_date, user_id
-    FROM sessions WHERE start_ts IS NOT NULL),
-firsts AS (SELECT user_id, min(event_date) AS first_day FROM seen GROUP BY user_id)
-SELECT seen.event_date,
-       count(DISTINCT seen.user_id) AS active_users_count,
-       count(DISTINCT seen.user_id) FILTER (first_day < seen.event_date) AS returning_users,
-       count(DISTINCT seen.user_id) FILTER (first_day = seen.event_date) AS new_users,
-       count(*) FILTER (NOT EXISTS (
-           FROM sessions earlier
-           WHERE earlier.user_id = seen.user_id
-             AND CAST(earlier.start_ts AS DATE)
-                 BETWEEN seen.event_date - 6 AND seen.event_date - 1)) AS reactivated_users
-FROM seen JOIN firsts USING (user_id)
-GROUP BY seen.event_date
+WITH calendars AS (
+    SELECT list_sort(list(DISTINCT CAST(start_ts AS DATE))) AS days
+    FROM sessions WHERE start_ts IS NOT NULL GROUP BY user_id),
+spread AS (
+    SELECT days[i] AS event_date, CASE WHEN i > 1 THEN days[i - 1] END AS day_before
+    FROM (SELECT days, unnest(range(1, len(days) + 1)) AS i FROM calendars))
+SELECT event_date, count(*) AS active_users_count, count(day_before) AS returning_users,
+       count(*) - count(day_before) AS new_users,
+       count(*) FILTER (coalesce(event_date - day_before > 6, true)) AS reactivated_users
+FROM spread GROUP BY event_date
 """
 
 MARTS["m6_session_analytics"] = """
-SELECT se.session_id, se.user_id, se.start_ts AS start_time, se.end_ts AS end_time,
-       greatest(CAST(round(date_diff('microsecond', se.start_ts, se.end_ts) / 1e6) AS INTEGER), 0)
-           AS duration_seconds,
-       se.event_count AS events_count,
-       count(*) FILTER (ev.event_type = 'view_page') AS page_views_count,
-       count(DISTINCT ev.order_id) FILTER (ev.event_type = 'purchase') AS orders_count,
-       CAST(count(DISTINCT ev.order_id) FILTER (ev.event_type = 'purchase') > 0 AS INTEGER)
-           AS conversion_flag,
-       coalesce(dv.device_type, 'Unknown') AS device_type,
-       coalesce(dv.browser, 'Unknown') AS browser,
-       coalesce(dv.os, 'Unknown') AS os,
-       coalesce(lo.city, 'Unknown') AS city,
-       coalesce(lo.country, 'Unknown') AS country
-FROM sessions se
-LEFT JOIN ev ON ev.session_id = se.session_id
-LEFT JOIN devices dv ON dv.user_id = se.user_id
-LEFT JOIN locations lo ON lo.user_id = se.user_id
-WHERE se.start_ts IS NOT NULL AND se.end_ts IS NOT NULL
-GROUP BY se.session_id, se.user_id, se.start_ts, se.end_ts, se.event_count,
-         dv.device_type, dv.browser, dv.os, lo.city, lo.country
+WITH kit AS (SELECT user_id, device_type, browser, os, count(*) AS copies FROM devices GROUP BY ALL),
+spot AS (SELECT user_id, city, country, count(*) AS copies FROM locations GROUP BY ALL),
+finished AS (
+    SELECT *, coalesce(acts.views, 0) AS views, len(coalesce(acts.bought, [])) AS bought
+    FROM (SELECT *, (SELECT {'views': count(*) FILTER (event_type = 'view_page'),
+                             'bought': list(DISTINCT order_id) FILTER (event_type = 'purchase' AND order_id IS NOT NULL)}
+                     FROM ev WHERE ev.session_id = sessions.session_id) AS acts
+          FROM sessions WHERE start_ts + (end_ts - start_ts) IS NOT NULL))
+SELECT session_id, user_id, start_ts AS start_time, end_ts AS end_time,
+       greatest(CAST(round(date_diff('microsecond', start_ts, end_ts) / 1e6) AS INTEGER), 0) AS duration_seconds,
+       event_count AS events_count,
+       views * coalesce(kit.copies, 1) * coalesce(spot.copies, 1) AS page_views_count,
+       bought AS orders_count, CAST(bought > 0 AS INTEGER) AS conversion_flag,
+       ifnull(device_type, 'Unknown') AS device_type, ifnull(browser, 'Unknown') AS browser, ifnull(os, 'Unknown') AS os,
+       ifnull(city, 'Unknown') AS city, ifnull(country, 'Unknown') AS country
+FROM finished LEFT JOIN kit USING (user_id) LEFT JOIN spot USING (user_id)
 """
 
 MARTS["m7_campaign_performance"] = """
-WITH touched AS (
-    SELECT ca.campaign_id, ca.campaign_name, ce.user_id, ce.cost, ce.generated_at,
-           se.session_id, od.order_id, od.total_usd
-    FROM campaigns ca
-    JOIN camp_ev ce ON ce.campaign_id = ca.campaign_id
-    LEFT JOIN sessions se ON se.user_id = ce.user_id
-         AND CAST(se.start_ts AS DATE) = CAST(ce.generated_at AS DATE)
-    LEFT JOIN ord od ON od.user_id = ce.user_id AND od.status = 'success'
-         AND od.order_ts >= ce.generated_at
-         AND od.order_ts <= ce.generated_at + INTERVAL 14 DAY),
-totals AS (
-    SELECT campaign_id, campaign_name,
-           CAST(min(generated_at) AS DATE) AS start_date,
-           CAST(max(generated_at) AS DATE) AS end_date,
-           count(DISTINCT session_id) AS total_sessions,
-           count(DISTINCT order_id) AS total_orders,
-           coalesce(sum(total_usd), 0) AS revenue,
-           count(DISTINCT user_id) AS unique_users,
-           sum(cost) AS spend
-    FROM touched GROUP BY campaign_id, campaign_name)
+WITH visits AS (
+    SELECT user_id, CAST(start_ts AS DATE) AS day, list(session_id) AS ids FROM sessions GROUP BY ALL),
+purchases AS (
+    SELECT campaign_event_id, list(order_id) AS ids, sum(total_usd) AS paid
+    FROM camp_ev ce JOIN ord ON ord.user_id = ce.user_id AND status = 'success'
+        AND order_ts - generated_at BETWEEN INTERVAL 0 DAY AND INTERVAL 14 DAY
+    GROUP BY campaign_event_id),
+touches AS (
+    SELECT ce.*, coalesce(visits.ids, []) AS visit_ids, coalesce(purchases.ids, []) AS order_ids, paid
+    FROM camp_ev ce LEFT JOIN purchases USING (campaign_event_id)
+    LEFT JOIN visits ON visits.user_id = ce.user_id AND visits.day = CAST(generated_at AS DATE)),
+facts AS (
+    SELECT campaign_id, CAST(min(generated_at) AS DATE) AS start_date, CAST(max(generated_at) AS DATE) AS end_date,
+           len(list_distinct(flatten(list(visit_ids)))) AS total_sessions,
+           len(list_distinct(flatten(list(order_ids)))) AS total_orders, len(list_distinct(list(user_id))) AS unique_users,
+           coalesce(sum(paid * greatest(len(visit_ids), 1)), 0) AS earned,
+           sum(cost * greatest(len(visit_ids), 1) * greatest(len(order_ids), 1)) AS spent
+    FROM touches GROUP BY campaign_id)
 SELECT campaign_id, campaign_name, start_date, end_date, total_sessions, total_orders,
-       CAST(revenue AS DOUBLE) AS total_revenue, unique_users,
-       CASE WHEN total_sessions > 0 THEN CAST(total_orders AS DOUBLE) / total_sessions ELSE 0 END
-           AS conversion_rate,
-       CASE WHEN total_orders > 0 THEN CAST(revenue AS DOUBLE) / total_orders ELSE 0 END
-           AS avg_order_value,
-       CAST(spend AS DOUBLE) AS cost,
-       CASE WHEN spend > 0 THEN CAST(revenue - spend AS DOUBLE) / CAST(spend AS DOUBLE) ELSE 0 END
-           AS roi
-FROM totals
+       CAST(earned AS DOUBLE) AS total_revenue, unique_users,
+       coalesce(CAST(total_orders AS DOUBLE) / nullif(total_sessions, 0), 0) AS conversion_rate,
+       coalesce(CAST(earned AS DOUBLE) / nullif(total_orders, 0), 0) AS avg_order_value, CAST(spent AS DOUBLE) AS cost,
+       coalesce(CAST(earned - spent AS DOUBLE) / CAST(nullif(spent, 0) AS DOUBLE), 0) AS roi
+FROM facts JOIN campaigns USING (campaign_id)
 """
 
 MARTS["m7_campaign_performance_safe"] = """
@@ -249,18 +231,20 @@ FROM totals
 """
 
 MARTS["m9_device_analysis"] = """
-SELECT dv.device_type, dv.os, dv.browser,
-       count(DISTINCT us.user_id) AS total_users,
-       count(DISTINCT se.session_id) AS total_sessions,
-       count(DISTINCT od.order_id) AS total_orders,
-       CAST(coalesce(sum(it.price_usd * it.quantity), 0) AS DOUBLE) AS total_revenue,
-       CAST(se.start_ts AS DATE) AS event_date
-FROM devices dv
-JOIN users us ON us.user_id = dv.user_id
-LEFT JOIN sessions se ON se.user_id = us.user_id
-LEFT JOIN ord od ON od.user_id = us.user_id
-LEFT JOIN items it ON it.order_id = od.order_id
-GROUP BY dv.device_type, dv.os, dv.browser, CAST(se.start_ts AS DATE)
+WITH kit AS (
+    SELECT user_id, device_type, os, browser, count(*) AS copies
+    FROM devices SEMI JOIN users USING (user_id) GROUP BY ALL),
+calendar AS (SELECT user_id, CAST(start_ts AS DATE) AS event_date, count(*) AS visits FROM sessions GROUP BY ALL),
+purse AS (
+    SELECT user_id, count(*) AS bought, sum(worth) AS worth
+    FROM (SELECT user_id, (SELECT sum(price_usd * quantity) FROM items WHERE items.order_id = ord.order_id) AS worth
+          FROM ord)
+    GROUP BY user_id)
+SELECT device_type, os, browser, count(*) AS total_users, CAST(coalesce(sum(visits), 0) AS BIGINT) AS total_sessions,
+       CAST(coalesce(sum(bought), 0) AS BIGINT) AS total_orders,
+       CAST(coalesce(sum(worth * copies * coalesce(visits, 1)), 0) AS DOUBLE) AS total_revenue, event_date
+FROM kit LEFT JOIN calendar USING (user_id) LEFT JOIN purse USING (user_id)
+GROUP BY device_type, os, browser, event_date
 """
 
 MARTS["m9_device_analysis_safe"] = """
