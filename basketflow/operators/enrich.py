@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from math import ceil, floor, radians, sin
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,15 +55,17 @@ def convert_currency_as_of(df: DataFrame, rates: DataFrame, ts: str,
 
 
 # --- places -------------------------------------------------------------------
-def _cell_row(lat: str, cell: float) -> Column:
-    return F.floor((F.col(lat) + 90) / cell).cast("int")
-
-
-def _cell_column(lon: str, cell: float) -> Column:
-    return F.pmod(F.floor((F.col(lon) + 180) / cell), F.lit(ceil(360 / cell))).cast("int")
+# Places lie in a tree of cubes around the globe: a cube with more than LEAF places is cut into
+# 4 x 4 x 4, down to DEEPEST (about 3 km).  Cubes know no poles and no date line.
+LEAF, DEEPEST = 32, 6
+# Points are looked up together by cubes of this level (about 50 km), or finer ones where places are dense; where
+# the whole tree is shallow, by cubes one level below it.
+COARSEST = 4
+# Added to squared distances (of the unit globe), more than the error of the arithmetic.
+_SLACK = 1e-12
 
 
-def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+def haversine_km(lat1: str | Column, lon1: str | Column, lat2: str | Column, lon2: str | Column) -> Column:
     phi1, phi2 = F.radians(lat1), F.radians(lat2)
     half_lat = F.sin((phi2 - phi1) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
@@ -72,81 +73,153 @@ def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def _least_km_outside(lat: str, cell: float) -> Column:
-    """No place outside a point's cell and the eight around it is nearer than this."""
-    sideways = F.asin(F.cos(F.radians(lat)) * sin(radians(min(cell, 90.0))))
-    return EARTH_RADIUS_KM * F.least(F.lit(radians(cell)), sideways)
+def _on_globe(lat: str, lon: str) -> list[Column]:
+    """x, y, z on the unit globe."""
+    around = F.cos(F.radians(lat))
+    return [around * F.cos(F.radians(lon)), around * F.sin(F.radians(lon)), F.sin(F.radians(lat))]
+
 
+def _cube(axes: Sequence[Column], level: int) -> Column:
+    """The cube of a level that holds a point: 13 bits for each axis."""
+    sides = 4 ** level
+    parts = [F.least(F.floor((v + 1) * (sides / 2)).cast("bigint"), F.lit(sides - 1)) for v in axes]
+    return F.shiftleft(parts[0], 26) + F.shiftleft(parts[1], 13) + parts[2]
 
-def _nearest(points: DataFrame, places: DataFrame, cell: float, hot_rows: int) -> DataFrame:
-    """(lat, lon, km, city, country) of the nearest place in a point's cell and those around it."""
-    # columns go round the globe without a narrow one at the end
-    columns = floor(360 / cell)
 
-    def keyed(frame: DataFrame, lat: str, lon: str) -> DataFrame:
-        column = F.pmod(F.floor((F.col(lon) + 180) * columns / 360), F.lit(columns)).cast("int")
-        return frame.withColumns({"_row": _cell_row(lat, cell), "_col": column})
+def _centre(cube: str, level: Column) -> tuple[list[Column], Column]:
+    """The middle of a cube, and half its side."""
+    half = F.pow(F.lit(4.0), -level)
+    index = [F.shiftright(cube, 26), F.shiftright(cube, 13).bitwiseAND(8191), F.col(cube).bitwiseAND(8191)]
+    return [(i * 2 + 1) * half - 1 for i in index], half
 
-    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    around = (
-        keyed(places, "p_lat", "p_lon")
-        .withColumn("_dy", F.explode(steps)).withColumn("_dx", F.explode(steps))
-        .select("city", "country", "p_lat", "p_lon", (F.col("_row") + F.col("_dy")).alias("_row"),
-                F.pmod(F.col("_col") + F.col("_dx"), F.lit(columns)).alias("_col"))
-        .distinct())
-    distance = haversine_km("lat", "lon", "p_lat", "p_lon")
-    return (
-        split_join(keyed(points, "lat", "lon"), around, ["_row", "_col"], "inner", ["lat", "lon"], hot_rows)
-        .groupBy("lat", "lon").agg(F.min(F.struct(
-            distance.alias("km"), F.col("city"), F.col("country"))).alias("near"))
-        .select("lat", "lon", "near.km", "near.city", "near.country"))
 
+def _place_tree(places: DataFrame) -> DataFrame:
+    """(level, cube, parent, leaf, x, y, z): the cubes with places, each with one of its places.
 
-def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], cell: float = 0.5,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+    ``places`` has p_lat and p_lon.
+    """
+    axes = _on_globe("p_lat", "p_lon")
+    levels = F.inline(F.array(*[
+        F.struct(F.lit(level).alias("level"), _cube(axes, level).alias("cube"),
+                 (_cube(axes, level - 1) if level > 1 else F.lit(0).cast("bigint")).alias("parent"))
+        for level in range(1, DEEPEST + 1)]))
+    cubes = (places.select(levels, F.struct(*[v.alias(n) for v, n in zip(axes, "xyz")]).alias("some"))
+             .groupBy("level", "cube", "parent").agg(F.count(F.lit(1)).alias("n"), F.min("some").alias("some")))
+    cut = cubes.where(F.col("n") > LEAF).select((F.col("level") + 1).alias("level"), F.col("cube").alias("parent"))
+    inside = cubes.join(cut, ["level", "parent"], "left_semi").unionByName(cubes.where("level = 1"))
+    leaf = (F.col("n") <= LEAF) | (F.col("level") == DEEPEST)
+    return inside.select("level", "cube", "parent", leaf.alias("leaf"), "some.*")
+
+
+def _leaves_near(asked: DataFrame, tree: DataFrame, deepest: int = DEEPEST) -> DataFrame:
+    """(q_level, q_cube, level, cube): the leaves that hold the nearest place of any point of a cube.
+
+    Down the tree, level by level: a cube stays while it could hold a place nearer than the
+    farthest that the nearest known place can be from a point of the asked cube.
+    """
+    (qx, qy, qz), half = _centre("q_cube", F.col("q_level"))
+    open_ = asked.select("q_level", "q_cube", qx.alias("qx"), qy.alias("qy"), qz.alias("qz"), half.alias("q_half"),
+                         F.lit(0).cast("bigint").alias("cube"), F.lit(False).alias("leaf"),
+                         F.lit(0).alias("level"))
+    by_cube = Window.partitionBy("q_level", "q_cube")
+    for level in range(1, deepest + 1):
+        below = tree.where(F.col("level") == level).select(
+            F.col("parent").alias("cube"), F.col("cube").alias("next"), F.col("leaf").alias("next_leaf"), "x", "y", "z")
+        kept = open_.columns
+        # leaves of higher levels pass through; the tree has no cube below them
+        opened = open_.join(below, ["cube"], "left") if level == 1 else open_.join(
+            below, (open_["cube"] == below["cube"]) & ~open_["leaf"], "left").drop(below["cube"])
+        went = F.col("next").isNotNull()
+        opened = opened.withColumns({
+            "cube": F.coalesce("next", "cube"), "level": F.when(went, F.lit(level)).otherwise(F.col("level")),
+            "leaf": F.coalesce("next_leaf", "leaf")})
+        (cx, cy, cz), side = _centre("cube", F.col("level"))
+        gaps = [F.greatest(F.abs(F.col(q) - c) - F.col("q_half") - side, F.lit(0.0)) for q, c in zip(("qx", "qy", "qz"), (cx, cy, cz))]
+        reach = [F.abs(F.col(q) - F.col(p)) + F.col("q_half") for q, p in zip(("qx", "qy", "qz"), "xyz")]
+        far = F.when(went, sum((r * r for r in reach), F.lit(0.0)))
+        if "far" in kept:
+            far = F.least(far, F.col("far"))
+        opened = opened.withColumns({"near": sum((g * g for g in gaps), F.lit(0.0)), "far": far})
+        opened = opened.withColumn("far", F.min("far").over(by_cube)).where(F.col("near") <= F.col("far") + _SLACK)
+        open_ = opened.select(*kept, *([] if "far" in kept else ["far"]))
+    return open_.select("q_level", "q_cube", "level", "cube")
+
+
+def nearest_places(points: DataFrame, places: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(lat, lon, city, country) of the nearest place of each distinct point.
+
+    ``points`` has lat and lon, ``places`` city, country, p_lat and p_lon, one place for each
+    coordinate.  A point meets only the places of the few leaves that can hold the nearest one.
+    The tree is written to a scratch folder; places that fill one leaf at most need none.
+    """
+    spark = points.sparkSession
+    some = places.select("p_lat", "p_lon", "city", "country").limit(LEAF + 1).collect()
+    if not some:
+        return points.select("lat", "lon", F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("country"))
+    if len(some) <= LEAF:
+        few = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in p.asDict().items()]) for p in some])
+        ranked = F.transform(few, lambda p: F.struct(
+            haversine_km(F.col("lat"), F.col("lon"), p["p_lat"], p["p_lon"]).alias("km"),
+            p["city"].alias("city"), p["country"].alias("country")))
+        return points.withColumn("near", F.array_min(ranked)).select("lat", "lon", "near.city", "near.country")
+    path = f"{scratch_dir(spark, 'places')}/tree"
+    _place_tree(places).write.parquet(path)
+    tree = spark.read.parquet(path)
+    deepest = tree.agg(F.max("level")).first()[0] or 1
+    coarsest = min(COARSEST, deepest + 1)
+    axes = _on_globe("lat", "lon")
+    placed = points.withColumns({f"c{level}": _cube(axes, level) for level in range(coarsest, max(deepest, coarsest) + 1)})
+    depth = F.lit(coarsest)
+    dense = tree.where(~F.col("leaf"))
+    for level in range(coarsest, deepest):
+        cut = dense.where(F.col("level") == level).select(F.col("cube").alias(f"c{level}"), F.lit(level + 1).alias(f"d{level}"))
+        placed = placed.join(cut, f"c{level}", "left")
+        depth = F.coalesce(F.col(f"d{level}"), depth)
+    cube = F.when(depth == coarsest, F.col(f"c{coarsest}"))
+    for level in range(coarsest + 1, deepest + 1):
+        cube = cube.when(depth == level, F.col(f"c{level}"))
+    placed = placed.select("lat", "lon", depth.alias("q_level"), cube.alias("q_cube"))
+    near = _leaves_near(placed.select("q_level", "q_cube").distinct(), tree, deepest)
+    of_places = _on_globe("p_lat", "p_lon")
+    keyed = places.select("city", "country", "p_lat", "p_lon", F.inline(F.array(*[
+        F.struct(F.lit(level).alias("level"), _cube(of_places, level).alias("cube")) for level in range(1, deepest + 1)])))
+    candidates = near.join(keyed, ["level", "cube"]).drop("level", "cube")
+    km = haversine_km("lat", "lon", "p_lat", "p_lon")
+    return (split_join(placed, candidates, ["q_level", "q_cube"], "inner", ["lat", "lon"], hot_rows)
+            .groupBy("lat", "lon").agg(F.min(F.struct(km.alias("km"), "city", "country")).alias("near"))
+            .select("lat", "lon", "near.city", "near.country"))
+
+
+def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Set city and country of each row to the nearest place, seas left out.
 
-    The nearest place is sought in the row's grid cell and the eight around it.  Where none
-    is there, or a place outside them could be nearer, it is sought again in cells four times
-    as wide, in the end on the whole globe; few points with no place near them get that far.
     Rows without coordinates, and all rows if there are no places, get the city 'Unknown'
     and the country NULL.  Of equally near places the first by name counts.
 
-    Distinct coordinates are looked up once, then joined back; busy cells and busy
-    coordinates are split.  ``spread_by`` tells rows with equal coordinates apart.  What
-    each width finds is written to a scratch folder.
+    Distinct coordinates are looked up once, then joined back; busy coordinates are split.
+    ``spread_by`` tells rows with equal coordinates apart.
     """
-    spark = df.sparkSession
-    root = scratch_dir(spark, "places")
-
-    def save(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{root}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
-
     water = "|".join(WATER_WORDS)
     land = (places.where(F.col("city").isNotNull() & ~F.col("city").rlike(water))
             .where("lat IS NOT NULL AND lon IS NOT NULL")
-            .select("city", "country", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")).distinct())
+            .groupBy(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+            .agg(F.min(F.struct("city", "country")).alias("first"))
+            .select("first.city", "first.country", "p_lat", "p_lon"))
     given = df.drop("city", "country")
-    points = save(given.select("lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL").distinct(), "points")
-    nearest = []
-    while True:
-        last = cell > 45
-        width = 180.0 if last else cell
-        found = _nearest(points, land, width, hot_rows)
-        sure = found if last else found.where(F.col("km") <= _least_km_outside("lat", width))
-        nearest.append(save(sure.select("lat", "lon", "city", "country"), f"nearest{len(nearest)}"))
-        if last:
-            break
-        points = save(points.join(nearest[-1].select("lat", "lon"), ["lat", "lon"], "left_anti"),
-                      f"points{len(nearest)}")
-        if points.isEmpty():
-            break
-        cell *= 4
-    found = split_join(given, reduce(DataFrame.unionByName, nearest), ["lat", "lon"], "left", spread_by, hot_rows)
+    points = given.select("lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL").distinct()
+    found = split_join(given, nearest_places(points, land, hot_rows), ["lat", "lon"], "left", spread_by, hot_rows)
     return found.withColumn("city", F.coalesce("city", F.lit("Unknown")))
 
 
+# the grid of the weather observations
+def _cell_row(lat: str, cell: float) -> Column:
+    return F.floor((F.col(lat) + 90) / cell).cast("int")
+
+
+def _cell_column(lon: str, cell: float) -> Column:
+    return F.pmod(F.floor((F.col(lon) + 180) / cell), F.lit(ceil(360 / cell))).cast("int")
+
+
 # --- weather ------------------------------------------------------------------
 def weather_lookup(df: DataFrame, weather: DataFrame, ts: str, spread_by: Sequence[str],
                    cell: float = 0.5, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -377,7 +377,7 @@ raw("e1_currency_missing_rate", lambda r: convert_currency(
     r.events(), _rates(r).where("currency = 'EUR'")).select(*_COSTS))
 raw("e1_currency_as_of", lambda r: convert_currency_as_of(
     r.events(), _daily_rates(r), "timestamp").select(*_COSTS))
-raw("e2_geo", lambda r: geo_lookup(r.events(), _places(r), ["event_id"], cell=2).select(
+raw("e2_geo", lambda r: geo_lookup(r.events(), _places(r), ["event_id"]).select(
     "event_id", "city", "country"))
 raw("e3_weather", lambda r: weather_lookup(
     r.events(), _weather(r), "timestamp", ["event_id"], cell=30).select(
