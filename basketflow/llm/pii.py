@@ -4,20 +4,24 @@ Mentions are e-mail addresses, telephone numbers (after a plus; in national form
 code in brackets or set off, or behind a leading 0), payment cards (13 to 19 digits with a valid
 check digit, or 16 digits from 3, 4, 5 or 6), IPv4 addresses and names after titles.  A name runs over all
 capitalised parts that follow, with initials, hyphens and particles such as "von".  A mention
-is reduced to units: the digits of a number, an address in lower case, each capitalised part of
-a name; parts of the last word are surnames, an initial gets a whole name.  Every distinct unit of the corpus gets
-one surrogate derived from a secret key, so the same unit is replaced alike everywhere
-(coreference), also when it is written in another format.  Surrogates keep the length and
+is reduced to units: the digits of a number, the local part and the domain of an address in lower case,
+each capitalised part of a name; parts of the last word are surnames, an initial gets a whole name.  Every
+distinct unit of the corpus gets one surrogate derived from a secret key, so the same unit is replaced alike
+everywhere (coreference), also when it is written in another format.  A given name behind a title without
+gender takes the surrogate it has behind a title with one.  Surrogates keep the length and
 punctuation of the mention, the country code, the top-level domain, a valid check digit, the
 gender of the title, the script and the case of the letters.
 
 Collision checks: a surrogate must differ from every real unit of its kind and from every other
 surrogate; units that fail get another candidate until none is left, so distinct
-units stay distinct.  All of it is DataFrame code.
+units stay distinct.  From the attempt GROWS on every candidate is longer by one character than the one
+before, so there are ten times as many or more at each attempt and the rounds end, also where a
+format has fewer values than the corpus has units.  All of it is DataFrame code.
 
 Defined results: a null text stays null; empty texts and texts without mentions are
 unchanged; repeated rows are replaced alike; other columns, also with clashing names, pass
-through; an empty table gives an empty result.
+through; an empty table gives an empty result.  No pattern recurses with the length of a text or begins
+anew inside a word; a domain has at most 127 labels, further ones are text.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.llm.text import unused
 from basketflow.session import scratch_dir
 
 # Titles by gender, and the syllables and endings of surrogate names by script.
@@ -44,20 +49,26 @@ ENDINGS = {
 }
 SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
+# The calling codes of two digits; 1 and 7 have one digit, all others three.
+TWO_DIGIT_CODES = "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+# Attempts at a surrogate in the format of the unit, before surrogates grow.
+GROWS = 4
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _TITLE = "|".join(t for g in ("f", "m", "n") for t in TITLES[g])
-_NAME = r"(?:\p{Lu}[\p{L}'’]+|\p{Lu}(?!\p{L})\.?)"
+_NAME = r"(?:\p{Lu}[\p{L}'’]++|\p{Lu}(?!\p{L})\.?)"
 _CARD = (r"(?<![0-9])(?:[3-6][0-9]{3}(?:[ -]?[0-9]{4}){3}|[1-9][0-9]{12,18}|[1-9][0-9]{3}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?"
          r"|[1-9][0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])")
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._%+-]{1,8})[A-Za-z0-9][A-Za-z0-9._%+-]*+@"
+             r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "phone": r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "card": _CARD,
     "national": r"(?<![0-9.,:/+-])(?:(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
                 r"|\(?0[1-9][0-9]{1,3}\)?(?:[ ./-]?[0-9]){6,8}|0[1-9](?:[ .-][0-9]{2}){4}"
                 r"|\(?0[1-9]\)?[ .-][0-9]{4}[ .-]?[0-9]{4})(?![0-9])",
-    "person": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_TITLE})\.? )+{_NAME}(?:[ -](?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME})*(?!\p{{L}})",
+    "person": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_TITLE})\.? ){{1,8}}{_NAME}(?:[ -](?:(?:{'|'.join(PARTICLES)}) ){{0,3}}{_NAME})*+(?!\p{{L}})",
 }
 MENTION = "|".join(PATTERNS.values())
 
@@ -93,9 +104,9 @@ def _parsed(raws: DataFrame) -> DataFrame:
     checked = digits.rlike("^[3-6][0-9]{15}$") | (F.when(F.col("kind") == "card", _luhn_sum(digits, 1)) % 10 == 0)
     raws = raws.select("raw", _kind(raw).alias("kind")).where((F.col("kind") != "card") | checked)
     kind = F.col("kind")
-    title = F.regexp_extract(raw, rf"^(?:(?:{_TITLE})\.? )+(?=\p{{Lu}})", 0)
+    title = F.regexp_extract(raw, rf"^(?:(?:{_TITLE})\.? ){{1,8}}(?=\p{{Lu}})", 0)
     names = F.substr(raw, F.char_length(title) + 1)
-    before = F.regexp_extract(names, r"^(.* )?[^ ]*$", 1)
+    before = F.substr(names, F.lit(1), F.char_length(names) - F.char_length(F.substring_index(names, " ", -1)))
 
     def gender(g: str) -> Column:
         return title.rlike(rf"(?<!\p{{L}})(?:{'|'.join(TITLES[g])})\.? ")
@@ -111,8 +122,22 @@ def _parsed(raws: DataFrame) -> DataFrame:
 
     person = F.concat(F.array(part(title, F.lit("title"), F.lit(None).cast("string"))), parts(before, given),
                       parts(F.substr(names, F.char_length(before) + 1), F.lit("surname")))
-    unit = F.when(kind == "email", F.lower(raw)).when(kind == "ip", raw).otherwise(digits)
-    return raws.select("raw", "kind", F.when(kind == "person", person).otherwise(F.array(part(raw, kind, unit))).alias("parts"))
+    local, top = F.substring_index(raw, "@", 1), F.regexp_extract(raw, r"\.[A-Za-z]+$", 0)
+    domain = F.substr(raw, F.char_length(local) + 2, F.char_length(raw) - F.char_length(local) - F.char_length(top) - 1)
+    email = F.array(part(local, F.lit("local"), F.lower(local)), part(F.lit("@"), F.lit("at"), F.lit(None).cast("string")),
+                    part(domain, F.lit("domain"), F.lower(domain)), part(top, F.lit("top"), F.lit(None).cast("string")))
+    unit = F.when(kind == "ip", raw).otherwise(digits)
+    return raws.select("raw", "kind", F.when(kind == "person", person).when(kind == "email", email)
+                       .otherwise(F.array(part(raw, kind, unit))).alias("parts"))
+
+
+def _parts(parsed: DataFrame) -> DataFrame:
+    """(raw, at, text, kind, unit): the parts of the mentions, given names without gender as those with one."""
+    flat = parsed.select("raw", F.posexplode("parts").alias("at", "part")).select("raw", "at", "part.*")
+    known = (flat.where(F.col("kind").isin("given_f", "given_m") & F.col("unit").isNotNull()).groupBy("unit")
+             .agg(F.min("kind").alias("known")).withColumn("kind", F.lit("given_n")))
+    return flat.join(known, ["kind", "unit"], "left").select(
+        "raw", "at", "text", F.coalesce("known", "kind").alias("kind"), "unit")
 
 
 def _byte(code: Column, at: Column) -> Column:
@@ -140,9 +165,8 @@ def _candidate(units: DataFrame, key: str) -> DataFrame:
     def other(c: Column, i: Column) -> Column:
         return F.when(c.rlike("[a-z]"), _letters(code, i)).when(c.rlike("[0-9]"), (_byte(code, i) % 10).cast("string")).otherwise(c)
 
-    top = F.regexp_extract(unit, r"\.[a-z]+$", 0)
-    email = F.concat(F.array_join(F.transform(F.split(F.regexp_replace(unit, r"\.[a-z]+$", ""), ""), other), ""), top)
-    country = F.when(unit.rlike("^[17]"), 1).otherwise(2)
+    address = F.array_join(F.transform(chars, other), "")
+    country = F.when(unit.rlike("^[17]"), 1).when(unit.rlike(TWO_DIGIT_CODES), 2).otherwise(3)
     number = F.transform(chars, lambda c, i: F.when(i < country, c).when(i == country, (_byte(code, i) % 8 + 2).cast("string"))
                          .otherwise((_byte(code, i) % 10).cast("string")))
     # a number without country code keeps its leading 0 or 1
@@ -154,7 +178,7 @@ def _candidate(units: DataFrame, key: str) -> DataFrame:
 
     def name(script: str) -> Column:
         table = F.array(*[F.lit(s) for s in SYLLABLES[script]])
-        parts = F.transform(F.sequence(F.lit(0), F.lit(3) + F.least("attempt", F.lit(4))),
+        parts = F.transform(F.sequence(F.lit(0), F.lit(3) + F.least("attempt", F.lit(90))),
                             lambda i: F.element_at(table, _byte(code, i) % len(SYLLABLES[script]) + 1))
         end = F.create_map(*[F.lit(x) for kv in ENDINGS[script].items() for x in kv])
         return F.concat(F.array_join(parts, ""), end[F.col("kind")])
@@ -163,9 +187,17 @@ def _candidate(units: DataFrame, key: str) -> DataFrame:
     for script, letters in SCRIPTS.items():
         names = F.when(unit.rlike(letters), name(script)).otherwise(names)
     kind = F.col("kind")
+    # longer candidates once the format's own have failed too often
+    more = F.greatest(F.col("attempt") - GROWS + 1, F.lit(0))
+    places = F.filter(F.sequence(F.lit(0), more), lambda i: i < more)
+    letters = F.array_join(F.transform(places, lambda i: _letters(code, i + 50)), "")
+    figures = F.array_join(F.transform(places, lambda i: (_byte(code, i + 50) % 10).cast("string")), "")
     return coded.withColumn("_body", body).withColumn(
-        "surrogate", F.when(kind == "email", email).when(kind == "phone", F.array_join(number, ""))
-        .when(kind == "national", F.array_join(national, "")).when(kind == "card", F.concat("_body", F.when(kind == "card", _luhn(F.col("_body"))))).when(kind == "ip", octets).otherwise(names)
+        "surrogate", F.when(kind.isin("local", "domain"), F.concat(letters, address))
+        .when(kind == "phone", F.concat(F.array_join(number, ""), figures))
+        .when(kind == "national", F.concat(F.array_join(national, ""), figures))
+        .when(kind == "card", F.concat("_body", F.when(kind == "card", _luhn(F.col("_body"))), figures))
+        .when(kind == "ip", F.concat(octets, F.when(more > 0, F.concat(F.lit("."), figures)).otherwise(""))).otherwise(names)
     ).drop("_code", "_body")
 
 
@@ -192,22 +224,22 @@ def surrogates(units: DataFrame, key: str, root: str) -> DataFrame:
 
 
 def _written(raw: Column, digits: Column) -> Column:
-    """``raw`` with its digits replaced, one after the other."""
-    return F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
+    """``raw`` with its digits replaced, one after the other; digits left over follow."""
+    inside = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
         digits, F.char_length(_digits(F.substr(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+    return F.concat(inside, F.substr(digits, F.char_length(_digits(raw)) + 1))
 
 
 def _cased(like: Column, name: Column) -> Column:
     return F.when((F.char_length(like) > 1) & (F.upper(like) == like), F.upper(name)).otherwise(F.initcap(name))
 
 
-def _replacements(parsed: DataFrame, chosen: DataFrame) -> DataFrame:
+def _replacements(parts: DataFrame, chosen: DataFrame) -> DataFrame:
     """(raw, new) of every distinct mention."""
-    raw, kind, text, unit = F.col("raw"), F.col("kind"), F.col("part.text"), F.col("s")
-    flat = parsed.select("raw", F.posexplode("parts").alias("at", "part")).select("raw", "at", "part", "part.kind", "part.unit")
-    rows = flat.join(chosen.withColumnRenamed("surrogate", "s"), ["kind", "unit"], "left")
-    email = F.when(F.upper(raw) == raw, F.upper(unit)).otherwise(unit)
-    new = (F.when(F.col("unit").isNull(), text).when(kind == "email", email)
+    raw, kind, text, unit = F.col("raw"), F.col("kind"), F.col("text"), F.col("s")
+    rows = parts.join(chosen.withColumnRenamed("surrogate", "s"), ["kind", "unit"], "left")
+    shouted = (F.upper(text) == text) & (F.lower(text) != text)
+    new = (F.when(F.col("unit").isNull(), text).when(kind.isin("local", "domain"), F.when(shouted, F.upper(unit)).otherwise(unit))
            .when(kind.isin("phone", "national", "card"), _written(raw, unit)).when(kind == "ip", unit)
            .otherwise(_cased(text, unit)))
     ordered = F.array_sort(F.collect_list(F.struct("at", new.alias("new"))))
@@ -222,26 +254,28 @@ def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions:
     body = docs[text]
     has = F.coalesce(body.rlike(MENTION), F.lit(False))
     row_key = F.sha2(body, 256)
+    own_key, new_of = unused("text_key", docs.columns), unused("new_of", docs.columns)
     some = docs.where(has)
-    found = some.select(row_key.alias("_key"), F.explode(F.array_distinct(mentions(body))).alias("raw")).distinct()
+    found = some.select(row_key.alias("key"), F.explode(F.array_distinct(mentions(body))).alias("raw")).distinct()
     found.write.parquet(f"{root}/found")
     found = spark.read.parquet(f"{root}/found")
     _parsed(found.select("raw").distinct()).write.parquet(f"{root}/parsed")
     parsed = spark.read.parquet(f"{root}/parsed")
-    units = parsed.select(F.inline("parts")).where("unit is not null").select("kind", "unit").distinct()
-    _replacements(parsed, surrogates(units, key, root)).write.parquet(f"{root}/new")
+    _parts(parsed).write.parquet(f"{root}/parts")
+    parts = spark.read.parquet(f"{root}/parts")
+    units = parts.where("unit is not null").select("kind", "unit").distinct()
+    _replacements(parts, surrogates(units, key, root)).write.parquet(f"{root}/new")
     new = spark.read.parquet(f"{root}/new")
-    maps = (found.join(new, "raw").groupBy("_key")
-            .agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias("_new")))
+    maps = (found.join(new, "raw").groupBy("key")
+            .agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias(new_of)))
     # written, so that the join has no aggregation in its stage and can split a frequent text
     maps.write.parquet(f"{root}/maps")
-    maps = spark.read.parquet(f"{root}/maps").withColumnRenamed("_key", "_text_key")
-    joined = some.withColumn("_text_key2", row_key)
-    joined = joined.join(maps, joined["_text_key2"] == maps["_text_key"], "left")
+    maps = spark.read.parquet(f"{root}/maps").withColumnRenamed("key", own_key)
+    joined = some.withColumn(own_key, row_key).join(maps, own_key, "left")
     pieces, hits = F.split(F.col(text), MENTION, -1), mentions(F.col(text))
-    filled = F.array_join(F.zip_with(pieces, F.transform(hits, lambda m: F.coalesce(F.element_at("_new", m), m)),
+    filled = F.array_join(F.zip_with(pieces, F.transform(hits, lambda m: F.coalesce(F.element_at(F.col(new_of), m), m)),
                                      lambda piece, m: F.concat(piece, F.coalesce(m, F.lit("")))), "")
-    count = F.size(F.filter(hits, lambda m: F.element_at("_new", m).isNotNull())).cast("long").alias(n_mentions)
+    count = F.size(F.filter(hits, lambda m: F.element_at(F.col(new_of), m).isNotNull())).cast("long").alias(n_mentions)
     changed = joined.select(*[filled.alias(c) if c == text else F.col(c) for c in names], count)
     plain = docs.where(~has).select(*[F.col(c) for c in names], F.lit(0).cast("long").alias(n_mentions))
     return plain.unionByName(changed)

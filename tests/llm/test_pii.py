@@ -104,3 +104,57 @@ def test_other_numbers_stay(docs, shared):
     texts = ["id 1234567890123456", "on 2024-01-15 10:30", "on 01.02.2024", "sum 1,234,567.89", "x 4222222222223 y"]
     rows = replaced(docs, list(enumerate(texts)))
     assert sorted(r.text for r in rows) == sorted(texts) and not any(r.n_mentions for r in rows)
+
+
+def test_long_names_domains_and_words(docs, shared):
+    """Nothing recurses with the length of a mention, and a run of letters is read once."""
+    name = "Mr " + " ".join(f"Ab{chr(97 + k % 26)}" for k in range(3000))
+    pairs = [(1, name), (2, "x@" + ".".join(["lab"] * 5000) + ".com"), (3, "a" * 50_000), (4, "a." * 25_000), (5, "a--" * 20_000 + "b@c.de"),
+             (6, "Dr " * 3000 + "Who")]
+    rows = {r.doc_id: r for r in replaced(docs, pairs)}
+    assert len(rows[1].text.split()) == 3001 and "Abc" not in rows[1].text.split() and rows[1].n_mentions == 1
+    assert not rows[2].text.startswith("x@lab.") and rows[2].n_mentions == 1
+    assert rows[3].text == "a" * 50_000 and rows[4].text == "a." * 25_000
+    assert rows[5].n_mentions == 1 and not rows[5].text.endswith("b@c.de")
+    assert rows[6].text.startswith("Dr Dr") and not rows[6].text.endswith("Who")
+
+
+def test_more_units_than_surrogates_of_their_format(docs, shared):
+    """450 one-letter addresses of one-letter domains: surrogates grow, and the rounds end."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.de" for a in letters for b in letters][:450]
+    rows = {r.doc_id: r.text for r in replaced(docs, list(enumerate(mails)))}
+    assert len(set(rows.values())) == 450 and not set(rows.values()) & set(mails)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]+\.de", t) for t in rows.values())
+    # one domain, one surrogate; one local part, one surrogate
+    parts = [{}, {}]
+    for k, mail in enumerate(mails):
+        for known, old, new in zip(parts, mail.split("@"), rows[k].split("@")):
+            assert known.setdefault(old, new) == new
+    for known in parts:
+        assert len(set(known.values())) == len(known)
+
+
+def test_one_person_one_surrogate_whatever_the_title(docs, shared):
+    rows = {r.doc_id: r.text for r in replaced(docs, [
+        (1, "Mr John Smith"), (2, "Dr John Smith"), (3, "Prof. Anna Smith"), (4, "Mrs Anna Smith"), (5, "Dr Kim Lee")])}
+    assert rows[1].removeprefix("Mr ") == rows[2].removeprefix("Dr ")
+    assert rows[3].removeprefix("Prof. ") == rows[4].removeprefix("Mrs ")
+    assert len({t.split()[-2] for t in rows.values()}) == 3
+
+
+def test_domains_and_country_codes_are_kept_together(docs, shared):
+    codes = ["1", "7", "20", "33", "49", "351", "380", "420", "998", "852"]
+    rows = {r.doc_id: r.text for r in replaced(docs, [(k, f"+{c} 555 123 4567") for k, c in enumerate(codes)]
+                                               + [(90, "john@x.com"), (91, "jane@x.com"), (92, "JANE@X.COM")])}
+    for k, c in enumerate(codes):
+        assert rows[k].startswith(f"+{c} ") and rows[k] != f"+{c} 555 123 4567"
+    assert rows[90].split("@")[1] == rows[91].split("@")[1] and rows[90] != rows[91]
+    assert rows[92].lower() == rows[91]
+
+
+def test_clashing_names(spark, shared):
+    docs = spark.createDataFrame([(1, "Mr Smith", "a", "b", "c", "d", 5)], "doc_id long, text string, _new string, _text_key string, text_key string, new_of string, raw int")
+    row = pii.replace_mentions(docs, "k").first()
+    assert (row["_new"], row["_text_key"], row["text_key"], row["new_of"], row["raw"]) == ("a", "b", "c", "d", 5)
+    assert row["text"].startswith("Mr ") and row["text"] != "Mr Smith"
