@@ -10,9 +10,11 @@ banded bit-parallel edit distance, many pairs at a time.  Lines within that dist
 chained); of a class the first line of the smallest document stays.
 
 Defined results: lines are split at line feeds; lines of fewer than ``least`` characters
-join no edits, and those of ``shortest`` and more are grouped by equality; shorter ones, and always
-empty ones, are left alone; null and empty texts have no lines to compare; with repeated or null identifiers
-a line stays where (doc_id, position) is smallest, nulls first, and of equal places all stay.
+join no edits, and those of ``shortest`` (1 if not given) and more are grouped by equality; shorter ones, and
+always empty ones, are left alone; null and empty texts have no lines to compare.  ``dropped_lines`` speaks of
+identifiers: with repeated or null ones a line stays where (doc_id, position) is smallest, nulls first, and of
+equal places all stay.  ``strip_lines`` gives every row a key of its own, so that rows with the same identifier
+keep their own lines.
 """
 
 from __future__ import annotations
@@ -21,14 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.graph import components, only_wanted
-from basketflow.llm.text import slices
+from basketflow.llm.text import slices, unused
 from basketflow.session import scratch_dir
 
 EDITS, LEAST = 2, 24
+# Characters of the pairs that are verified at a time, padding included; a longer pair is alone.
+CELLS = 1 << 18
 
 
 def cuts(length: int, edits: int) -> list[tuple[int, int]]:
@@ -165,22 +170,30 @@ def _keys(lines: DataFrame, edits: int) -> DataFrame:
 def _verified(pairs: DataFrame, edits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            # pairs of like lengths together, so that little is padded and long ones are few at a time
+            size = np.maximum(*[pc.utf8_length(batch.column(c)).to_numpy() for c in (2, 3)]).astype(np.int64)
+            order = np.argsort(size, kind="stable")
+            batch, at = batch.take(pa.array(order)), 0
+            size = size[order]
+            while at < len(size):
+                fits = (np.arange(1, 513) * size[at:at + 512] if at + 512 <= len(size)
+                        else np.arange(1, len(size) - at + 1) * size[at:]) <= CELLS
+                step = max(1, int(fits.sum()))
+                part = batch.slice(at, step)
                 near = distances(part.column(2).to_pylist(), part.column(3).to_pylist(), edits) <= edits
                 yield part.select([0, 1]).filter(pa.array(near))
+                at += step
 
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
-                 least: int = LEAST, shortest: int | None = None) -> DataFrame:
+                 least: int = LEAST, shortest: int = 1) -> DataFrame:
     """(number, keeper): for every distinct line with a class of its own the place that stays.
 
     ``number`` is the 64-bit hash of the line, ``keeper`` the struct (doc_id, place).  Lines of
-    ``shortest`` (``least`` if not given) to ``least`` - 1 characters are grouped by equality alone.
+    ``shortest`` to ``least`` - 1 characters are grouped by equality alone.
     """
-    shortest = least if shortest is None else shortest
     if least <= edits or edits > 7:
         raise ValueError("lines must be longer than the edits, and at most 7 edits are allowed")
     spark = docs.sparkSession
@@ -213,9 +226,8 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
-                  least: int = LEAST, shortest: int | None = None) -> DataFrame:
+                  least: int = LEAST, shortest: int = 1) -> DataFrame:
     """One row per identifier: doc_id, n_lines, n_dropped, dropped (places of the lines to drop, ascending)."""
-    shortest = least if shortest is None else shortest
     classes = line_classes(docs, doc_id, text, edits, least, shortest)
     places = _lines(docs, doc_id, text)
     marked = places.select("doc_id", "place", F.when(F.char_length("line") >= max(1, min(shortest, least)), F.xxhash64("line")).alias("number"))
@@ -231,10 +243,21 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", e
         F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
-def strip_lines(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines cut out of the text."""
-    places = dropped.where("n_dropped > 0").select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(places, docs[doc_id].eqNullSafe(places["_id"]), "left")
-    kept = F.array_join(F.filter(F.split(docs[text], "\n", -1),
-                                 lambda line, at: ~F.array_contains("_dropped", at)), "\n")
-    return joined.withColumn(text, F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(kept)).drop("_id", "_dropped")
+def strip_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
+                least: int = LEAST, shortest: int = 1) -> DataFrame:
+    """``docs`` without the repeated lines of its texts; of a class the first line of the smallest identifier stays.
+
+    Rows are written with a key of their own (identifier, number) that the lines go by.
+    """
+    spark = docs.sparkSession
+    key, cut = unused("line_key", docs.columns), unused("line_cut", docs.columns)
+    root = scratch_dir(spark, "strip-lines")
+    keyed = docs.withColumn(key, F.struct(docs[doc_id].alias("id"), F.monotonically_increasing_id().alias("row")))
+    keyed.write.parquet(f"{root}/keyed")
+    keyed = spark.read.schema(keyed.schema).parquet(f"{root}/keyed")
+    dropped = dropped_lines(keyed, key, text, edits, least, shortest).where("n_dropped > 0")
+    dropped = dropped.select(F.col("doc_id.row").alias(cut), F.col("dropped").alias(f"{cut}_places"))
+    joined = keyed.join(dropped, F.col(f"{key}.row") == F.col(cut), "left")
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1),
+                                 lambda line, at: ~F.array_contains(f"{cut}_places", at)), "\n")
+    return joined.withColumn(text, F.when(F.col(cut).isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)

@@ -66,15 +66,15 @@ def test_classes_equal_brute_force(docs, edges, rows):
         lines = [varied(rng, rng.choice(base), rng.choice([0, 0, 1, 2, 3])) for _ in range(rng.choice([0, 1, 3, 6]))]
         pairs.append((i + 100, "\n".join(lines)))
     pairs += [(i, t if t is None or len(t) < 2000 else t[:2000]) for i, t in edges if i is not None]
-    got = line_dedup.dropped_lines(docs(pairs))
+    got = line_dedup.dropped_lines(docs(pairs), shortest=line_dedup.LEAST)
     merged = {}
     for i, t in pairs:
         merged.setdefault(i, []).append(t)
     single = [(i, t[0]) for i, t in merged.items()]
     frame = docs(single)
-    assert rows(line_dedup.dropped_lines(frame)) == brute(single)
+    assert rows(line_dedup.dropped_lines(frame, shortest=line_dedup.LEAST)) == brute(single)
     assert got.count() == len(merged)
-    stripped = line_dedup.strip_lines(frame, line_dedup.dropped_lines(frame))
+    stripped = line_dedup.strip_lines(frame)
     assert stripped.columns == frame.columns and stripped.count() == len(single)
     again = line_dedup.dropped_lines(stripped)
     assert again.where("n_dropped > 0").count() == 0
@@ -107,3 +107,32 @@ def test_query_drops_every_repeat_of_a_short_line(spark, shared, real):
             if 0 < len(line) < line_dedup.LEAST:
                 assert (k in got[i].dropped) == (line in seen)
                 seen.add(line)
+
+
+def test_rows_of_one_identifier_keep_their_own_lines(spark, shared):
+    """Repeated and null identifiers, row by row; extra columns have inner names."""
+    a, b, c, d = (f"a line that is long enough, number {w}" for w in ("first and foremost", "two, which differs", "3", "the fourth of these lines"))
+    rows = [(7, f"{a}\n{b}"), (7, f"{c}\n{d}"), (8, a), (None, f"{b}\nonly here, with the null identifier"), (None, f"short\n{d}"), (9, "short\nshort"), (10, None)]
+    docs = spark.createDataFrame([(i, t, k, "x", "y", "z") for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, n int, _dropped string, _id string, line_key string").repartition(3)
+    got = line_dedup.strip_lines(docs)
+    assert got.columns == docs.columns
+    text = {r.n: r.text for r in got.collect()}
+    # nulls come first: they keep b, d and "short"; row 7 keeps a and c
+    assert text == {0: a, 1: c, 2: "", 3: rows[3][1], 4: rows[4][1], 5: "", 6: None}
+
+
+def test_a_very_long_pair_needs_little_memory():
+    import resource
+
+    long = "x" * 200_000
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert line_dedup.distances([long], ["y" + long], 2).tolist() == [1]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000
+
+
+def test_verified_pairs_of_very_different_lengths(spark, shared):
+    pairs = [(k, k + 1000, "a" * n, "a" * (n - 1) + "b") for k, n in enumerate([30, 50_000, 31, 300_000] + [40] * 700)]
+    pairs.append((5000, 6000, "a" * 90, "b" * 90))
+    frame = spark.createDataFrame(pairs, "a long, b long, ta string, tb string").repartition(1)
+    assert {r.a for r in line_dedup._verified(frame, 2).collect()} == {p[0] for p in pairs[:-1]}
