@@ -195,17 +195,18 @@ def user_engagement(users: DataFrame, sessions: DataFrame, events: DataFrame, or
         F.count("order_id").alias("n_orders"), F.sum("total_usd").alias("spent"))
     times_orders = F.lit(1) if fanout_safe else _one("n_orders")
     times_rows = F.lit(1) if fanout_safe else _one("n_rows")
-    total_events = (_zero("n_events") * times_orders).alias("total_events")
+    # a wide product: one that no long can hold is NULL, not the end of the mart
+    n_events = _zero("n_events").cast("decimal(19,0)") * times_orders.cast("decimal(19,0)")
     return (
         users.where(F.col("user_id").isNotNull()).select("user_id")
         .join(per_user, "user_id", "left").join(bought, "user_id", "left")
         .select(
             "user_id",
             _zero("n_sessions").alias("sessions_count"),
-            total_events,
+            n_events.try_cast("bigint").alias("total_events"),
             (F.try_divide(_as_double("micros"), F.col("timed_rows")) / 1e6)
             .alias("avg_session_duration_seconds"),
-            safe_ratio(_zero("n_events") * times_orders, _zero("n_sessions"))
+            safe_ratio(n_events, _zero("n_sessions"))
             .alias("avg_pages_per_session"),
             "first_session_date",
             day("last_start").alias("last_session_date"),

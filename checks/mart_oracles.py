@@ -148,14 +148,15 @@ FROM finished LEFT JOIN kit USING (user_id) LEFT JOIN spot USING (user_id)
 MARTS["m7_campaign_performance"] = """
 WITH visits AS (
     SELECT user_id, CAST(start_ts AS DATE) AS day, list(session_id) AS ids FROM sessions GROUP BY ALL),
+touch AS MATERIALIZED (SELECT row_number() OVER () AS number, * FROM camp_ev),
 purchases AS (
-    SELECT campaign_event_id, list(order_id) AS ids, sum(total_usd) AS paid
-    FROM camp_ev ce JOIN ord ON ord.user_id = ce.user_id AND status = 'success'
+    SELECT number, list(order_id) AS ids, sum(total_usd) AS paid
+    FROM touch ce JOIN ord ON ord.user_id = ce.user_id AND status = 'success'
         AND order_ts - generated_at BETWEEN INTERVAL 0 DAY AND INTERVAL 14 DAY
-    GROUP BY campaign_event_id),
+    GROUP BY number),
 touches AS (
     SELECT ce.*, coalesce(visits.ids, []) AS visit_ids, coalesce(purchases.ids, []) AS order_ids, paid
-    FROM camp_ev ce LEFT JOIN purchases USING (campaign_event_id)
+    FROM touch ce LEFT JOIN purchases USING (number)
     LEFT JOIN visits ON visits.user_id = ce.user_id AND visits.day = CAST(generated_at AS DATE)),
 facts AS (
     SELECT campaign_id, CAST(min(generated_at) AS DATE) AS start_date, CAST(max(generated_at) AS DATE) AS end_date,
