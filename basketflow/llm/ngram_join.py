@@ -230,8 +230,9 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return found.withColumn("component", F.coalesce("component", "node"))
 
 
-def _difference_signs(state: DataFrame, percent: int, folder: _Folder, step: int) -> DataFrame:
-    """Rows (pivot, kind, token, node, ...) of the rarest differences, as many as the bound asks for.
+def _difference_signs(state: DataFrame, percent: int, folder: _Folder, step: int) -> DataFrame | None:
+    """Rows (pivot, kind, token, node, ...) of the rarest differences, as many as the bound asks for; None if
+    no pair is left to be compared.
 
     Sets linked to the pivot need no comparison with each other, so a pair has one such set
     (kind cross) or none (kind apart); an overlap below ``least`` cannot link a pair of the kind.
@@ -239,6 +240,8 @@ def _difference_signs(state: DataFrame, percent: int, folder: _Folder, step: int
     scopes = (state.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high"))
               .where("low < high").select("pivot"))
     scopes = folder.save(scopes, f"scopes{step}")
+    if not scopes.take(1):  # every pivot's sets are in one component
+        return None
     members = folder.save(state.join(scopes, "pivot", "left_semi"), f"members{step}")
     tokens = members.select("pivot", "node", F.explode("diff").alias("token"))
     shared = folder.save(tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), f"df{step}")
@@ -343,7 +346,10 @@ def group_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     state = state.where("scope").drop("scope")
     for step in range(1, ROUNDS + 1):
         state = _labelled(state, labels)
-        marked = folder.save(_difference_signs(state, percent, folder, step), f"differences{step}")
+        marked = _difference_signs(state, percent, folder, step)
+        if marked is None:
+            break
+        marked = folder.save(marked, f"differences{step}")
         buckets = folder.save(_open(marked), f"buckets{step}")
         if not buckets.take(1):
             break

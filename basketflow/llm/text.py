@@ -29,13 +29,15 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 # Bytes that Spark sends to Python at a time.  Its own default of 64 MB, held a few times over by each
 # of an executor's tasks on both sides, is much of a small executor.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+# The driver keeps a text of every plan it has run, of any length by default.
+SMALL = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20), "spark.sql.maxPlanStringLength": "10000"}
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let the session send texts in small batches, unless it was started with a size of its own."""
-    if spark.sparkContext.getConf().get(BATCH_SETTING) is None:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    """Let the session send texts in small batches and keep short plan texts, unless it was started with sizes of its own."""
+    for setting, value in SMALL.items():
+        if spark.sparkContext.getConf().get(setting) is None:
+            spark.conf.set(setting, value)
 
 
 def unused(name: str, columns: Iterable[str]) -> str:
