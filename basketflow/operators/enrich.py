@@ -93,7 +93,7 @@ def _centre(cube: str, level: Column) -> tuple[list[Column], Column]:
     return [(i * 2 + 1) * half - 1 for i in index], half
 
 
-def _place_tree(places: DataFrame) -> DataFrame:
+def place_tree(places: DataFrame) -> DataFrame:
     """(level, cube, parent, leaf, x, y, z): the cubes with places, each with one of its places.
 
     ``places`` has p_lat and p_lon.
@@ -145,12 +145,14 @@ def _leaves_near(asked: DataFrame, tree: DataFrame, deepest: int = DEEPEST) -> D
     return open_.select("q_level", "q_cube", "level", "cube")
 
 
-def nearest_places(points: DataFrame, places: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def nearest_places(points: DataFrame, places: DataFrame, hot_rows: int = HOT_ROWS,
+                   tree: DataFrame | None = None) -> DataFrame:
     """(lat, lon, city, country) of the nearest place of each distinct point.
 
     ``points`` has lat and lon, ``places`` city, country, p_lat and p_lon, one place for each
     coordinate.  A point meets only the places of the few leaves that can hold the nearest one.
-    The tree is written to a scratch folder; places that fill one leaf at most need none.
+    ``tree`` is the written ``place_tree`` of the places; without it one is written to a scratch
+    folder.  Places that fill one leaf at most need none.
     """
     spark = points.sparkSession
     some = places.select("p_lat", "p_lon", "city", "country").limit(LEAF + 1).collect()
@@ -162,9 +164,10 @@ def nearest_places(points: DataFrame, places: DataFrame, hot_rows: int = HOT_ROW
             haversine_km(F.col("lat"), F.col("lon"), p["p_lat"], p["p_lon"]).alias("km"),
             p["city"].alias("city"), p["country"].alias("country")))
         return points.withColumn("near", F.array_min(ranked)).select("lat", "lon", "near.city", "near.country")
-    path = f"{scratch_dir(spark, 'places')}/tree"
-    _place_tree(places).write.parquet(path)
-    tree = spark.read.parquet(path)
+    if tree is None:
+        path = f"{scratch_dir(spark, 'places')}/tree"
+        place_tree(places).write.parquet(path)
+        tree = spark.read.parquet(path)
     deepest = tree.agg(F.max("level")).first()[0] or 1
     coarsest = min(COARSEST, deepest + 1)
     axes = _on_globe("lat", "lon")
@@ -190,24 +193,34 @@ def nearest_places(points: DataFrame, places: DataFrame, hot_rows: int = HOT_ROW
             .select("lat", "lon", "near.city", "near.country"))
 
 
-def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def land_places(places: DataFrame) -> DataFrame:
+    """(city, country, p_lat, p_lon): one place for each coordinate, seas left out."""
+    water = "|".join(WATER_WORDS)
+    return (places.where(F.col("city").isNotNull() & ~F.col("city").rlike(water))
+            .where("lat IS NOT NULL AND lon IS NOT NULL")
+            .groupBy(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+            .agg(F.min(F.struct("city", "country")).alias("first"))
+            .select("first.city", "first.country", "p_lat", "p_lon"))
+
+
+def geo_lookup(df: DataFrame, places: DataFrame, spread_by: Sequence[str], hot_rows: int = HOT_ROWS,
+               counted: DataFrame | None = None, tree: DataFrame | None = None) -> DataFrame:
     """Set city and country of each row to the nearest place, seas left out.
 
     Rows without coordinates, and all rows if there are no places, get the city 'Unknown'
     and the country NULL.  Of equally near places the first by name counts.
 
     Distinct coordinates are looked up once, then joined back; busy coordinates are split.
-    ``spread_by`` tells rows with equal coordinates apart.
+    ``spread_by`` tells rows with equal coordinates apart.  ``counted`` names a frame with the
+    same coordinates that is cheaper to read.  With a written ``tree`` the places are
+    those of ``land_places``.
     """
-    water = "|".join(WATER_WORDS)
-    land = (places.where(F.col("city").isNotNull() & ~F.col("city").rlike(water))
-            .where("lat IS NOT NULL AND lon IS NOT NULL")
-            .groupBy(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-            .agg(F.min(F.struct("city", "country")).alias("first"))
-            .select("first.city", "first.country", "p_lat", "p_lon"))
+    land = land_places(places) if tree is None else places
     given = df.drop("city", "country")
-    points = given.select("lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL").distinct()
-    found = split_join(given, nearest_places(points, land, hot_rows), ["lat", "lon"], "left", spread_by, hot_rows)
+    asked = (given if counted is None else counted).select("lat", "lon")
+    points = asked.where("lat IS NOT NULL AND lon IS NOT NULL").distinct()
+    found = split_join(given, nearest_places(points, land, hot_rows, tree), ["lat", "lon"], "left", spread_by,
+                       hot_rows, asked)
     return found.withColumn("city", F.coalesce("city", F.lit("Unknown")))
 
 
@@ -222,11 +235,13 @@ def _cell_column(lon: str, cell: float) -> Column:
 
 # --- weather ------------------------------------------------------------------
 def weather_lookup(df: DataFrame, weather: DataFrame, ts: str, spread_by: Sequence[str],
-                   cell: float = 0.5, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   cell: float = 0.5, hot_rows: int = HOT_ROWS,
+                   counted: DataFrame | None = None) -> DataFrame:
     """Add temperature and description observed in the row's grid cell and hour, else NULL.
 
     ``weather`` has (lat, lon, observed_at, temp, weather); the first observation of an
-    hour counts.
+    hour counts.  ``counted`` names a frame with the same places and times that is cheaper
+    to read.
     """
     keys = ["_row", "_col", "_hour"]
 
@@ -239,4 +254,5 @@ def weather_lookup(df: DataFrame, weather: DataFrame, ts: str, spread_by: Sequen
              .select(*keys, F.col("seen.temp").alias("weather_temp"),
                      F.col("seen.weather").alias("weather_desc")))
     given = keyed(df.drop("weather_temp", "weather_desc"), ts)
-    return split_join(given, first, keys, "left", spread_by, hot_rows).drop(*keys)
+    asked = None if counted is None else keyed(counted, ts).select(*keys)
+    return split_join(given, first, keys, "left", spread_by, hot_rows, asked).drop(*keys)

@@ -205,8 +205,7 @@ class Store:
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
 
     def _exists(self, path: str) -> bool:
-        fs, target = sinks._path(self.spark, path)
-        return fs.exists(target)
+        return sinks.exists(self.spark, path)
 
     def bucket(self, column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
@@ -230,7 +229,9 @@ class Store:
         return rows if only is None else rows.where(F.col("bucket").isin(only) if only else F.lit(False))
 
     def read(self, table: str) -> DataFrame:
-        """A star table."""
+        """A star table; without rows if no batch had any."""
+        if not self._exists(f"{self.base}/{table}"):
+            return self.spark.createDataFrame([], schemas.DDS[table])
         state = self.state(table)
         if table == "users":
             rows = state.select("user_id", *[F.col(f"{c}.value").alias(c) for c in _USER_VALUES])
@@ -329,7 +330,8 @@ def merge_batches(spark: SparkSession, read: ReadBatches, base: str, upto: int,
         if how.parent:
             parent, column = how.parent
             if column == how.bucket:
-                touched |= changed[parent]
+                # of these, the buckets that hold rows
+                touched |= _numbers(store.state(table, schema, sorted(changed[parent])))
             elif changed[parent]:
                 # rows that wait for a parent: found by their mark, without reading the others
                 came = spark.read.parquet(f"{pending}/_new/{parent}")

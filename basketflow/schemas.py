@@ -15,6 +15,8 @@ _TYPES = {
     "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "decimal(18,2)": T.DecimalType(18, 2), "decimal(5,2)": T.DecimalType(5, 2),
+    "decimal(18,6)": T.DecimalType(18, 6), "boolean": T.BooleanType(),
+    "array<string>": T.ArrayType(T.StringType()),
 }
 
 
@@ -89,6 +91,17 @@ DDS = {
         "event_id bigint, order_id string, status string, generated_at timestamp_ntz"),
 }
 
+# --- dimensions of the enrichment stage -----------------------------------------
+DIMENSIONS = {
+    "rates": _struct("day date, currency string, rate decimal(18,6)"),
+    "places": _struct("city string, country string, p_lat double, p_lon double"),
+    "tree": _struct("level int, cube bigint, parent bigint, leaf boolean, x double, y double, z double"),
+    "weather": _struct("lat double, lon double, observed_at timestamp_ntz, temp double, "
+                       "weather string, day date"),
+    # a version: the folders it is made of
+    "versions": _struct("rates string, places string, tree string, weather array<string>"),
+}
+
 # --- marts --------------------------------------------------------------------
 MART = {
     "daily_business_summary": _struct(

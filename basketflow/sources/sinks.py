@@ -70,6 +70,16 @@ def _path(spark: SparkSession, path: str) -> tuple[object, object]:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _path(spark, path)
+    return fs.exists(target)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def commit_snapshot(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, f"{path}/_SUCCESS")
     fs.create(target).close()

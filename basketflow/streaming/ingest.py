@@ -6,6 +6,8 @@ is run again overwrites its own folders, so every message lands once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,8 +63,11 @@ def _serial(batch_id: int):
         F.raise_error(F.lit("micro-batch too large, set batch_size")).cast("bigint"))
 
 
-def append_raw(base: str, on_bad: str = "quarantine"):
-    """The ``foreachBatch`` function that lands one micro-batch under ``base``."""
+def append_raw(base: str, on_bad: str = "quarantine", then: Callable[[int], None] | None = None):
+    """The ``foreachBatch`` function that lands one micro-batch under ``base``.
+
+    ``then`` is called with the number of each landed batch, again if the batch runs again.
+    """
     def land(batch: DataFrame, batch_id: int) -> None:
         wide = parse_messages(batch)
         if on_bad == "fail":
@@ -71,13 +76,15 @@ def append_raw(base: str, on_bad: str = "quarantine"):
                            "received_at": F.current_timestamp().cast("timestamp_ntz")})
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("route", "batch_id").parquet(base))
+        if then is not None:
+            then(batch_id)
     return land
 
 
 def start_ingest(messages: DataFrame, base: str, checkpoint: str, on_bad: str = "quarantine",
-                 interval: str | None = None) -> StreamingQuery:
+                 interval: str | None = None, then: Callable[[int], None] | None = None) -> StreamingQuery:
     """Start the ingest; without ``interval`` it drains what is there and stops."""
-    writer = messages.writeStream.foreachBatch(append_raw(base, on_bad)).option(
+    writer = messages.writeStream.foreachBatch(append_raw(base, on_bad, then)).option(
         "checkpointLocation", checkpoint)
     writer = (writer.trigger(processingTime=interval) if interval
               else writer.trigger(availableNow=True))
@@ -88,9 +95,20 @@ def read_landed(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LANDED_SCHEMA).parquet(base)
 
 
-def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A raw table; only its own folders and columns are read."""
+def landed_batches(spark: SparkSession, base: str) -> list[int]:
+    """The numbers of the landed batches, by their folders; there is one row per batch."""
+    found = read_landed(spark, base).select("batch_id").distinct().orderBy("batch_id")
+    return [row["batch_id"] for row in found.collect()]
+
+
+def read_raw(spark: SparkSession, base: str, table: str, first: int | None = None,
+             last: int | None = None) -> DataFrame:
+    """A raw table, or its batches from ``first`` to ``last``; only its own folders and columns are read."""
     rows = read_landed(spark, base).where(F.col("route") == table)
+    if first is not None:
+        rows = rows.where(F.col("batch_id") >= first)
+    if last is not None:
+        rows = rows.where(F.col("batch_id") <= last)
     has_received = "received_at" in schemas.RAW[table].names
     return rows.select(
         F.col("serial").alias(SERIAL[table]), *[f.name for f in message_fields(table)],

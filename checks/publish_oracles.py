@@ -205,6 +205,32 @@ ENRICH_TABLES = {
         SELECT DISTINCT ON (date_trunc('hour', ts), event_id % 5) event_id % 5 AS zone,
                date_trunc('hour', ts) AS hour, CAST(value AS DECIMAL(18,2)) AS temp, event_type AS weather
         FROM events ORDER BY ts, CAST(value AS DECIMAL(18,2)), event_type""",
+    "bare": """
+        SELECT * REPLACE (CASE WHEN event_id % 2 = 1 THEN city END AS city,
+                          CASE WHEN event_id % 2 = 1 THEN country END AS country,
+                          CASE WHEN event_id % 2 = 1 THEN weather_temp END AS weather_temp,
+                          CASE WHEN event_id % 2 = 1 THEN weather_desc END AS weather_desc)
+        FROM r_ev""",
+    "rated": """
+        SELECT DISTINCT ON (d.day) d.day, e.eur,
+               (SELECT arg_max(r.rub, r.day) FROM rate_days r WHERE r.rub IS NOT NULL AND r.day <= d.day) AS rub
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d JOIN rate_days e ON e.day <= d.day
+        ORDER BY d.day, e.day DESC""",
+    "rich": """
+        SELECT b.* REPLACE (
+                   coalesce(b.city, n.city, 'Unknown') AS city,
+                   CASE WHEN b.city IS NULL THEN n.country ELSE b.country END AS country,
+                   CAST(b.cost_usd AS DOUBLE) AS cost_usd,
+                   CAST(CASE WHEN b.weather_desc IS NULL THEN sky.temp ELSE b.weather_temp END AS DOUBLE)
+                       AS weather_temp,
+                   coalesce(b.weather_desc, sky.weather) AS weather_desc),
+               CAST(round(b.cost_usd * rated.eur, 2) AS DOUBLE) AS cost_eur,
+               CAST(round(b.cost_usd * rated.rub, 2) AS DOUBLE) AS cost_rub
+        FROM bare b
+        LEFT JOIN near n ON n.event_id = b.event_id AND n.place = 1
+        LEFT JOIN rated ON rated.day = CAST(b."timestamp" AS DATE)
+        LEFT JOIN sky ON sky.hour = date_trunc('hour', b."timestamp") AND b.lat IS NOT NULL
+              AND floor((b.lat + 90) / 30) = sky.zone AND floor((b.lon + 180) / 30) = sky.zone""",
 }
 ENRICHED = {
     "e1_currency": """
@@ -237,4 +263,10 @@ ENRICHED = {
          AND e.lat >= sky.zone * 30 - 90 AND e.lat < sky.zone * 30 - 60
          AND e.lon >= -180 AND e.lon < 180
          AND floor((e.lon + 180) / 30) = sky.zone""",
+    "e4_enriched_events": "SELECT * FROM rich",
+    "e4_stream_enriched": "SELECT * EXCLUDE (event_id) FROM rich",
+    "e4_weather_influence": """
+        SELECT weather_desc, CAST(floor(weather_temp / 10) * 10 AS INTEGER) AS temp_from,
+               count(*) AS n_events, count(DISTINCT user_id) AS n_users, count(DISTINCT session_id) AS n_sessions
+        FROM rich WHERE weather_desc IS NOT NULL GROUP BY 1, 2""",
 }

@@ -16,7 +16,7 @@ from basketflow.operators.enrich import (
 )
 from basketflow.operators.keyed import append_ignore, dedup
 from basketflow.operators.validate import allow, check, fk_check, not_null, not_null_if, validate
-from basketflow.plans import dashboards, dds, incremental, marts, publish
+from basketflow.plans import dashboards, dds, enrichment, incremental, marts, publish
 from basketflow.session import scratch_dir
 from basketflow.sources import sinks
 from basketflow.sources.tables import read_table
@@ -384,6 +384,44 @@ raw("e3_weather", lambda r: weather_lookup(
     "event_id", "weather_temp", "weather_desc"))
 
 
+def _bare_events(r: Raw) -> DataFrame:
+    """The raw events; every other one comes without place and weather."""
+    told = F.col("event_id") % 2 == 1
+    return r.events().withColumns({
+        c: F.when(told, F.col(c)) for c in ("city", "country", "weather_temp", "weather_desc")})
+
+
+def _dimensions(r: Raw) -> enrichment.DimensionStore:
+    """Two versions of the dimensions; the second brings the weather of later hours."""
+    store = enrichment.DimensionStore(r.spark, scratch_dir(r.spark, "dimensions"))
+    early = F.col("observed_at") < "2024-01-11"
+    store.publish(_daily_rates(r), _places(r), _weather(r).where(early))
+    store.publish(more_weather=_weather(r).where(~early))
+    return store
+
+
+def _enriched(r: Raw) -> DataFrame:
+    store = _dimensions(r)
+    return enrichment.enrich_events(_bare_events(r), store.read(store.current()), cell=30)
+
+
+def _stream_enriched(r: Raw) -> DataFrame:
+    """The events as JSON lines through the stream, each batch enriched as it lands."""
+    base = scratch_dir(r.spark, "enriched")
+    lines = _bare_events(r).drop("event_id").withColumn("type", F.lit("event"))
+    lines.select(F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")).write.text(f"{base}/in")
+    stage = enrichment.Enrichment(r.spark, f"{base}/raw", f"{base}/enriched", _dimensions(r), cell=30)
+    stream = ingest.read_events_stream(r.spark, f"{base}/in", "text", batch_size=64)
+    ingest.start_ingest(stream, f"{base}/raw", f"{base}/checkpoint", then=stage.run).awaitTermination()
+    upto = incremental.committed_batch(r.spark, f"{base}/checkpoint")
+    return stage.reader(upto)("events").drop("event_id")
+
+
+raw("e4_enriched_events", _enriched)
+raw("e4_stream_enriched", _stream_enriched)
+raw("e4_weather_influence", lambda r: dashboards.weather_influence(_enriched(r)))
+
+
 # --- routing ------------------------------------------------------------------
 def routed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     """A query over all messages as parsed wide rows."""

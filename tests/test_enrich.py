@@ -53,7 +53,7 @@ def test_far_points_meet_few_of_very_many_places(spark):
     points = spark.range(2000).selectExpr("id", "(id * 13 % 1000) / 10.0 - 50 as lat", "-20 - (id * 7 % 900) / 20.0 as lon",
                                           "'x' as city", "'x' as country")
     land = places.withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"})
-    tree = enrich._place_tree(land).cache()
+    tree = enrich.place_tree(land).cache()
     axes = enrich._on_globe("lat", "lon")
     asked = points.select(F.lit(enrich.COARSEST).alias("q_level"), enrich._cube(axes, enrich.COARSEST).alias("q_cube")).distinct()
     near = enrich._leaves_near(asked, tree)
