@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,14 +115,19 @@ def raw_to_star(spark: SparkSession, read_raw: Callable[[str], DataFrame], base:
     star.write("campaign_events", touches)
     star.write_rejects("campaign_events", orphans)
     star.tidy(keep_snapshots)
+    publish.append_report(spark, base, datetime.now(UTC).replace(tzinfo=None), [
+        (name.removesuffix(" rejected"), "rejected" if name.endswith(" rejected") else "rows", n)
+        for name, n in star.counts.items()])
     return star.counts
 
 
 def star_to_marts(spark: SparkSession, star_base: str, mart_base: str, as_of: datetime,
-                  keep_snapshots: int = 2) -> dict[str, int | None]:
+                  keep_snapshots: int = 2, reload_days: int | None = None) -> dict[str, int | None]:
     """Compute and publish all marts; returns the rows of each, None where none came.
 
-    Old snapshots go, but for the newest ``keep_snapshots`` of each mart.
+    With ``reload_days`` only that many days up to ``as_of`` are replaced in the marts that are kept by
+    months (see ``publish.reload_mart``).  What was clipped, dropped and found twice goes to the
+    report in ``mart_base``.  Old snapshots go, but for the newest ``keep_snapshots`` of each mart.
     """
     read = Star(spark, star_base).read
     sessions, orders, events = read("sessions"), read("orders"), read("events")
@@ -147,7 +152,15 @@ def star_to_marts(spark: SparkSession, star_base: str, mart_base: str, as_of: da
         "device_analysis": marts.device_analysis(
             devices, users, sessions, orders, items, user_days=days),
     }
-    counts = {mart: publish.load_mart(df, mart_base, mart) for mart, df in results.items()}
-    for mart in results:
+    counts: dict[str, int | None] = {}
+    report: list[tuple[str, str, int]] = []
+    for mart, df in results.items():
+        observed = publish.Observed()
+        if reload_days is None:
+            counts[mart] = publish.load_mart(df, mart_base, mart, observed)
+        else:
+            counts[mart] = publish.reload_mart(df, mart_base, mart, as_of.date(), reload_days, observed)
+        report += [(mart, rule, n) for rule, n in observed.rows()]
         sinks.drop_old_snapshots(spark, f"{mart_base}/{mart}", keep_snapshots)
+    publish.append_report(spark, mart_base, as_of, report)
     return counts

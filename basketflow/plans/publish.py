@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Iterable
+from datetime import date, datetime
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow import schemas
 from basketflow.functions import clip, day, nan_to_null, whole_seconds
@@ -111,25 +116,71 @@ def conform(df: DataFrame, mart: str) -> DataFrame:
     return df.select(*out)
 
 
-def publish_clean(df: DataFrame, mart: str, observation: Observation | None = None) -> DataFrame:
+def _drops(df: DataFrame, date_field: str) -> list[Column]:
+    """Rows that each filter drops: those without a date, of an unwanted country, of an unwanted city."""
+    tests = [("no date", date_field, F.col(date_field).isNull())] + [
+        (f"{c} unwanted", c, F.coalesce(F.col(c), F.lit("")).isin(UNWANTED_PLACES)) for c in ("country", "city")]
+    stays, counts = F.lit(True), []
+    for rule, column, drops in tests:
+        if column in df.columns:
+            counts.append(F.count_if(stays & drops).alias(rule))
+            stays = stays & ~drops
+    return counts
+
+
+def _counts(observation: Observation) -> dict[str, int]:
+    """The counts of a write that has ended; none for an empty table, whose plan Spark cuts away, counts included."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
+
+
+class Observed:
+    """Counts of one load, gathered while its result is written.
+
+    Counts come from the tasks of that write: a stage that runs again after an executor is lost may count
+    again.  ``quality_report`` counts by a query of its own.
+    """
+
+    def __init__(self) -> None:
+        self.given, self.cleaned = Observation(), Observation()
+
+    def rows(self) -> list[tuple[str, int]]:
+        """(rule, rows): rows given, duplicates, rows each rule clips, rows each filter drops."""
+        given, cleaned = _counts(self.given).get("rows", 0), _counts(self.cleaned)
+        return [("rows", given), ("duplicates", given - cleaned.pop("rows", 0)), *cleaned.items()]
+
+
+def publish_clean(df: DataFrame, mart: str, observation: Observation | None = None,
+                  given: Observation | None = None) -> DataFrame:
     """All cleaning steps in order.
 
-    ``observation`` receives the counts per rule while the result is written, for the
-    log: a task that runs again counts again.  ``quality_report`` is exact.
+    While the result is written, ``observation`` receives the counts per rule and ``given`` the rows
+    before duplicates go.
     """
     df = without_nan(df.withColumnsRenamed(RENAMED.get(mart, {})))
+    n_rows = F.count(F.lit(1)).alias("rows")
+    if given is not None:
+        df = df.observe(given, n_rows)
     if mart not in DISTINCT_BY_GRAIN:
         df = df.dropDuplicates()
+    date_field = schemas.MART_DATE_FIELD[mart]
     if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *quality_counts(df))
-    df = require_date(clip_limits(df), schemas.MART_DATE_FIELD[mart])
+        df = df.observe(observation, n_rows, *quality_counts(df), *_drops(df, date_field))
+    df = require_date(clip_limits(df), date_field)
     df = fill_strings(df)
     df = drop_unwanted(drop_unwanted(df, "country"), "city")
     return conform(df, mart)
 
 
-def load_mart(df: DataFrame, base: str, mart: str,
-              observation: Observation | None = None) -> int | None:
+def _observed_clean(df: DataFrame, mart: str, observed: Observed | None) -> DataFrame:
+    if observed is None:
+        return publish_clean(df, mart)
+    return publish_clean(df, mart, observed.cleaned, observed.given)
+
+
+def load_mart(df: DataFrame, base: str, mart: str, observed: Observed | None = None) -> int | None:
     """Publish a mart's query result; returns its rows, None if the mart was left as it is.
 
     That is the case for an empty result; one that becomes empty only by cleaning does
@@ -137,10 +188,40 @@ def load_mart(df: DataFrame, base: str, mart: str,
     which reads file footers only.
     """
     spark = df.sparkSession
-    path = sinks.publish(publish_clean(df, mart, observation), base, mart, commit=False)
+    path = sinks.publish(_observed_clean(df, mart, observed), base, mart, commit=False)
     n_rows = spark.read.schema(sinks.mart_schema(mart)).parquet(path).count()
     if n_rows == 0 and not has_data(df):
         sinks.discard_snapshot(spark, path)
         return None
     sinks.commit_snapshot(spark, path)
     return n_rows
+
+
+def reload_mart(df: DataFrame, base: str, mart: str, as_of: date, days: int = 30,
+                observed: Observed | None = None) -> int | None:
+    """Replace the last ``days`` days of a mart by the query's result; older rows stay.
+
+    A mart by months rewrites only the months of these days, in files of an even size; other
+    months' files stay as they are.  An empty result still empties these days.  Marts without
+    months, and marts that were never written, are loaded whole.  Returns the rows of the mart.
+    """
+    if mart not in schemas.MART_MONTH_COLUMN or sinks.current_snapshot(df.sparkSession, f"{base}/{mart}") is None:
+        return load_mart(df, base, mart, observed)
+    sinks.replace_months(_observed_clean(df, mart, observed), base, mart, as_of, days)
+    return sinks.read_mart(df.sparkSession, base, mart).count()
+
+
+REPORT = T.StructType([
+    T.StructField("as_of", T.TimestampNTZType()), T.StructField("table_name", T.StringType()),
+    T.StructField("rule", T.StringType()), T.StructField("n_rows", T.LongType())])
+
+
+def append_report(spark: SparkSession, base: str, as_of: datetime,
+                  counts: Iterable[tuple[str, str, int]]) -> None:
+    """Add the counts (table, rule, rows) of one run to the report next to its tables."""
+    rows = [(as_of, *count) for count in counts]
+    sinks.append(spark.createDataFrame(rows, REPORT).coalesce(1), f"{base}/_report")
+
+
+def read_report(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.schema(REPORT).parquet(f"{base}/_report")

@@ -166,11 +166,42 @@ def replace_recent(existing: DataFrame, new: DataFrame, date_col: str, as_of: da
     return old.unionByName(new.where(F.col(date_col) >= cut))
 
 
-def publish_recent(df: DataFrame, base: str, mart: str, as_of: date, days: int = 30) -> str:
-    """Replace the last ``days`` days of a mart and keep its older rows."""
-    existing = read_mart(df.sparkSession, base, mart).select(*schemas.MART[mart].names)
-    column = schemas.MART_DATE_FIELD[mart]
-    return publish(replace_recent(existing, df, column, as_of, days), base, mart)
+def replace_months(df: DataFrame, base: str, mart: str, as_of: date, days: int = 30) -> None:
+    """Replace the last ``days`` days of a mart by months, in the months they touch only.
+
+    These months are first written to a pending folder, old rows before the days included, then
+    put in place of the ones in the current snapshot.  A run that was interrupted while
+    putting them in place is finished by the next.  Readers should wait meanwhile.
+    """
+    spark, root = df.sparkSession, f"{base}/{mart}"
+    finish_months(spark, base, mart)
+    column, cut = schemas.MART_MONTH_COLUMN[mart], as_of - timedelta(days=days)
+    first = cut.year * 100 + cut.month
+    old = read_mart(spark, base, mart).where(F.col(MONTH) >= first).select(*schemas.MART[mart].names)
+    laid_out, parts = _mart_layout(replace_recent(old, df, column, as_of, days), mart)
+    pending = f"{root}/_pending"
+    laid_out.write.mode("overwrite").partitionBy(*parts).parquet(f"{pending}/months")
+    spark.range(first, first + 1).write.mode("overwrite").parquet(f"{pending}/first")
+    commit_snapshot(spark, pending)
+    finish_months(spark, base, mart)
+
+
+def finish_months(spark: SparkSession, base: str, mart: str) -> None:
+    """Put complete pending months in place, forget incomplete ones; may be repeated."""
+    pending, target = f"{base}/{mart}/_pending", current_snapshot(spark, f"{base}/{mart}")
+    if is_complete(spark, pending):
+        first = spark.read.parquet(f"{pending}/first").first()[0]
+        new = spark.read.schema(mart_schema(mart)).parquet(f"{pending}/months")
+        # one row per month in both lists
+        gone = (read_mart(spark, base, mart).where(F.col(MONTH) >= first).select(MONTH).distinct()
+                .join(new.select(MONTH).distinct(), MONTH, "left_anti").collect())
+        (sorted_within_files(new, schemas.MART_SORT[mart], [MONTH]).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(target))
+        for month in gone:
+            fs, folder = _path(spark, f"{target}/{MONTH}={month[0]}")
+            fs.delete(folder, True)
+    fs, folder = _path(spark, pending)
+    fs.delete(folder, True)
 
 
 def compact(spark: SparkSession, base: str, schema: T.StructType,

@@ -181,6 +181,34 @@ QUALITY = {
         GROUP BY 1""",
 }
 
+_ODD = """(SELECT *, CASE WHEN event_id % 11 <> 0 THEN value * 100 END AS revenue FROM events)"""
+_VISITS = """(SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS day, user_id % 3 = 1 AS nowhere,
+                     user_id % 4 IN (1, 2) AS no_country FROM events)"""
+_RUN = [
+    (_ODD, "daily_business_summary", {
+        "rows": "true", "duplicates": "false", "total_revenue": "revenue > 10000",
+        "conversion_rate": "value < 10 OR value > 11", "avg_order_value": "value * 150 > 10000",
+        "total_orders": "user_id < 50", "total_sessions": "event_id % 7 = 0",
+        "successful_orders": "event_id % 5 = 0", "no date": "event_id % 13 = 0"}),
+    (_ODD, "product_performance", {
+        "rows": "true", "duplicates": "false", "total_quantity": "event_id % 3 = 0",
+        "orders_count": "event_id % 4 = 0", "no date": "event_id % 13 = 0"}),
+    (_ODD, "campaign_performance", {
+        "rows": "true", "duplicates": "false", "roi": "event_id < 400 OR event_id > 600"}),
+    (_VISITS, "session_analytics", {
+        "no date": "false", "country unwanted": "no_country", "city unwanted": "nowhere AND NOT no_country"}),
+    ("events", "session_analytics", {"rows": "true"}),
+]
+QUALITY["q6_run_report"] = " UNION ALL ".join([
+    *[f"SELECT '{mart}' AS table_name, '{rule}' AS rule, count(*) FILTER ({test}) AS n_rows FROM {source}"
+      for source, mart, rules in _RUN for rule, test in rules.items()],
+    f"SELECT 'session_analytics', 'duplicates', (SELECT count(*) FROM events) - (SELECT count(*) FROM {_VISITS})"])
+QUALITY["s9_reload_months"] = """
+    SELECT CAST(o_orderdate AS DATE) AS event_date, count(*) AS active_users_count,
+           CAST(0 AS BIGINT) AS returning_users, CAST(0 AS BIGINT) AS churned_users,
+           CAST(CAST(o_orderdate AS DATE) >= (SELECT CAST(max(o_orderdate) AS DATE) - 30 FROM orders) AS BIGINT) AS new_users
+    FROM orders GROUP BY CAST(o_orderdate AS DATE)"""
+
 _PLACES = """
     SELECT n_name AS city, r_name AS country, CAST(n_nationkey AS DOUBLE) * 7.01 - 84.77 AS lat,
            CAST(n_nationkey AS DOUBLE) * 53.17 % 360 - 180 AS lon

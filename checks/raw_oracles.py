@@ -453,3 +453,8 @@ RAW_TABLES["star_orders"] = """
         FROM r_st WHERE status IN ('failed', 'cancelled') GROUP BY order_id) USING (order_id)
     SEMI JOIN any_ids USING (user_id)
     WHERE total_usd >= 0"""
+
+RUN_COUNTS = {"d17_run_counts": " UNION ALL ".join([
+    *[f"SELECT '{name.removeprefix('inc_')}' AS table_name, count(*) AS n_rows FROM ({sql})"
+      for name, sql in INCREMENTAL.items()],
+    "SELECT 'categories', count(DISTINCT product_category) FROM r_ev"])}

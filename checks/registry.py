@@ -17,11 +17,12 @@ from basketflow.operators.enrich import (
 from basketflow.operators.keyed import append_ignore, dedup
 from basketflow.operators.validate import allow, check, fk_check, not_null, not_null_if, validate
 from basketflow.plans import dashboards, dds, enrichment, incremental, marts, publish
+from basketflow.plans.pipeline import raw_to_star
 from basketflow.session import scratch_dir
 from basketflow.sources import sinks
 from basketflow.sources.tables import read_table
 from basketflow.streaming import ingest, router
-from checks.fixtures import AS_OF, Raw, Source, Star, batches
+from checks.fixtures import AS_OF, Raw, Source, Star, batches, raw_tables
 from checks.mart_oracles import MARTS
 from checks.message_oracles import MESSAGE_TABLES, ROUTING
 from checks.messages import messages
@@ -29,7 +30,7 @@ from checks.prelude import with_tables
 from checks.publish_oracles import (
     DASHBOARDS, ENRICH_TABLES, ENRICHED, MART_TABLES, PUBLISHED, QUALITY,
 )
-from checks.raw_oracles import DDS, INCREMENTAL, RAW_TABLES, VALIDATION
+from checks.raw_oracles import DDS, INCREMENTAL, RAW_TABLES, RUN_COUNTS, VALIDATION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,7 +204,7 @@ def _merged(table: str) -> Callable[[SparkSession, str], DataFrame]:
 for _name in INCREMENTAL:
     QUERIES[_name] = _merged(_name.removeprefix("inc_"))
 
-ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION, **INCREMENTAL}.items()})
+ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION, **INCREMENTAL, **RUN_COUNTS}.items()})
 
 
 # --- publishing ---------------------------------------------------------------
@@ -295,6 +296,60 @@ def _appended_twice(s: Source) -> DataFrame:
     return s.spark.read.schema(all_.schema).parquet(path)
 
 
+def _run_report(s: Source) -> DataFrame:
+    """The report of a run that loads rows beyond every limit, repeated and unwanted ones."""
+    key, user, base = F.col("event_id"), F.col("user_id"), scratch_dir(s.spark, "report")
+    odd = s.given("events").join(_odd_numbers(s), "event_id").withColumn(
+        "event_date", F.when(key % 13 != 0, F.to_date("ts")))
+    loads = {
+        "daily_business_summary": odd.select(
+            "event_date", "total_revenue", "conversion_rate", "total_orders",
+            (F.col("value") * 150).alias("avg_order_value"), (key % 7 - 1).alias("total_sessions"),
+            (key % 5 - 1).alias("successful_orders")),
+        "product_performance": odd.select(
+            key.alias("product_id"), "event_date", (key % 3 - 1).alias("total_quantity"),
+            (key % 4 - 1).alias("orders_count")),
+        "campaign_performance": odd.select(
+            F.col("event_type").alias("campaign_id"), "roi",
+            F.col("event_date").alias("start_date"), F.col("event_date").alias("end_date")),
+        "session_analytics": odd.select(
+            F.col("event_type").alias("session_id"), "user_id", F.date_trunc("day", "ts").alias("start_time"),
+            F.lit(None).cast("timestamp_ntz").alias("end_time"),
+            F.element_at(F.array(*map(F.lit, ["Rome", "Unknown", "Oslo"])), (user % 3 + 1).cast("int")).alias("city"),
+            F.when(user % 4 != 1, F.when(user % 4 == 2, "Antarctica").otherwise("Italy")).alias("country")),
+    }
+    counts = []
+    for mart, df in loads.items():
+        observed = publish.Observed()
+        publish.load_mart(df, base, mart, observed)
+        counts += [(mart, rule, n) for rule, n in observed.rows()]
+    publish.append_report(s.spark, base, AS_OF, counts)
+    return publish.read_report(s.spark, base).drop("as_of")
+
+
+def _star_report(r: Raw) -> DataFrame:
+    """Rows per star table, as a run over all raw tables has counted them."""
+    base = scratch_dir(r.spark, "star")
+    frames = raw_tables(r.spark, r.sf_dir)
+    raw_to_star(r.spark, lambda table: frames[table](), base)
+    report = publish.read_report(r.spark, base).where("rule = 'rows'")
+    return report.select("table_name", "n_rows")
+
+
+def _reloaded(s: Source) -> DataFrame:
+    """A mart of many months, then its last 30 days replaced; rows of each age."""
+    base, mart = scratch_dir(s.spark, "reload"), "active_users_7d"
+    days = s.given("orders").groupBy(F.to_date("o_orderdate").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("active_users_count"))
+    last = days.agg(F.max("event_date")).first()[0]
+    publish.reload_mart(days, base, mart, last)
+    publish.reload_mart(days.withColumn("new_users", F.lit(1).cast("bigint")), base, mart, last)
+    return sinks.read_mart(s.spark, base, mart).select(*schemas.MART[mart].names)
+
+
+star("q6_run_report", _run_report)
+raw("d17_run_counts", _star_report)
+star("s9_reload_months", _reloaded)
 raw("q0_drop_duplicates", lambda r: r.events().drop("event_id").dropDuplicates())
 star("q7_require_date", lambda s: publish.require_date(
     s.sessions().select("session_id", F.col("start_ts").alias("last_session_date")),

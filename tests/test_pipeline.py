@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow import schemas
+from basketflow.plans import publish
 from basketflow.plans.pipeline import Star, raw_to_star, star_to_marts
 from basketflow.sources import sinks
 from checks.fixtures import AS_OF, Raw
@@ -80,6 +81,24 @@ def test_marts_are_published(spark, runs):
         assert df.count() == n_rows and n_rows > 0, mart
 
 
+def test_the_report_has_what_was_clipped_and_dropped(spark, runs):
+    base, first, second, _, published = runs
+    report = {(r.table_name, r.rule): r.n_rows for r in publish.read_report(spark, f"{base}/marts").collect()}
+    geo = {rule: n for (mart, rule), n in report.items() if mart == "geo_analysis"}
+    assert geo["rows"] - geo["no date"] - geo["country unwanted"] - geo["city unwanted"] == published["geo_analysis"]
+    assert report["session_analytics", "duplicates"] >= 0 and report["daily_business_summary", "total_revenue"] > 0
+    star = publish.read_report(spark, f"{base}/star")
+    assert star.select("as_of").distinct().count() == 2
+    rejected = star.where("table_name = 'order_items' AND rule = 'rejected'").select("n_rows").distinct().collect()
+    assert [r.n_rows for r in rejected] == [first["order_items rejected"]]
+
+
+def test_reload_by_days_gives_the_same_marts(spark, rows, runs):
+    base, *_, published = runs
+    again = star_to_marts(spark, f"{base}/star", f"{base}/marts", AS_OF, reload_days=30)
+    assert again == published
+
+
 def test_empty_raw_tables(spark, tmp_path):
     base = str(tmp_path)
     empty = lambda name: spark.createDataFrame([], schemas.RAW[name])

@@ -69,16 +69,60 @@ def test_mart_is_partitioned_by_month_and_sorted(spark, tmp_path):
         date(2024, 1, 10), date(2024, 1, 20))
 
 
-def test_publish_recent_keeps_older_rows(spark, tmp_path):
-    base, mart = str(tmp_path), "geo_analysis"
-    sinks.publish(geo_rows(spark), base, mart)
-    as_of = date(2024, 2, 29)
-    new = geo_rows(spark).withColumn("total_orders", F.lit(5).cast("bigint"))
-    sinks.publish_recent(new, base, mart, as_of, days=30)
-    by_age = sinks.read_mart(spark, base, mart).groupBy(
-        (F.col("event_date") >= as_of - timedelta(days=30)).alias("recent")).agg(
+def month_files(base, mart):
+    return {os.path.relpath(f, base): (os.path.getmtime(f), os.path.getsize(f))
+            for f in glob.glob(f"{base}/{mart}/snapshot=*/yyyymm=*/*.parquet")}
+
+
+def long_geo_rows(spark, orders=1):
+    """Rows of five months."""
+    return geo_rows(spark).withColumns({
+        "event_date": F.date_add(F.lit(date(2024, 1, 1)), (F.col("total_users") % 150).cast("int")),
+        "total_orders": F.lit(orders).cast("bigint")})
+
+
+def by_age(spark, base, cut):
+    rows = sinks.read_mart(spark, base, "geo_analysis").groupBy((F.col("event_date") >= cut).alias("recent")).agg(
         F.min("total_orders"), F.max("total_orders"), F.count("*")).collect()
-    assert {tuple(r) for r in by_age} == {(False, 1, 1, 145), (True, 5, 5, 155)}
+    return {tuple(r) for r in rows}
+
+
+def test_only_the_touched_months_are_rewritten(spark, tmp_path):
+    base, mart, as_of = str(tmp_path), "geo_analysis", date(2024, 5, 10)
+    sinks.publish(long_geo_rows(spark), base, mart)
+    before = month_files(base, mart)
+    sinks.replace_months(long_geo_rows(spark, 5), base, mart, as_of, days=30)
+    after = month_files(base, mart)
+    cut = as_of - timedelta(days=30)
+    assert by_age(spark, base, cut) == {(False, 1, 1, 200), (True, 5, 5, 100)}
+    old = {f for f in before if "yyyymm=202404" not in f and "yyyymm=202405" not in f}
+    assert old and all(after[f] == before[f] for f in old)
+    assert len(after) == 5 and not os.path.exists(f"{base}/{mart}/_pending")
+    sinks.replace_months(long_geo_rows(spark).limit(0), base, mart, as_of, days=30)
+    assert by_age(spark, base, cut) == {(False, 1, 1, 200)}
+    assert not any("yyyymm=202405" in f for f in month_files(base, mart))
+
+
+def test_an_interrupted_reload_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    base, mart, as_of = str(tmp_path), "geo_analysis", date(2024, 5, 10)
+    sinks.publish(long_geo_rows(spark), base, mart)
+    finish = sinks.finish_months
+    calls = []
+
+    def stop_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        finish(*args)
+
+    monkeypatch.setattr(sinks, "finish_months", stop_second)
+    with pytest.raises(RuntimeError):
+        sinks.replace_months(long_geo_rows(spark, 5), base, mart, as_of)
+    monkeypatch.undo()
+    assert by_age(spark, base, as_of - timedelta(days=30)) == {(False, 1, 1, 200), (True, 1, 1, 100)}
+    sinks.replace_months(long_geo_rows(spark, 7), base, mart, date(2024, 5, 20), days=10)
+    assert by_age(spark, base, date(2024, 5, 10)) == {(False, 1, 5, 260), (True, 7, 7, 40)}
+    finish(spark, base, mart)
 
 
 def test_compact_reduces_files(spark, rows, tmp_path):
