@@ -14,12 +14,13 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions import day, flag, micros_between, round_to_int, safe_ratio
-from basketflow.operators.skew import HOT_ROWS, split_join
+from basketflow.operators.skew import HOT_ROWS, MAX_HOT_KEYS, split_join
 from basketflow.operators.timeline import neighbours, totals_in_span
 
 # The attribution span, the largest line value that counts as revenue.
@@ -273,22 +274,47 @@ def session_analytics(sessions: DataFrame, events: DataFrame, devices: DataFrame
         known("device_type"), known("browser"), known("os"), known("city"), known("country"))
 
 
-def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessions: DataFrame,
-                         orders: DataFrame, fanout_safe: bool = False,
-                         user_days: DataFrame | None = None,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
-    """M7, per campaign: same-day sessions and orders within 14 days of a touch.
+def _touches_on_lines(campaign_events: DataFrame, won: DataFrame, visits: DataFrame) -> DataFrame:
+    """Touches with the running totals of orders around them, their neighbours and same-day sessions.
 
-    As defined, revenue and cost of a touch are repeated for its same-day sessions and,
-    for cost, for its orders.  Orders are counted once per campaign: touches whose 14-day
-    spans overlap form a chain, and the orders of a chain are the running total at its
-    end less the one before its start.
+    Touches, orders and session days of a user lie on one line, so all rows move once, by user; what
+    follows are aggregations and windows inside the user.  ``visits`` may have a day several times.
     """
+    rows = campaign_events.select(
+        "user_id", "campaign_id", F.col("generated_at").alias("at"), F.lit(1).alias("n_touches"), "cost"
+    ).unionByName(won.where("order_ts IS NOT NULL").select(
+        "user_id", F.col("order_ts").alias("at"),
+        F.when(F.col("order_id").isNotNull(), 1).otherwise(0).alias("n"), _cents("total_usd").alias("amount")),
+        allowMissingColumns=True,
+    ).unionByName(visits.where("event_date IS NOT NULL").select(
+        "user_id", F.col("event_date").cast("timestamp_ntz").alias("at"), "n_sessions"), allowMissingColumns=True)
+    sums = ["n_touches", "cost", "n", "amount", "n_sessions"]
+    line = rows.where("user_id IS NOT NULL").repartition("user_id").groupBy("user_id", "campaign_id", "at").agg(
+        *[F.sum(c).alias(c) for c in sums])
+
+    def total(v: str, end: str) -> Column:
+        frame = f"ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND {end}"
+        return F.coalesce(F.expr(f"sum({v}) OVER (PARTITION BY user_id {frame})"), F.lit(0))
+
+    touches = Window.partitionBy("user_id", "campaign_id").orderBy("at")
+    span, before, after = F.expr(ATTRIBUTION), F.lag("at").over(touches), F.lead("at").over(touches)
+    return line.withColumns({
+        **{f"lo_{v}": total(v, "INTERVAL 1 MICROSECOND PRECEDING") for v in ("n", "amount")},
+        **{f"hi_{v}": total(v, f"{ATTRIBUTION} FOLLOWING") for v in ("n", "amount")},
+    }).withColumns({
+        "starts": before.isNull() | (F.col("at") > before + span),
+        "ends": after.isNull() | (after > F.col("at") + span),
+        "touch_day": day("at"),
+    }).withColumn("n_sessions", F.sum("n_sessions").over(Window.partitionBy("user_id", "touch_day"))).where(
+        "campaign_id IS NOT NULL").drop("n", "amount").withColumnRenamed("at", "generated_at")
+
+
+def _touches_in_hours(campaign_events: DataFrame, won: DataFrame, visits: DataFrame, hot_rows: int) -> DataFrame:
+    """The same for users with very many rows: their lines are cut into hours."""
     who_when = ["campaign_id", "user_id", "generated_at"]
-    campaign_events = campaign_events.where(F.col("campaign_id").isNotNull())
     touches = campaign_events.groupBy(*who_when).agg(
         F.count(F.lit(1)).alias("n_touches"), F.sum("cost").alias("cost"))
-    sales = (_successful_orders(orders).where("order_ts IS NOT NULL AND user_id IS NOT NULL")
+    sales = (won.where("order_ts IS NOT NULL AND user_id IS NOT NULL")
              .groupBy("user_id", F.col("order_ts").alias("generated_at"))
              .agg(F.count("order_id").alias("n"),
                   F.sum(_cents("total_usd")).alias("amount")))
@@ -304,14 +330,42 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
         placed, sales, "user_id", "generated_at", who_when, span, ["n", "amount"], times
     ).unionByName(touches.where("user_id IS NULL OR generated_at IS NULL"),
                   allowMissingColumns=True)
-    visits = session_days(sessions) if user_days is None else user_days
     visits = (visits.where("event_date IS NOT NULL AND user_id IS NOT NULL")
-              .withColumnRenamed("event_date", "touch_day"))
+              .groupBy("user_id", F.col("event_date").alias("touch_day")).agg(F.sum("n_sessions").alias("n_sessions")))
     touch_day = day("generated_at").alias("touch_day")
-    measured = split_join(
+    return split_join(
         measured.withColumn("touch_day", touch_day), visits, ["user_id", "touch_day"], "left",
         ["campaign_id", "generated_at"], hot_rows, counted=campaign_events.select("user_id", touch_day))
 
+
+def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessions: DataFrame,
+                         orders: DataFrame, fanout_safe: bool = False,
+                         user_days: DataFrame | None = None,
+                         hot_rows: int = HOT_ROWS) -> DataFrame:
+    """M7, per campaign: same-day sessions and orders within 14 days of a touch.
+
+    As defined, revenue and cost of a touch are repeated for its same-day sessions and,
+    for cost, for its orders.  Orders are counted once per campaign: touches whose 14-day
+    spans overlap form a chain, and the orders of a chain are the running total at its
+    end less the one before its start.
+    """
+    campaign_events = campaign_events.where(F.col("campaign_id").isNotNull())
+    nobody = campaign_events.where("user_id IS NULL")
+    facts = (campaign_events.where("user_id IS NOT NULL"), _successful_orders(orders), user_days if user_days is not None
+             else sessions.select("user_id", day("start_ts").alias("event_date"),
+                                  F.col("session_id").isNotNull().cast("bigint").alias("n_sessions")))
+    # Users with so many rows that one task should not sort them; at most MAX_HOT_KEYS.
+    rows = reduce(DataFrame.unionByName, [f.select("user_id") for f in facts[:2]])
+    busy = (rows.where("user_id IS NOT NULL").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > hot_rows).orderBy(F.col("n").desc(), "user_id").limit(MAX_HOT_KEYS).select("user_id"))
+    found = busy.collect()
+    if found:
+        hot = F.broadcast(campaigns.sparkSession.createDataFrame(found, busy.schema))
+        others, theirs = ([f.join(hot, "user_id", how) for f in facts] for how in ("left_anti", "left_semi"))
+        measured = _touches_on_lines(*others).unionByName(_touches_in_hours(*theirs, hot_rows))
+    else:
+        measured = _touches_on_lines(*facts)
+
     def per_chain(v: str) -> Column:
         return (F.when(F.col("ends"), F.col(f"hi_{v}")).otherwise(0)
                 - F.when(F.col("starts"), F.col(f"lo_{v}")).otherwise(0))
@@ -335,6 +389,10 @@ def campaign_performance(campaigns: DataFrame, campaign_events: DataFrame, sessi
         F.min("touch_day").alias("start_date"), F.max("touch_day").alias("end_date"),
         F.sum("n_sessions").alias("n_sessions"), F.sum("n_orders").alias("n_orders"),
         F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
+    touch_day = day("generated_at")
+    per_user = per_user.unionByName(nobody.select(
+        "campaign_id", "user_id", touch_day.alias("start_date"), touch_day.alias("end_date"),
+        F.lit(0).alias("n_sessions"), F.lit(0).alias("n_orders"), "cost"), allowMissingColumns=True)
     facts = per_user.groupBy("campaign_id").agg(
         F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"),
         F.sum("n_sessions").alias("total_sessions"),

@@ -52,3 +52,9 @@ def test_large_tables_are_never_sorted_in_one_task(plans):
         if "Exchange SinglePartition" in plan and "Window" in plan and name[0] in "mdv":
             single = plan[plan.index("Exchange SinglePartition"):].splitlines()[1]
             assert "Aggregate" in single, name
+
+
+def test_campaign_rows_move_once_by_user(plans):
+    for name in ("m7_campaign_performance", "m7_campaign_performance_safe"):
+        assert plans[name].count("Exchange hashpartitioning(user_id") == 1, name
+        assert plans[name].count("Exchange hashpartitioning") <= 3, name
