@@ -458,3 +458,10 @@ RUN_COUNTS = {"d17_run_counts": " UNION ALL ".join([
     *[f"SELECT '{name.removeprefix('inc_')}' AS table_name, count(*) AS n_rows FROM ({sql})"
       for name, sql in INCREMENTAL.items()],
     "SELECT 'categories', count(DISTINCT product_category) FROM r_ev"])}
+
+LIVE = {
+    "live_v3_unique": 'SELECT user_id, event_type, "timestamp" FROM unique_ev',
+    "live_m7_pairs": """
+        SELECT campaign_event_id, campaign_id, order_id FROM camp_ev JOIN ord USING (user_id)
+        WHERE status = 'success' AND order_ts - generated_at BETWEEN INTERVAL 0 DAY AND INTERVAL 14 DAY""",
+}

@@ -21,7 +21,7 @@ from basketflow.plans.pipeline import raw_to_star
 from basketflow.session import scratch_dir
 from basketflow.sources import sinks
 from basketflow.sources.tables import read_table
-from basketflow.streaming import ingest, router
+from basketflow.streaming import ingest, live, router
 from checks.fixtures import AS_OF, Raw, Source, Star, batches, raw_tables
 from checks.mart_oracles import MARTS
 from checks.message_oracles import MESSAGE_TABLES, ROUTING
@@ -30,7 +30,7 @@ from checks.prelude import with_tables
 from checks.publish_oracles import (
     DASHBOARDS, ENRICH_TABLES, ENRICHED, MART_TABLES, PUBLISHED, QUALITY,
 )
-from checks.raw_oracles import DDS, INCREMENTAL, RAW_TABLES, RUN_COUNTS, VALIDATION
+from checks.raw_oracles import DDS, INCREMENTAL, LIVE, RAW_TABLES, RUN_COUNTS, VALIDATION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,7 +204,7 @@ def _merged(table: str) -> Callable[[SparkSession, str], DataFrame]:
 for _name in INCREMENTAL:
     QUERIES[_name] = _merged(_name.removeprefix("inc_"))
 
-ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION, **INCREMENTAL, **RUN_COUNTS}.items()})
+ORACLES.update({name: with_tables(sql, RAW_TABLES) for name, sql in {**DDS, **VALIDATION, **INCREMENTAL, **RUN_COUNTS, **LIVE}.items()})
 
 
 # --- publishing ---------------------------------------------------------------
@@ -507,6 +507,25 @@ routed("t8_quarantine", lambda wide: router.table_of(wide, router.QUARANTINE).gr
 QUERIES["t1_route_stream"] = lambda spark, sf_dir: router.route_counts(
     ingest.read_landed(spark, _landed(spark, sf_dir)))
 QUERIES["t7_stream_events"] = _stream_events
+
+
+def _live(spark: SparkSession, rows: Callable[[Callable[[str, DataFrame], DataFrame]], DataFrame]) -> DataFrame:
+    """Drain a stream made of written tables; ``rows`` gets a function that writes a table and streams it."""
+    base = scratch_dir(spark, "live")
+
+    def streamed(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.readStream.schema(df.schema).parquet(f"{base}/{name}")
+
+    live.start_append(rows(streamed), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+raw("live_v3_unique", lambda r: _live(r.spark, lambda streamed: live.unique_events(
+    streamed("events", _valid_events(r)))).select(*live.EVENT_KEY))
+star("live_m7_pairs", lambda s: _live(s.spark, lambda streamed: live.attributed_orders(
+    streamed("touches", s.campaign_events()), streamed("orders", s.orders())))
+     .select("campaign_event_id", "campaign_id", "order_id"))
 raw("t9_append_ignore", lambda r: append_ignore(
     r.given("customer").where("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").cast("string").alias("user_id")),
