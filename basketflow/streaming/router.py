@@ -73,14 +73,31 @@ def _typed(c: Column, kind: T.DataType) -> Column:
 
 
 def _one_object(value: Column) -> Column:
-    """Whether the text is one JSON object and nothing else but white space.
+    """Whether the text, which ``from_json`` could read, is one JSON object and nothing else but white space.
 
-    ``from_json`` reads the first value only.  What may follow it inside an array and what may
-    follow it inside an object differ, so with both wrappers nothing can.
+    ``from_json`` reads the first value only.  In a text whose first closing brace is its end, that
+    is the whole text.  Other texts are parsed again: what may follow the value inside an array and
+    what may follow it inside an object differ, so with both wrappers nothing can.
     """
+    flat = value.startswith("{") & ~value.contains("[") & (F.instr(value, "}") == F.length(value))
     alone = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
     inside = F.size(F.json_object_keys(F.concat(F.lit('{"a":'), value, F.lit("}")))) == 1
-    return F.coalesce(value.rlike(r"^\s*\{") & alone & inside, F.lit(False))
+    parsed_again = value.rlike(r"^\s*\{") & alone & inside
+    return F.coalesce(flat | parsed_again, F.lit(False))
+
+
+def _complaints(table: str) -> list[Column]:
+    """What is wrong with a message of the table, NULL where nothing is; the first counts."""
+    found = []
+    for name, (kind, tables) in WIDE.items():
+        if table in tables and not isinstance(kind, T.StringType):
+            found.append(F.when(F.col(name).isNotNull() & _typed(F.col(name), kind).isNull(),
+                                F.lit(f"{name}: not a {kind.simpleString()}")))
+    for name in REQUIRED.get(table, []):
+        found.append(F.when(F.col(name).isNull(), F.lit(f"{name}: missing")))
+    if table == "order_status_events":
+        found.append(F.when(~F.col("status").isin(schemas.ORDER_STATUSES), F.lit("status: unknown")))
+    return found
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -89,7 +106,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     A message that is no JSON object, has a value its column cannot hold or lacks a
     required one goes to the quarantine, with the reason and its text.
     """
-    parsed = F.from_json("value", _TEXT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
+    # JSON has no NaN and no infinities, and the texts that are parsed again may not have them
+    parsed = F.from_json("value", _TEXT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
     # inline keeps the parse in one place; a plain projection would be copied, parse and
     # all, into every filter pushed below it.
     read = messages.select("value", F.inline(F.array(parsed)))
@@ -100,27 +118,22 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     read = read.withColumn("_table", table).withColumn(
         "event_type", F.when(kind_of.isin(LIFECYCLE), kind_of).otherwise(F.col("event_type")))
 
+    # A message meets the checks of its own table only.
+    complaint = F.lit(None).cast("string")
+    for name in schemas.RAW:
+        if here := _complaints(name):
+            complaint = F.when(F.col("_table") == name, F.coalesce(*here)).otherwise(complaint)
     broken = F.col("_corrupt").isNotNull() | ~_one_object(F.col("value"))
-    reasons, columns = [F.when(broken, F.lit("not a JSON object"))], []
-    for name, (kind, tables) in WIDE.items():
-        here = F.col("_table").isin(tables)
-        value = _typed(F.col(name), kind)
-        columns.append(F.when(here, value).alias(name))
-        if not isinstance(kind, T.StringType):
-            reasons.append(F.when(here & F.col(name).isNotNull() & value.isNull(),
-                                  F.lit(f"{name}: not a {kind.simpleString()}")))
-    for name, needed in REQUIRED.items():
-        for column in needed:
-            reasons.append(F.when((F.col("_table") == name) & F.col(column).isNull(),
-                                  F.lit(f"{column}: missing")))
-    reasons.append(F.when((F.col("_table") == "order_status_events")
-                          & ~F.col("status").isin(schemas.ORDER_STATUSES), F.lit("status: unknown")))
-    marked = read.select("value", "_table", *columns, F.coalesce(*reasons).alias("reason"))
-    bad = F.col("reason").isNotNull()
-    return marked.select(
-        F.when(bad, F.lit(QUARANTINE)).otherwise(F.col("_table")).alias("route"),
-        *[F.when(~bad, F.col(name)).alias(name) for name in WIDE],
-        F.when(bad, F.col("value")).alias("value"), "reason")
+    reason = F.when(broken, F.lit("not a JSON object")).otherwise(complaint)
+    # Again in one place each: a filter on the route repeats no check, and the code of a row stays in
+    # methods that the JVM compiles (beyond 8000 bytes it interprets them).
+    marked = read.select("*", F.inline(F.array(F.struct(reason.alias("reason")))))
+    target = F.when(F.col("reason").isNull(), F.col("_table")).otherwise(F.lit(QUARANTINE))
+    routed = marked.select("*", F.inline(F.array(F.struct(target.alias("route")))))
+    return routed.select(
+        "route", *[F.when(F.col("route").isin(tables), _typed(F.col(name), kind)).alias(name)
+                   for name, (kind, tables) in WIDE.items()],
+        F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason")
 
 
 def fail_on_bad(wide: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from basketflow import schemas
@@ -145,3 +146,26 @@ def test_kafka_source_needs_its_connector(spark):
         ingest.read_events_stream(spark, "user_events", kafka__bootstrap__servers="localhost:1")
     with pytest.raises(ValueError):
         ingest.read_events_stream(spark, "x", "csv")
+
+
+def test_code_of_a_row_is_compiled_and_checks_are_not_repeated(spark):
+    def method_sizes(df):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))]
+
+    wide = router.parse_messages(frame(spark, map(json.dumps, MESSAGES)))
+    for df in [wide, *(router.table_of(wide, t) for t in [*schemas.RAW, router.QUARANTINE])]:
+        # the JVM interprets methods beyond 8000 bytes
+        assert (sizes := method_sizes(df)) and max(sizes) < 8000
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("not a JSON object") == 1
+
+
+def test_flat_and_nested_texts_are_told_apart_alike(spark):
+    order = '{"type": "order", "order_id": "%s"%s}'
+    good = [order % ("a", ""), order % ("a}b", ""), order % ("a", ', "x": {"y": [1]}'), order % ("a", ', "x": [{}]'), order % ("é😀", "")]
+    bad = [t + tail for t in good for tail in ("}", "]", "{}", ' "}', "x")] + [order % ("a", f', "x": {n}') for n in ("NaN", "-Infinity", "01")]
+    tables = router.route(frame(spark, [*good, *bad]))
+    assert tables["orders"].count() == len(good)
+    assert sorted(r.value for r in tables["quarantine"].collect()) == sorted(bad)
+    assert {r.reason for r in tables["quarantine"].collect()} == {"not a JSON object"}
