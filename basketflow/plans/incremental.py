@@ -218,6 +218,10 @@ class Store:
         row = sinks.read_snapshot(self.spark, f"{self.base}/_consumed", T.StructType.fromDDL(self._CONSUMED)).first()
         return (row["upto"], row["sessionless"]) if row else (-1, False)
 
+    def holds(self, table: str) -> bool:
+        """Whether a run has written the state of a table."""
+        return self._exists(f"{self.base}/{table}")
+
     def state(self, table: str, schema: T.StructType | None = None, only: list[int] | None = None) -> DataFrame:
         """The state rows of a table, of some buckets only if these are named."""
         path = f"{self.base}/{table}"
@@ -261,8 +265,7 @@ class Store:
         """Replace the buckets that the complete pending folder holds; may be repeated."""
         for table in STATES:
             if self._exists(f"{pending}/{table}"):
-                (self.spark.read.parquet(f"{pending}/{table}").write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.base}/{table}"))
+                sinks.move_partitions(self.spark, f"{pending}/{table}", f"{self.base}/{table}")
         done = self.spark.read.schema(self._CONSUMED).parquet(f"{pending}/_consumed")
         if self.consumed()[0] < done.first()["upto"]:
             sinks.write_snapshot(done, f"{self.base}/_consumed")
@@ -324,7 +327,7 @@ def merge_batches(spark: SparkSession, read: ReadBatches, base: str, upto: int,
         delta = delta.groupBy(*how.keys).agg(*combined).withColumn("bucket", store.bucket(how.bucket))
         schema = delta.schema if how.parent is None else T.StructType([*delta.schema.fields, T.StructField("known", T.BooleanType())])
         schemas_of[table] = schema
-        delta.write.parquet(f"{pending}/_delta/{table}")
+        delta.write.option("compression", "zstd").parquet(f"{pending}/_delta/{table}")
         delta = spark.read.schema(delta.schema).parquet(f"{pending}/_delta/{table}")
         touched = _numbers(delta)
         if how.parent:
@@ -339,7 +342,9 @@ def merge_batches(spark: SparkSession, read: ReadBatches, base: str, upto: int,
                 touched |= _numbers(waiting.join(came, "key", "left_semi"))
         only = touched_of[table] = sorted(touched)
         old = store.state(table, schema, only)
-        merged = old.drop("known").unionByName(delta).groupBy("bucket", *how.keys).agg(*combined)
+        first = not store.holds(table)
+        # the first delta has a row per key already
+        merged = delta if first else old.drop("known").unionByName(delta).groupBy("bucket", *how.keys).agg(*combined)
         if how.parent:
             parent, column = how.parent
             ids = now(parent, schemas_of[parent])
@@ -351,16 +356,19 @@ def merge_batches(spark: SparkSession, read: ReadBatches, base: str, upto: int,
         today = spark.createDataFrame([], schema)
         if only:
             # few files for a bucket, many for one that a hot key fills
-            merged.select(*schema.names).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{pending}/{table}")
+            merged.select(*schema.names).hint("rebalance", "bucket").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{pending}/{table}")
             today = spark.read.schema(schema).parquet(f"{pending}/{table}")
         if table in ("users", "orders"):
             before = old
             if table == "orders":
                 before, today = _order_rows(before), _order_rows(today)
             id_ = how.keys[0]
-            both = before.select("bucket", F.col(id_).alias("key")).unionByName(today.select("bucket", F.col(id_).alias("key")))
-            # a key that is there before and after occurs twice
-            both.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("bucket", "key").write.parquet(f"{pending}/_new/{table}")
+            fresh = today.select("bucket", F.col(id_).alias("key"))
+            if not first:
+                both = before.select("bucket", F.col(id_).alias("key")).unionByName(fresh)
+                # a key that is there before and after occurs twice
+                fresh = both.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("bucket", "key")
+            fresh.write.parquet(f"{pending}/_new/{table}")
             changed[table] = _numbers(spark.read.parquet(f"{pending}/_new/{table}"))
         if (bad := refused(table, raw)) is not None:
             bad.write.mode("overwrite").parquet(f"{store.base}/_refused/table={table}/upto={upto}")

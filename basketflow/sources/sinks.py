@@ -80,6 +80,23 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def move_partitions(spark: SparkSession, source: str, target: str) -> None:
+    """Put the partition folders of ``source`` in place of those in ``target``; may be repeated.
+
+    Folders are renamed, no row is read or written.  A folder leaves ``source`` only when it is in place.
+    """
+    fs, origin = _path(spark, source)
+    _, goal = _path(spark, target)
+    fs.mkdirs(goal)
+    for status in fs.listStatus(origin):
+        if status.isDirectory():
+            name = status.getPath().getName()
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(goal, name)
+            fs.delete(place, True)
+            if not fs.rename(status.getPath(), place):
+                raise OSError(f"could not move {status.getPath()} to {place}")
+
+
 def commit_snapshot(spark: SparkSession, path: str) -> None:
     fs, target = _path(spark, f"{path}/_SUCCESS")
     fs.create(target).close()

@@ -1,5 +1,7 @@
 """Batches joined into bucketed states: any cut gives the tables of one run over all rows."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from basketflow import schemas
 from basketflow.plans import incremental
 from basketflow.plans.incremental import STATES, Store, merge_batches
 from basketflow.plans.pipeline import Star, raw_to_star
+from basketflow.sources import sinks
 from checks.fixtures import batches, raw_tables
 from basketflow.streaming.router import SERIAL
 
@@ -139,3 +142,37 @@ def test_committed_batch(spark, tmp_path):
 
 def test_serials_of_all_raw_tables():
     assert set(SERIAL) >= set(schemas.RAW)
+
+
+def test_new_buckets_are_moved_and_not_rewritten(spark, tmp_path):
+    def files(path):
+        return {f"{p.parent.name}/{p.name}" for p in path.rglob("*.parquet")}
+
+    source, target = tmp_path / "new", tmp_path / "state"
+    spark.range(6).selectExpr("id", "id % 3 AS bucket").write.partitionBy("bucket").parquet(str(target))
+    spark.range(10, 14).selectExpr("id", "id % 2 + 1 AS bucket").write.partitionBy("bucket").parquet(str(source))
+    moved = files(source)
+    kept = {f for f in files(target) if f.startswith("bucket=0/")}
+    for _ in range(2):
+        sinks.move_partitions(spark, str(source), str(target))
+        assert files(target) == kept | moved
+        rows = {(r.id, r.bucket) for r in spark.read.parquet(str(target)).collect()}
+        assert rows == {(0, 0), (3, 0), (10, 1), (12, 1), (11, 2), (13, 2)}
+
+
+def test_a_first_run_keeps_a_row_per_key_and_moves_it(spark, tmp_path, monkeypatch):
+    moved = []
+    real = sinks.move_partitions
+    monkeypatch.setattr(sinks, "move_partitions", lambda s, source, target: (moved.append(source), real(s, source, target)))
+    frames = {"order_items": spark.createDataFrame(
+        [(1, "o1", 5, 2, Decimal("1.00")), (2, "o1", 5, 3, Decimal("2.00"))],
+        "raw_order_item_id bigint, order_id string, product_id int, quantity int, price_usd decimal(18,2)")}
+
+    def read(table, after, upto):
+        return frames[table] if table in frames else spark.createDataFrame([], schemas.RAW[table])
+
+    base = str(tmp_path / "store")
+    incremental.merge_batches(spark, read, base, 0, buckets=2, tables=["order_items"])
+    row = spark.read.parquet(f"{base}/order_items").first()
+    assert (row["order_item_id"], row["last"]["quantity"], row["known"]) == (1, 3, False)
+    assert [p.rsplit("/", 1)[1] for p in moved] == ["order_items"]
