@@ -69,6 +69,8 @@ def append_raw(base: str, on_bad: str = "quarantine", then: Callable[[int], None
     ``then`` is called with the number of each landed batch, again if the batch runs again.
     """
     def land(batch: DataFrame, batch_id: int) -> None:
+        # A file per route is open at a time in each task, so wide rows need not be sorted by route first.
+        batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", len(schemas.RAW) + 1)
         wide = parse_messages(batch)
         if on_bad == "fail":
             wide = fail_on_bad(wide)

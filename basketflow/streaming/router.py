@@ -7,6 +7,9 @@ share its name, so the wide row serves all of them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,9 +54,8 @@ def _wide_fields() -> dict[str, tuple[T.DataType, list[str]]]:
 
 
 WIDE = _wide_fields()
-_TEXT_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ["type", *WIDE]]
-    + [T.StructField("_corrupt", T.StringType())])
+# JSON has no NaN and no infinities, and the texts that are parsed again may not have them
+_JSON = {"allowNonNumericNumbers": "false"}
 
 WIDE_SCHEMA = T.StructType(
     [T.StructField(name, kind) for name, (kind, _) in WIDE.items()]
@@ -72,6 +74,20 @@ def _typed(c: Column, kind: T.DataType) -> Column:
     return c.try_cast(kind)
 
 
+def _text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def _unreadable(value: Column, fields: list[Column]) -> Column:
+    """Whether ``from_json`` could not read the text.
+
+    All fields of such a text are NULL, so only texts without any known field are read again, now with the
+    column for corrupt records; that column costs a look-up for every field of every message.
+    """
+    again = F.from_json(value, _text_schema(["type", "_corrupt"]), {**_JSON, "columnNameOfCorruptRecord": "_corrupt"})
+    return F.when(F.coalesce(*fields).isNull(), value.isNull() | again["_corrupt"].isNotNull()).otherwise(F.lit(False))
+
+
 def _one_object(value: Column) -> Column:
     """Whether the text, which ``from_json`` could read, is one JSON object and nothing else but white space.
 
@@ -79,7 +95,9 @@ def _one_object(value: Column) -> Column:
     is the whole text.  Other texts are parsed again: what may follow the value inside an array and
     what may follow it inside an object differ, so with both wrappers nothing can.
     """
-    flat = value.startswith("{") & ~value.contains("[") & (F.instr(value, "}") == F.length(value))
+    # in bytes: counting the characters of a text costs more than copying it
+    ends = F.octet_length(F.substring_index(value, "}", 1)) + 1 == F.octet_length(value)
+    flat = value.startswith("{") & ~value.contains("[") & ends
     alone = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
     inside = F.size(F.json_object_keys(F.concat(F.lit('{"a":'), value, F.lit("}")))) == 1
     parsed_again = value.rlike(r"^\s*\{") & alone & inside
@@ -100,40 +118,77 @@ def _complaints(table: str) -> list[Column]:
     return found
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
+def _needed(table: str | None) -> list[str]:
+    """The fields that decide about the rows of one table, or of all."""
+    if table is None:
+        return list(WIDE)
+    if table != QUARANTINE:
+        return [f.name for f in message_fields(table)]
+    checked = {"status"} | {name for names in REQUIRED.values() for name in names}
+    return [name for name, (kind, _) in WIDE.items() if name in checked or not isinstance(kind, T.StringType)]
+
+
+def _may_be_of(value: Column, table: str) -> Column:
+    """False only for texts that cannot be a message of the table.
+
+    Its messages name their type, letter by letter unless a backslash escapes something.
+    """
+    named = [value.contains(message_type) for message_type, name in ROUTES.items() if name == table]
+    return reduce(or_, named, value.contains("\\"))
+
+
+def parse_messages(messages: DataFrame, only: str | None = None) -> DataFrame:
     """``value`` (JSON text) to wide rows with ``route``, ``reason`` and ``value``.
 
     A message that is no JSON object, has a value its column cannot hold or lacks a
     required one goes to the quarantine, with the reason and its text.
+
+    ``only`` names the one table (or the quarantine) that is wanted: all its rows are there, its columns
+    alone are read from the messages, and rows of other tables may be missing.
     """
-    # JSON has no NaN and no infinities, and the texts that are parsed again may not have them
-    parsed = F.from_json("value", _TEXT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
-    # inline keeps the parse in one place; a plain projection would be copied, parse and
-    # all, into every filter pushed below it.
-    read = messages.select("value", F.inline(F.array(parsed)))
+    value = F.col("value")
+    if only is not None and only not in (EVENTS, QUARANTINE):
+        # inline, here and below, keeps what it makes in one place; what a plain projection makes
+        # would be made again in every filter pushed below it.
+        messages = messages.select(F.inline(F.array(F.struct("value")))).where(_may_be_of(value, only))
+    names = _needed(only)
+    parsed = F.from_json("value", _text_schema(["type", *names]), _JSON)
+    # apart, as an expression with from_json keeps all that is computed with it from being compiled
+    lost = _unreadable(value, [F.col(f"_read.{name}") for name in ["type", *names]])
+    read = messages.select("value", parsed.alias("_read")).select("value", "_read.*", lost.alias("_lost"))
     kind_of = F.coalesce("type", F.lit("event"))
-    table = F.lit(EVENTS)
+    # Tables by number: a row's table is compared once for each column, and numbers compare faster.
+    numbers = {name: i for i, name in enumerate([*schemas.RAW, QUARANTINE])}
+    table = F.lit(numbers[EVENTS])
     for message_type, name in ROUTES.items():
-        table = F.when(kind_of == message_type, F.lit(name)).otherwise(table)
-    read = read.withColumn("_table", table).withColumn(
-        "event_type", F.when(kind_of.isin(LIFECYCLE), kind_of).otherwise(F.col("event_type")))
+        table = F.when(kind_of == message_type, F.lit(numbers[name])).otherwise(table)
+    placed = F.when(F.col("_lost") | ~_one_object(value), F.lit(numbers[QUARANTINE])).otherwise(table)
+    read = read.select("*", F.inline(F.array(F.struct(placed.alias("_table")))))
 
     # A message meets the checks of its own table only.
     complaint = F.lit(None).cast("string")
     for name in schemas.RAW:
-        if here := _complaints(name):
-            complaint = F.when(F.col("_table") == name, F.coalesce(*here)).otherwise(complaint)
-    broken = F.col("_corrupt").isNotNull() | ~_one_object(F.col("value"))
-    reason = F.when(broken, F.lit("not a JSON object")).otherwise(complaint)
+        if (only in (None, QUARANTINE, name)) and (here := _complaints(name)):
+            complaint = F.when(F.col("_table") == numbers[name], F.coalesce(*here)).otherwise(complaint)
+    reason = F.when(F.col("_table") == numbers[QUARANTINE], F.lit("not a JSON object")).otherwise(complaint)
     # Again in one place each: a filter on the route repeats no check, and the code of a row stays in
     # methods that the JVM compiles (beyond 8000 bytes it interprets them).
     marked = read.select("*", F.inline(F.array(F.struct(reason.alias("reason")))))
-    target = F.when(F.col("reason").isNull(), F.col("_table")).otherwise(F.lit(QUARANTINE))
-    routed = marked.select("*", F.inline(F.array(F.struct(target.alias("route")))))
+    target = F.when(F.col("reason").isNull(), F.col("_table")).otherwise(F.lit(numbers[QUARANTINE]))
+    title = F.element_at(F.array(*map(F.lit, numbers)), F.col("_route") + 1)
+    routed = marked.select("*", F.inline(F.array(F.struct(target.alias("_route")))))
+
+    def column(name: str, kind: T.DataType, tables: list[str]) -> Column:
+        if name not in names:
+            return F.lit(None).cast(kind)
+        text = F.col(name)
+        if name == "event_type":
+            text = F.when(kind_of.isin(LIFECYCLE), kind_of).otherwise(text)
+        return F.when(F.col("_route").isin([numbers[t] for t in tables]), _typed(text, kind))
+
     return routed.select(
-        "route", *[F.when(F.col("route").isin(tables), _typed(F.col(name), kind)).alias(name)
-                   for name, (kind, tables) in WIDE.items()],
-        F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "reason")
+        title.alias("route"), *[column(name, kind, tables).alias(name) for name, (kind, tables) in WIDE.items()],
+        F.when(F.col("reason").isNotNull(), value).alias("value"), "reason")
 
 
 def fail_on_bad(wide: DataFrame) -> DataFrame:

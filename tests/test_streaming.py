@@ -169,3 +169,38 @@ def test_flat_and_nested_texts_are_told_apart_alike(spark):
     assert tables["orders"].count() == len(good)
     assert sorted(r.value for r in tables["quarantine"].collect()) == sorted(bad)
     assert {r.reason for r in tables["quarantine"].collect()} == {"not a JSON object"}
+
+
+def test_one_table_alone_has_the_rows_it_has_among_all(spark, rows):
+    """Types may be escaped, keys may come twice, texts may be broken or hold no known field."""
+    odd = ['{"type": "or\\u0064er", "order_id": "o9", "user_id": 3}', '{"type": "view", "search_text": "order"}',
+           '{"type": "order", "order_id": "o8", "order_id": null, "total_usd": 1e400}', '{"type": "event", "type": "order"}',
+           "{}", '{"other": 1}', '{"other": "a\nb"}', '{"other": 1', "{'type': 'order', 'user_id': '5'}", '{"lat": NaN}',
+           '{"order_status": 1, "type": "order_status", "order_id": "a", "status": "success"} x', "﻿{}"]
+    given = frame(spark, [*map(json.dumps, MESSAGES), *BAD, *odd, None])
+    wide = router.parse_messages(given)
+    for table in [*schemas.RAW, router.QUARANTINE]:
+        alone = router.table_of(router.parse_messages(given, only=table), table)
+        assert rows(alone) == rows(router.table_of(wide, table)), table
+    reasons = {r.value: r.reason for r in router.table_of(wide, router.QUARANTINE).collect()}
+    assert reasons["{}"] == reasons['{"other": 1}'] == "timestamp: missing"
+    for text in ('{"other": "a\nb"}', '{"other": 1', '{"lat": NaN}', "﻿{}", None):
+        assert reasons[text] == "not a JSON object", text
+
+
+def test_messages_of_other_tables_are_not_parsed(spark):
+    """A cheap filter lies below the parser, which reads the table's own fields only."""
+    plan = router.table_of(router.parse_messages(frame(spark, ["{}"]), only="orders"), "orders")
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("order_ts,StringType") < plan.rindex("Contains(value#")
+    assert "StructField(birth_date" not in plan and "StructField(order_ts,StringType,true), StructField(_corrupt" not in plan
+
+
+def test_landing_keeps_a_file_per_route_open(spark, tmp_path):
+    """With as many writers as routes, a task need not sort its rows."""
+    ingest.append_raw(str(tmp_path / "raw"))(frame(spark, map(json.dumps, MESSAGES)), 0)
+    try:
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == len(schemas.RAW) + 1
+        assert ingest.read_landed(spark, str(tmp_path / "raw")).count() == len(MESSAGES)
+    finally:
+        spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
