@@ -255,8 +255,14 @@ def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions:
     has = F.coalesce(body.rlike(MENTION), F.lit(False))
     row_key = F.sha2(body, 256)
     own_key, new_of = unused("text_key", docs.columns), unused("new_of", docs.columns)
-    some = docs.where(has)
-    found = some.select(row_key.alias("key"), F.explode(F.array_distinct(mentions(body))).alias("raw")).distinct()
+    hits_of = unused("hits_of", docs.columns)
+    # Rows with candidates are written once with all they are read for, so that the patterns, which are nearly the
+    # whole cost, meet every text twice only: here and where the rows without candidates are passed on.
+    empty = [c for c, kind in docs.dtypes if kind == "void"]  # not a type of Parquet
+    (docs.where(has).select(*[F.col(c) for c in names if c not in empty], row_key.alias(own_key), mentions(body).alias(hits_of))
+     .write.parquet(f"{root}/some"))
+    some = spark.read.parquet(f"{root}/some")
+    found = some.select(F.col(own_key).alias("key"), F.explode(F.array_distinct(hits_of)).alias("raw")).distinct()
     found.write.parquet(f"{root}/found")
     found = spark.read.parquet(f"{root}/found")
     _parsed(found.select("raw").distinct()).write.parquet(f"{root}/parsed")
@@ -271,11 +277,11 @@ def replace_mentions(docs: DataFrame, key: str, text: str = "text", n_mentions:
     # written, so that the join has no aggregation in its stage and can split a frequent text
     maps.write.parquet(f"{root}/maps")
     maps = spark.read.parquet(f"{root}/maps").withColumnRenamed("key", own_key)
-    joined = some.withColumn(own_key, row_key).join(maps, own_key, "left")
-    pieces, hits = F.split(F.col(text), MENTION, -1), mentions(F.col(text))
+    joined = some.join(maps, own_key, "left")
+    pieces, hits = F.split(F.col(text), MENTION, -1), F.col(hits_of)
     filled = F.array_join(F.zip_with(pieces, F.transform(hits, lambda m: F.coalesce(F.element_at(F.col(new_of), m), m)),
                                      lambda piece, m: F.concat(piece, F.coalesce(m, F.lit("")))), "")
     count = F.size(F.filter(hits, lambda m: F.element_at(F.col(new_of), m).isNotNull())).cast("long").alias(n_mentions)
-    changed = joined.select(*[filled.alias(c) if c == text else F.col(c) for c in names], count)
+    changed = joined.select(*[filled.alias(c) if c == text else F.lit(None).alias(c) if c in empty else F.col(c) for c in names], count)
     plain = docs.where(~has).select(*[F.col(c) for c in names], F.lit(0).cast("long").alias(n_mentions))
     return plain.unionByName(changed)

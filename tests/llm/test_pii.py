@@ -158,3 +158,13 @@ def test_clashing_names(spark, shared):
     row = pii.replace_mentions(docs, "k").first()
     assert (row["_new"], row["_text_key"], row["text_key"], row["new_of"], row["raw"]) == ("a", "b", "c", "d", 5)
     assert row["text"].startswith("Mr ") and row["text"] != "Mr Smith"
+
+
+def test_rows_with_candidates_are_looked_for_twice_only(spark, shared):
+    """Once to write them, once to pass on the others; other columns pass through, also those without a type."""
+    docs = spark.createDataFrame([(1, "Mr John Smith"), (2, "plain"), (3, None)], "doc_id long, text string").selectExpr(
+        "*", "null AS nothing")
+    out = pii.replace_mentions(docs, "k")
+    assert [(r.doc_id, r.n_mentions, r.nothing) for r in out.orderBy("doc_id").collect()] == [(1, 1, None), (2, 0, None), (3, 0, None)]
+    filters = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RLIKE" in x and "Filter" in x]
+    assert len(filters) == 1
