@@ -33,6 +33,7 @@ SERIAL = {
     "order_items": "raw_order_item_id", "campaign_events": "campaign_event_id",
     "order_status_events": "event_id",
 }
+NUMBERS = {name: i for i, name in enumerate([*schemas.RAW, QUARANTINE])}
 # Columns the raw tables do not allow to be missing.
 REQUIRED = {"events": ["timestamp"], "order_status_events": ["order_id"]}
 
@@ -78,16 +79,6 @@ def _text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def _unreadable(value: Column, fields: list[Column]) -> Column:
-    """Whether ``from_json`` could not read the text.
-
-    All fields of such a text are NULL, so only texts without any known field are read again, now with the
-    column for corrupt records; that column costs a look-up for every field of every message.
-    """
-    again = F.from_json(value, _text_schema(["type", "_corrupt"]), {**_JSON, "columnNameOfCorruptRecord": "_corrupt"})
-    return F.when(F.coalesce(*fields).isNull(), value.isNull() | again["_corrupt"].isNotNull()).otherwise(F.lit(False))
-
-
 def _one_object(value: Column) -> Column:
     """Whether the text, which ``from_json`` could read, is one JSON object and nothing else but white space.
 
@@ -105,11 +96,14 @@ def _one_object(value: Column) -> Column:
 
 
 def _complaints(table: str) -> list[Column]:
-    """What is wrong with a message of the table, NULL where nothing is; the first counts."""
+    """What is wrong with a message of the table, NULL where nothing is; the first counts.
+
+    A column in its type goes by its name behind an underscore.
+    """
     found = []
     for name, (kind, tables) in WIDE.items():
         if table in tables and not isinstance(kind, T.StringType):
-            found.append(F.when(F.col(name).isNotNull() & _typed(F.col(name), kind).isNull(),
+            found.append(F.when(F.col(name).isNotNull() & F.col(f"_{name}").isNull(),
                                 F.lit(f"{name}: not a {kind.simpleString()}")))
     for name in REQUIRED.get(table, []):
         found.append(F.when(F.col(name).isNull(), F.lit(f"{name}: missing")))
@@ -118,25 +112,84 @@ def _complaints(table: str) -> list[Column]:
     return found
 
 
-def _needed(table: str | None) -> list[str]:
-    """The fields that decide about the rows of one table, or of all."""
-    if table is None:
-        return list(WIDE)
-    if table != QUARANTINE:
-        return [f.name for f in message_fields(table)]
-    checked = {"status"} | {name for names in REQUIRED.values() for name in names}
-    return [name for name, (kind, _) in WIDE.items() if name in checked or not isinstance(kind, T.StringType)]
+def _needed(table: str, only: str | None) -> list[str]:
+    """The fields of a table's messages that decide about the rows of the table ``only``, or of all."""
+    fields = message_fields(table)
+    if only in (None, table):
+        return [f.name for f in fields]
+    if only != QUARANTINE:
+        return []
+    checked = {"status", *REQUIRED.get(table, [])}
+    return [f.name for f in fields if f.name in checked or not isinstance(f.dataType, T.StringType)]
 
 
 def _may_be_of(value: Column, table: str) -> Column:
     """False only for texts that cannot be a message of the table.
 
-    Its messages name their type, letter by letter unless a backslash escapes something.
+    Its messages name their type, letter by letter up to the closing quote unless a backslash escapes something.
     """
-    named = [value.contains(message_type) for message_type, name in ROUTES.items() if name == table]
+    named = [value.contains(message_type + quote)
+             for message_type, name in ROUTES.items() if name == table for quote in "\"'"]
     return reduce(or_, named, value.contains("\\"))
 
 
+def _table_of_type(kind: Column) -> Column:
+    """The number of the table that messages of a type belong to.
+
+    Tables go by number: a row's table is compared once for each column, and numbers compare faster.
+    """
+    table = F.lit(NUMBERS[EVENTS])
+    for message_type, name in ROUTES.items():
+        table = F.when(kind == message_type, F.lit(NUMBERS[name])).otherwise(table)
+    return table
+
+
+def _read_one(messages: DataFrame, table: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The fields of one table that has message types of its own, see ``_read``."""
+    names = _needed(table, table)
+    # inline, here and below, keeps what it makes in one place; what a plain projection makes
+    # would be made again in every filter pushed below it.
+    messages = messages.select(F.inline(F.array(F.struct("value")))).where(_may_be_of(F.col("value"), table))
+    parsed = F.from_json("value", _text_schema(["type", *names]), _JSON)
+    # a text that cannot be read has no type and so is not of the table
+    read = messages.select("value", parsed.alias("_read"))
+    return read.select("*", "_read.type", F.lit(False).alias("_lost")), {name: F.col(f"_read.{name}") for name in names}
+
+
+def _read(messages: DataFrame, only: str | None) -> tuple[DataFrame, dict[str, Column]]:
+    """``value``, ``type``, what was read and ``_lost`` where it cannot be; the text of each needed field.
+
+    Most of the time of ``from_json`` goes with the fields of its schema, so the table is guessed from the text
+    and the fields of this table alone are read.  Where the type that was read is not of the table, or
+    nothing was read, the text is read again with the fields of all tables.
+    """
+    value, needed = F.col("value"), {table: _needed(table, only) for table in schemas.RAW}
+    names = [name for name in WIDE if any(name in own for own in needed.values())]
+    guess = F.lit(NUMBERS[EVENTS])
+    for message_type, name in ROUTES.items():
+        guess = F.when(value.contains(f'{message_type}"'), F.lit(NUMBERS[name])).otherwise(guess)
+    by_guess = [F.when(F.col("_guess") == NUMBERS[table], F.from_json("value", _text_schema(["type", *own]), _JSON))
+                .alias(f"_{table}") for table, own in needed.items()]
+    # inline keeps what follows above a union of messages, so no wide rows are made for it
+    read = messages.select(F.inline(F.array(F.struct("value", guess.alias("_guess")))))
+    read = read.select("value", "_guess", *by_guess)
+    kind = F.coalesce(*[F.col(f"_{table}.type") for table in needed], F.lit("event"))
+    found = F.coalesce(*[F.col(f"_{EVENTS}.{name}") for name in ["type", *needed[EVENTS]]]).isNotNull()
+    right = (_table_of_type(kind) == F.col("_guess")) & ((F.col("_guess") != NUMBERS[EVENTS]) | found)
+    again = F.from_json("value", _text_schema(["type", *names, "_corrupt"]),
+                        {**_JSON, "columnNameOfCorruptRecord": "_corrupt"})
+    read = read.select("value", *[f"_{table}" for table in needed], F.when(~right, again).alias("_again"))
+
+    def text(name: str) -> Column:
+        """All readings of a field agree."""
+        tables = [table for table, own in needed.items() if name in ("type", *own)]
+        return F.coalesce(*[F.col(f"_{table}.{name}") for table in [*tables, "again"]])
+
+    nothing = F.coalesce(*[F.col(f"_again.{name}") for name in ["type", *names]]).isNull()
+    lost = value.isNull() | (F.col("_again._corrupt").isNotNull() & nothing)
+    return read.select("*", text("type").alias("type"), lost.alias("_lost")), {name: text(name) for name in names}
+
+
 def parse_messages(messages: DataFrame, only: str | None = None) -> DataFrame:
     """``value`` (JSON text) to wide rows with ``route``, ``reason`` and ``value``.
 
@@ -147,44 +200,38 @@ def parse_messages(messages: DataFrame, only: str | None = None) -> DataFrame:
     alone are read from the messages, and rows of other tables may be missing.
     """
     value = F.col("value")
-    if only is not None and only not in (EVENTS, QUARANTINE):
-        # inline, here and below, keeps what it makes in one place; what a plain projection makes
-        # would be made again in every filter pushed below it.
-        messages = messages.select(F.inline(F.array(F.struct("value")))).where(_may_be_of(value, only))
-    names = _needed(only)
-    parsed = F.from_json("value", _text_schema(["type", *names]), _JSON)
-    # apart, as an expression with from_json keeps all that is computed with it from being compiled
-    lost = _unreadable(value, [F.col(f"_read.{name}") for name in ["type", *names]])
-    read = messages.select("value", parsed.alias("_read")).select("value", "_read.*", lost.alias("_lost"))
+    read, texts = _read(messages, only) if only in (None, EVENTS, QUARANTINE) else _read_one(messages, only)
+    typed = {name: kind for name, (kind, _) in WIDE.items()
+             if name in texts and not isinstance(kind, T.StringType)}
+    # in two steps, as the code of a step has to stay small
+    read = read.select("*", *[texts[name].alias(name) for name in typed])
     kind_of = F.coalesce("type", F.lit("event"))
-    # Tables by number: a row's table is compared once for each column, and numbers compare faster.
-    numbers = {name: i for i, name in enumerate([*schemas.RAW, QUARANTINE])}
-    table = F.lit(numbers[EVENTS])
-    for message_type, name in ROUTES.items():
-        table = F.when(kind_of == message_type, F.lit(numbers[name])).otherwise(table)
-    placed = F.when(F.col("_lost") | ~_one_object(value), F.lit(numbers[QUARANTINE])).otherwise(table)
+    placed = F.when(F.col("_lost") | ~_one_object(value), F.lit(NUMBERS[QUARANTINE])).otherwise(_table_of_type(kind_of))
     read = read.select("*", F.inline(F.array(F.struct(placed.alias("_table")))))
+    read = read.select("value", "type", "_table", *typed,
+                       *[_typed(F.col(name), kind).alias(f"_{name}") for name, kind in typed.items()],
+                       *[text.alias(name) for name, text in texts.items() if name not in typed])
 
     # A message meets the checks of its own table only.
     complaint = F.lit(None).cast("string")
     for name in schemas.RAW:
         if (only in (None, QUARANTINE, name)) and (here := _complaints(name)):
-            complaint = F.when(F.col("_table") == numbers[name], F.coalesce(*here)).otherwise(complaint)
-    reason = F.when(F.col("_table") == numbers[QUARANTINE], F.lit("not a JSON object")).otherwise(complaint)
+            complaint = F.when(F.col("_table") == NUMBERS[name], F.coalesce(*here)).otherwise(complaint)
+    reason = F.when(F.col("_table") == NUMBERS[QUARANTINE], F.lit("not a JSON object")).otherwise(complaint)
     # Again in one place each: a filter on the route repeats no check, and the code of a row stays in
     # methods that the JVM compiles (beyond 8000 bytes it interprets them).
     marked = read.select("*", F.inline(F.array(F.struct(reason.alias("reason")))))
-    target = F.when(F.col("reason").isNull(), F.col("_table")).otherwise(F.lit(numbers[QUARANTINE]))
-    title = F.element_at(F.array(*map(F.lit, numbers)), F.col("_route") + 1)
+    target = F.when(F.col("reason").isNull(), F.col("_table")).otherwise(F.lit(NUMBERS[QUARANTINE]))
+    title = F.element_at(F.array(*map(F.lit, NUMBERS)), F.col("_route") + 1)
     routed = marked.select("*", F.inline(F.array(F.struct(target.alias("_route")))))
 
     def column(name: str, kind: T.DataType, tables: list[str]) -> Column:
-        if name not in names:
+        if name not in texts:
             return F.lit(None).cast(kind)
-        text = F.col(name)
+        text = F.col(f"_{name}" if name in typed else name)
         if name == "event_type":
             text = F.when(kind_of.isin(LIFECYCLE), kind_of).otherwise(text)
-        return F.when(F.col("_route").isin([numbers[t] for t in tables]), _typed(text, kind))
+        return F.when(F.col("_route").isin([NUMBERS[t] for t in tables]), text)
 
     return routed.select(
         title.alias("route"), *[column(name, kind, tables).alias(name) for name, (kind, tables) in WIDE.items()],

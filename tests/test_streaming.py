@@ -204,3 +204,26 @@ def test_landing_keeps_a_file_per_route_open(spark, tmp_path):
         assert ingest.read_landed(spark, str(tmp_path / "raw")).count() == len(MESSAGES)
     finally:
         spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+
+
+def test_a_message_is_read_with_the_fields_of_its_own_table(spark):
+    """The table is guessed from the text; the type that was read decides."""
+    order = {"type": "order", "order_id": "a", "user_id": 1, "order_ts": "2024-01-02T03:04:05", "total_usd": 2}
+    misleading = [{**order, "user_id": "order_item"}, {**EVENT, "user_id": "order_status"}, {**order, "x": {"type": "user_device"}},
+                  {"type": "order_item", "order_id": "order_status", "product_id": 4}, {"order_id": "user_profile", **EVENT}]
+    texts = [*map(json.dumps, misleading), "{'type': 'order_item', 'order_id': 'a', 'product_id': '4'}",
+             '{"type": "order_item", "order_id": "a", "product_id": 4, "type": "order"}']
+    wide = router.parse_messages(frame(spark, texts))
+    assert {r.table_name: r.n_rows for r in router.route_counts(wide).collect()} == {"events": 2, "orders": 3, "order_items": 2}
+    assert sorted(r.user_id or "" for r in router.table_of(wide, "orders").collect()) == ["", "1", "order_item"]
+    assert [r.product_id for r in router.table_of(wide, "order_items").collect()] == [4, 4]
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    item = ["type", *(f.name for f in router.message_fields("order_items"))]
+    assert "from_json(" + ", ".join(f"StructField({name},StringType,true)" for name in item) + ", (" in plan
+
+
+def test_texts_that_only_begin_like_a_type_are_not_parsed_for_it(spark):
+    """Every message of an item names "order" in its fields; only a closed string can be the type."""
+    plan = router.table_of(router.parse_messages(frame(spark, ["{}"]), only="orders"), "orders")
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert ', order")' in plan and ", order')" in plan and ", order)" not in plan
