@@ -125,10 +125,15 @@ def fit(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 600, rate:
 
 
 def _member(table: pa.Table, prior: float) -> pa.Table:
-    """One classifier from rows of (member, toxic, buckets, values)."""
+    """One classifier from rows of (member, toxic, draw, buckets, values)."""
     toxic = table.column("toxic").to_numpy()
     lists = table.column("buckets").combine_chunks()
-    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    # documents are numbered by their draws: the order in which they arrive would change the last digits
+    order = np.lexsort((table.column("draw").to_numpy(), toxic))
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    toxic = toxic[order]
+    row = np.repeat(place, np.diff(lists.offsets.to_numpy()))
     bucket = lists.flatten().to_numpy().astype(np.int64)
     value = table.column("values").combine_chunks().flatten().to_numpy()
     chosen = select_features(row, bucket, value, toxic)
@@ -138,7 +143,7 @@ def _member(table: pa.Table, prior: float) -> pa.Table:
     known[known] = chosen[at[known]] == bucket[known]
     np.add.at(x, (row[known], at[known]), value[known])
     w, b = fit(x, toxic, prior)
-    return pa.table({"buckets": pa.array([chosen], pa.list_(pa.int64())),
+    return pa.table({"member": table.column("member")[:1], "buckets": pa.array([chosen], pa.list_(pa.int64())),
                      "weights": pa.array([w], pa.list_(pa.float32())), "bias": pa.array([b], pa.float64())})
 
 
@@ -176,10 +181,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     toxic.mapInArrow(run, "draw long, buckets array<int>, values array<float>").write.parquet(f"{root}/toxic")
     other.mapInArrow(run, "draw long, buckets array<int>, values array<float>").write.parquet(f"{root}/other")
     toxic, other = spark.read.parquet(f"{root}/toxic"), spark.read.parquet(f"{root}/other")
-    dealt = toxic.select(F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1))).alias("member"), F.lit(True).alias("toxic"), "buckets", "values").unionByName(
-        other.select(F.pmod("draw", F.lit(MEMBERS)).cast("int").alias("member"), F.lit(False).alias("toxic"), "buckets", "values"))
+    dealt = toxic.select(F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1))).alias("member"), F.lit(True).alias("toxic"), "draw", "buckets", "values").unionByName(
+        other.select(F.pmod("draw", F.lit(MEMBERS)).cast("int").alias("member"), F.lit(False).alias("toxic"), "draw", "buckets", "values"))
     members = dealt.groupBy("member").applyInArrow(
-        lambda table: _member(table, prior), "buckets array<long>, weights array<float>, bias double").collect()
+        lambda table: _member(table, prior), "member int, buckets array<long>, weights array<float>, bias double").collect()
+    members.sort(key=lambda r: r["member"])
     return [(np.array(r["buckets"], dtype=np.int64), np.array(r["weights"], dtype=float), r["bias"]) for r in members], prior
 
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketflow.llm import queries, toxicity
@@ -96,3 +97,20 @@ def test_held_out_documents(spark, shared):
     caught = [p for t, p in got if t]
     clean = [p for t, p in got if not t]
     assert np.mean(caught) > 0.85 and np.mean(clean) < 0.01
+
+
+def test_a_member_does_not_depend_on_the_order_of_its_rows():
+    rng = np.random.default_rng(3)
+    toxic, draw = rng.random(400) < 0.3, rng.permutation(400)
+    sets = [np.unique(rng.integers(0, 40, 12) + 30 * t) for t in toxic]
+    weights = [rng.random(len(b)).astype(np.float32) for b in sets]
+
+    def member(order):
+        return toxicity._member(pa.table({
+            "member": pa.array([1] * 400, pa.int32()), "toxic": toxic[order], "draw": draw[order],
+            "buckets": pa.array([sets[i] for i in order], pa.list_(pa.int32())),
+            "values": pa.array([weights[i] for i in order], pa.list_(pa.float32()))}), 0.1).to_pydict()
+
+    given = member(np.arange(400))
+    assert len(given["buckets"][0]) > 10
+    assert all(member(rng.permutation(400)) == given for _ in range(5))
