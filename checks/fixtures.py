@@ -7,7 +7,7 @@ state the same mapping for the checking database.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +40,11 @@ class Source:
             self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._read[name]
 
+    def spread(self, name: str) -> None:
+        """Deal a given table's rows to all tasks, however few row groups its file has."""
+        rows = self.given(name)
+        self._read[name] = rows.repartition(2 * self.spark.sparkContext.defaultParallelism, *rows.columns)
+
     def event_users(self) -> Column:
         """How many user ids the events use (ids run from 0)."""
         return self.given("events").agg(F.max("user_id") + 1).scalar()
@@ -142,10 +147,11 @@ class Star(Source):
 
 
 def _uuid(text: Column) -> Column:
-    """A uuid made of the md5 of a text."""
-    h = F.md5(text)
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(h, start, size) for start, size in cuts])
+    """A uuid made of the md5 of a text; empty where the text is NULL."""
+    out = F.md5(text)  # named once in the whole expression: inside a condition Spark works out every mention
+    for hyphen in (9, 14, 19, 24):
+        out = F.overlay(out, F.lit("-"), hyphen, 0)
+    return F.coalesce(out, F.lit(""))
 
 
 def _hash_id(*parts: Column) -> Column:
@@ -338,9 +344,11 @@ class Raw(Source):
             F.concat(F.lit("cat"), (F.col("r_regionkey") + 3).cast("string")).alias("category_name"))
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
-    """The raw tables by the names the runs use."""
+def raw_tables(spark: SparkSession, sf_dir: str, spread: Sequence[str] = ()) -> dict[str, Callable[[], DataFrame]]:
+    """The raw tables by the names the runs use; the given tables in ``spread`` are dealt to all tasks first."""
     raw = Raw(spark, sf_dir)
+    for name in spread:
+        raw.spread(name)
     return {"events": raw.events, "user_profiles": raw.profiles, "user_devices": raw.devices,
             "user_locations": raw.locations, "orders": raw.orders, "order_items": raw.items,
             "order_status_events": raw.statuses, "campaign_events": raw.campaign_events}
